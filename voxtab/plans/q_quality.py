@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxtab.operators import quality as Q
-from voxtab.plans.registry import register, rounded, sql_horner
+from voxtab.plans.registry import register, rounded, sqlq, sql_horner
 from voxtab.sources.views import v_scores, with_views
 
 THRESHOLD = 3.5
@@ -39,8 +39,8 @@ def _scores(spark, sf_dir):
 @register(
     "g1_calibrate",
     _cal_sql()
-    + """SELECT file, hop_idx, round(sig, 6) AS sig, round(bak, 6) AS bak, round(ovr, 6) AS ovr,
-       round(p808, 6) AS p808 FROM cal""",
+    + f"""SELECT file, hop_idx, {sqlq("sig")} AS sig, {sqlq("bak")} AS bak, {sqlq("ovr")} AS ovr,
+       {sqlq("p808")} AS p808 FROM cal""",
 )
 def g1_calibrate(spark, sf_dir):
     return rounded(Q.calibrate(v_scores(spark, sf_dir)).select("file", "hop_idx", "sig", "bak", "ovr", "p808"))
@@ -49,8 +49,8 @@ def g1_calibrate(spark, sf_dir):
 @register(
     "g1_calibrate_personalised",
     _cal_sql(True)
-    + """SELECT file, hop_idx, round(sig, 6) AS sig, round(bak, 6) AS bak, round(ovr, 6) AS ovr,
-       round(p808, 6) AS p808 FROM cal""",
+    + f"""SELECT file, hop_idx, {sqlq("sig")} AS sig, {sqlq("bak")} AS bak, {sqlq("ovr")} AS ovr,
+       {sqlq("p808")} AS p808 FROM cal""",
 )
 def g1_calibrate_personalised(spark, sf_dir):
     return rounded(Q.calibrate(v_scores(spark, sf_dir), True).select("file", "hop_idx", "sig", "bak", "ovr", "p808"))
@@ -59,8 +59,8 @@ def g1_calibrate_personalised(spark, sf_dir):
 @register(
     "g2_score_files",
     _SCORES_SQL
-    + """SELECT audio_filepath, round(duration, 6) AS duration, round(SIG, 6) AS SIG, round(BAK, 6) AS BAK,
-       round(OVRL, 6) AS OVRL, round(P808_MOS, 6) AS P808_MOS, valid_hops FROM scores""",
+    + f"""SELECT audio_filepath, {sqlq("duration")} AS duration, {sqlq("SIG")} AS SIG, {sqlq("BAK")} AS BAK,
+       {sqlq("OVRL")} AS OVRL, {sqlq("P808_MOS")} AS P808_MOS, valid_hops FROM scores""",
 )
 def g2_score_files(spark, sf_dir):
     return rounded(_scores(spark, sf_dir))
@@ -69,7 +69,7 @@ def g2_score_files(spark, sf_dir):
 @register(
     "g3_split_quality",
     _SCORES_SQL
-    + f"""SELECT audio_filepath, round(OVRL, 6) AS OVRL, round(duration, 6) AS duration,
+    + f"""SELECT audio_filepath, {sqlq("OVRL")} AS OVRL, {sqlq("duration")} AS duration,
        CASE WHEN OVRL >= {THRESHOLD} THEN 'pass' ELSE 'fail' END AS verdict FROM scores""",
 )
 def g3_split_quality(spark, sf_dir):
@@ -78,7 +78,7 @@ def g3_split_quality(spark, sf_dir):
 
 _G4_SQL = (
     _SCORES_SQL
-    + f"""SELECT verdict, CAST(count(*) AS BIGINT) AS n_files, round(sum(duration), 6) AS total_seconds
+    + f"""SELECT verdict, CAST(count(*) AS BIGINT) AS n_files, {sqlq("sum(duration)")} AS total_seconds
 FROM (SELECT *, CASE WHEN OVRL >= {THRESHOLD} THEN 'pass' ELSE 'fail' END AS verdict FROM scores)
 GROUP BY verdict"""
 )
@@ -92,12 +92,12 @@ def g4_quality_totals(spark, sf_dir):
 @register(
     "g5_quality_report",
     _SCORES_SQL
-    + """, m AS (SELECT avg(OVRL) AS mean_ovrl, quantile_cont(OVRL, 0.5) AS median_ovrl,
+    + f""", m AS (SELECT avg(OVRL) AS mean_ovrl, quantile_cont(OVRL, 0.5) AS median_ovrl,
                   sum(duration) AS total_seconds FROM scores),
 a AS (SELECT coalesce(sum(s.duration), 0.0) AS above FROM scores s, m WHERE s.OVRL > m.median_ovrl)
-SELECT round(mean_ovrl, 6) AS mean_ovrl, round(median_ovrl, 6) AS median_ovrl,
-       round(above, 6) AS above_median_seconds, round(total_seconds, 6) AS total_seconds,
-       round(CASE WHEN total_seconds > 0 THEN above / total_seconds * 100 ELSE 0.0 END, 6) AS above_median_pct
+SELECT {sqlq("mean_ovrl")} AS mean_ovrl, {sqlq("median_ovrl")} AS median_ovrl,
+       {sqlq("above")} AS above_median_seconds, {sqlq("total_seconds")} AS total_seconds,
+       {sqlq("CASE WHEN total_seconds > 0 THEN above / total_seconds * 100 ELSE 0.0 END")} AS above_median_pct
 FROM m, a""",
 )
 def g5_quality_report(spark, sf_dir):

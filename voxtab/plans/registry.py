@@ -26,21 +26,33 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Quantisation grid for checked doubles: 1e-6 steps, shifted by an
+# irrational fraction so that values with a short decimal expansion (means
+# of decimal inputs end in ...5 exactly) never sit on a rounding boundary,
+# where summation order would flip the last digit.
+_Q_SCALE = 1_000_000.0
+_Q_SHIFT = 0.318309886
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double/float column the way DuckDB's ``round(x, d)``
-    does (scale, round half away from zero, unscale), so equal doubles give
-    equal text in both engines; sums of doubles depend on the partitioning,
-    and rounding hides the last bits."""
+    """Quantise every double/float column to the 1e-6 grid (same arithmetic
+    as ``sqlq`` in the oracle SQL)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            scale = float(10**digits)
-            cols.append((F.round(F.col(f.name).cast("double") * scale, 0) / scale).alias(f.name))
+            x = F.col(f.name).cast("double")
+            cols.append((F.round(x * _Q_SCALE + _Q_SHIFT, 0) / _Q_SCALE).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
+def sqlq(expr: str) -> str:
+    """SQL form of ``rounded`` for one expression."""
+    scale, shift = f"CAST({_Q_SCALE!r} AS DOUBLE)", f"CAST({_Q_SHIFT!r} AS DOUBLE)"
+    return f"(round(CAST({expr} AS DOUBLE) * {scale} + {shift}) / {scale})"
+
+
 def sql_horner(x: str, coefs) -> str:
     acc = f"CAST({float(coefs[0])!r} AS DOUBLE)"
     for c in coefs[1:]:

@@ -139,10 +139,11 @@ def _local_scan_fn(keys, sums, ffills, prevs, sum_types):
                 for c in prevs:
                     row[f"_lprev_{c}"] = prev[c]
             rows.append(row)
-        summary = pd.DataFrame(rows)
-        yield summary.reindex(columns=list(last_row_template.columns) + [
+        cols = list(last_row_template.columns) + [
             "_lpos", *[f"_lcum_{c}" for c in sums], *[f"_lffill_{c}" for c in ffills],
-            *[f"_lprev_{c}" for c in prevs], "_pid", "_kind"])
+            *[f"_lprev_{c}" for c in prevs], "_pid", "_kind"]
+        # data columns stay None (not NaN: array/struct columns reject floats)
+        yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in cols})
 
     return fn
 
@@ -260,3 +261,11 @@ def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
     window): ``order`` must be unique."""
     scanned = ordered_scan(df.withColumn("_g", F.lit(0)), ["_g"], order)
     return scanned.withColumn(name, F.col("pos") + 1).drop("pos", "_g")
+
+
+def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a global aggregate (exactly one row, so the
+    broadcast side is bounded by construction) to every row of ``df``."""
+    return df.withColumn("_one", F.lit(0)).join(
+        F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one"
+    ).drop("_one")
