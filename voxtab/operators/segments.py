@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxtab.plans.chain import chain_walk, successor
 from voxtab.plans.scan import ordered_scan
+from voxtab.session import cut_lineage
 
 
 def segment_fixed(infos: DataFrame, seconds: float, frames: str = "frames", rate: str = "rate") -> DataFrame:
@@ -165,3 +167,103 @@ def sliding_hops(padded: DataFrame, length: str = "padded", rate=16000, width_s:
     start = (F.col("hop_idx") * hop_len).cast("bigint")
     end = F.least(((F.col("hop_idx") + F.lit(float(width_s))) * hop_len).cast("bigint"), n)
     return out.withColumn("start", start).withColumn("end", end).where(F.col("end") - F.col("start") >= need).drop("_k")
+
+
+def _lit_or_col(x):
+    from pyspark.sql import Column
+
+    return x if isinstance(x, Column) else F.lit(float(x))
+
+
+def merge_short(segs: DataFrame, max_len, key="utt_id", order=("start",), compat: bool = True,
+                length: str | None = None) -> DataFrame:
+    """C11: merge consecutive short segments in order: a segment joins the
+    current group unless ``count + len > max_len`` (and the group is not
+    empty); then the group is flushed and the segment starts a new one.
+    With ``compat`` the counter restarts at 0 after a flush (the first
+    segment of a later group is not counted, as in the reference); without
+    it the counter restarts at the segment's length.
+
+    Distributed: prefix sums give, for every possible group start ``a``, the
+    first segment that overflows it (a strict successor search); the actual
+    group starts are the chain reachable from the first segment.
+    Returns one row per group: ``(key, grp, n_pieces, length, start, end)``
+    (``start``/``end`` of the first and last member)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order = list(order)
+    seg_len = F.col(length) if length else (F.col("end") - F.col("start"))
+    base = segs.withColumn("_len", seg_len.cast("bigint")).withColumn("_max", _lit_or_col(max_len))
+    sc = ordered_scan(base, keys, order, sums=["_len"])
+    sc = cut_lineage(sc)
+    points = sc.select(*keys, F.col("cum__len").alias("value"), F.col("pos").alias("pid"))
+    counted_from = F.when(F.lit(compat) & (F.col("pos") > 0), F.col("cum__len")).otherwise(F.col("cum__len") - F.col("_len"))
+    queries = sc.select(*keys, F.col("pos").alias("qid"), (counted_from + F.col("_max")).alias("value"))
+    found = successor(points, queries, keys, strict=True)
+    nxt = found.select(*keys, F.col("qid").alias("node"),
+                       F.when(F.col("pid").isNotNull(), F.greatest(F.col("pid"), F.col("qid") + 1)).alias("next"))
+    starts = sc.where(F.col("pos") == 0).select(*keys, F.col("pos").alias("node"))
+    heads = chain_walk(nxt, starts, keys).select(*keys, F.col("node").alias("pos"), F.lit(1).cast("bigint").alias("_head"))
+    flagged = sc.join(heads, [*keys, "pos"], "left").withColumn("_head", F.coalesce("_head", F.lit(0)).cast("bigint"))
+    flagged = flagged.drop("cum__len").withColumnRenamed("pos", "_i")
+    grouped = ordered_scan(flagged, keys, ["_i"], sums=["_head"]).withColumn("grp", F.col("cum__head") - 1)
+    aggs = [F.count(F.lit(1)).alias("n_pieces"), F.sum("_len").alias("length")]
+    if "start" in segs.columns and "end" in segs.columns:
+        aggs += [F.min_by("start", "_i").alias("start"), F.max_by("end", "_i").alias("end")]
+    return grouped.groupBy(*keys, "grp").agg(*aggs)
+
+
+def merge_short_corpus(infos: DataFrame, max_s: float = 20.0, key=("lang", "rate"), order: str = "path",
+                       length: str = "frames", rate: str = "rate") -> DataFrame:
+    """Merge a whole directory of short files in path order. The
+    reference loads every file of the directory into one list and merges
+    globally; here the merge runs per ``key`` (all rates inside a key must
+    be equal, else the job fails) so that it scales. Lengths count frames
+    (not channels)."""
+    keys = list(key) if not isinstance(key, str) else [key]
+    check = infos.groupBy(*keys).agg(F.countDistinct(rate).alias("_rates"))
+    guarded = infos.join(check, keys).withColumn(
+        "_ok", F.when(F.col("_rates") > 1, F.raise_error(F.lit("sample rates differ inside a merge key"))).otherwise(F.lit(True))
+    ).where(F.col("_ok")).drop("_ok", "_rates")
+    guarded = guarded.withColumn("_order", F.split(order, "/"))
+    return merge_short(guarded, F.col(rate) * float(max_s), key=keys, order=["_order"], length=length)
+
+
+def accumulate_min(intervals: DataFrame, min_len, pad_len: int, key="utt_id", order=("start",)) -> DataFrame:
+    """Greedy accumulation of non-silent intervals in order until their
+    total length reaches ``min_len`` samples; the group is emitted and the
+    counter reset. Between unfinished pieces ``pad_len`` zero samples are
+    inserted (also after the last piece of an unfinished final group).
+
+    Returns one row per interval: ``(key, start, end, grp, pad_after)`` and
+    the group lengths are ``sum(end - start + pad_after)``; see
+    ``accumulated_groups``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    base = intervals.withColumn("_len", (F.col("end") - F.col("start")).cast("bigint"))
+    sc = cut_lineage(ordered_scan(base, keys, list(order), sums=["_len"]))
+    points = sc.select(*keys, F.col("cum__len").alias("value"), F.col("pos").alias("pid"))
+    queries = sc.select(*keys, F.col("pos").alias("qid"), (F.col("cum__len") - F.col("_len") + _lit_or_col(min_len)).alias("value"))
+    found = cut_lineage(successor(points, queries, keys, strict=False))
+    nxt = found.select(*keys, F.col("qid").alias("node"), (F.col("pid") + 1).alias("next"))
+    starts = sc.where(F.col("pos") == 0).select(*keys, F.col("pos").alias("node"))
+    heads = chain_walk(nxt, starts, keys)
+    # a group starting at a ends at its successor j (complete) or runs to
+    # the end of the recording (unfinished)
+    ends = heads.join(found.withColumnRenamed("qid", "node"), [*keys, "node"]).select(
+        *keys, F.col("node").alias("pos"), F.col("pid").alias("_last")
+    )
+    flagged = sc.join(ends.withColumn("_head", F.lit(1).cast("bigint")), [*keys, "pos"], "left").withColumn(
+        "_head", F.coalesce("_head", F.lit(0)).cast("bigint")
+    )
+    flagged = flagged.drop("cum__len").withColumnRenamed("pos", "_i")
+    grouped = ordered_scan(flagged, keys, ["_i"], sums=["_head"], ffills=["_last"])
+    pad_after = F.when(F.col("ffill__last").isNotNull() & (F.col("_i") == F.col("ffill__last")), F.lit(0)).otherwise(F.lit(pad_len))
+    return grouped.select(*keys, "start", "end", (F.col("cum__head") - 1).alias("grp"), pad_after.cast("bigint").alias("pad_after"))
+
+
+def accumulated_groups(members: DataFrame, key="utt_id") -> DataFrame:
+    """C5 groups: ``(key, grp, n_intervals, length)`` with pads counted."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return members.groupBy(*keys, "grp").agg(
+        F.count(F.lit(1)).alias("n_intervals"),
+        F.sum(F.col("end") - F.col("start") + F.col("pad_after")).alias("length"),
+    )

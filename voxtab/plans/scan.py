@@ -168,7 +168,10 @@ def ordered_scan(
     deterministic."""
     keys, order = list(keys), list(order)
     sums, ffills, prevs = list(sums), list(ffills), list(prevs)
-    spark = df.sparkSession
+    taken = {"pos", *[f"cum_{c}" for c in sums], *[f"ffill_{c}" for c in ffills], *[f"prev_{c}" for c in prevs]}
+    clash = taken & set(df.columns)
+    if clash:
+        raise ValueError(f"ordered_scan output columns already present: {sorted(clash)}")
     n_part = _partitions(df, partitions)
     sort_cols = [F.col(c).desc() if descending and c in order else F.col(c).asc() for c in keys + order]
     ranged = df.repartitionByRange(n_part, *sort_cols).sortWithinPartitions(*sort_cols)

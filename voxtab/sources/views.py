@@ -214,7 +214,7 @@ SQL_VIEWS = {
 
 def with_views(*names: str) -> str:
     """``WITH`` clause holding the named views (for oracle SQL)."""
-    return "WITH " + ",\n".join(SQL_VIEWS[n] for n in names) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(SQL_VIEWS[n] for n in names) + "\n"
 
 
 VIEWS = {
