@@ -1,6 +1,6 @@
 """All checked queries (importing a family module registers its queries)."""
 
-from voxtab.plans import q_files, q_quality, q_segments, q_slicing, q_stats, q_text  # noqa: F401
+from voxtab.plans import q_files, q_quality, q_segments, q_signal, q_slicing, q_stats, q_text  # noqa: F401
 from voxtab.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
