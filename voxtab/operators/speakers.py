@@ -17,6 +17,7 @@ from voxtab.plans.pairs import (block_pairs, cluster_distance_sums, nearest_neig
 from voxtab.plans.scan import attach_one_row, global_rank
 from voxtab.session import cut_lineage
 
+_DEBUG = False
 BLOCK = 1024  # vectors per block: a block pair is ~2 x 1024 x 192 doubles
 
 
@@ -164,7 +165,10 @@ def ward_speakers(vecs: DataFrame, threshold: float = 0.75, id_col: str = "utt_i
             (F.col("x.id") < F.col("y.id")) & (F.col("x.d") < threshold)
         ).select(F.col("x.id").alias("keep"), F.col("y.id").alias("gone"))
         mutual = cut_lineage(mutual)
-        if mutual.count() == 0:
+        n_merges = mutual.count()
+        if _DEBUG:
+            print("ward round", clusters.count(), n_merges, flush=True)
+        if n_merges == 0:
             break
         a = clusters.alias("a")
         merged = (
