@@ -163,3 +163,31 @@ def d9_loudness_report(spark, sf_dir):
     before = D.integrated_loudness(energies)
     after = D.integrated_loudness(out.select("utt_id", (F.col("out") * F.col("out")).alias("z")))
     return rounded(D.loudness_report(before, after))
+
+
+D2_FROM, D2_TO, D2_HALF, D2_BLOCK = 3, 2, 2, 16
+
+
+def _taps_sql():
+    h = D.resample_taps(D2_TO, D2_FROM, D2_HALF)
+    return "(VALUES " + ", ".join(f"({i}, CAST({float(v)!r} AS DOUBLE))" for i, v in enumerate(h)) + ") taps(t, h)", (len(h) - 1) // 2
+
+
+_TAPS, _C = _taps_sql()
+
+
+@register(
+    "d2_resample",
+    with_views("v_samples")
+    + f""", n AS (SELECT utt_id, max(idx) + 1 AS n FROM v_samples GROUP BY utt_id),
+c AS (SELECT s.utt_id, t + s.idx * {D2_TO} - {_C} AS num, s.sample * taps.h AS p, n.n
+      FROM v_samples s JOIN n USING (utt_id), {_TAPS}
+      WHERE t + s.idx * {D2_TO} - {_C} >= 0 AND (t + s.idx * {D2_TO} - {_C}) % {D2_FROM} = 0)
+SELECT utt_id, CAST(num // {D2_FROM} AS BIGINT) AS k, {sqlq('sum(p)')} AS y FROM c
+WHERE num // {D2_FROM} < ceil(n * {D2_TO} / {D2_FROM}) GROUP BY utt_id, num""",
+)
+def d2_resample(spark, sf_dir):
+    blocks = D.to_blocks(v_samples(spark, sf_dir), D2_BLOCK)
+    out = D.resample(blocks, D2_FROM, D2_TO, half_width=D2_HALF)
+    return rounded(out.select("utt_id", "start", F.posexplode("samples").alias("o", "y")).select(
+        "utt_id", (F.col("start") + F.col("o")).alias("k"), "y"))
