@@ -45,16 +45,62 @@ def successor(points: DataFrame, queries: DataFrame, keys: Sequence[str], strict
     return scanned.where(F.col("_t") == q_type).select(*keys, F.col("_id").alias("qid"), F.col("ffill__p").alias("pid"))
 
 
-def chain_walk(nxt: DataFrame, starts: DataFrame, keys: Sequence[str], max_rounds: int = 64) -> DataFrame:
+def _walk_small(keys):
+    """Sequential pointer walk inside one key (bounded by ``small_limit``)."""
+    import pandas as pd
+
+    def fn(nodes: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+        if len(starts) == 0 or len(nodes) == 0:
+            return pd.DataFrame({**{k: [] for k in keys}, "node": []})
+        nxt = dict(zip(nodes["node"].tolist(), nodes["next"].tolist()))
+        seen = []
+        visited = set()
+        for s in starts["node"].tolist():
+            cur = s
+            while cur is not None and not (isinstance(cur, float) and cur != cur) and cur not in visited:
+                visited.add(cur)
+                seen.append(int(cur))
+                cur = nxt.get(cur)
+        first = starts.iloc[0]
+        return pd.DataFrame({**{k: [first[k]] * len(seen) for k in keys}, "node": seen})
+
+    return fn
+
+
+def chain_walk(nxt: DataFrame, starts: DataFrame, keys: Sequence[str], max_rounds: int = 64,
+               small_limit: int = 50_000) -> DataFrame:
     """Nodes reachable from the start nodes by following ``next`` pointers.
 
     ``nxt``: ``(keys, node, next)`` with ``next`` null at the end of a chain;
     ``starts``: ``(keys, node)``. Returns ``(keys, node)`` including the
-    starts. Rounds: ``T_{k+1} = T_k ∪ J_k(T_k)``, ``J_{k+1} = J_k ∘ J_k``;
-    stops when ``T`` stops growing (then every chain is exhausted)."""
+    starts.
+
+    Size-adaptive: a key with at most ``small_limit`` nodes is walked
+    sequentially in one grouped task (its size is bounded by the limit);
+    keys above it (hot recordings) are walked by pointer doubling:
+    ``T_{k+1} = T_k ∪ J_k(T_k)``, ``J_{k+1} = J_k ∘ J_k``, until ``T`` stops
+    growing."""
     keys = list(keys)
-    jump = cut_lineage(nxt.select(*keys, F.col("node").cast("bigint").alias("node"), F.col("next").cast("bigint").alias("next")))
-    reached = cut_lineage(starts.select(*keys, F.col("node").cast("bigint").alias("node")).distinct())
+    nxt = nxt.select(*keys, F.col("node").cast("bigint").alias("node"), F.col("next").cast("bigint").alias("next"))
+    starts = starts.select(*keys, F.col("node").cast("bigint").alias("node"))
+    if not keys:
+        return _chain_doubling(nxt, starts, keys, max_rounds)
+    nxt = cut_lineage(nxt)  # computed once, read by both branches
+    sizes = nxt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = cut_lineage(sizes.where(F.col("_n") > small_limit).select(*keys))
+    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in nxt.schema.fields if f.name in keys] + ["node bigint"])
+    small_nodes = nxt.join(hot, keys, "left_anti")
+    small_starts = starts.join(hot, keys, "left_anti")
+    small = small_nodes.groupBy(*keys).cogroup(small_starts.groupBy(*keys)).applyInPandas(_walk_small(keys), out_schema)
+    if hot.count() == 0:
+        return small
+    big = _chain_doubling(nxt.join(hot, keys, "left_semi"), starts.join(hot, keys, "left_semi"), keys, max_rounds)
+    return small.unionByName(big)
+
+
+def _chain_doubling(nxt: DataFrame, starts: DataFrame, keys: list, max_rounds: int) -> DataFrame:
+    jump = nxt
+    reached = cut_lineage(starts.distinct())
     count = reached.count()
     for _ in range(max_rounds):
         step = reached.join(jump, [*keys, "node"]).where(F.col("next").isNotNull()).select(*keys, F.col("next").alias("node"))

@@ -102,3 +102,17 @@ FROM m, a""",
 )
 def g5_quality_report(spark, sf_dir):
     return rounded(Q.quality_report(_scores(spark, sf_dir)))
+
+
+@register(
+    "a12_manifest_lines",
+    _SCORES_SQL
+    + f""", q AS (SELECT audio_filepath, {sqlq("duration")} AS duration, {sqlq("SIG")} AS SIG, {sqlq("BAK")} AS BAK,
+                  {sqlq("OVRL")} AS OVRL, {sqlq("P808_MOS")} AS P808_MOS, valid_hops FROM scores)
+SELECT CASE WHEN OVRL >= {THRESHOLD} THEN 'pass' ELSE 'fail' END AS verdict,
+       to_json(struct_pack(audio_filepath, duration, SIG, BAK, OVRL, P808_MOS, valid_hops)) AS value FROM q""",
+)
+def a12_manifest_lines(spark, sf_dir):
+    from voxtab.sources.sinks import manifest_lines
+
+    return manifest_lines(Q.split_by_quality(rounded(_scores(spark, sf_dir)), THRESHOLD))
