@@ -270,3 +270,26 @@ def c18_gather(spark, sf_dir):
     segs = C.runs_of(frames, "utt_id", "frame_idx", "_sp").where(F.col("run_end") - F.col("run_start") >= 3)
     segs = segs.select("utt_id", F.col("run_start").alias("start"), F.col("run_end").alias("end"))
     return gather(v_samples(spark, sf_dir), segs, block=16).select("utt_id", "start", "idx", "sample")
+
+
+@register(
+    "c10_slice_by_energy_merged",
+    _SEGS_SQL
+    + f""", mt AS (SELECT utt_id, "end" - start AS len, {C10_MAX_S} * {RATE} AS lim,
+              row_number() OVER (PARTITION BY utt_id ORDER BY start, "end") AS k FROM segs),
+mrec AS (
+  SELECT utt_id, k, CAST(0 AS BIGINT) AS grp, len AS cnt, len FROM mt WHERE k = 1
+  UNION ALL
+  SELECT mt.utt_id, mt.k, CASE WHEN mrec.cnt + mt.len > mt.lim THEN mrec.grp + 1 ELSE mrec.grp END,
+         CASE WHEN mrec.cnt + mt.len > mt.lim THEN 0 ELSE mrec.cnt + mt.len END, mt.len
+  FROM mrec JOIN mt ON mt.utt_id = mrec.utt_id AND mt.k = mrec.k + 1),
+mg AS (SELECT utt_id, grp, CAST(sum(len) AS BIGINT) AS len, {C10_MAX_S} * {RATE} AS lim FROM mrec GROUP BY utt_id, grp),
+mp AS (SELECT *, CASE WHEN len > lim THEN CAST(ceil(len / CAST(ceil(len / lim) AS BIGINT)) AS BIGINT)
+                     ELSE greatest(len, 1) END AS chunk FROM mg)
+SELECT utt_id, grp, piece_idx, piece_idx * chunk AS start, least(piece_idx * chunk + chunk, len) AS "end"
+FROM (SELECT *, unnest(range(greatest(CAST(ceil(len / chunk) AS BIGINT), 1))) AS piece_idx FROM mp)""",
+)
+def c10_slice_by_energy_merged(spark, sf_dir):
+    tot = _totals(spark, sf_dir).select("utt_id", "n")
+    out = S.slice_by_energy(v_frames(spark, sf_dir), tot, P, RATE, C10_MIN_S, C10_MAX_S, merge=True)
+    return out.select("utt_id", "grp", "piece_idx", "start", "end")
