@@ -97,8 +97,10 @@ def speech_intervals(probs: DataFrame, key, idx: str = "frame_idx", prob: str =
     are closed; intervals shorter than ``min_speech`` frames are dropped;
     longer than ``max_speech`` frames are split evenly (C2)."""
     keys = [key] if isinstance(key, str) else list(key)
-    runs = runs_of(probs.withColumn("_sp", F.col(prob) >= threshold), keys, idx, "_sp")
-    scanned = ordered_scan(runs, keys, ["run_start"], prevs=["run_end"])
+    # each scan samples its input for range bounds: materialise the (small)
+    # run tables between scans instead of re-running the scan below
+    runs = cut_lineage(runs_of(probs.withColumn("_sp", F.col(prob) >= threshold), keys, idx, "_sp"))
+    scanned = cut_lineage(ordered_scan(runs, keys, ["run_start"], prevs=["run_end"]))
     new_grp = (F.col("prev_run_end").isNull() | (F.col("run_start") - F.col("prev_run_end") >= min_silence)).cast("bigint")
     grouped = ordered_scan(scanned.withColumn("_new", new_grp).drop("pos", "prev_run_end"), keys, ["run_start"], sums=["_new"])
     merged = grouped.groupBy(*keys, "cum__new").agg(F.min("run_start").alias("start"), F.max("run_end").alias("end")).drop("cum__new")
@@ -238,7 +240,7 @@ def accumulate_min(intervals: DataFrame, min_len, pad_len: int, key="utt_id", or
     the group lengths are ``sum(end - start + pad_after)``; see
     ``accumulated_groups``."""
     keys = [key] if isinstance(key, str) else list(key)
-    base = intervals.withColumn("_len", (F.col("end") - F.col("start")).cast("bigint"))
+    base = cut_lineage(intervals.withColumn("_len", (F.col("end") - F.col("start")).cast("bigint")))
     sc = cut_lineage(ordered_scan(base, keys, list(order), sums=["_len"]))
     points = sc.select(*keys, F.col("cum__len").alias("value"), F.col("pos").alias("pid"))
     queries = sc.select(*keys, F.col("pos").alias("qid"), (F.col("cum__len") - F.col("_len") + _lit_or_col(min_len)).alias("value"))

@@ -87,7 +87,7 @@ def chain_walk(nxt: DataFrame, starts: DataFrame, keys: Sequence[str], max_round
         return _chain_doubling(nxt, starts, keys, max_rounds)
     nxt = cut_lineage(nxt)  # computed once, read by both branches
     sizes = nxt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = cut_lineage(sizes.where(F.col("_n") > small_limit).select(*keys))
+    hot = sizes.where(F.col("_n") > small_limit).select(*keys)  # cheap: reads the checkpointed pointers
     out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in nxt.schema.fields if f.name in keys] + ["node bigint"])
     small_nodes = nxt.join(hot, keys, "left_anti")
     small_starts = starts.join(hot, keys, "left_anti")
