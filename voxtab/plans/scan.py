@@ -172,6 +172,7 @@ def ordered_scan(
     clash = taken & set(df.columns)
     if clash:
         raise ValueError(f"ordered_scan output columns already present: {sorted(clash)}")
+    spark = df.sparkSession
     n_part = _partitions(df, partitions)
     sort_cols = [F.col(c).desc() if descending and c in order else F.col(c).asc() for c in keys + order]
     ranged = df.repartitionByRange(n_part, *sort_cols).sortWithinPartitions(*sort_cols)
@@ -195,6 +196,14 @@ def ordered_scan(
     out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
     scanned = ranged.mapInPandas(_local_scan_fn(keys, sums, ffills, prevs, sum_types), out_schema)
+    # The data rows and the summary rows must come from the *same* range
+    # shuffle (same sampled bounds, same partition ids): inside one query
+    # plan Spark reuses the identical exchange. If exchange reuse is switched
+    # off, materialise the scan once instead.
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from voxtab.session import cut_lineage
+
+        scanned = cut_lineage(scanned)
 
     data = scanned.where(F.col("_kind") == _KIND_DATA)
     # Summary rows: at most two per partition, so this side is bounded by the
