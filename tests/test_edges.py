@@ -59,3 +59,27 @@ def test_hz_to_note_drops_invalid(spark):
     pitch = spark.createDataFrame([(1, 440.0), (1, 0.0), (1, float("nan")), (1, float("inf")), (1, 261.63)], "utt_id long, f0 double")
     got = E.hz_to_note(pitch).toPandas()
     assert sorted(got["note"]) == ["A4", "C4"]
+
+
+def test_ledger_shape_and_invariant(spark):
+    from voxtab.operators import ledger as B
+
+    led = spark.createDataFrame(
+        [("convert_to_wav", "/d/a.mp4", "success", None), ("convert_to_wav", "/d/b.mp3", "skipped", "output exists"),
+         ("convert_to_wav", "/d/c.wav", "skipped", "output exists")],
+        "stage string, file string, status string, reason string",
+    )
+    s = B.stage_summary(led).first()
+    assert (s["total"], s["success"], s["skipped"], s["failed"]) == (3, 1, 2, 0)
+    shards = [led.where(led.file == f) for f in ("/d/a.mp4", "/d/b.mp3", "/d/c.wav")]
+    m = B.stage_summary(B.merge_ledgers(*shards, stage="separate")).first()
+    assert m["stage"] == "separate" and m["total"] == m["success"] + m["skipped"] + m["failed"] == 3
+    assert B.stage_details(led).count() == 2
+
+
+def test_single_speaker_keeps_count_zero(spark):
+    verdicts = spark.createDataFrame([("u0", False, 0), ("u1", False, 1), ("u2", True, 2)],
+                                     "utt_id string, multi_speaker boolean, spk_count int")
+    segs = spark.createDataFrame([("u0",), ("u1",), ("u2",), ("u3",)], "utt_id string")
+    assert sorted(r.utt_id for r in SP.single_speaker(segs, verdicts).collect()) == ["u0", "u1"]
+    assert [r.utt_id for r in SP.single_speaker(segs, verdicts, min_count=1).collect()] == ["u1"]

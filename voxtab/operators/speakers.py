@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voxtab.plans.graph import connected_components
 from voxtab.plans.pairs import (block_pairs, cluster_distance_sums, nearest_neighbours, pack_blocks, pair_stats,
                                 threshold_forest)
-from voxtab.plans.scan import attach_one_row, global_rank
+from voxtab.plans.scan import global_rank
 from voxtab.session import cut_lineage
 
 BLOCK = 1024  # vectors per block: a block pair is ~2 x 1024 x 192 doubles
@@ -260,7 +260,6 @@ def single_speaker(segs: DataFrame, verdicts: DataFrame, key: str = "utt_id", mi
 
 
 __all__ = [
-    "attach_one_row",
     "canonical_labels",
     "cluster_report",
     "cosine_stats",

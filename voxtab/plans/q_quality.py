@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from voxtab.operators import quality as Q
 from voxtab.plans.registry import register, rounded, sqlq, sql_horner
