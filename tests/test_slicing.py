@@ -66,10 +66,11 @@ def test_cut_tags_equal_frame_loop(spark):
         expected[utt] = sorted(loop_cut_tags(rms, 0.04, 3, 2, 5))
     frames = spark.createDataFrame(rows, "utt_id long, frame_idx long, rms double")
     p = S.SlicerParams(threshold=0.04, hop=1, win=4, min_length=5, min_interval=2, max_sil_kept=3)
-    got = S.cut_tags(frames, p).toPandas()
-    for utt in range(60):
-        g = sorted(map(tuple, got[got.utt_id == utt][["lo", "hi"]].to_numpy().tolist()))
-        assert g == expected[utt], utt
+    for limit in (0, 50_000):  # distributed (successor + doubling) / bounded grouped task
+        got = S.cut_tags(frames, p, local_limit=limit).toPandas()
+        for utt in range(60):
+            g = sorted(map(tuple, got[got.utt_id == utt][["lo", "hi"]].to_numpy().tolist()))
+            assert g == expected[utt], (utt, limit)
 
 
 def loop_merge(lengths, limit, compat=True):
@@ -98,10 +99,11 @@ def test_merge_short_equals_loop(spark):
         exp[key] = lens
     segs = spark.createDataFrame(rows, "k long, start long, end long")
     for compat in (True, False):
-        got = C.merge_short(segs, 1000, key="k", compat=compat).toPandas()
-        for key, lens in exp.items():
-            g = got[got.k == key].sort_values("grp")[["n_pieces", "length"]].to_numpy().tolist()
-            assert [tuple(x) for x in g] == loop_merge(list(lens), 1000, compat), (key, compat)
+        for limit in (0, 50_000):
+            got = C.merge_short(segs, 1000, key="k", compat=compat, local_limit=limit).toPandas()
+            for key, lens in exp.items():
+                g = got[got.k == key].sort_values("grp")[["n_pieces", "length"]].to_numpy().tolist()
+                assert [tuple(x) for x in g] == loop_merge(list(lens), 1000, compat), (key, compat, limit)
 
 
 def test_merge_counted_never_exceeds_limit_unless_single(spark):
@@ -134,10 +136,12 @@ def test_accumulate_min_equals_loop(spark):
             rows.append((key, s, s + int(n)))
             s += int(n) + 7
         exp[key] = loop_accumulate(list(lens), 1200, 64)
-    got = C.accumulate_min(spark.createDataFrame(rows, "utt_id long, start long, end long"), 1200, 64).toPandas()
-    for key, e in exp.items():
-        g = got[got.utt_id == key].sort_values("start")[["grp", "pad_after"]].to_numpy().tolist()
-        assert [tuple(x) for x in g] == e, key
+    df = spark.createDataFrame(rows, "utt_id long, start long, end long")
+    for limit in (0, 50_000):
+        got = C.accumulate_min(df, 1200, 64, local_limit=limit).toPandas()
+        for key, e in exp.items():
+            g = got[got.utt_id == key].sort_values("start")[["grp", "pad_after"]].to_numpy().tolist()
+            assert [tuple(x) for x in g] == e, (key, limit)
 
 
 def test_split_by_max_tiles(spark):

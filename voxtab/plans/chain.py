@@ -99,7 +99,7 @@ def chain_walk(nxt: DataFrame, starts: DataFrame, keys: Sequence[str], max_round
 
 
 def _chain_doubling(nxt: DataFrame, starts: DataFrame, keys: list, max_rounds: int) -> DataFrame:
-    jump = nxt
+    jump = cut_lineage(nxt)  # fresh lineage: the rounds self-join it
     reached = cut_lineage(starts.distinct())
     count = reached.count()
     for _ in range(max_rounds):
@@ -116,3 +116,12 @@ def _chain_doubling(nxt: DataFrame, starts: DataFrame, keys: list, max_rounds: i
         )
         reached, count = grown, new_count
     raise RuntimeError("chain_walk did not converge")
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, bool]:
+    """Keys with more than ``limit`` rows (one partial-aggregating count) and
+    whether there is any. Size-adaptive operators send the other keys
+    through one bounded grouped task each."""
+    keys = list(keys)
+    hot = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys))
+    return hot, hot.count() > 0

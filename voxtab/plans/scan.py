@@ -9,7 +9,9 @@ pulls a whole key into one task:
 2. one Arrow pass per partition (``mapInPandas``) computes the local scan and
    two summary rows: the partition's first key and the totals of its last
    key;
-3. carries are computed from the summaries (at most two rows per partition,
+3. the pass is materialised once (a reliable checkpoint), so the data rows
+   and the summaries come from the same partitioning;
+4. carries are computed from the summaries (at most two rows per partition,
    so their size is bounded by the partition count, not by the data) and
    broadcast back.
 
@@ -197,14 +199,14 @@ def ordered_scan(
 
     scanned = ranged.mapInPandas(_local_scan_fn(keys, sums, ffills, prevs, sum_types), out_schema)
     # The data rows and the summary rows must come from the *same* range
-    # shuffle (same sampled bounds, same partition ids): inside one query
-    # plan Spark reuses the identical exchange. If exchange reuse is switched
-    # off, materialise the scan once instead.
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from voxtab.session import cut_lineage
-
-        scanned = cut_lineage(scanned)
+    # shuffle (same sampled bounds, same partition ids). Exchange reuse does
+    # not guarantee it (the optimiser may rewrite the two branches
+    # differently, and each range exchange samples its own bounds), so the
+    # pass is materialised once: both branches read the same files, and the
+    # Arrow pass runs once.
+    from voxtab.session import cut_lineage
 
+    scanned = cut_lineage(scanned)
     data = scanned.where(F.col("_kind") == _KIND_DATA)
     # Summary rows: at most two per partition, so this side is bounded by the
     # partition count whatever the data volume. For the first key of a
