@@ -57,6 +57,18 @@ def block_pairs(blocks: DataFrame, keys: Sequence[str], extra: Sequence[str] = (
     return left.join(right, [*keys, "pa", "pb"])
 
 
+def _same_block(r) -> bool:
+    """A diagonal pair (a block with itself): both join sides were built
+    separately and their row order is not guaranteed to agree, so kernels
+    use the ``a`` side for both."""
+    if r["pa"] == r["pb"]:
+        for k in list(r):
+            if k.startswith("a_"):
+                r["b_" + k[2:]] = r[k]
+        return True
+    return False
+
+
 def _unit(rows) -> np.ndarray:
     m = np.stack([np.asarray(r, dtype=np.float64) for r in rows]) if len(rows) else np.zeros((0, 0))
     norms = np.linalg.norm(m, axis=1, keepdims=True)
@@ -99,6 +111,7 @@ def threshold_forest(pairs: DataFrame, keys: Sequence[str], eps: float) -> DataF
             out = []
             for row in pdf.itertuples(index=False):
                 r = row._asdict()
+                _same_block(r)
                 a_ids, b_ids = np.asarray(r["a_ids"], dtype=np.int64), np.asarray(r["b_ids"], dtype=np.int64)
                 d = _cos_dist(r["a_vecs"], r["b_vecs"])
                 close = d <= eps
@@ -141,6 +154,7 @@ def pair_stats(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
             rows = []
             for row in pdf.itertuples(index=False):
                 r = row._asdict()
+                _same_block(r)
                 d = _cos_dist(r["a_vecs"], r["b_vecs"])
                 if r["pa"] == r["pb"]:
                     iu = np.triu_indices(d.shape[0], k=1)
@@ -174,6 +188,7 @@ def nearest_neighbours(pairs: DataFrame, keys: Sequence[str], dist: str = "ward"
             out = []
             for row in pdf.itertuples(index=False):
                 r = row._asdict()
+                _same_block(r)
                 a = np.stack([np.asarray(v, dtype=np.float64) for v in r["a_vecs"]])
                 b = np.stack([np.asarray(v, dtype=np.float64) for v in r["b_vecs"]])
                 na = np.asarray(r["a_size"], dtype=np.float64)
@@ -220,6 +235,7 @@ def cluster_distance_sums(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
             out = []
             for row in pdf.itertuples(index=False):
                 r = row._asdict()
+                _same_block(r)
                 a = np.stack([np.asarray(v, dtype=np.float64) for v in r["a_vecs"]])
                 b = np.stack([np.asarray(v, dtype=np.float64) for v in r["b_vecs"]])
                 d = np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0.0))
