@@ -118,8 +118,8 @@ def d7_integrated_loudness(spark, sf_dir):
     return rounded(D.integrated_loudness(blocks))
 
 
-def _energies(spark, sf_dir):
-    return v_samples(spark, sf_dir).select("utt_id", (F.col("sample") * F.col("sample")).alias("z"))
+def _energies(samples):
+    return samples.select("utt_id", (F.col("sample") * F.col("sample")).alias("z"))
 
 
 def _d8_sql(measure: str) -> str:
@@ -139,13 +139,15 @@ SELECT utt_id, idx, {sqlq('sample * gain * loud_gain')} AS out FROM v_samples JO
 
 @register("d8_normalise_before", _d8_sql("before"))
 def d8_normalise_before(spark, sf_dir):
-    out = D.normalise_loudness(v_samples(spark, sf_dir), _energies(spark, sf_dir), TARGET_LUFS, PEAK_DB, "before")
+    samples = v_samples(spark, sf_dir)
+    out = D.normalise_loudness(samples, _energies(samples), TARGET_LUFS, PEAK_DB, "before")
     return rounded(out.select("utt_id", "idx", "out"))
 
 
 @register("d8_normalise_after", _d8_sql("after"))
 def d8_normalise_after(spark, sf_dir):
-    out = D.normalise_loudness(v_samples(spark, sf_dir), _energies(spark, sf_dir), TARGET_LUFS, PEAK_DB, "after")
+    samples = v_samples(spark, sf_dir)
+    out = D.normalise_loudness(samples, _energies(samples), TARGET_LUFS, PEAK_DB, "after")
     return rounded(out.select("utt_id", "idx", "out"))
 
 
@@ -158,8 +160,9 @@ def d8_normalise_after(spark, sf_dir):
 SELECT utt_id, {sqlq("lu.lufs")} AS before_lufs, {sqlq('la.lufs')} AS after_lufs FROM lu FULL JOIN la USING (utt_id)""",
 )
 def d9_loudness_report(spark, sf_dir):
-    energies = _energies(spark, sf_dir)
-    out = D.normalise_loudness(v_samples(spark, sf_dir), energies, TARGET_LUFS, PEAK_DB, "before")
+    samples = v_samples(spark, sf_dir)
+    energies = _energies(samples)
+    out = D.normalise_loudness(samples, energies, TARGET_LUFS, PEAK_DB, "before")
     before = D.integrated_loudness(energies)
     after = D.integrated_loudness(out.select("utt_id", (F.col("out") * F.col("out")).alias("z")))
     return rounded(D.loudness_report(before, after))

@@ -19,9 +19,8 @@ P = S.SlicerParams(threshold=0.04, hop=HOP, win=4 * HOP, min_length=5, min_inter
 M, MI, ML, THR = P.max_sil_kept, P.min_interval, P.min_length, P.threshold
 
 
-def _totals(spark, sf_dir):
-    f = v_frames(spark, sf_dir)
-    return f.groupBy("utt_id").agg((F.max("frame_idx") + 1).alias("T")).withColumn("n", F.col("T") * HOP)
+def _totals(frames):
+    return frames.groupBy("utt_id").agg((F.max("frame_idx") + 1).alias("T")).withColumn("n", F.col("T") * HOP)
 
 
 # ------------------------------------------------------------------ C3
@@ -66,8 +65,8 @@ iv AS (SELECT h.utt_id, min(frame_idx) * {HOP} AS start, least((max(frame_idx) +
 
 
 def _c4(spark, sf_dir):
-    tot = _totals(spark, sf_dir).select("utt_id", "n")
-    return S.nonsilent_intervals(v_frames(spark, sf_dir), 20.0, HOP, tot)
+    frames = v_frames(spark, sf_dir)
+    return S.nonsilent_intervals(frames, 20.0, HOP, _totals(frames).select("utt_id", "n"))
 
 
 @register("c4_nonsilent_intervals", _C4_SQL + "SELECT utt_id, start, \"end\" FROM iv")
@@ -189,8 +188,8 @@ segs AS (
 
 @register("c9_tags_to_segments", _SEGS_SQL + 'SELECT utt_id, start, "end" FROM segs')
 def c9_tags_to_segments(spark, sf_dir):
-    tags = S.cut_tags(v_frames(spark, sf_dir), P)
-    return S.tags_to_segments(tags, _totals(spark, sf_dir), HOP)
+    frames = v_frames(spark, sf_dir)
+    return S.tags_to_segments(S.cut_tags(frames, P), _totals(frames), HOP)
 
 
 C10_MIN_S, C10_MAX_S = 0.05, 0.3
@@ -208,8 +207,8 @@ SELECT utt_id, CAST(grp AS BIGINT) AS grp, piece_idx, start + piece_idx * chunk
 FROM (SELECT *, unnest(range(greatest(CAST(ceil(len / chunk) AS BIGINT), 1))) AS piece_idx FROM p)""",
 )
 def c10_slice_by_energy(spark, sf_dir):
-    tot = _totals(spark, sf_dir).select("utt_id", "n")
-    out = S.slice_by_energy(v_frames(spark, sf_dir), tot, P, RATE, C10_MIN_S, C10_MAX_S)
+    frames = v_frames(spark, sf_dir)
+    out = S.slice_by_energy(frames, _totals(frames).select("utt_id", "n"), P, RATE, C10_MIN_S, C10_MAX_S)
     return out.select("utt_id", "grp", "piece_idx", "start", "end")
 
 
@@ -290,6 +289,6 @@ SELECT utt_id, grp, piece_idx, piece_idx * chunk AS start, least(piece_idx * chu
 FROM (SELECT *, unnest(range(greatest(CAST(ceil(len / chunk) AS BIGINT), 1))) AS piece_idx FROM mp)""",
 )
 def c10_slice_by_energy_merged(spark, sf_dir):
-    tot = _totals(spark, sf_dir).select("utt_id", "n")
-    out = S.slice_by_energy(v_frames(spark, sf_dir), tot, P, RATE, C10_MIN_S, C10_MAX_S, merge=True)
+    frames = v_frames(spark, sf_dir)
+    out = S.slice_by_energy(frames, _totals(frames).select("utt_id", "n"), P, RATE, C10_MIN_S, C10_MAX_S, merge=True)
     return out.select("utt_id", "grp", "piece_idx", "start", "end")

@@ -8,7 +8,7 @@ independent engine. Ordering keys are unique: events are ordered by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the fixtures (not the reference's): suffix rotation,
@@ -21,8 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _event_order():
-    return Window.partitionBy("user_id").orderBy("ts", "event_id")
+def _numbered(e, keys=("user_id",)):
+    """Events with ``rn`` = 0-based position within ``keys`` by
+    ``(ts, event_id)``, from the distributed scan (a user holding a third of
+    all events is still spread over many tasks)."""
+    from voxtab.plans.scan import ordered_scan
+
+    cols = ["event_id", "ts", "user_id", "event_type", "value"]
+    return ordered_scan(e.select(*cols), list(keys), ["ts", "event_id"]).withColumnRenamed("pos", "rn")
 
 
 def v_files(spark, sf_dir):
@@ -68,26 +74,26 @@ def v_ledger(spark, sf_dir):
 
 
 def v_frames(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = _numbered(table(spark, sf_dir, "events"))
     return e.select(
         F.col("user_id").alias("utt_id"),
-        (F.row_number().over(_event_order()) - 1).cast("bigint").alias("frame_idx"),
+        F.col("rn").alias("frame_idx"),
         (F.col("value") / 500).alias("rms"),
     )
 
 
 def v_samples(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = _numbered(table(spark, sf_dir, "events"))
     return e.select(
         F.col("user_id").alias("utt_id"),
-        (F.row_number().over(_event_order()) - 1).cast("bigint").alias("idx"),
+        F.col("rn").alias("idx"),
         ((F.col("value") - 50) / 500).alias("sample"),
     )
 
 
 def v_stems(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    rn = F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")) - 1
+    e = _numbered(table(spark, sf_dir, "events"), ("user_id", "event_type"))
+    rn = F.col("rn")
     return e.select(
         F.col("user_id").alias("utt_id"),
         F.col("event_type").alias("track"),
@@ -117,8 +123,8 @@ def v_emb(spark, sf_dir):
 
 
 def v_scores(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    hop = (F.row_number().over(_event_order()) - 1).cast("bigint")
+    e = _numbered(table(spark, sf_dir, "events"))
+    hop = F.col("rn")
     ovr = F.lit(1.0) + (F.col("user_id") % 5) + F.col("value") / 500
     hops = e.groupBy("user_id").agg((F.count(F.lit(1)) + F.lit(8.01)).alias("seconds"))
     return e.join(hops, "user_id").select(
@@ -133,10 +139,12 @@ def v_scores(spark, sf_dir):
 
 
 def v_turns(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
+    from voxtab.plans.scan import ordered_scan
+
+    c = table(spark, sf_dir, "conversations").withColumn("_w", F.length("text").cast("bigint") + 200)
+    c = ordered_scan(c.select("conv_id", "turn", "role", "text", "_w"), ["conv_id"], ["turn"], sums=["_w"])
     n = F.length("text").cast("bigint")
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(n + 200).over(w), F.lit(0)).cast("bigint")
+    start = (F.col("cum__w") - F.col("_w")).cast("bigint")
     return c.select(
         "conv_id",
         "turn",
