@@ -196,9 +196,6 @@ def loudness_report(before: DataFrame, after: DataFrame, key=("utt_id",)) -> Dat
     )
 
 
-def db_to_gain(db: float) -> float:
-    return math.pow(10.0, db / 20.0)
-
 
 # ----------------------------------------------------------------- blocks with halos
 def with_halo(blocks: DataFrame, halo: int, key=("utt_id",)) -> DataFrame:
