@@ -33,12 +33,6 @@ from pyspark.sql import types as T
 _KIND_DATA, _KIND_FIRST, _KIND_LAST = 0, 1, 2
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _local_scan_fn(keys, sums, ffills, prevs, sum_types):
     """Per-partition scan with state carried across Arrow batches."""
 
@@ -175,9 +169,14 @@ def ordered_scan(
     if clash:
         raise ValueError(f"ordered_scan output columns already present: {sorted(clash)}")
     spark = df.sparkSession
-    n_part = _partitions(df, partitions)
     sort_cols = [F.col(c).desc() if descending and c in order else F.col(c).asc() for c in keys + order]
-    ranged = df.repartitionByRange(n_part, *sort_cols).sortWithinPartitions(*sort_cols)
+    if partitions:
+        ranged = df.repartitionByRange(int(partitions), *sort_cols)
+    else:
+        # no fixed count: AQE coalesces small range partitions into larger,
+        # still contiguous and ordered ones (a hot key still spans many)
+        ranged = df.repartitionByRange(*sort_cols)
+    ranged = ranged.sortWithinPartitions(*sort_cols)
 
     in_schema = df.schema
     fields = list(in_schema.fields)
