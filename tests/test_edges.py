@@ -83,3 +83,23 @@ def test_single_speaker_keeps_count_zero(spark):
     segs = spark.createDataFrame([("u0",), ("u1",), ("u2",), ("u3",)], "utt_id string")
     assert sorted(r.utt_id for r in SP.single_speaker(segs, verdicts).collect()) == ["u0", "u1"]
     assert [r.utt_id for r in SP.single_speaker(segs, verdicts, min_count=1).collect()] == ["u1"]
+
+
+def test_contiguous_shards_follow_divmod(spark):
+    from voxtab.operators import files as A
+
+    for n_rows, n in ((10, 3), (2, 5), (7, 7)):
+        df = spark.createDataFrame([(f"d/f{i:02d}.wav",) for i in range(n_rows)], "path string")
+        got = A.shard_contiguous(df, n).toPandas().sort_values("pos")["shard"].tolist()
+        k, m = divmod(n_rows, n)
+        exp = []
+        for s in range(n):
+            exp += [s] * (k + (1 if s < m else 0))
+        assert got == exp, (n_rows, n)
+
+
+def test_pad_intervals_head_and_clamp(spark):
+    segs = spark.createDataFrame([(1, 1000, 2000, 10000), (1, 5000, 9900, 10000)], "k long, start long, end long, total long")
+    got = C.pad_intervals(segs, "k", 1000.0).toPandas().sort_values("start")
+    # first interval: 2.5 s head pad clamps at 0; later: 0.3 s; ends +0.3 s, clamped to the total
+    assert got[["pad_start", "pad_end"]].to_numpy().tolist() == [[0, 2300], [4700, 10000]]
