@@ -74,3 +74,24 @@ def test_successor_and_chain(spark):
                      spark.createDataFrame(pd.DataFrame({"k": [0], "node": [0]})), ["k"])
     assert set(got.toPandas()["node"]) == walk
     del nxt
+
+
+def test_ordered_scan_with_aqe_sized_partitions(spark):
+    """Default path: AQE coalesces the range partitions; a small advisory
+    size keeps several of them, so the hot key's carries are exercised."""
+    rng = np.random.default_rng(8)
+    keys = np.concatenate([np.zeros(20000, int), rng.integers(1, 50, 5000)])
+    pdf = pd.DataFrame({"k": keys, "i": np.arange(len(keys)), "x": rng.integers(0, 10, len(keys))})
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        out = ordered_scan(spark.createDataFrame(pdf), ["k"], ["i"], sums=["x"]).toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    out = out.sort_values("i").reset_index(drop=True)
+    exp = pdf.sort_values(["k", "i"]).copy()
+    exp["pos"] = exp.groupby("k").cumcount()
+    exp["cum_x"] = exp.groupby("k")["x"].cumsum()
+    exp = exp.sort_values("i").reset_index(drop=True)
+    assert (out["pos"].to_numpy() == exp["pos"].to_numpy()).all()
+    assert (out["cum_x"].to_numpy() == exp["cum_x"].to_numpy()).all()
