@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from voxtab.plans.catalog import ORACLES, QUERIES
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +24,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in sdf.collect()]
@@ -39,6 +40,6 @@ def test_entry_smoke(spark):
     assert df.count() >= 0 and df.columns == ["verdict", "n_files", "total_seconds"]
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF).count() >= 0
