@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtab.llm import exact_dedup, quality_rules
-from voxtab.llm.common import read
+import public_tokenizers
+
+from voxtab.llm import bpe, exact_dedup, lang_id, license_scan, quality_rules, simhash_dedup, toxicity
+from voxtab.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +27,45 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_simhash_dedup")
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.components(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash_dedup.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.where(crc_mod("doc_id", 3) != 1))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (crc_mod("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
+@query("op4_bpe")
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of an encode-decode
+    round trip."""
+    vocabulary = bpe.Vocabulary.load(path)
+    tokens = bpe.decode(bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query(
     "op6_exact_dedup",
     r"""
@@ -46,3 +87,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
     return quality_rules.judge(docs).select("doc_id", *[f"quality.{n}" for n in names])
+
+
+@query("op9_lang_id")
+def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = lang_id.fit(docs.where(~held_out))
+    return lang_id.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return license_scan.scan(docs).select("doc_id", *[f"license.{n}" for n in names])
