@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtab.llm import exact_dedup, quality_rules
+from voxtab.llm import exact_dedup, mixing, quality_rules, simhash_dedup
+from voxtab.llm.queries import encoded
 from voxtab.session import ensure_checkpoint_dir
 
 
@@ -23,7 +25,30 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_repeats(docs)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return simhash_dedup.drop_near_copies(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that sources, languages and topics meet their
+    target weights."""
+    return mixing.sample(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left, with the digests of the ids
+    and of the text that they decode to."""
+    return encoded(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id", "ids"])
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("exact dedup", exact),
+    ("SimHash near-dedup", near),
+    ("mixing sources to target weights", mix),
+    ("BPE encoding and decoding", encode),
+]
 
 #: The stages hold hashes, trees and a tokenizer that SQL can't express.
 ORACLE_SQL = None

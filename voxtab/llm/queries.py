@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from voxtab.llm import bpe, exact_dedup, lang_id, license_scan, quality_rules, simhash_dedup, toxicity
+from voxtab.llm import bpe, exact_dedup, lang_id, license_scan, mixing, pii, quality_rules, simhash_dedup, toxicity, url_filter
 from voxtab.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,25 +47,40 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_url_filter")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    judged = url_filter.judge(pages, url_filter.labelled_urls(pages, labels))
+    return judged.select("page_id", *[f"filter.{n}" for n in ("host", "path", "rule", "verdict", "mined")])
+
+
 @query("op4_bpe")
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return encoded(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of an encode-decode
-    round trip."""
+def encoded(docs: DataFrame, path: str, keep: tuple[str, ...] | list[str] = ("doc_id",)) -> DataFrame:
+    """The ``keep`` columns, n_tokens, ids_sha256 and decoded_sha256 of an
+    encode-decode round trip over doc_id and text."""
     vocabulary = bpe.Vocabulary.load(path)
-    tokens = bpe.decode(bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    tokens = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
     return tokens.select(
-        "doc_id",
+        *keep,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    names = ("topic", "n_tokens", "weight", "probability", "draw", "sampled")
+    return mixing.mix(docs).select("doc_id", "source", "lang", *[f"mix.{n}" for n in names])
+
+
 @query(
     "op6_exact_dedup",
     r"""
@@ -89,6 +104,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", *[f"quality.{n}" for n in names])
 
 
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op9_lang_id")
 def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")

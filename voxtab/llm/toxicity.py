@@ -45,7 +45,7 @@ BLOCK = 64
 SOFTEN = 0.05
 #: Least chi-square of a term with the toxic label (p < 0.0001), and least examples that hold it.
 MIN_CHI2, MIN_EXAMPLES = 15.1, 3
-STEM = 5
+STEMS = (4, 5)
 WORD = regex.compile(r"\p{L}+")
 
 
@@ -54,8 +54,9 @@ def terms(text: str | None) -> Counter:
     words = Counter(WORD.findall(text.lower())) if text else Counter()
     stems: Counter = Counter()
     for w, n in words.items():
-        if len(w) > STEM:
-            stems[w[:STEM] + "*"] += n
+        for k in STEMS:
+            if len(w) > k:
+                stems[w[:k] + "*"] += n
     words.update(stems)
     return words
 
