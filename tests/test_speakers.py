@@ -87,9 +87,8 @@ def test_ward_equals_greedy(spark):
     X = np.concatenate([c + rng.normal(size=(10, 3)) * 0.3 for c in centers])
     df = spark.createDataFrame(pd.DataFrame({"utt_id": np.arange(len(X)), "vec": list(X)}))
     exp = naive_ward(X, 1.5)
-    for limit in (0, 2048):  # distributed rounds only / finished in one bounded task
-        got = SP.ward_speakers(df, threshold=1.5, block=16, local_limit=limit).toPandas()
-        assert got.set_index("utt_id")["label"].sort_index().tolist() == exp
+    got = SP.ward_speakers(df, threshold=1.5, block=16).toPandas()
+    assert got.set_index("utt_id")["label"].sort_index().tolist() == exp
 
 
 def test_kmeans_finds_blobs_and_silhouette(spark):

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtab.plans.chain import chain_walk, hot_keys, successor
+from voxtab.plans.chain import chain_walk, successor
 from voxtab.plans.scan import ordered_scan
 from voxtab.session import cut_lineage
 
@@ -26,7 +26,8 @@ def segment_fixed(infos: DataFrame, seconds: float, frames: str = "frames", rate
         )
     seg_len = (F.lit(float(seconds)) * F.col(rate)).cast("double")
     count = F.ceil(n / seg_len).cast("bigint")
-    out = infos.withColumn("_segs", F.sequence(F.lit(0).cast("bigint"), count - 1)).select(
+    # an empty recording has no segment (sequence(0, -1) would count down)
+    out = infos.where(n > 0).withColumn("_segs", F.sequence(F.lit(0).cast("bigint"), count - 1)).select(
         "*", F.explode("_segs").alias("seg_idx")
     )
     start = F.floor(F.col("seg_idx") * seg_len).cast("bigint")
@@ -177,15 +178,8 @@ def _lit_or_col(x):
     return x if isinstance(x, Column) else F.lit(float(x))
 
 
-def _sort_key(values):
-    """Tuple key for an order column value (arrays from Arrow become tuples)."""
-    import numpy as np
-
-    return tuple(tuple(v.tolist()) if isinstance(v, np.ndarray) else (tuple(v) if isinstance(v, list) else v) for v in values)
-
-
 def merge_short(segs: DataFrame, max_len, key="utt_id", order=("start",), compat: bool = True,
-                length: str | None = None, local_limit: int = 50_000) -> DataFrame:
+                length: str | None = None) -> DataFrame:
     """C11: merge consecutive short segments in order: a segment joins the
     current group unless ``count + len > max_len`` (and the group is not
     empty); then the group is flushed and the segment starts a new one.
@@ -193,12 +187,9 @@ def merge_short(segs: DataFrame, max_len, key="utt_id", order=("start",), compat
     segment of a later group is not counted, as in the reference); without
     it the counter restarts at the segment's length.
 
-    Size-adaptive: a key with at most ``local_limit`` segments is merged by
-    the sequential rule inside one grouped task (its size is bounded). Larger
-    keys are merged distributed: prefix sums give, for every possible group
-    start ``a``, the first segment that overflows it (a strict successor
-    search); the group starts are the chain reachable from the first
-    segment (pointer doubling).
+    Prefix sums give, for every possible group start ``a``, the first segment
+    that overflows it (a strict successor search); the group starts are the
+    chain reachable from the first segment.
     Returns one row per group: ``(key, grp, n_pieces, length[, start, end])``
     (``start``/``end`` of the first and last member)."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -207,11 +198,7 @@ def merge_short(segs: DataFrame, max_len, key="utt_id", order=("start",), compat
     extra = [c for c in ("start", "end") if c in segs.columns and c not in order]
     base = segs.select(*keys, *order, *extra, seg_len.cast("bigint").alias("_len"),
                        _lit_or_col(max_len).cast("double").alias("_max"))
-    base = cut_lineage(base)
-    hot, any_hot = hot_keys(base, keys, local_limit)
-    rows = _merge_small(base.join(hot, keys, "left_anti"), keys, order, compat)
-    if any_hot:
-        rows = rows.unionByName(_merge_hot(base.join(hot, keys, "left_semi"), keys, order, compat))
+    rows = _merge_rows(base, keys, order, compat)
     aggs = [F.count(F.lit(1)).alias("n_pieces"), F.sum("_len").alias("length")]
     if "start" in segs.columns and "end" in segs.columns:
         first = F.struct(*[F.col(c) for c in order])
@@ -219,33 +206,9 @@ def merge_short(segs: DataFrame, max_len, key="utt_id", order=("start",), compat
     return rows.groupBy(*keys, "grp").agg(*aggs)
 
 
-def _merge_small(small: DataFrame, keys, order, compat) -> DataFrame:
-    """Bounded keys: the sequential rule per key in one grouped task."""
-    import pandas as pd
-
-    from pyspark.sql import types as T
-
-    schema = T.StructType(list(small.schema.fields) + [T.StructField("grp", T.LongType())])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        idx = sorted(range(len(pdf)), key=lambda i: _sort_key([pdf[c].iat[i] for c in order]))
-        pdf = pdf.iloc[idx].reset_index(drop=True)
-        grp, count, g = [], 0, 0
-        for i, (n, limit) in enumerate(zip(pdf["_len"].tolist(), pdf["_max"].tolist())):
-            if i > 0 and count + n > limit:
-                g += 1
-                count = 0 if compat else n
-            else:
-                count += n
-            grp.append(g)
-        return pdf.assign(grp=grp)
-
-    return small.groupBy(*keys).applyInPandas(fn, schema)
-
-
-def _merge_hot(hot_rows: DataFrame, keys, order, compat) -> DataFrame:
-    """Hot keys: prefix sums, strict successor search, pointer-doubling walk."""
-    sc = cut_lineage(ordered_scan(hot_rows, keys, order, sums=["_len"]))
+def _merge_rows(base: DataFrame, keys, order, compat) -> DataFrame:
+    """``base`` plus ``grp``, the number of each row's merge group."""
+    sc = cut_lineage(ordered_scan(base, keys, order, sums=["_len"]))
     points = sc.select(*keys, F.col("cum__len").alias("value"), F.col("pos").alias("pid"))
     counted_from = F.when(F.lit(compat) & (F.col("pos") > 0), F.col("cum__len")).otherwise(F.col("cum__len") - F.col("_len"))
     queries = sc.select(*keys, F.col("pos").alias("qid"), (counted_from + F.col("_max")).alias("value"))
@@ -253,11 +216,11 @@ def _merge_hot(hot_rows: DataFrame, keys, order, compat) -> DataFrame:
     nxt = found.select(*keys, F.col("qid").alias("node"),
                        F.when(F.col("pid").isNotNull(), F.greatest(F.col("pid"), F.col("qid") + 1)).alias("next"))
     starts = sc.where(F.col("pos") == 0).select(*keys, F.col("pos").alias("node"))
-    heads = chain_walk(nxt, starts, keys, small_limit=-1).select(*keys, F.col("node").alias("pos"), F.lit(1).cast("bigint").alias("_head"))
+    heads = chain_walk(nxt, starts, keys).select(*keys, F.col("node").alias("pos"), F.lit(1).cast("bigint").alias("_head"))
     flagged = sc.join(heads, [*keys, "pos"], "left").withColumn("_head", F.coalesce("_head", F.lit(0)).cast("bigint"))
     flagged = flagged.drop("cum__len").withColumnRenamed("pos", "_i")
     grouped = ordered_scan(flagged, keys, ["_i"], sums=["_head"]).withColumn("grp", F.col("cum__head") - 1)
-    return grouped.select(*hot_rows.columns, "grp")
+    return grouped.select(*base.columns, "grp")
 
 
 def merge_short_corpus(infos: DataFrame, max_s: float = 20.0, key=("lang", "rate"), order: str = "path",
@@ -276,8 +239,7 @@ def merge_short_corpus(infos: DataFrame, max_s: float = 20.0, key=("lang", "rate
     return merge_short(guarded, F.col(rate) * float(max_s), key=keys, order=["_order"], length=length)
 
 
-def accumulate_min(intervals: DataFrame, min_len, pad_len: int, key="utt_id", order=("start",),
-                   local_limit: int = 50_000) -> DataFrame:
+def accumulate_min(intervals: DataFrame, min_len, pad_len: int, key="utt_id", order=("start",)) -> DataFrame:
     """Greedy accumulation of non-silent intervals in order until their
     total length reaches ``min_len`` samples; the group is emitted and the
     counter reset. Between unfinished pieces ``pad_len`` zero samples are
@@ -285,56 +247,19 @@ def accumulate_min(intervals: DataFrame, min_len, pad_len: int, key="utt_id", or
 
     Returns one row per interval: ``(key, start, end, grp, pad_after)`` and
     the group lengths are ``sum(end - start + pad_after)``; see
-    ``accumulated_groups``. Size-adaptive like ``merge_short``: bounded keys
-    run the sequential rule in one grouped task, hot keys the distributed
-    successor search and chain walk."""
+    ``accumulated_groups``. Group starts are the chain of successors, as in
+    ``merge_short``."""
     keys = [key] if isinstance(key, str) else list(key)
     order = list(order)
     extra = [c for c in order if c not in ("start", "end")]
-    base = cut_lineage(intervals.select(*keys, "start", "end", *extra,
-                                        (F.col("end") - F.col("start")).cast("bigint").alias("_len")))
-    hot, any_hot = hot_keys(base, keys, local_limit)
-    out = _accumulate_small(base.join(hot, keys, "left_anti"), keys, order, float(min_len), int(pad_len))
-    if any_hot:
-        out = out.unionByName(_accumulate_hot(base.join(hot, keys, "left_semi"), min_len, pad_len, keys, order))
-    return out
-
-
-def _accumulate_small(small: DataFrame, keys, order, min_len: float, pad_len: int) -> DataFrame:
-    """Bounded keys: the greedy accumulation per key in one grouped task."""
-    import pandas as pd
-
-    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in small.schema.fields if f.name in keys]
-                           + ["start bigint", "end bigint", "grp bigint", "pad_after bigint"])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        idx = sorted(range(len(pdf)), key=lambda i: _sort_key([pdf[c].iat[i] for c in order]))
-        pdf = pdf.iloc[idx].reset_index(drop=True)
-        grp, pads, acc, g = [], [], 0, 0
-        for n in pdf["_len"].tolist():
-            acc += n
-            grp.append(g)
-            if acc >= min_len:
-                pads.append(0)
-                g, acc = g + 1, 0
-            else:
-                pads.append(pad_len)
-        out = pdf[list(keys) + ["start", "end"]].copy()
-        out["grp"], out["pad_after"] = grp, pads
-        return out
-
-    return small.groupBy(*keys).applyInPandas(fn, out_schema)
-
-
-def _accumulate_hot(base: DataFrame, min_len, pad_len: int, keys, order) -> DataFrame:
-    """Hot keys: prefix sums, successor search (>=) and chain walk."""
+    base = intervals.select(*keys, "start", "end", *extra, (F.col("end") - F.col("start")).cast("bigint").alias("_len"))
     sc = cut_lineage(ordered_scan(base, keys, list(order), sums=["_len"]))
     points = sc.select(*keys, F.col("cum__len").alias("value"), F.col("pos").alias("pid"))
     queries = sc.select(*keys, F.col("pos").alias("qid"), (F.col("cum__len") - F.col("_len") + _lit_or_col(min_len)).alias("value"))
     found = cut_lineage(successor(points, queries, keys, strict=False))
     nxt = found.select(*keys, F.col("qid").alias("node"), (F.col("pid") + 1).alias("next"))
     starts = sc.where(F.col("pos") == 0).select(*keys, F.col("pos").alias("node"))
-    heads = chain_walk(nxt, starts, keys, small_limit=-1)
+    heads = chain_walk(nxt, starts, keys)
     # a group starting at a ends at its successor j (complete) or runs to
     # the end of the recording (unfinished)
     ends = heads.join(found.withColumnRenamed("qid", "node"), [*keys, "node"]).select(

@@ -107,7 +107,7 @@ def repair_spikes(samples: DataFrame, rate: float, threshold_db: float = -3.0, w
     w = int(rate * window_ms / 1000)
     out = samples.withColumn("repaired", F.col("sample"))
     if w < 1:
-        return out
+        return out.withColumn("was_spike", F.lit(False))
     n = samples.groupBy(*keys).agg((F.max("idx") + 1).alias("_n"))
     cand = (
         samples.where(F.abs("sample") > thr)

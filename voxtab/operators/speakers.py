@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxtab.plans.graph import connected_components
 from voxtab.plans.pairs import (block_pairs, cluster_distance_sums, nearest_neighbours, pack_blocks, pair_stats,
@@ -21,13 +22,13 @@ BLOCK = 1024  # vectors per block: a block pair is ~2 x 1024 x 192 doubles
 
 
 def mean_pool(emb: DataFrame, key: str = "utt_id", vec: str = "vec") -> DataFrame:
-    """mean of the chunk vectors per utterance (dimension-wise partial
-    aggregation; the output array has the embedding's dimension)."""
-    long = emb.select(key, F.posexplode(vec).alias("dim", "x"))
-    means = long.groupBy(key, "dim").agg(F.avg("x").alias("m"))
-    return means.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda s: s["m"]).alias("vec")
-    )
+    """mean of the chunk vectors per utterance (one partial
+    aggregation over vectors)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    some = emb.where(F.col(vec).isNotNull()).select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+    return some.groupBy(key).agg(Summarizer.mean(F.col("_v")).alias("_m")).select(key, vector_to_array("_m").alias("vec"))
 
 
 def valid_embeddings(pooled: DataFrame, utts: DataFrame | None = None, key: str = "utt_id", vec: str = "vec") -> DataFrame:
@@ -43,8 +44,26 @@ def valid_embeddings(pooled: DataFrame, utts: DataFrame | None = None, key: str
     )
 
 
+def _dense_ids(vecs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """The pair kernels number points by bigints. Ids of another type (clip
+    paths) are ranked once, in their own order; the second table leads back."""
+    if isinstance(vecs.schema[id_col].dataType, T.IntegralType):
+        return vecs, None
+    ids = cut_lineage(global_rank(vecs.select(id_col).distinct(), [id_col], "_nid"))
+    numbered = vecs.join(ids, id_col).drop(id_col).withColumnRenamed("_nid", id_col)
+    return numbered, ids
+
+
+def _own_ids(out: DataFrame, ids: DataFrame | None, id_col: str) -> DataFrame:
+    if ids is None:
+        return out
+    back = out.withColumnRenamed(id_col, "_nid").join(ids, "_nid")
+    return back.select(*out.columns)
+
+
 def cosine_stats(vecs: DataFrame, id_col: str, vec: str = "vec", block: int = BLOCK) -> DataFrame:
     """mean, min and max cosine distance over all pairs ``i < j``."""
+    vecs, _ = _dense_ids(vecs, id_col)
     pairs = block_pairs(pack_blocks(vecs, [], id_col, vec, block), [])
     s = pair_stats(pairs, [])
     return s.agg(
@@ -81,19 +100,21 @@ def dbscan_speakers(vecs: DataFrame, eps: float = 0.25, id_col: str = "utt_id",
     """DBSCAN (cosine, min_samples 2): clusters are the components of
     size >= 2 of ``dist <= eps``, numbered in order of their first member;
     singletons are noise (-1)."""
+    vecs, ids = _dense_ids(vecs, id_col)
     labels = _components(vecs, [], id_col, vec, eps, block)
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("_size"))
     roots = global_rank(sizes.where(F.col("_size") >= 2).select("label"), ["label"], "cluster")
     out = labels.join(roots, "label", "left").select(
         F.col("node").alias(id_col), F.coalesce(F.col("cluster") - 1, F.lit(-1)).cast("bigint").alias("label")
     )
-    return out
+    return _own_ids(out, ids, id_col)
 
 
 def silhouette(points: DataFrame, id_col: str, vec: str = "vec", label: str = "label", block: int = BLOCK) -> DataFrame:
     """Exact Euclidean silhouette (mean over points; a point alone in its
     cluster scores 0): per point the sum of distances to every cluster from
     blocked pairs, then ``a``, ``b`` and ``s``. One row ``(n, silhouette)``."""
+    points, _ = _dense_ids(points, id_col)
     p = points.select(F.col(id_col).cast("bigint").alias("_id"), F.col(vec).alias("_v"), F.col(label).cast("bigint").alias("label"))
     pairs = block_pairs(pack_blocks(p, [], "_id", "_v", block, extra=["label"]), [], extra=["label"])
     sums = cluster_distance_sums(pairs, []).groupBy("id", "cluster").agg(F.sum("total").alias("t"), F.sum("n").alias("n"))
@@ -118,6 +139,7 @@ def kmeans_speakers(vecs: DataFrame, id_col: str = "utt_id", vec: str = "vec", m
     from pyspark.ml.functions import array_to_vector
 
     n = vecs.count()  # scalar
+    vecs, ids = _dense_ids(vecs, id_col)
     data = vecs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(vec).alias("_v"),
                        array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
     data = cut_lineage(data)
@@ -129,8 +151,10 @@ def kmeans_speakers(vecs: DataFrame, id_col: str = "utt_id", vec: str = "vec", m
         if best is None or score > best[0]:
             best = (score, k, cut_lineage(labelled))
     if best is None:
-        return data.select(F.col("_id").alias(id_col), F.lit(0).cast("bigint").alias("label"), F.lit(1).alias("k"))
-    return canonical_labels(best[2], "_id", "label").select(F.col("_id").alias(id_col), "label", F.lit(best[1]).alias("k"))
+        out = data.select(F.col("_id").alias(id_col), F.lit(0).cast("bigint").alias("label"), F.lit(1).alias("k"))
+    else:
+        out = canonical_labels(best[2], "_id", "label").select(F.col("_id").alias(id_col), "label", F.lit(best[1]).alias("k"))
+    return _own_ids(out, ids, id_col)
 
 
 def canonical_labels(df: DataFrame, id_col: str, label: str = "label") -> DataFrame:
@@ -143,70 +167,20 @@ def canonical_labels(df: DataFrame, id_col: str, label: str = "label") -> DataFr
     ).drop("_r")
 
 
-def _ward_rounds_local(threshold: float):
-    """Mutual-nearest-neighbour Ward rounds on a bounded cluster table in one
-    task (same merge rule, tie order and centroid arithmetic as the
-    distributed rounds). Returns ``cl -> final`` for every input cluster."""
-    import numpy as np
-    import pandas as pd
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("cl")
-        ids = pdf["cl"].to_numpy().astype(np.int64)
-        cen = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["c"]])
-        size = pdf["size"].to_numpy().astype(np.float64)
-        final = {int(i): int(i) for i in ids}
-        while len(ids) > 1:
-            sq = np.maximum((cen * cen).sum(1)[:, None] + (cen * cen).sum(1)[None, :] - 2 * cen @ cen.T, 0.0)
-            d = np.sqrt(2.0 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * sq)
-            np.fill_diagonal(d, np.inf)
-            nn = np.argmin(d, axis=1)
-            a = np.arange(len(ids))
-            pairs = a[(nn[nn] == a) & (a < nn) & (d[a, nn] < threshold)]
-            if len(pairs) == 0:
-                break
-            gone = nn[pairs]
-            na, nb = size[pairs][:, None], size[gone][:, None]
-            cen[pairs] = (cen[pairs] * na + cen[gone] * nb) / (na + nb)
-            size[pairs] = size[pairs] + size[gone]
-            for k, g in zip(ids[pairs], ids[gone]):
-                final[int(g)] = int(k)
-            keep = np.ones(len(ids), dtype=bool)
-            keep[gone] = False
-            ids, cen, size = ids[keep], cen[keep], size[keep]
-
-        def root(x):
-            while final[x] != x:
-                x = final[x]
-            return x
-
-        return pd.DataFrame({"cl": list(final), "final": [root(x) for x in final]})
-
-    return fn
-
-
 def ward_speakers(vecs: DataFrame, threshold: float = 0.75, id_col: str = "utt_id", vec: str = "vec",
-                  block: int = BLOCK, max_rounds: int = 200, local_limit: int = 2048) -> DataFrame:
+                  block: int = BLOCK) -> DataFrame:
     """agglomerative clustering, Ward linkage, merging while the merge
     cost is below ``threshold``. Rounds of reciprocal-nearest-neighbour
     merges: every cluster finds its nearest cluster (blocked pairs, Ward
     cost from centroid and size), mutual pairs under the threshold merge
     (Ward is reducible, so parallel mutual merges give the greedy result).
-    Ties go to the smaller id. Once at most ``local_limit`` clusters remain
-    (a bounded table of centroids), the same rounds finish in one task.
-    Returns canonical ``(id, label)``."""
+    Ties go to the smaller id. Every round with a mutual pair merges one at
+    least, so the rounds end. Returns canonical ``(id, label)``."""
+    vecs, ids = _dense_ids(vecs, id_col)
     pts = vecs.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("c"))
     assign = cut_lineage(pts.select("id", F.col("id").alias("cl")))
     clusters = cut_lineage(pts.select(F.col("id").alias("cl"), "c", F.lit(1).cast("bigint").alias("size")))
-    for _ in range(max_rounds):
-        if clusters.count() <= local_limit:
-            mapping = (
-                clusters.withColumn("_g", F.lit(0))
-                .groupBy("_g")
-                .applyInPandas(_ward_rounds_local(threshold), "cl long, final long")
-            )
-            assign = assign.join(mapping, "cl").select("id", F.col("final").alias("cl"))
-            break
+    while True:
         blocks = pack_blocks(clusters, [], "cl", "c", block, extra=["size"])
         nn = nearest_neighbours(block_pairs(blocks, [], extra=["size"]), [])
         best = nn.groupBy("id").agg(F.min(F.struct("d", "nn")).alias("b")).select("id", F.col("b.nn").alias("nn"), F.col("b.d").alias("d"))
@@ -234,7 +208,8 @@ def ward_speakers(vecs: DataFrame, threshold: float = 0.75, id_col: str = "utt_i
         assign = cut_lineage(
             assign.join(remap, "cl", "left").select("id", F.coalesce(F.col("_new"), F.col("cl")).alias("cl"))
         )
-    return canonical_labels(assign.withColumnRenamed("cl", "label"), "id", "label").withColumnRenamed("id", id_col)
+    out = canonical_labels(assign.withColumnRenamed("cl", "label"), "id", "label").withColumnRenamed("id", id_col)
+    return _own_ids(out, ids, id_col)
 
 
 def utt2spk(labels: DataFrame, key: str = "utt_id", label: str = "label") -> DataFrame:

@@ -9,8 +9,9 @@ So a fold becomes:
    satisfies a threshold (a merge of two sorted sequences, done as one
    distributed scan over their union);
 2. ``chain_walk``: the points reachable from the start by following those
-   successor pointers, by pointer doubling (``O(log chain)`` rounds of
-   equi-joins on ``(key, node)``, lineage cut by reliable checkpoints).
+   successor pointers: bounded runs of consecutive points are passed in one
+   task each, and the short chain from run to run is walked by pointer
+   doubling (equi-joins on ``(key, node)``, lineage cut by checkpoints).
 
 No key is collected into one row, one array or one task at any step, so a
 recording holding a third of the corpus is spread like any other data.
@@ -20,6 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,83 +48,80 @@ def successor(points: DataFrame, queries: DataFrame, keys: Sequence[str], strict
     return scanned.where(F.col("_t") == q_type).select(*keys, F.col("_id").alias("qid"), F.col("ffill__p").alias("pid"))
 
 
-def _walk_small(keys):
-    """Sequential pointer walk inside one key (bounded by ``small_limit``)."""
-    import pandas as pd
-
-    def fn(nodes: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
-        if len(starts) == 0 or len(nodes) == 0:
-            return pd.DataFrame({**{k: [] for k in keys}, "node": []})
-        nxt = dict(zip(nodes["node"].tolist(), nodes["next"].tolist()))
-        seen = []
-        visited = set()
-        for s in starts["node"].tolist():
-            cur = s
-            while cur is not None and not (isinstance(cur, float) and cur != cur) and cur not in visited:
-                visited.add(cur)
-                seen.append(int(cur))
-                cur = nxt.get(cur)
-        first = starts.iloc[0]
-        return pd.DataFrame({**{k: [first[k]] * len(seen) for k in keys}, "node": seen})
+def _exits(keys):
+    """Backward pass over one run: each node's first node outside it."""
+
+    def fn(table: pa.Table) -> pa.Table:
+        order = np.argsort(table["node"].to_numpy(), kind="stable")
+        nodes = table["node"].to_numpy()[order].tolist()
+        nexts = table["next"].combine_chunks().take(pa.array(order)).to_pylist()
+        out: dict[int, int | None] = {}
+        for node, following in zip(reversed(nodes), reversed(nexts)):
+            out[node] = out.get(following, following)
+        return table.select([*keys, "run"]).take(pa.array(order)).append_column("node", pa.array(nodes, pa.int64())).append_column(
+            "exit", pa.array([out[n] for n in nodes], pa.int64())
+        )
 
     return fn
 
 
-def chain_walk(nxt: DataFrame, starts: DataFrame, keys: Sequence[str], max_rounds: int = 64,
-               small_limit: int = 50_000) -> DataFrame:
+def _inside(keys):
+    """Nodes of one run that the walks entering at ``entries`` visit."""
+
+    def fn(nodes: pa.Table, entries: pa.Table) -> pa.Table:
+        following = dict(zip(nodes["node"].to_pylist(), nodes["next"].to_pylist()))
+        seen: dict[int, None] = {}
+        for at in sorted(entries["node"].to_pylist()):
+            while at in following and at not in seen:
+                seen[at] = None
+                at = following[at]
+        source = nodes if len(nodes) else entries
+        return source.select(keys).take(pa.array([0] * len(seen), pa.int64())).append_column("node", pa.array(list(seen), pa.int64()))
+
+    return fn
+
+
+def chain_walk(nxt: DataFrame, starts: DataFrame, keys: Sequence[str], run: int = 4096) -> DataFrame:
     """Nodes reachable from the start nodes by following ``next`` pointers.
 
-    ``nxt``: ``(keys, node, next)`` with ``next`` null at the end of a chain;
-    ``starts``: ``(keys, node)``. Returns ``(keys, node)`` including the
-    starts.
+    ``nxt``: ``(keys, node, next)``, ``next`` null at the end of a chain and
+    larger than ``node`` otherwise; ``starts``: ``(keys, node)``. Returns
+    ``(keys, node)`` including the starts that are nodes.
 
-    Size-adaptive: a key with at most ``small_limit`` nodes is walked
-    sequentially in one grouped task (its size is bounded by the limit);
-    keys above it (hot recordings) are walked by pointer doubling:
-    ``T_{k+1} = T_k ∪ J_k(T_k)``, ``J_{k+1} = J_k ∘ J_k``, until ``T`` stops
-    growing."""
+    Each key's number line is cut into runs of ``run`` consecutive numbers,
+    so a hot key is many bounded groups. One backward pass per run gives
+    every node's exit, the first node outside its run. The chain of exits
+    has at most one node per run; it is walked by pointer doubling. Every
+    run that it enters is then expanded on its own."""
     keys = list(keys)
+    in_run = F.floor(F.col("node") / run).cast("bigint")
     nxt = nxt.select(*keys, F.col("node").cast("bigint").alias("node"), F.col("next").cast("bigint").alias("next"))
-    starts = starts.select(*keys, F.col("node").cast("bigint").alias("node"))
-    if not keys:
-        return _chain_doubling(nxt, starts, keys, max_rounds)
-    nxt = cut_lineage(nxt)  # computed once, read by both branches
-    sizes = nxt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > small_limit).select(*keys)  # cheap: reads the checkpointed pointers
-    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in nxt.schema.fields if f.name in keys] + ["node bigint"])
-    small_nodes = nxt.join(hot, keys, "left_anti")
-    small_starts = starts.join(hot, keys, "left_anti")
-    small = small_nodes.groupBy(*keys).cogroup(small_starts.groupBy(*keys)).applyInPandas(_walk_small(keys), out_schema)
-    if hot.count() == 0:
-        return small
-    big = _chain_doubling(nxt.join(hot, keys, "left_semi"), starts.join(hot, keys, "left_semi"), keys, max_rounds)
-    return small.unionByName(big)
-
-
-def _chain_doubling(nxt: DataFrame, starts: DataFrame, keys: list, max_rounds: int) -> DataFrame:
-    jump = cut_lineage(nxt)  # fresh lineage: the rounds self-join it
-    reached = cut_lineage(starts.distinct())
-    count = reached.count()
-    for _ in range(max_rounds):
+    nxt = cut_lineage(nxt.withColumn("run", in_run))
+    starts = cut_lineage(starts.select(*keys, F.col("node").cast("bigint").alias("node")).distinct())
+    kinds = ", ".join(f"`{k}` {nxt.schema[k].dataType.simpleString()}" for k in keys)
+    lead = f"{kinds}, " if keys else ""
+    exits = nxt.groupBy(*keys, "run").applyInArrow(_exits(keys), f"{lead}run bigint, node bigint, exit bigint")
+    exits = cut_lineage(exits.drop("run"))
+    # only starts and targets of exits can be entered
+    targets = exits.where("exit IS NOT NULL").select(*keys, F.col("exit").alias("node"))
+    entered = starts.union(targets).distinct()
+    entries = _reach(exits.join(entered, [*keys, "node"]).withColumnRenamed("exit", "next"), starts, keys)
+    grouped = nxt.groupBy(*keys, "run").cogroup(entries.withColumn("run", in_run).groupBy(*keys, "run"))
+    return grouped.applyInArrow(_inside(keys), f"{lead}node bigint")
+
+
+def _reach(jump: DataFrame, starts: DataFrame, keys: list) -> DataFrame:
+    """Nodes on the chains from the starts, by pointer doubling: after k
+    rounds the first 2**k of each. Ends when no node is new, which is after
+    as many rounds as the logarithm of the longest chain."""
+    jump = cut_lineage(jump)
+    reached, count = starts, starts.count()
+    while True:
         step = reached.join(jump, [*keys, "node"]).where(F.col("next").isNotNull()).select(*keys, F.col("next").alias("node"))
         grown = cut_lineage(reached.unionByName(step).distinct())
         new_count = grown.count()
         if new_count == count:
             return grown
-        a, b = jump.alias("a"), jump.alias("b")
-        cond = [F.col("a.next") == F.col("b.node")] + [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-        jump = cut_lineage(
-            a.join(b, cond, "left").select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.node").alias("node"),
-                                           F.col("b.next").alias("next"))
-        )
+        following = jump.select(*keys, F.col("node").alias("next"), F.col("next").alias("after"))
+        jump = cut_lineage(jump.join(following, [*keys, "next"], "left").select(*keys, "node", F.col("after").alias("next")))
         reached, count = grown, new_count
-    raise RuntimeError("chain_walk did not converge")
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, bool]:
-    """Keys with more than ``limit`` rows (one partial-aggregating count) and
-    whether there is any. Size-adaptive operators send the other keys
-    through one bounded grouped task each."""
-    keys = list(keys)
-    hot = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys))
-    return hot, hot.count() > 0

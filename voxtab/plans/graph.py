@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from voxtab.session import cut_lineage
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, keys: Sequence[str] = (), max_rounds: int = 100) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """``vertices (keys, node)``, ``edges (keys, src, dst)`` (undirected) ->
     ``(keys, node, label)``."""
     keys = list(keys)
     e = edges.select(*keys, F.col("src").alias("a"), F.col("dst").alias("b"))
     both = cut_lineage(e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut_lineage(vertices.select(*keys, "node").distinct().withColumn("label", F.col("node")))
-    for _ in range(max_rounds):
+    while True:  # labels only ever fall, so this ends
         offered = both.join(labels.withColumnRenamed("node", "b"), [*keys, "b"]).select(*keys, F.col("a").alias("node"), "label")
         hooked = labels.unionByName(offered).groupBy(*keys, "node").agg(F.min("label").alias("label"))
         parent = hooked.select(*keys, F.col("node").alias("label"), F.col("label").alias("plabel"))
@@ -37,4 +37,3 @@ def connected_components(vertices: DataFrame, edges: DataFrame, keys: Sequence[s
         labels = jumped
         if changed == 0:
             return labels
-    raise RuntimeError("connected_components did not converge")

@@ -42,7 +42,7 @@ def _scores(spark, sf_dir):
        {sqlq("p808")} AS p808 FROM cal""",
 )
 def g1_calibrate(spark, sf_dir):
-    return rounded(Q.calibrate(v_scores(spark, sf_dir)).select("file", "hop_idx", "sig", "bak", "ovr", "p808"))
+    return rounded(Q.calibrate(v_scores(spark, sf_dir, numbered=True)).select("file", "hop_idx", "sig", "bak", "ovr", "p808"))
 
 
 @register(
@@ -52,7 +52,7 @@ def g1_calibrate(spark, sf_dir):
        {sqlq("p808")} AS p808 FROM cal""",
 )
 def g1_calibrate_personalised(spark, sf_dir):
-    return rounded(Q.calibrate(v_scores(spark, sf_dir), True).select("file", "hop_idx", "sig", "bak", "ovr", "p808"))
+    return rounded(Q.calibrate(v_scores(spark, sf_dir, numbered=True), True).select("file", "hop_idx", "sig", "bak", "ovr", "p808"))
 
 
 @register(

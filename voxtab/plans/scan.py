@@ -6,7 +6,7 @@ pulls a whole key into one task:
 
 1. range-partition on ``(keys, order)`` and sort inside partitions, so a hot
    key is spread over many tasks;
-2. one Arrow pass per partition (``mapInPandas``) computes the local scan and
+2. one Arrow pass per partition (``mapInArrow``) computes the local scan and
    two summary rows: the partition's first key and the totals of its last
    key;
 3. the pass is materialised once (a reliable checkpoint), so the data rows
@@ -17,7 +17,8 @@ pulls a whole key into one task:
 
 This is the classic two-level parallel prefix scan. Everything that needs
 "row number", "running sum", "last non-null so far" or "previous row" on
-large or skewed keys goes through here.
+large or skewed keys goes through here. Null (and NaN) keys form one group
+each; data columns are never converted.
 """
 
 from __future__ import annotations
@@ -25,121 +26,114 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 _KIND_DATA, _KIND_FIRST, _KIND_LAST = 0, 1, 2
 
 
-def _local_scan_fn(keys, sums, ffills, prevs, sum_types):
-    """Per-partition scan with state carried across Arrow batches."""
+def _changes(column: pa.Array) -> np.ndarray:
+    """Where a key column differs from the row before (row 0: not looked at).
+    Null equals null, NaN equals NaN."""
+    out = np.zeros(len(column), dtype=bool)
+    if len(column) > 1:
+        a, b = column.slice(1), column.slice(0, len(column) - 1)
+        differ = pc.fill_null(pc.not_equal(a, b), False)
+        differ = pc.or_(differ, pc.xor(a.is_null(), b.is_null()))
+        if pa.types.is_floating(column.type):
+            differ = pc.and_not(differ, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        out[1:] = differ.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _same_key(a: tuple, b: tuple) -> bool:
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
+def _numbers(column: pa.Array, kind: pa.DataType) -> np.ndarray:
+    return pc.fill_null(column.cast(kind), 0).to_numpy(zero_copy_only=False)
+
+
+def _local_scan_fn(keys, sums, ffills, prevs, sum_types, out_schema):
+    """Per-partition scan with state carried across Arrow batches. Data
+    columns stay Arrow arrays throughout, so no value changes its type."""
 
     def fn(batches):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        last_key = None
-        first_key = None
-        cnt = 0
+        first_key = last_key = None
+        cnt, in_first_group = 0, True
         acc = {c: 0 for c in sums}
-        fill = {c: None for c in ffills}
-        prev = {c: None for c in prevs}
-        last_row_template = None
-        for pdf in batches:
-            n = len(pdf)
+        fill, prev = {}, {}
+        for batch in batches:
+            n = batch.num_rows
             if n == 0:
                 continue
-            if last_row_template is None:
-                last_row_template = pdf.iloc[:0]
-            if keys:
-                kdf = pdf[keys]
-                change = np.zeros(n, dtype=bool)
-                for k in keys:
-                    v = kdf[k].to_numpy()
-                    diff = np.empty(n, dtype=bool)
-                    diff[0] = False
-                    if n > 1:
-                        diff[1:] = v[1:] != v[:-1]
-                    change |= diff
-                first_tuple = tuple(kdf.iloc[0].tolist())
-                continues = last_key is not None and first_tuple == last_key
-                if first_key is None:
-                    first_key = first_tuple
-                if not continues:
-                    change[0] = True
-            else:
-                change = np.zeros(n, dtype=bool)
-                continues = last_key is not None
-                if first_key is None:
-                    first_key = ()
-                if not continues:
-                    change[0] = True
-            grp = np.cumsum(change)  # group 0 = continuation of previous batch
-            g = pd.Series(grp)
-            out = pdf.copy()
-            pos = g.groupby(grp).cumcount().to_numpy().astype(np.int64)
-            in_first = grp == 0
+            col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            head = tuple(col[k][0].as_py() for k in keys)
+            continues = last_key is not None and _same_key(head, last_key)
+            if first_key is None:
+                first_key = head
+            elif not continues:
+                in_first_group = False
+            change = np.zeros(n, dtype=bool)
+            for k in keys:
+                change |= _changes(col[k])
+            grp = np.cumsum(change)  # 0: the group of the first row
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(change, at, 0))
+            pos = at - start
             if continues:
-                pos = pos + np.where(in_first, cnt, 0)
-            out["_lpos"] = pos
+                pos = pos + np.where(grp == 0, cnt, 0)
+            out = list(batch.columns) + [pa.array(pos.astype(np.int64))]
+            state = {}
             for c in sums:
-                vals = pd.Series(pdf[c].to_numpy()).fillna(0)
-                cs = vals.groupby(grp).cumsum().to_numpy()
+                x = _numbers(col[c], sum_types[c])
+                run = np.cumsum(x)
+                run = run - (run[start] - x[start])
                 if continues:
-                    cs = cs + np.where(in_first, acc[c], 0)
-                out[f"_lcum_{c}"] = cs
+                    run = run + np.where(grp == 0, acc[c], 0)
+                state[c] = run[-1]
+                out.append(pa.array(run, sum_types[c]))
+            acc = state
+            filled = {}
             for c in ffills:
-                s = pd.Series(pdf[c].to_numpy(), dtype=object)
-                ff = s.groupby(grp).ffill()
-                if continues and fill[c] is not None:
-                    mask = in_first & ff.isna().to_numpy()
-                    ff = ff.where(~mask, fill[c])
-                out[f"_lffill_{c}"] = ff.to_numpy()
+                # row 0 of ``held`` is what was last seen before this batch
+                held = pa.concat_arrays([fill[c] if continues else pa.nulls(1, col[c].type), col[c]])
+                seen = np.maximum.accumulate(np.where(col[c].is_valid().to_numpy(zero_copy_only=False), at, -1))
+                got = held.take(pa.array(np.where(seen >= start, seen + 1, 0), mask=(seen < start) & (grp > 0)))
+                filled[c] = got.slice(n - 1, 1)
+                out.append(got)
+            fill = filled
+            before = {}
             for c in prevs:
-                s = pd.Series(pdf[c].to_numpy(), dtype=object)
-                sh = s.groupby(grp).shift(1)
-                if continues:
-                    sh.iloc[0] = prev[c]
-                out[f"_lprev_{c}"] = sh.to_numpy()
-            out["_pid"] = pid
-            out["_kind"] = _KIND_DATA
-            # state for the next batch: the last group of this batch
-            last_mask = grp == grp[-1]
-            last_tuple = tuple(pdf[keys].iloc[-1].tolist()) if keys else ()
+                held = pa.concat_arrays([prev[c] if continues else pa.nulls(1, col[c].type), col[c]])
+                out.append(held.take(pa.array(at, mask=change)))
+                before[c] = col[c].slice(n - 1, 1)
+            prev = before
+            out += [pa.array((grp == 0) & in_first_group), pa.array(np.full(n, pid, np.int32)), pa.array(np.full(n, _KIND_DATA, np.int32))]
             cnt = int(pos[-1]) + 1
-            for c in sums:
-                acc[c] = out[f"_lcum_{c}"].iloc[-1]
-            for c in ffills:
-                v = out[f"_lffill_{c}"].iloc[-1]
-                fill[c] = None if v is None or (isinstance(v, float) and np.isnan(v)) else v
-            for c in prevs:
-                prev[c] = pdf[c].iloc[-1]
-            del last_mask
-            last_key = last_tuple
-            yield out
+            last_key = tuple(col[k][n - 1].as_py() for k in keys)
+            in_first_group = in_first_group and not grp[-1]
+            yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(out, out_schema)], schema=out_schema)
         if last_key is None:
             return
-        rows = []
-        for kind, key in ((_KIND_FIRST, first_key), (_KIND_LAST, last_key)):
-            row = {k: v for k, v in zip(keys, key)}
-            row["_pid"] = pid
-            row["_kind"] = kind
-            if kind == _KIND_LAST:
-                row["_lpos"] = cnt
-                for c in sums:
-                    row[f"_lcum_{c}"] = acc[c]
-                for c in ffills:
-                    row[f"_lffill_{c}"] = fill[c]
-                for c in prevs:
-                    row[f"_lprev_{c}"] = prev[c]
-            rows.append(row)
-        cols = list(last_row_template.columns) + [
-            "_lpos", *[f"_lcum_{c}" for c in sums], *[f"_lffill_{c}" for c in ffills],
-            *[f"_lprev_{c}" for c in prevs], "_pid", "_kind"]
-        # data columns stay None (not NaN: array/struct columns reject floats)
-        yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in cols})
+        summary = {f.name: pa.nulls(2, f.type) for f in out_schema}
+        for i, k in enumerate(keys):
+            summary[k] = pa.array([first_key[i], last_key[i]], out_schema.field(k).type)
+        summary["_pid"] = pa.array([pid, pid], pa.int32())
+        summary["_kind"] = pa.array([_KIND_FIRST, _KIND_LAST], pa.int32())
+        summary["_lpos"] = pa.array([None, cnt], pa.int64())
+        for c in sums:
+            summary[f"_lcum_{c}"] = pa.array([None, acc[c]], sum_types[c])
+        for name, carried in [*((f"_lffill_{c}", fill[c]) for c in ffills), *((f"_lprev_{c}", prev[c]) for c in prevs)]:
+            summary[name] = pa.concat_arrays([pa.nulls(1, carried.type), carried]).cast(out_schema.field(name).type)
+        yield pa.RecordBatch.from_arrays([summary[f.name] for f in out_schema], schema=out_schema)
 
     return fn
 
@@ -191,12 +185,15 @@ def ordered_scan(
         fields.append(T.StructField(f"_lffill_{c}", in_schema[c].dataType))
     for c in prevs:
         fields.append(T.StructField(f"_lprev_{c}", in_schema[c].dataType))
+    fields.append(T.StructField("_lhead", T.BooleanType()))
     fields.append(T.StructField("_pid", T.IntegerType()))
     fields.append(T.StructField("_kind", T.IntegerType()))
     # summary rows carry nulls in data columns
     out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
-    scanned = ranged.mapInPandas(_local_scan_fn(keys, sums, ffills, prevs, sum_types), out_schema)
+    arrow = to_arrow_schema(out_schema)
+    kinds = {c: to_arrow_type(t) for c, t in sum_types.items()}
+    scanned = ranged.mapInArrow(_local_scan_fn(keys, sums, ffills, prevs, kinds, arrow), out_schema)
     # The data rows and the summary rows must come from the *same* range
     # shuffle (same sampled bounds, same partition ids). Exchange reuse does
     # not guarantee it (the optimiser may rewrite the two branches
@@ -228,7 +225,10 @@ def ordered_scan(
         *[F.last(F.when(is_last, F.struct(F.col(f"_lprev_{c}").alias("v"))), ignorenulls=True).over(w)
           .getField("v").alias(f"_cprev_{c}") for c in prevs],
     ).where(F.col("_kind") == _KIND_FIRST).drop("_kind")
-    joined = data.join(F.broadcast(carry), ["_pid", *keys], "left")
+    carry = carry.drop(*keys).withColumnRenamed("_pid", "_cpid")
+    # only the rows of a partition's first key take its carry (one row per
+    # partition; a null key is a key like any other)
+    joined = data.join(F.broadcast(carry), F.col("_lhead") & (F.col("_pid") == F.col("_cpid")), "left")
     first_in_part = F.col("_lpos") == 0
     out_cols = [F.col(f.name) for f in in_schema.fields]
     out_cols.append((F.col("_lpos") + F.coalesce(F.col("_ccnt"), F.lit(0))).cast("bigint").alias("pos"))
@@ -256,13 +256,17 @@ def exact_median(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFr
         gkeys = ["_g"]
     else:
         gkeys = keys
-    counts = base.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ordered_scan(base, gkeys, ["_v"])
+    # one row per distinct value, so that a value that fills a third of the
+    # table is one row of the scan
+    values = base.groupBy(*gkeys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = ordered_scan(values, gkeys, ["_v"], sums=["_c"]).drop("pos")
+    counts = ranked.groupBy(*[F.col(k).alias(f"_k_{k}") for k in gkeys]).agg(F.max("cum__c").alias("_n"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in gkeys]
+    lo, hi = F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
+    holds = lambda p: (F.col("cum__c") - F.col("_c") <= p) & (p < F.col("cum__c"))
     mid = (
-        ranked.join(counts, gkeys)
-        .where(
-            (F.col("pos") == F.floor((F.col("_n") - 1) / 2)) | (F.col("pos") == F.ceil((F.col("_n") - 1) / 2))
-        )
+        ranked.join(counts, same)
+        .where(holds(lo) | holds(hi))
         .groupBy(*gkeys)
         .agg(F.avg("_v").alias("median"))
     )

@@ -113,13 +113,17 @@ def _wav_header(head: pd.Series, length: pd.Series) -> pd.DataFrame:
     )
 
 
-def media_infos_from_files(spark: SparkSession, root: str, exts=(".wav",), head_bytes: int = 4096) -> DataFrame:
-    """E1 source: ``(path, rel, frames, rate, channels, seconds)`` from the
-    first ``head_bytes`` of each WAV file (only that prefix is decoded);
-    unreadable headers give no row."""
+def media_infos_from_files(spark: SparkSession, root: str, exts=(".wav",)) -> DataFrame:
+    """E1 source: ``(path, rel, frames, rate, channels, seconds)`` of WAV
+    files. The header walk gets the first 4 KB; files whose ``data`` chunk
+    starts later (long metadata before it) are walked whole. Files without a
+    readable header give no row."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     df = df.withColumn("rel", F.regexp_extract("path", _root_pattern(root), 1)).where(suffix("rel").isin(list(exts)))
-    h = df.select("path", "rel", _wav_header(F.substring("content", 1, head_bytes), F.col("length")).alias("h"))
+    head = df.withColumn("h", _wav_header(F.substring("content", 1, 4096), F.col("length")))
+    late = df.join(head.where(F.col("h.frames").isNull()).select("path"), "path", "left_semi")
+    late = late.withColumn("h", _wav_header(F.col("content"), F.col("length")))
+    h = head.select("path", "rel", "h").unionByName(late.select("path", "rel", "h"))
     return h.select("path", "rel", "h.frames", "h.rate", "h.channels").where(F.col("frames").isNotNull()).withColumn(
         "seconds", F.col("frames") / F.col("rate")
     )

@@ -31,22 +31,20 @@ def _numbered(e, keys=("user_id",)):
     return ordered_scan(e.select(*cols), list(keys), ["ts", "event_id"]).withColumnRenamed("pos", "rn")
 
 
-def v_files(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+def _path():
     ext = F.element_at(F.array(*[F.lit(e) for e in FILE_EXTS]), (F.col("doc_id") % 6 + 1).cast("int"))
-    return d.select(
-        F.concat_ws("/", "source", "lang", F.concat(F.lit("doc."), F.col("doc_id").cast("string"), ext)).alias("path"),
-        "lang",
-        "doc_id",
-    )
+    return F.concat_ws("/", "source", "lang", F.concat(F.lit("doc."), F.col("doc_id").cast("string"), ext))
+
+
+def v_files(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(_path().alias("path"), "lang", "doc_id")
 
 
 def v_infos(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    files = v_files(spark, sf_dir).select("doc_id", "path")
     rate = F.element_at(F.array(*[F.lit(r) for r in RATES]), (F.col("doc_id") % 4 + 1).cast("int"))
-    return d.join(files, "doc_id").select(
-        "path",
+    return d.select(
+        _path().alias("path"),
         "lang",
         (F.col("n_chars") * 1000).cast("bigint").alias("frames"),
         rate.cast("int").alias("rate"),
@@ -122,14 +120,16 @@ def v_emb(spark, sf_dir):
     )
 
 
-def v_scores(spark, sf_dir):
-    e = _numbered(table(spark, sf_dir, "events"))
-    hop = F.col("rn")
+def v_scores(spark, sf_dir, numbered=False):
+    """Without ``numbered`` there is no ``hop_idx``: only queries that return
+    it pay for the scan."""
+    e = table(spark, sf_dir, "events")
+    e = _numbered(e) if numbered else e
     ovr = F.lit(1.0) + (F.col("user_id") % 5) + F.col("value") / 500
     hops = e.groupBy("user_id").agg((F.count(F.lit(1)) + F.lit(8.01)).alias("seconds"))
     return e.join(hops, "user_id").select(
         F.col("user_id").alias("file"),
-        hop.alias("hop_idx"),
+        *([F.col("rn").alias("hop_idx")] if numbered else []),
         (ovr + 0.1).alias("sig"),
         (ovr - 0.1).alias("bak"),
         ovr.alias("ovr"),

@@ -4,7 +4,8 @@
 new files of the source (the checkpoint remembers what was read), the batch
 is anti-joined against the ledger of paths already ingested, and the new
 rows plus their ledger entries are written by ``foreachBatch``. A replayed
-batch (after a failure) rewrites the same ``batch_id`` partition, so output
+batch (after a failure) rewrites the same ``batch_id`` partition (query id
+and batch number), so output
 and ledger stay exactly-once."""
 
 from __future__ import annotations
@@ -14,14 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _ledger(spark: SparkSession, ledger_path: str, before_batch: int) -> DataFrame:
-    """Keys ingested by earlier batches (a replayed batch must not see its
-    own entries from a failed attempt)."""
-    try:
-        led = spark.read.parquet(ledger_path)
-        return led.where(F.col("batch_id") < before_batch).select("_key")
-    except Exception:  # noqa: BLE001  (no ledger yet)
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _ledger(spark: SparkSession, ledger_path: str, batch_id: str) -> DataFrame:
+    """Keys ingested by other batches (a replayed batch must not see its own
+    entries from a failed attempt). Only a ledger that is not there yet counts
+    as empty; one that can't be read fails the batch."""
+    if not _exists(spark, ledger_path):
         return spark.createDataFrame([], T.StructType([T.StructField("_key", T.StringType())]))
+    led = spark.read.schema("_key string, batch_id string").parquet(ledger_path)
+    return led.where(F.col("batch_id") != batch_id).select("_key")
 
 
 def ingest_stream(spark: SparkSession, src: str, schema: T.StructType, checkpoint: str, out: str, ledger: str,
@@ -29,7 +35,10 @@ def ingest_stream(spark: SparkSession, src: str, schema: T.StructType, checkpoin
     """Run one incremental pass (``availableNow``) and return the finished
     query. ``key`` identifies an item (cast to string in the ledger)."""
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def write_batch(batch: DataFrame, number: int) -> None:
+        # numbers restart at 0 with a new checkpoint; the query's id does not repeat
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch_id = f"{query}-{number}"
         keyed = batch.withColumn("_key", F.col(key).cast("string"))
         seen = _ledger(spark, ledger, batch_id)
         new = keyed.join(seen, "_key", "left_anti").dropDuplicates(["_key"])
