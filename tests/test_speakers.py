@@ -87,8 +87,9 @@ def test_ward_equals_greedy(spark):
     X = np.concatenate([c + rng.normal(size=(10, 3)) * 0.3 for c in centers])
     df = spark.createDataFrame(pd.DataFrame({"utt_id": np.arange(len(X)), "vec": list(X)}))
     exp = naive_ward(X, 1.5)
-    got = SP.ward_speakers(df, threshold=1.5, block=16).toPandas()
-    assert got.set_index("utt_id")["label"].sort_index().tolist() == exp
+    for finish in (20, SP.BLOCK):  # rounds in Spark first, or all in the last step
+        got = SP.ward_speakers(df, threshold=1.5, block=16, finish=finish).toPandas()
+        assert got.set_index("utt_id")["label"].sort_index().tolist() == exp
 
 
 def test_kmeans_finds_blobs_and_silhouette(spark):

@@ -167,20 +167,73 @@ def canonical_labels(df: DataFrame, id_col: str, label: str = "label") -> DataFr
     ).drop("_r")
 
 
+def _ward_rounds_local(threshold: float):
+    """Mutual-nearest-neighbour Ward rounds on a bounded cluster table in one
+    task (same merge rule, tie order and centroid arithmetic as the
+    distributed rounds). Returns ``cl -> final`` for every input cluster."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cl")
+        ids = pdf["cl"].to_numpy().astype(np.int64)
+        cen = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["c"]])
+        size = pdf["size"].to_numpy().astype(np.float64)
+        final = {int(i): int(i) for i in ids}
+        while len(ids) > 1:
+            sq = np.maximum((cen * cen).sum(1)[:, None] + (cen * cen).sum(1)[None, :] - 2 * cen @ cen.T, 0.0)
+            d = np.sqrt(2.0 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * sq)
+            np.fill_diagonal(d, np.inf)
+            nn = np.argmin(d, axis=1)
+            a = np.arange(len(ids))
+            pairs = a[(nn[nn] == a) & (a < nn) & (d[a, nn] < threshold)]
+            if len(pairs) == 0:
+                break
+            gone = nn[pairs]
+            na, nb = size[pairs][:, None], size[gone][:, None]
+            cen[pairs] = (cen[pairs] * na + cen[gone] * nb) / (na + nb)
+            size[pairs] = size[pairs] + size[gone]
+            for k, g in zip(ids[pairs], ids[gone]):
+                final[int(g)] = int(k)
+            keep = np.ones(len(ids), dtype=bool)
+            keep[gone] = False
+            ids, cen, size = ids[keep], cen[keep], size[keep]
+
+        def root(x):
+            while final[x] != x:
+                x = final[x]
+            return x
+
+        return pd.DataFrame({"cl": list(final), "final": [root(x) for x in final]})
+
+    return fn
+
+
 def ward_speakers(vecs: DataFrame, threshold: float = 0.75, id_col: str = "utt_id", vec: str = "vec",
-                  block: int = BLOCK) -> DataFrame:
+                  block: int = BLOCK, finish: int = BLOCK) -> DataFrame:
     """agglomerative clustering, Ward linkage, merging while the merge
     cost is below ``threshold``. Rounds of reciprocal-nearest-neighbour
     merges: every cluster finds its nearest cluster (blocked pairs, Ward
     cost from centroid and size), mutual pairs under the threshold merge
     (Ward is reducible, so parallel mutual merges give the greedy result).
     Ties go to the smaller id. Every round with a mutual pair merges one at
-    least, so the rounds end. Returns canonical ``(id, label)``."""
+    least, so the rounds end. The last ``finish`` clusters at most, a bounded
+    table of centroids, go through the same rounds in one task: late rounds
+    merge a pair or two each, and a round in Spark costs seconds. Returns
+    canonical ``(id, label)``."""
     vecs, ids = _dense_ids(vecs, id_col)
     pts = vecs.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("c"))
     assign = cut_lineage(pts.select("id", F.col("id").alias("cl")))
     clusters = cut_lineage(pts.select(F.col("id").alias("cl"), "c", F.lit(1).cast("bigint").alias("size")))
     while True:
+        if clusters.count() <= finish:
+            mapping = (
+                clusters.withColumn("_g", F.lit(0))
+                .groupBy("_g")
+                .applyInPandas(_ward_rounds_local(threshold), "cl long, final long")
+            )
+            assign = assign.join(mapping, "cl").select("id", F.col("final").alias("cl"))
+            break
         blocks = pack_blocks(clusters, [], "cl", "c", block, extra=["size"])
         nn = nearest_neighbours(block_pairs(blocks, [], extra=["size"]), [])
         best = nn.groupBy("id").agg(F.min(F.struct("d", "nn")).alias("b")).select("id", F.col("b.nn").alias("nn"), F.col("b.d").alias("d"))
