@@ -18,7 +18,7 @@ vocabulary's own library for every character that both tables know.
 Defined cases: a null text counts as empty; an empty text has no ids and
 decodes to the empty string; texts of any length are encoded whole; repeated
 rows are encoded alike; an empty table gives an empty result. Columns of the
-input pass through; the new columns' names must be free.
+input pass through, but one that has the new column's name is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from voxtab.llm.common import add_columns
+
 CACHE_PIECES = 400_000
 #: What the split pattern's \\s matches.
 WHITE_SPACE = " \\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -163,27 +165,15 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
 
 
-def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name.lower() in (c.lower() for c in df.columns):
-        raise ValueError(f"the table already has a column {name}")
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
-def _add(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` plus ``out``: the token ids of the whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         one = encoder(shared.value)
-        for b in batches:
-            texts = b.column(b.schema.get_field_index(text))
-            yield _add(b, out, _lists([one(t.as_py() or "") for t in texts]))
+        return lambda texts: [_lists([one(t.as_py() or "") for t in texts])]
 
-    return docs.mapInArrow(run, _with_column(docs, out, T.ArrayType(T.IntegerType())))
+    return add_columns(docs, text, [T.StructField(out, T.ArrayType(T.IntegerType()))], start)
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded", between: str = " ") -> DataFrame:
@@ -191,11 +181,9 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str
     ``between``."""
     shared = tokens.sparkSession.sparkContext.broadcast(vocabulary.strings)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         string = shared.value.__getitem__
-        for b in batches:
-            rows = b.column(b.schema.get_field_index(ids))
-            texts = [between.join(map(string, r.values.to_numpy(zero_copy_only=False).tolist())) if r.is_valid else "" for r in rows]
-            yield _add(b, out, pa.array(texts, pa.string()))
+        one = lambda r: between.join(map(string, r.values.to_numpy(zero_copy_only=False).tolist())) if r.is_valid else ""
+        return lambda rows: [pa.array([one(r) for r in rows], pa.string())]
 
-    return tokens.mapInArrow(run, _with_column(tokens, out, T.StringType()))
+    return add_columns(tokens, ids, [T.StructField(out, T.StringType())], start)

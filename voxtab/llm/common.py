@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxtab.session import ensure_checkpoint_dir
 
@@ -60,6 +62,30 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns that have one of ``names``: results take the
+    place of a column of the same name."""
+    return df.drop(*[c for c in df.columns if c.lower() in names])
+
+
+def add_columns(df: DataFrame, source: str, fields: Sequence[T.StructField], start: Callable) -> DataFrame:
+    """``df`` plus ``fields``, computed from the column ``source`` in Arrow
+    batches where the rows lie. ``start()`` runs once per task and returns a
+    function from an array to the new arrays."""
+    require(df, [source])
+    df = without(df, *[f.name.lower() for f in fields if f.name != source])
+    at, schema = df.columns.index(source), T.StructType([*df.schema.fields, *fields])
+    names = [f"c{i}" for i in range(len(schema))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = start()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, *compute(b.column(at))], names=names)
+
+    plain = df.toDF(*names[: len(df.columns)])  # names with dots can't pass
+    return plain.mapInArrow(run, T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema)])).toDF(*schema.names)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` once into the cluster's shared checkpoint folder and
     reads it back: lineage is cut, the plan runs once, and any executor can

@@ -16,7 +16,8 @@ If no word of a text votes, or on a tie, the language with more training rows
 wins, then the smaller name. Without any labelled row everything is ``und``.
 Rows with a null language never train; null ids count as empty text for the
 hash; repeated rows are predicted alike; an empty table gives an empty
-result; other columns pass through.
+result; other columns pass through, but ``lang_pred`` and ``score`` are
+replaced.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxtab.llm.common import materialise
+from voxtab.llm.common import add_columns, materialise
 
 FIT_ROWS = 3_000
 MAX_WORDS = 150_000
@@ -87,16 +88,14 @@ def _grams(words: DataFrame) -> DataFrame:
     """N-grams of the distinct words, each as often as its word occurs."""
     marked = F.concat(F.lit("<"), "token", F.lit(">"))
     size = F.length(marked)
-    cuts = F.concat(
-        *[
-            F.transform(
-                F.when(size >= k, F.sequence(F.lit(1), size - k + 1)).otherwise(F.array().cast("array<int>")),
-                lambda i, k=k: marked.substr(i, F.lit(k)),
-            )
-            for k in GRAMS
-        ]
-    )
-    return words.select("lang", "n", F.explode(cuts).alias("token")).groupBy("lang", "token").agg(F.sum("n").alias("n"))
+
+    def cuts(k: int) -> Column:
+        places = F.when(size >= k, F.sequence(F.lit(1), size - k + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: marked.substr(i, F.lit(k)))
+
+    # single letters come from the bare word: the marks alone say nothing
+    cut = F.concat(F.split("token", ""), *[cuts(k) for k in GRAMS if k > 1])
+    return words.select("lang", "n", F.explode(cut).alias("token")).groupBy("lang", "token").agg(F.sum("n").alias("n"))
 
 
 def _table(counts: DataFrame, limit: int, langs: list[str], by_length: bool) -> Table:
@@ -147,7 +146,8 @@ def scorer(model: Model):
             return model.words.votes[found]
         marked = f"<{word}>"
         for k in GRAMS:
-            hits = [g for i in range(len(marked) - k + 1) if (g := model.grams.row.get(marked[i : i + k])) is not None]
+            text = marked if k > 1 else word
+            hits = [g for i in range(len(text) - k + 1) if (g := model.grams.row.get(text[i : i + k])) is not None]
             if hits:
                 return model.grams.votes[hits].mean(axis=0)
         return 0.0
@@ -189,14 +189,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     under equal priors)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         one = scorer(shared.value)
-        for b in batches:
-            found = [one(t.as_py()) for t in b.column(b.schema.get_field_index(text))]
-            new = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, "lang_pred", "score"])
 
-    schema = T.StructType(
-        [*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
-    return docs.mapInArrow(run, schema)
+        def run(texts: pa.Array) -> list[pa.Array]:
+            found = [one(t.as_py()) for t in texts]
+            return [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+
+        return run
+
+    return add_columns(docs, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], start)

@@ -16,13 +16,13 @@ Rows are scanned where they lie: no shuffle, nothing kept between rows.
 Defined cases: a null text counts as empty and has no words, labels or
 places, and score 0. Overlapping places of a phrase all count. Texts of any
 length are scanned whole; repeated rows are scanned alike; an empty table
-gives an empty result; other columns pass through.
+gives an empty result; other columns pass through, but one named as the
+result is replaced.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from voxtab.llm.common import LOWER, UPPER
+from voxtab.llm.common import LOWER, UPPER, add_columns
 
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 BASE_CONFIDENCE = 0.5
@@ -302,15 +302,12 @@ def scan(docs: DataFrame, text: str = "text", signatures: list[Rule] | None = No
     detected spans (character places in the text)."""
     chosen = rules() if signatures is None else signatures
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         scanner = Scanner(chosen)
-        for b in batches:
-            rows = [scan_text(t.as_py() or "", scanner) for t in b.column(b.schema.get_field_index(text))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, _STRUCT)], names=[*b.schema.names, out])
+        return lambda texts: [pa.array([scan_text(t.as_py() or "", scanner) for t in texts], _STRUCT)]
 
     kind = (
         "struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string,labels:string,"
         "score:double,spans:array<struct<start:bigint,stop:bigint,label:string,confidence:double>>>"
     )
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T._parse_datatype_string(kind))])
-    return docs.mapInArrow(run, schema)
+    return add_columns(docs, text, [T.StructField(out, T._parse_datatype_string(kind))], start)

@@ -171,4 +171,4 @@ def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     new = {"text": F.when(F.col("text").isNotNull(), F.col(out)["cleaned"])}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(new["text"]).cast(docs.schema["n_chars"].dataType)
-    return judged.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return judged.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxtab.llm.common import free_name, materialise, require
+from voxtab.llm.common import add_columns, free_name, materialise, require
 from voxtab.plans.graph import connected_components
 
 SHINGLE, MAX_BITS, BANDS = 4, 4, 3
@@ -75,14 +75,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", out: str = "fp") -> DataFrame:
     """``docs`` plus ``out``."""
-    require(docs, [text])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = [fingerprint(t.as_py(), shingle) for t in b.column(b.schema.get_field_index(text))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps, pa.int64())], names=[*b.schema.names, out])
+    def start():
+        return lambda texts: [pa.array([fingerprint(t.as_py(), shingle) for t in texts], pa.int64())]
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())]))
+    return add_columns(docs, text, [T.StructField(out, T.LongType())], start)
 
 
 @dataclass

@@ -21,7 +21,8 @@ term has no neighbours; its score is the calibrated share of toxic rows among
 examples without terms. Without labelled rows every score is 0. Rows with a
 null label never train; a document labelled twice is toxic if any label says
 so; equal similarities are ordered by the example's number. Repeated rows are
-scored alike; an empty table gives an empty result; other columns pass.
+scored alike; an empty table gives an empty result; other columns pass, but
+``score`` and ``evidence`` are replaced.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxtab.llm.common import materialise
+from voxtab.llm.common import add_columns, materialise
 
 MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 4_000, 8_000, 4_000
 NEIGHBOURS = 15
@@ -293,20 +294,22 @@ def _calibrate(spark, model: Model, table) -> Model:
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` plus ``score`` and ``evidence`` (the neighbours)."""
-    extra = T.StructType.fromDDL("score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>")
-    schema = T.StructType([*docs.schema.fields, *extra.fields])
+    fields = T._parse_datatype_string("score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>").fields
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         m = shared.value
-        for b in batches:
+
+        def run(texts: pa.Array) -> list[pa.Array]:
             scores, evidence = [], []
-            for t in b.column(b.schema.get_field_index(text)):
+            for t in texts:
                 s, near, sims = m.score(t.as_py()) if m else (0.0, (), ())
                 scores.append(min(1.0, max(0.0, s)))
-                evidence.append([{"doc_id": int(m.index.ids[i]), "similarity": float(x), "toxic": int(m.index.toxic[i])} for i, x in zip(near, sims, strict=True)])
-            new = [pa.array(scores, pa.float64()), pa.array(evidence, kind)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, "score", "evidence"])
+                seen = zip(near, sims, strict=True)
+                evidence.append([{"doc_id": int(m.index.ids[i]), "similarity": float(x), "toxic": int(m.index.toxic[i])} for i, x in seen])
+            return [pa.array(scores, pa.float64()), pa.array(evidence, kind)]
+
+        return run
 
-    return docs.mapInArrow(run, schema)
+    return add_columns(docs, text, fields, start)
