@@ -97,7 +97,57 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-@query("op7_quality_rules")
+_OP7_SQL = r"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+    w AS (SELECT doc_id, x, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda e: e <> '') AS w FROM t),
+    windows AS (
+      SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, five) AS times
+      FROM (SELECT doc_id, p, list_slice(w, p, p + 4) AS five FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM w))
+    ),
+    covered AS (
+      SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(p, p + 5)) AS at FROM windows WHERE times > 1) GROUP BY doc_id
+    ),
+    parts AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS l FROM t),
+    lines AS (SELECT doc_id, l, list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda e: e <> '') AS lw FROM parts),
+    told AS (
+      SELECT doc_id, l, lw, len(lw) AS n, length(array_to_string(lw, '')) AS chars,
+             length(regexp_replace(l, '[^#*$%&|<>]+', '', 'g')) AS symbols,
+             len(list_filter(lw, lambda e: regexp_full_match(e, '[|»›·•/\\>-]+'))) AS separators,
+             len(list_filter(lw, lambda e: regexp_matches(e, '[!?]{2,}$'))) AS shouts,
+             len(list_filter(range(2, len(lw) + 1), lambda i: lw[i] = lw[i - 1])) AS repeats,
+             length(regexp_replace(l, '[^\p{Lu}]+', '', 'g')) AS caps, length(regexp_replace(l, '[^\p{L}]+', '', 'g')) AS letters,
+             regexp_matches(l, '[.!?:;…。！？"''”’»)\]][\x20\x09-\x0D]*$') AS ended,
+             regexp_matches(lower(l), '\b(BOILERPLATE)\b') AS boiler
+      FROM lines
+    ),
+    judged AS (
+      SELECT doc_id, l, n, chars, n = 0 OR NOT (
+        symbols > CAST(0.1 AS DOUBLE) * chars OR separators > CAST(0.2 AS DOUBLE) * n OR (n >= 3 AND shouts > CAST(0.3 AS DOUBLE) * n)
+        OR (n >= 8 AND repeats > CAST(0.3 AS DOUBLE) * n)
+        OR (caps > CAST(0.7 AS DOUBLE) * 20 AND caps > CAST(0.7 AS DOUBLE) * letters) OR (n < 3 AND NOT ended) OR (n <= 20 AND boiler)
+      ) AS ok FROM told
+    ),
+    docs AS (
+      SELECT doc_id, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS n_dup_lines,
+             coalesce(sum(chars) FILTER (ok), 0) AS left_chars
+      FROM judged GROUP BY doc_id
+    ),
+    base AS (
+      SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(regexp_replace(x, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, n_dup_lines, coalesce(n, 0) AS n_repeat_words, left_chars
+      FROM w JOIN docs USING (doc_id) LEFT JOIN covered USING (doc_id)
+    ),
+    failed AS (
+      SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+             CASE WHEN word_chars = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE - left_chars::DOUBLE / word_chars::DOUBLE END AS loss
+      FROM base
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND loss <= 0.5 AS kept, loss FROM failed
+""".replace("BOILERPLATE", quality_rules.BOILERPLATE)
+
+
+@query("op7_quality_rules", _OP7_SQL)
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
