@@ -3,6 +3,9 @@ and manifest rendering."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +67,13 @@ def union_results(results: DataFrame, key: str = "path", order: str = "chunk", t
     return results.groupBy(key).agg(F.max_by(F.col(text), F.col(order)).alias(text))
 
 
+def union_tables(tables: Sequence[DataFrame], key: str = "path", text: str = "text") -> DataFrame:
+    """H5 over several result tables: for each path the row of the last table
+    that has it."""
+    ranked = [t.select(key, text).withColumn("_rank", F.lit(i)) for i, t in enumerate(tables)]
+    return union_results(reduce(DataFrame.unionByName, ranked), key, "_rank", text)
+
+
 def pair_transcripts(files: DataFrame, transcripts: DataFrame, key: str = "path") -> DataFrame:
     """H6: audio paired with its transcript; a missing transcript drops the
     row (inner join)."""

@@ -172,9 +172,20 @@ def a9_path_collisions(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- B1-B4
+# every eleventh length makes a header that could not be read
+_UNREADABLE_SQL = """, infos AS (
+  SELECT path, lang, frames, channels, CASE WHEN frames // 1000 % 11 = 0 THEN NULL ELSE rate END AS rate FROM v_infos)
+"""
+
+
+def _unreadable(infos):
+    return infos.withColumn("rate", F.when(F.expr("(frames div 1000) % 11") != 0, F.col("rate")))
+
+
 @register(
     "b1_separation_eligibility",
     with_views("v_infos")
+    + _UNREADABLE_SQL
     + """SELECT path, status, reason FROM (
   SELECT path,
          CASE WHEN rate IS NULL THEN 'failed'
@@ -182,24 +193,25 @@ def a9_path_collisions(spark, sf_dir):
          CASE WHEN rate IS NULL THEN 'cannot read audio info'
               WHEN NOT (rate IN (44100, 48000) AND channels = 2)
               THEN 'current audio: ' || rate || 'Hz, ' || channels || 'ch, not accepted by the separator' END AS reason
-  FROM v_infos)""",
+  FROM infos)""",
 )
 def b1_separation_eligibility(spark, sf_dir):
-    return B.eligible_for_separation(v_infos(spark, sf_dir)).select("path", "status", "reason")
+    return B.eligible_for_separation(_unreadable(v_infos(spark, sf_dir))).select("path", "status", "reason")
 
 
 @register(
     "b2_resample_guard",
     with_views("v_infos", "v_files")
+    + _UNREADABLE_SQL
     + """, e AS (SELECT DISTINCT path AS out_path FROM v_files WHERE doc_id % 2 = 0)
 SELECT path, CASE WHEN rate IS NULL OR rate < 44100 OR e.out_path IS NOT NULL THEN 'skipped' ELSE 'todo' END AS status,
        CASE WHEN rate IS NULL THEN 'file not found'
             WHEN rate < 44100 THEN 'sample rate too low: ' || rate || 'Hz'
             WHEN e.out_path IS NOT NULL THEN 'output exists' END AS reason
-FROM v_infos LEFT JOIN e ON v_infos.path = e.out_path""",
+FROM infos LEFT JOIN e ON infos.path = e.out_path""",
 )
 def b2_resample_guard(spark, sf_dir):
-    infos = v_infos(spark, sf_dir).withColumn("out_path", F.col("path"))
+    infos = _unreadable(v_infos(spark, sf_dir)).withColumn("out_path", F.col("path"))
     existing = v_files(spark, sf_dir).where(F.col("doc_id") % 2 == 0).select(F.col("path").alias("out_path"))
     return B.resample_guard(infos, 44100, existing=existing).select("path", "status", "reason")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from voxtab.operators import text as H
 from voxtab.plans.registry import register
 from voxtab.sources.views import table, v_files, v_turns, with_views
@@ -32,10 +34,13 @@ def h2_join_pieces(spark, sf_dir):
 
 @register(
     "h3_canonical_lang",
-    "SELECT doc_id, CASE WHEN lang = 'jp' THEN 'ja' ELSE lang END AS lang FROM documents",
+    "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'ja' ELSE lang END AS lang FROM documents",
 )
 def h3_canonical_lang(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", H.canonical_lang("lang").alias("lang"))
+    """Every fifth document is marked ``jp``, as some engines write it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    marked = docs.withColumn("lang", F.when(F.col("doc_id") % 5 == 0, "jp").otherwise(F.col("lang")))
+    return marked.select("doc_id", H.canonical_lang("lang").alias("lang"))
 
 
 @register(
@@ -55,6 +60,20 @@ def h5_union_results(spark, sf_dir):
     return H.union_results(v_turns(spark, sf_dir), "conv_id", "turn", text="piece").withColumnRenamed("piece", "text")
 
 
+@register(
+    "h5_union_tables",
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source WHEN doc_id % 2 = 0 THEN lang ELSE CAST(n_chars AS VARCHAR) END AS text
+FROM documents""",
+)
+def h5_union_tables(spark, sf_dir):
+    """Three result tables of one corpus; the later table wins."""
+    docs = table(spark, sf_dir, "documents")
+    first = docs.select("doc_id", F.col("n_chars").cast("string").alias("text"))
+    second = docs.where(F.col("doc_id") % 2 == 0).select("doc_id", F.col("lang").alias("text"))
+    third = docs.where(F.col("doc_id") % 3 == 0).select("doc_id", F.col("source").alias("text"))
+    return H.union_tables([first, second, third], "doc_id")
+
+
 @register(
     "h6_pair_transcripts",
     "SELECT d.doc_id, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
