@@ -200,11 +200,16 @@ def loudness_report(before: DataFrame, after: DataFrame, key=("utt_id",)) -> Dat
 # ----------------------------------------------------------------- blocks with halos
 def with_halo(blocks: DataFrame, halo: int, key=("utt_id",)) -> DataFrame:
     """Attach the last ``halo`` samples of the previous block and the first
-    ``halo`` of the next (equi-joins on ``block_no ± 1``); blocks must hold
-    at least ``halo`` samples."""
+    ``halo`` of the next (equi-joins on ``block_no ± 1``). A block that has a
+    successor must hold at least ``halo`` samples; a shorter one fails the job
+    when its tail is read."""
     keys = list(key) if not isinstance(key, str) else [key]
-    prev = blocks.select(*keys, (F.col("block_no") + 1).alias("block_no"),
-                         F.slice("samples", F.greatest(F.size("samples") - halo + 1, F.lit(1)), halo).alias("prev_tail"))
+    tail = F.when(
+        F.size("samples") < halo, F.raise_error(F.concat(F.lit(f"a block is shorter than the halo of {halo} samples: "), F.size("samples")))
+    ).otherwise(F.slice("samples", F.greatest(F.size("samples") - halo + 1, F.lit(1)), halo))
+    last = blocks.groupBy(*keys).agg(F.max("block_no").alias("_last"))
+    held = blocks.join(last, keys).where(F.col("block_no") < F.col("_last"))
+    prev = held.select(*keys, (F.col("block_no") + 1).alias("block_no"), tail.alias("prev_tail"))
     nxt = blocks.select(*keys, (F.col("block_no") - 1).alias("block_no"), F.slice("samples", 1, halo).alias("next_head"))
     return blocks.join(prev, [*keys, "block_no"], "left").join(nxt, [*keys, "block_no"], "left")
 
@@ -266,14 +271,14 @@ def resample(blocks: DataFrame, rate_from: int, rate_to: int, key=("utt_id",), h
                 k0 = -(-s0 * up // down)
                 k1 = min(-(-(s0 + len(x)) * up // down), -(-n_total * up // down))
                 ys = np.zeros(max(k1 - k0, 0))
-                for j, k in enumerate(range(k0, k1)):
-                    lo = max(-(-(k * down + c - (len(h) - 1)) // up), 0)
-                    hi = min((k * down + c) // up, n_total - 1)
-                    n = np.arange(lo, hi + 1)
-                    t = k * down - n * up + c
+                taps = np.arange((len(h) - 1) // up + 1)  # of one output's phase, newest input first
+                for i in range(0, len(ys), 4096):
+                    newest, phase = np.divmod(np.arange(k0 + i, min(k0 + i + 4096, k1)) * down + c, up)
+                    n, t = newest[:, None] - taps, phase[:, None] + taps * up
                     idx = n - ext_start
-                    ok = (idx >= 0) & (idx < len(ext))
-                    ys[j] = float(np.dot(ext[idx[ok]], h[t[ok]]))
+                    ok = (t < len(h)) & (n >= 0) & (n < n_total) & (idx >= 0) & (idx < len(ext))
+                    x_at, h_at = ext[np.where(ok, idx, 0)], h[np.where(ok, t, 0)]
+                    ys[i : i + len(newest)] = (np.where(ok, x_at, 0.0) * h_at).sum(axis=1)
                 out.append({**{k_: r[k_] for k_ in keys}, "block_no": r["block_no"], "start": k0, "samples": ys.tolist()})
             if out:
                 yield pd.DataFrame(out)
@@ -297,6 +302,22 @@ def _biquad(b, a, x, zi=None):
     return y
 
 
+def _filtered(sections, x, responses: dict):
+    """``x`` through biquad sections from zero state, as an FFT convolution
+    with their impulse response (computed once per length)."""
+    import numpy as np
+
+    n = len(x)
+    size = 1 << max(1, 2 * n - 1).bit_length()
+    if n not in responses:
+        y = np.zeros(n)
+        y[:1] = 1.0
+        for b, a in sections:
+            y = _biquad(b, a, y)
+        responses[n] = np.fft.rfft(y, size)
+    return np.fft.irfft(np.fft.rfft(x, size) * responses[n], size)[:n]
+
+
 def k_weighting_coefficients(rate: float):
     """BS.1770 pre-filter as two RBJ biquads: high shelf (+4 dB, 1500 Hz,
     Q 1/√2) then high pass (38 Hz, Q 0.5)."""
@@ -331,7 +352,7 @@ def k_weight(blocks: DataFrame, rate: int, key=("utt_id",), warmup_s: float = 0.
 
     keys = list(key) if not isinstance(key, str) else [key]
     halo = int(warmup_s * rate)
-    (sb, sa), (hb, ha) = k_weighting_coefficients(rate)
+    sections = k_weighting_coefficients(rate)
     schema = T.StructType(
         [blocks.schema[k] for k in keys]
         + [T.StructField("block_no", T.LongType()), T.StructField("start", T.LongType()),
@@ -340,13 +361,14 @@ def k_weight(blocks: DataFrame, rate: int, key=("utt_id",), warmup_s: float = 0.
     src = with_halo(blocks, halo, keys)
 
     def fn(batches):
+        responses: dict = {}
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 r = r._asdict()
                 x = np.asarray(r["samples"], dtype=np.float64)
                 pt = np.asarray(r["prev_tail"] if r["prev_tail"] is not None else [], dtype=np.float64)
-                y = _biquad(hb, ha, _biquad(sb, sa, np.concatenate([pt, x])))[len(pt):]
+                y = _filtered(sections, np.concatenate([pt, x]), responses)[len(pt):]
                 out.append({**{k_: r[k_] for k_ in keys}, "block_no": r["block_no"], "start": r["start"], "samples": y.tolist()})
             if out:
                 yield pd.DataFrame(out)
@@ -354,6 +376,20 @@ def k_weight(blocks: DataFrame, rate: int, key=("utt_id",), warmup_s: float = 0.
     return src.mapInPandas(fn, schema)
 
 
+def power_by_bucket(blocks: DataFrame, step: int, key=("utt_id",)) -> DataFrame:
+    """Sums of squares per ``step`` samples of each block: ``(key, bucket,
+    ss, cnt)``, a bucket being ``idx div step``. One row per block and bucket;
+    samples are never rows."""
+    keys = list(key) if not isinstance(key, str) else [key]
+    first, last = F.floor(F.col("start") / step), F.floor((F.col("start") + F.size("samples") - 1) / step)
+    lo = F.greatest(F.col("bucket") * step - F.col("start"), F.lit(0))
+    hi = F.least((F.col("bucket") + 1) * step - F.col("start"), F.size("samples"))
+    cut = F.slice("samples", (lo + 1).cast("int"), (hi - lo).cast("int"))
+    parts = blocks.where(F.size("samples") > 0).select(*keys, "start", "samples", F.explode(F.sequence(first, last)).alias("bucket"))
+    power = F.aggregate(cut, F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
+    return parts.select(*keys, "bucket", power.alias("ss"), F.size(cut).alias("cnt"))
+
+
 def gating_blocks(blocks: DataFrame, rate: int, key=("utt_id",), block_s: float = 0.4, overlap: float = 0.75) -> DataFrame:
     """BS.1770 gating blocks: mean square over ``block_s`` windows every
     ``block_s·(1 − overlap)`` seconds, from partial sums of squares per step
@@ -361,10 +397,9 @@ def gating_blocks(blocks: DataFrame, rate: int, key=("utt_id",), block_s: float
     keys = list(key) if not isinstance(key, str) else [key]
     step = int(round(block_s * (1 - overlap) * rate))
     per = int(round(1 / (1 - overlap)))
-    x = blocks.select(*keys, "start", F.posexplode("samples").alias("o", "v"))
-    sub = x.groupBy(*keys, F.floor((F.col("start") + F.col("o")) / step).alias("sub")).agg(
-        F.sum(F.col("v") * F.col("v")).alias("ss"), F.count(F.lit(1)).alias("cnt"))
-    n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sub = power_by_bucket(blocks, step, keys).groupBy(*keys, F.col("bucket").alias("sub")).agg(
+        F.sum("ss").alias("ss"), F.sum("cnt").alias("cnt"))
+    n = blocks.groupBy(*keys).agg(F.sum(F.size("samples")).alias("_n"))
     fed = sub.select(*keys, "ss", "cnt", F.explode(F.sequence(F.col("sub") - (per - 1), F.col("sub"))).alias("j"))
     win = fed.groupBy(*keys, "j").agg(F.sum("ss").alias("ss"), F.sum("cnt").alias("cnt")).join(n, keys)
     full = (F.col("j") >= 0) & ((F.col("j") + per) * step <= F.col("_n"))
