@@ -22,13 +22,13 @@ replaced.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +41,7 @@ MAX_GRAMS = 150_000
 #: Lengths of n-grams, longest first.
 GRAMS = (5, 4, 3, 2, 1)
 CACHE_WORDS = 300_000
-WORD = regex.compile(r"\p{L}+")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 @dataclass
@@ -164,7 +164,7 @@ def scorer(model: Model):
 
     def score(text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
-        if not words or not model.langs:
+        if not model.langs or not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
         total = np.zeros(len(model.langs))
         for i in range(0, len(words), 50_000):

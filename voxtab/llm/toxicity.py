@@ -27,13 +27,13 @@ scored alike; an empty table gives an empty result; other columns pass, but
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +47,9 @@ SOFTEN = 0.05
 #: Least chi-square of a term with the toxic label (p < 0.0001), and least examples that hold it.
 MIN_CHI2, MIN_EXAMPLES = 15.1, 3
 STEMS = (4, 5)
-WORD = regex.compile(r"\p{L}+")
+WORD = re.compile(r"[^\W\d_]+")
+#: What a worker keeps: looked-up words, and neighbours of equal term counts.
+CACHE_WORDS, CACHE_VECTORS = 300_000, 20_000
 
 
 def terms(text: str | None) -> Counter:
@@ -102,14 +104,14 @@ class Index:
         order = np.argsort(-bound, kind="stable")
         best = np.zeros(0)
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for i in range(0, n_blocks, 8):  # eight blocks at a time
-            some = order[i : i + 8]
+        for first, last in ((0, 8), (8, n_blocks)):  # the best blocks, then all that can still hold a neighbour
+            some = order[first:last]
             some = some[bound[some] > 0]
             kth = best[-1] if len(best) == k else 0.0
             some = some[bound[some] >= kth * (1 - 1e-9)]
             if not len(some):
                 break
-            sims = self._score(np.sort(some), term, weight)
+            sims = self._score(some, term, weight)
             at = np.flatnonzero(sims[1] > 0)
             ids, s = sims[0][at], sims[1][at]
             if without >= 0:
@@ -123,17 +125,44 @@ class Index:
         return ids[top], s[top]
 
     def _score(self, blocks: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sums = np.zeros((len(blocks), BLOCK))
+        """Examples of ``blocks`` and their similarity."""
+        wanted = np.zeros((len(self.ids) + BLOCK - 1) // BLOCK, bool)
+        wanted[blocks] = True
+        sums = np.zeros(len(wanted) * BLOCK)
         for t, w in zip(term, weight, strict=True):
             a, b = self.block_starts[t], self.block_starts[t + 1]
-            held = self.block[a:b]
-            at = np.searchsorted(held, blocks)
-            for row, j in enumerate(at):
-                if j < len(held) and held[j] == blocks[row]:
-                    p, q = self.block_at[a + j], self.block_at[a + j + 1]
-                    sums[row, self.example[p:q] % BLOCK] += w * self.weight[p:q]
-        ids = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        return ids, sums.ravel()
+            held = np.flatnonzero(wanted[self.block[a:b]]) + a
+            if len(held) < 16:  # a few posting blocks: each by itself
+                for j in held:
+                    p, q = self.block_at[j], self.block_at[j + 1]
+                    sums[self.example[p:q]] += w * self.weight[p:q]
+            else:
+                p, q = self.starts[t], self.starts[t + 1]
+                at = self.example[p:q]
+                some = wanted[at // BLOCK]
+                sums[at[some]] += w * self.weight[p:q][some]
+        found = np.flatnonzero(sums)
+        return found, sums[found]
+
+
+class Hits(dict):
+    """Word -> numbers of the vocabulary's terms it counts for; looked up
+    once per word, at most ``CACHE_WORDS`` kept."""
+
+    def __init__(self, number: dict[str, int]):
+        self.number = number
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        keys = [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
+        found = self[word] = tuple(i for k in keys if (i := self.number.get(k)) is not None)
+        return found
+
+    def count(self, text: str | None) -> Counter:
+        """How often the text counts for each term that it has."""
+        words = WORD.findall(text.lower()) if text else []
+        return Counter(i for t in filter(None, map(self.__getitem__, words)) for i in t)
 
 
 @dataclass
@@ -145,8 +174,8 @@ class Model:
     votes: np.ndarray  # knots of the calibration curve
     scores: np.ndarray
 
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        held = sorted((i, n) for t, n in terms(text).items() if (i := self.number.get(t)) is not None)
+    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        held = sorted(counts.items())
         if not held:
             return np.zeros(0, int), np.zeros(0)
         at = np.array([i for i, _ in held])
@@ -157,9 +186,9 @@ class Model:
         w = 1.0 / (np.maximum(1.0 - sims, 0.0) + SOFTEN)
         return float((w * self.index.toxic[near]).sum() / w.sum())
 
-    def score(self, text: str | None):
-        """(score, neighbours, similarities)."""
-        at, w = self.vector(text)
+    def score(self, counts: Counter):
+        """(score, neighbours, similarities) of a text's term counts."""
+        at, w = self.vector(counts)
         near, sims = self.index.nearest(at, w, NEIGHBOURS) if len(at) else (np.zeros(0, int), np.zeros(0))
         if not len(near):
             return self.base, near, sims
@@ -180,9 +209,23 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return knots, np.repeat([p[2] / p[3] for p in pools], 2)
 
 
-def _count(column: str, keep: frozenset | None, *sums: str):
-    """Per batch: how many texts hold each term (of ``keep``, if given), and
-    the sums of the ``sums`` columns over those texts."""
+def _count_known(column: str, number: dict[str, int]):
+    """Per task: how many texts hold each term of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits, n = Hits(number), np.zeros(len(number), np.int64)
+        for b in batches:
+            for t in b[column]:
+                n[list(hits.count(t.as_py()))] += 1
+        held = np.flatnonzero(n)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(held), "n": pa.array(n[held])})
+
+    return run
+
+
+def _count(column: str, *sums: str):
+    """Per batch: how many texts hold each term, and the sums of the ``sums``
+    columns over those texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -190,11 +233,10 @@ def _count(column: str, keep: frozenset | None, *sums: str):
             others = [b[c].to_pylist() for c in sums]
             for i, t in enumerate(b[column]):
                 for term in terms(t.as_py()):
-                    if keep is None or term in keep:
-                        at = n.setdefault(term, [0] * (1 + len(sums)))
-                        at[0] += 1
-                        for j, o in enumerate(others):
-                            at[1 + j] += o[i]
+                    at = n.setdefault(term, [0] * (1 + len(sums)))
+                    at[0] += 1
+                    for j, o in enumerate(others):
+                        at[1 + j] += o[i]
             cols = {"term": list(n), "n": [v[0] for v in n.values()]}
             cols |= {c: [v[1 + j] for v in n.values()] for j, c in enumerate(sums)}
             schema = pa.schema([("term", pa.string()), ("n", pa.int64()), *[(c, pa.int64()) for c in sums]])
@@ -224,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     if not n:
         return None
     clean = n - toxic
-    counts = picked.mapInArrow(_count("text", None, "toxic"), "term string, n long, toxic long")
+    counts = picked.mapInArrow(_count("text", "toxic"), "term string, n long, toxic long")
     counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= MIN_EXAMPLES)
     a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
     chi2 = n * F.pow(a * (clean - b) - b * (toxic - a), 2) / ((a + b) * (n - a - b) * float(toxic * clean) + 1e-9)
@@ -236,20 +278,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         .limit(MAX_TERMS)
     )
     vocabulary = sorted(r["term"] for r in chosen.select("term").collect())
-    keep = frozenset(vocabulary)
-    held = docs.select("text").mapInArrow(_count("text", keep), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    number = {t: i for i, t in enumerate(vocabulary)}
+    held = docs.select("text").mapInArrow(_count_known("text", number), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = {r["term"]: r["n"] for r in held.collect()}  # at most MAX_TERMS rows
     n_docs = docs.count()
-    idf = np.array([1 + np.log((n_docs + 1) / (frequency.get(t, 0) + 1)) for t in vocabulary])
-    number = {t: i for i, t in enumerate(vocabulary)}
+    idf = np.array([1 + np.log((n_docs + 1) / (frequency.get(i, 0) + 1)) for i in range(len(vocabulary))])
     empty = Index.build([], [], *(np.zeros(0, int),) * 2, np.zeros(0), len(vocabulary))
     model = Model(number, idf, empty, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     shared = spark.sparkContext.broadcast(model)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = Hits(shared.value.number)
         for batch in batches:
-            found = [shared.value.vector(t.as_py()) for t in batch["text"]]
+            found = [shared.value.vector(hits.count(t.as_py())) for t in batch["text"]]
             cols = [batch["doc_id"], batch["toxic"], batch["share"]]
             cols += [pa.array([x[0].tolist() for x in found], pa.list_(pa.int64())), pa.array([x[1].tolist() for x in found], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "toxic", "share", "at", "w"])
@@ -300,15 +342,23 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
     def start():
         m = shared.value
+        hits, known = Hits(m.number if m else {}), {}
+
+        def one(text: str | None) -> tuple[float, list[dict]]:
+            counts = hits.count(text)
+            key = frozenset(counts.items())
+            if key not in known:  # equal counts have equal neighbours
+                if len(known) >= CACHE_VECTORS:
+                    known.clear()
+                s, near, sims = m.score(counts) if m else (0.0, (), ())
+                seen = zip(near, sims, strict=True)
+                evidence = [{"doc_id": int(m.index.ids[i]), "similarity": float(x), "toxic": int(m.index.toxic[i])} for i, x in seen]
+                known[key] = min(1.0, max(0.0, s)), evidence
+            return known[key]
 
         def run(texts: pa.Array) -> list[pa.Array]:
-            scores, evidence = [], []
-            for t in texts:
-                s, near, sims = m.score(t.as_py()) if m else (0.0, (), ())
-                scores.append(min(1.0, max(0.0, s)))
-                seen = zip(near, sims, strict=True)
-                evidence.append([{"doc_id": int(m.index.ids[i]), "similarity": float(x), "toxic": int(m.index.toxic[i])} for i, x in seen])
-            return [pa.array(scores, pa.float64()), pa.array(evidence, kind)]
+            found = [one(t.as_py()) for t in texts]
+            return [pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], kind)]
 
         return run
 
