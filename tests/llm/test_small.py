@@ -200,6 +200,7 @@ def test_bpe(spark, docs, empty):
     df = docs.select("text", "ids").union(spark.createDataFrame([(t, "x") for t in odd], "text string, ids string"))
     got = bpe.decode(bpe.encode(df, mine), mine).collect()
     assert len(got) == df.count()
+    assert sorted(map(str, bpe.round_trip(df, mine).collect())) == sorted(map(str, got))
     for r in got:
         exp = library.encode(r.text or "", add_special_tokens=False).ids
         assert r.ids == exp and r.decoded == library.decode(exp, skip_special_tokens=False), r.text

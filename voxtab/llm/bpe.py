@@ -8,9 +8,9 @@ vocabulary's library puts between tokens.
 
 Rows are encoded where they are read: no shuffle, and the vocabulary (a
 fixed-size file, tens of thousands of entries) is broadcast. Each Python
-worker keeps the ids of pieces it has seen in a table of at most
-``CACHE_PIECES`` entries, which is emptied when full; this bounds memory and
-never changes a result. Ids of whole texts go into one Arrow column.
+worker keeps the ids of pieces it has seen in two tables of at most
+``CACHE_PIECES`` entries, the older of which goes when the newer is full; this
+bounds memory and never changes a result. Ids of whole texts go into one Arrow column.
 
 Character classes are those of Python's Unicode tables; the result equals the
 vocabulary's own library for every character that both tables know.
@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from voxtab.llm.common import add_columns
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 75_000
 #: What the split pattern's \\s matches.
 WHITE_SPACE = " \\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _POS_BITS = 40
@@ -123,17 +123,22 @@ def encoder(vocabulary: Vocabulary) -> Callable[[str], bytes]:
     special = vocabulary.special
     marks = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
     known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}  # the pieces before; those seen again move up
 
     def chunk(word: str) -> bytes:
         """Ids of a run of characters without white space."""
+        nonlocal known, older
         found = known.get(word)
         if found is None:
-            ids = array("i")
-            for p in pieces(word):
-                ids.extend(vocabulary.piece(p))
+            found = older.get(word)
+            if found is None:
+                ids = array("i")
+                for p in pieces(word):
+                    ids.extend(vocabulary.piece(p))
+                found = ids.tobytes()
             if len(known) >= CACHE_PIECES:
-                known.clear()
-            found = known[word] = ids.tobytes()
+                known, older = {}, known
+            known[word] = found
         return found
 
     def plain(text: str) -> bytes:
@@ -176,14 +181,35 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
     return add_columns(docs, text, [T.StructField(out, T.ArrayType(T.IntegerType()))], start)
 
 
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the rows."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def start():
+        one, back = encoder(shared.value), decoder(shared.value.strings, " ")
+
+        def run(texts: pa.Array) -> list[pa.Array]:
+            tokens = _lists([one(t.as_py() or "") for t in texts])
+            return [tokens, pa.array([back(r) for r in tokens], pa.string())]
+
+        return run
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.StringType())]
+    return add_columns(docs, text, fields, start)
+
+
+def decoder(strings: list[str], between: str) -> Callable[[pa.ListScalar], str]:
+    string = strings.__getitem__
+    return lambda r: between.join(map(string, r.values.to_numpy(zero_copy_only=False).tolist())) if r.is_valid else ""
+
+
 def decode(tokens: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded", between: str = " ") -> DataFrame:
     """``tokens`` plus ``out``: the vocabulary strings of ``ids`` joined by
     ``between``."""
     shared = tokens.sparkSession.sparkContext.broadcast(vocabulary.strings)
 
     def start():
-        string = shared.value.__getitem__
-        one = lambda r: between.join(map(string, r.values.to_numpy(zero_copy_only=False).tolist())) if r.is_valid else ""
+        one = decoder(shared.value, between)
         return lambda rows: [pa.array([one(r) for r in rows], pa.string())]
 
     return add_columns(tokens, ids, [T.StructField(out, T.StringType())], start)

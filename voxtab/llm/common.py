@@ -14,6 +14,8 @@ from voxtab.session import ensure_checkpoint_dir
 
 #: Characters that separate words: space and \t \n \x0b \f \r.
 SPACE = r"[\x20\x09-\x0D]"
+#: Rows of a batch that are worked on at a time.
+SLICE_ROWS = 256
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -79,8 +81,10 @@ def add_columns(df: DataFrame, source: str, fields: Sequence[T.StructField], sta
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, *compute(b.column(at))], names=names)
+        for whole in batches:
+            for i in range(0, whole.num_rows, SLICE_ROWS):  # small results at a time
+                b = whole.slice(i, SLICE_ROWS)
+                yield pa.RecordBatch.from_arrays([*b.columns, *compute(b.column(at))], names=names)
 
     plain = df.toDF(*names[: len(df.columns)])  # names with dots can't pass
     return plain.mapInArrow(run, T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema)])).toDF(*schema.names)

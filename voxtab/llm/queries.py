@@ -65,7 +65,7 @@ def encoded(docs: DataFrame, path: str, keep: tuple[str, ...] | list[str] = ("do
     """The ``keep`` columns, n_tokens, ids_sha256 and decoded_sha256 of an
     encode-decode round trip over doc_id and text."""
     vocabulary = bpe.Vocabulary.load(path)
-    tokens = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
+    tokens = bpe.round_trip(docs.select("doc_id", "text"), vocabulary)
     return tokens.select(
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),
