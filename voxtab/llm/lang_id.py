@@ -60,13 +60,12 @@ class Model:
     grams: Table
 
 
-def sample(docs: DataFrame, lang: str, text: str, fit_rows: int) -> DataFrame:
+def sample(docs: DataFrame, lang: str, text: str, counts: dict[str, int], fit_rows: int) -> DataFrame:
     """About ``fit_rows`` rows of each language, picked by the text's hash;
-    all rows of a language that has no more."""
-    some = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
-    share = some.groupBy(lang).agg((F.lit(float(fit_rows)) / F.count("*")).alias("_share"))
+    all rows of a language that has no more (``counts``: its rows)."""
+    share = F.create_map(*[F.lit(x) for code, n in counts.items() for x in (code, fit_rows / n)])
     place = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / float(1 << 30)
-    return some.withColumn("_place", place).join(share, lang).where("_place < _share").select(lang, text)
+    return docs.where(F.col(text).isNotNull() & (place < share[F.col(lang)])).select(lang, text)
 
 
 def _count_words(lang: str, text: str):
@@ -125,7 +124,7 @@ def fit(
     if not prior:
         return Model([], [], Table({}, np.zeros((0, 0))), Table({}, np.zeros((0, 0))))
     langs = [code for _, code in prior]
-    picked = sample(docs, lang, text, fit_rows)
+    picked = sample(docs, lang, text, {code: n for n, code in prior}, fit_rows)
     words = materialise(
         picked.mapInArrow(_count_words(lang, text), "lang string, token string, n long")
         .groupBy("lang", "token")

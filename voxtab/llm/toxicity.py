@@ -11,7 +11,7 @@ examples' own votes without themselves, turns the vote into a probability.
 The evidence is the neighbours, with their similarity and label.
 
 What is bounded: the examples (``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean
-rows, picked by a hash of the text) and the vocabulary (``MAX_TERMS``). So the
+rows, picked by a hash of the id) and the vocabulary (``MAX_TERMS``). So the
 index has a fixed size and is broadcast. Document frequencies count all
 documents, and every document is scored whole, where it lies: only term
 counts are shuffled, reduced in each task first.
@@ -247,14 +247,16 @@ def _count(column: str, *sums: str):
 
 def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic, share): the sampled labelled rows, and the share
-    of their class that was taken."""
+    of their class that was taken. The labels are sampled first, by a hash of
+    the id; what is left has a bounded size and is broadcast to the texts."""
     flags = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(flags, "doc_id")
-    bound = F.when(F.col("toxic") == 1, F.lit(float(MAX_TOXIC))).otherwise(F.lit(float(MAX_CLEAN)))
-    sizes = docs.select("doc_id").join(flags, "doc_id").groupBy("toxic").count()
-    shares = sizes.select("toxic", F.least(bound / F.col("count"), F.lit(1.0)).alias("share"))
-    place = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    return rows.join(shares, "toxic").where(place < F.col("share")).select("doc_id", "text", "toxic", "share")
+    sizes = {r["toxic"]: r["count"] for r in flags.groupBy("toxic").count().collect()}  # one row for each label value
+    share = F.lit(0.0)
+    for value, n in sizes.items():
+        share = F.when(F.col("toxic") == value, F.lit(min(1.0, (MAX_TOXIC if value == 1 else MAX_CLEAN) / n))).otherwise(share)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    some = flags.withColumn("share", share).where(place < F.col("share"))
+    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic", "share")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
