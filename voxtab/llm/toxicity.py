@@ -44,8 +44,9 @@ MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 4_000, 8_000, 4_000
 NEIGHBOURS = 15
 BLOCK = 64
 SOFTEN = 0.05
-#: Least chi-square of a term with the toxic label (p < 0.0001), and least examples that hold it.
-MIN_CHI2, MIN_EXAMPLES = 15.1, 3
+#: Least chi-square of a term with the toxic label (p < 0.0001), least examples that hold it, and least
+#: ratio of its toxic share to that of all examples.
+MIN_CHI2, MIN_EXAMPLES, MIN_LIFT = 15.1, 3, 2.0
 STEMS = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 #: What a worker keeps: looked-up words, and neighbours of equal term counts.
@@ -97,52 +98,40 @@ class Index:
         """The k nearest examples with a positive cosine, nearest first (ties
         by number), and their similarity. ``without``: an example left out."""
         n_blocks = (len(self.ids) + BLOCK - 1) // BLOCK
-        bound = np.zeros(n_blocks)
-        for t, w in zip(term, weight, strict=True):
-            a, b = self.block_starts[t], self.block_starts[t + 1]
-            bound[self.block[a:b]] += w * self.block_max[a:b]
+        lens = self.block_starts[term + 1] - self.block_starts[term]
+        runs = _ranges(self.block_starts[term], lens)  # the terms' posting blocks
+        held, part = self.block[runs], np.repeat(weight, lens)
+        bound = np.bincount(held, part * self.block_max[runs], n_blocks)
         order = np.argsort(-bound, kind="stable")
         best = np.zeros(0)
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for first, last in ((0, 8), (8, n_blocks)):  # the best blocks, then all that can still hold a neighbour
             some = order[first:last]
-            some = some[bound[some] > 0]
             kth = best[-1] if len(best) == k else 0.0
-            some = some[bound[some] >= kth * (1 - 1e-9)]
+            some = some[(bound[some] > 0) & (bound[some] >= kth * (1 - 1e-9))]
             if not len(some):
                 break
-            sims = self._score(some, term, weight)
-            at = np.flatnonzero(sims[1] > 0)
-            ids, s = sims[0][at], sims[1][at]
-            if without >= 0:
-                s, ids = s[ids != without], ids[ids != without]
-            found.append((ids, s))
-            best = np.sort(np.concatenate([best, s]))[::-1][:k]
+            wanted = np.zeros(n_blocks, bool)
+            wanted[some] = True
+            take = np.flatnonzero(wanted[held])
+            size = self.block_at[runs[take] + 1] - self.block_at[runs[take]]
+            at = _ranges(self.block_at[runs[take]], size)
+            sums = np.bincount(self.example[at], np.repeat(part[take], size) * self.weight[at], len(self.ids))
+            ids = np.flatnonzero(sums)
+            ids = ids[ids != without]
+            found.append((ids, sums[ids]))
+            best = np.sort(np.concatenate([best, sums[ids]]))[::-1][:k]
         if not found:
             return np.zeros(0, int), np.zeros(0)
         ids, s = (np.concatenate(x) for x in zip(*found, strict=True))
         top = np.lexsort((ids, -np.round(s, 9)))[:k]
         return ids[top], s[top]
 
-    def _score(self, blocks: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of ``blocks`` and their similarity."""
-        wanted = np.zeros((len(self.ids) + BLOCK - 1) // BLOCK, bool)
-        wanted[blocks] = True
-        sums = np.zeros(len(wanted) * BLOCK)
-        for t, w in zip(term, weight, strict=True):
-            a, b = self.block_starts[t], self.block_starts[t + 1]
-            held = np.flatnonzero(wanted[self.block[a:b]]) + a
-            if len(held) < 16:  # a few posting blocks: each by itself
-                for j in held:
-                    p, q = self.block_at[j], self.block_at[j + 1]
-                    sums[self.example[p:q]] += w * self.weight[p:q]
-            else:
-                p, q = self.starts[t], self.starts[t + 1]
-                at = self.example[p:q]
-                some = wanted[at // BLOCK]
-                sums[at[some]] += w * self.weight[p:q][some]
-        found = np.flatnonzero(sums)
-        return found, sums[found]
+
+def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges ``starts[i] .. starts[i] + lens[i]``."""
+    ends = np.cumsum(lens)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lens), lens)
 
 
 class Hits(dict):
@@ -273,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
     chi2 = n * F.pow(a * (clean - b) - b * (toxic - a), 2) / ((a + b) * (n - a - b) * float(toxic * clean) + 1e-9)
     chosen = (
-        counts.where(a * clean > b * toxic)
+        counts.where((a * clean > b * toxic) & (a * n >= MIN_LIFT * toxic * (a + b)))
         .withColumn("chi2", chi2)
         .where(F.col("chi2") >= MIN_CHI2)
         .orderBy(F.desc("chi2"), "term")
