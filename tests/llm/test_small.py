@@ -304,6 +304,25 @@ def test_nearest_equals_brute_force():
         assert near.tolist() == exp and np.allclose(sims, s[exp])
 
 
+def test_nearest_with_rare_and_frequent_terms():
+    rng = np.random.default_rng(16)
+    n, terms, k = 900, 400, 15
+    dense = np.where(rng.random((n, terms)) < 0.6 / np.arange(1, terms + 1) ** 0.7, rng.random((n, terms)), 0.0)
+    dense[:, -1] = dense[:, -2] = 0
+    dense[5:40] = dense[3]  # a crowd of equal examples
+    dense /= np.maximum(np.sqrt((dense**2).sum(1, keepdims=True)), 1e-12)
+    who, term = np.nonzero(dense)
+    index = toxicity.Index.build(np.arange(n), np.zeros(n), term, who, dense[who, term], terms)
+    assert 0 < len(index.dense[1]) < terms - 100
+    for q in range(0, n, 9):
+        at = np.flatnonzero(dense[q])
+        near, sims = index.nearest(at, dense[q, at], k, without=q)
+        s = np.round(dense @ dense[q], 9)
+        s[q] = 0
+        exp = [i for i in np.lexsort((np.arange(n), -s))[:k] if s[i] > 0]
+        assert near.tolist() == exp and np.allclose(sims, s[exp])
+
+
 def test_isotonic():
     x, y = np.array([0.1, 0.1, 0.4, 0.5, 0.9]), np.array([0.0, 1.0, 0.0, 1.0, 1.0])
     knots, values = toxicity.isotonic(x, y, np.ones(5))
@@ -325,6 +344,24 @@ def test_toxicity(spark, docs, empty):
     assert len(toxicity.score(docs, toxicity.fit(docs, labels)).collect()) == docs.count()
 
 
+def test_toxicity_uses_all_words(spark):
+    """Cosines over every word of the examples, also where most labels are toxic and a word tells nothing of them."""
+    rng = np.random.default_rng(18)
+    words = [f"{a}{b}x" for a in "abcdef" for b in "ghijklmn"]
+    rows = [(i, " ".join(rng.choice(words, 12))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels)
+    assert set(model.number) == {w for _, t in rows[:80] for w in t.split()}
+    tf = np.array([[t.split().count(w) for w in words] for _, t in rows], float)
+    df_ = (tf > 0).sum(0)
+    v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * (1 + np.log((len(rows) + 1) / (df_ + 1)))
+    v /= np.sqrt((v**2).sum(1, keepdims=True))
+    for r in toxicity.score(df, model).collect():
+        best = np.sort(v[:80] @ v[r.doc_id])[::-1][: toxicity.NEIGHBOURS]
+        assert np.allclose([e.similarity for e in r.evidence], best)
+
+
 def _listed(url):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host, path = (m[1], m[2]) if m else ("", "")

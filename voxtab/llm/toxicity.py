@@ -1,9 +1,11 @@
 """Toxicity by the nearest labelled examples.
 
-Texts become TF-IDF vectors over the terms that the labels associate with
-toxic text; the nearest examples by exact cosine come from an inverted index
-whose posting lists are cut into blocks of examples with their largest
-weight. A query's upper bound for a block is the sum of its terms' block
+Texts become TF-IDF vectors over all words of the examples and the first
+letters of longer ones; the nearest examples by exact cosine come from an
+inverted index whose posting lists are cut into blocks of examples with their
+largest weight. The most frequent terms are held as dense rows as well, and a
+batch of queries is multiplied with them at once. A query's upper bound for a
+block is its largest dense part there plus the sum of its other terms' block
 maxima; blocks are scored from the highest bound down until the bound falls
 below the k-th best similarity, so no neighbour is missed. Neighbours vote
 with weight 1 / (distance + ``SOFTEN``); an isotonic curve, fitted on the
@@ -11,14 +13,14 @@ examples' own votes without themselves, turns the vote into a probability.
 The evidence is the neighbours, with their similarity and label.
 
 What is bounded: the examples (``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean
-rows, picked by a hash of the id) and the vocabulary (``MAX_TERMS``). So the
-index has a fixed size and is broadcast. Document frequencies count all
-documents, and every document is scored whole, where it lies: only term
-counts are shuffled, reduced in each task first.
-
-Defined cases: a null text counts as empty. A text without any vocabulary
-term has no neighbours; its score is the calibrated share of toxic rows among
-examples without terms. Without labelled rows every score is 0. Rows with a
+rows, picked by a hash of the id). The vocabulary is theirs, no term is left
+out; the index grows with their texts only and is broadcast. Document
+frequencies count all documents, and every document is scored whole, where it
+lies: only term counts are shuffled, reduced in each task first.
+
+Defined cases: a null text counts as empty. A text without any term of the
+examples has no neighbours; its score is the share of toxic rows among
+examples without terms, or among all where each has some. Without labelled rows every score is 0. Rows with a
 null label never train; a document labelled twice is toxic if any label says
 so; equal similarities are ordered by the example's number. Repeated rows are
 scored alike; an empty table gives an empty result; other columns pass, but
@@ -27,10 +29,12 @@ scored alike; an empty table gives an empty result; other columns pass, but
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,29 +44,22 @@ from pyspark.sql import types as T
 
 from voxtab.llm.common import add_columns, materialise
 
-MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 4_000, 8_000, 4_000
+MAX_TOXIC, MAX_CLEAN = 4_000, 8_000
 NEIGHBOURS = 15
 BLOCK = 64
 SOFTEN = 0.05
-#: Least chi-square of a term with the toxic label (p < 0.0001), least examples that hold it, and least
-#: ratio of its toxic share to that of all examples.
-MIN_CHI2, MIN_EXAMPLES, MIN_LIFT = 15.1, 3, 2.0
 STEMS = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
+#: Terms with dense rows: so many at most, each held by one in so many examples; and queries multiplied at once.
+DENSE, DENSE_SHARE, BATCH = 1024, 16, 64
 #: What a worker keeps: looked-up words, and neighbours of equal term counts.
-CACHE_WORDS, CACHE_VECTORS = 300_000, 20_000
+CACHE_WORDS, CACHE_VECTORS = 300_000, 5_000
 
 
-def terms(text: str | None) -> Counter:
+def terms(text: str | None) -> set[str]:
     """Lower-cased words, and the first letters of longer ones."""
-    words = Counter(WORD.findall(text.lower())) if text else Counter()
-    stems: Counter = Counter()
-    for w, n in words.items():
-        for k in STEMS:
-            if len(w) > k:
-                stems[w[:k] + "*"] += n
-    words.update(stems)
-    return words
+    words = set(WORD.findall(text.lower())) if text else set()
+    return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
 
 
 @dataclass
@@ -84,31 +81,71 @@ class Index:
     @classmethod
     def build(cls, ids, toxic, term: np.ndarray, example: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
         order = np.lexsort((example, term))
-        term, example, weight = term[order], example[order], weight[order]
+        term, example, weight = term[order].astype(np.int32), example[order].astype(np.int32), weight[order]
+        del order
         starts = np.searchsorted(term, np.arange(n_terms + 1))
         blocks = example // BLOCK
         new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1])]) if len(term) else np.zeros(0, int)
         maxima = np.maximum.reduceat(weight, new) if len(new) else np.zeros(0)
         return cls(
             np.asarray(ids), np.asarray(toxic, float), starts, example, weight,
-            np.searchsorted(term[new], np.arange(n_terms + 1)), blocks[new], maxima, np.r_[new, len(term)],
+            np.searchsorted(term[new], np.arange(n_terms + 1)), blocks[new], maxima, np.r_[new, len(term)].astype(np.int32),
         )
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    @cached_property
+    def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, terms and weights of the examples' own vectors."""
+        order = np.argsort(self.example, kind="stable")
+        term = np.repeat(np.arange(len(self.starts) - 1, dtype=np.int32), np.diff(self.starts))
+        return np.r_[0, np.cumsum(np.bincount(self.example, minlength=len(self.ids)))], term[order], self.weight[order]
+
+    @cached_property
+    def dense(self) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each term (-1: none), and the rows of the most frequent terms."""
+        held = np.diff(self.starts)
+        some = np.argsort(-held, kind="stable")[:DENSE]
+        some = some[held[some] * DENSE_SHARE >= max(1, len(self.ids))]
+        row = np.full(len(held), -1)
+        row[some] = np.arange(len(some))
+        rows = np.zeros((len(some), len(self.ids)))
+        for i, t in enumerate(some):
+            at = slice(self.starts[t], self.starts[t + 1])
+            rows[i, self.example[at]] = self.weight[at]
+        return row, rows
+
+    def dense_parts(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Each vector's cosine with every example, by the dense rows alone."""
+        row, rows = self.dense
+        asked = np.zeros((len(vectors), len(rows)))
+        for q, (term, weight) in zip(asked, vectors, strict=True):
+            at = row[term]
+            q[at[at >= 0]] = weight[at >= 0]
+        return asked @ rows
+
+    def nearest(
+        self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1, part: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples with a positive cosine, nearest first (ties
-        by number), and their similarity. ``without``: an example left out."""
-        n_blocks = (len(self.ids) + BLOCK - 1) // BLOCK
+        by number), and their similarity to nine digits. ``without``: an
+        example left out; ``part``: the vector's row of ``dense_parts``."""
+        n = len(self.ids)
+        n_blocks = (n + BLOCK - 1) // BLOCK
+        if not n:
+            return np.zeros(0, int), np.zeros(0)
+        part = self.dense_parts([(term, weight)])[0] if part is None else part
+        sparse = self.dense[0][term] < 0
+        term, weight = term[sparse], weight[sparse]
         lens = self.block_starts[term + 1] - self.block_starts[term]
         runs = _ranges(self.block_starts[term], lens)  # the terms' posting blocks
-        held, part = self.block[runs], np.repeat(weight, lens)
-        bound = np.bincount(held, part * self.block_max[runs], n_blocks)
+        held, scale = self.block[runs], np.repeat(weight, lens)
+        bound = np.maximum.reduceat(part, np.arange(0, n, BLOCK)) + np.bincount(held, scale * self.block_max[runs], n_blocks)
         order = np.argsort(-bound, kind="stable")
         best = np.zeros(0)
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for first, last in ((0, 8), (8, n_blocks)):  # the best blocks, then all that can still hold a neighbour
             some = order[first:last]
             kth = best[-1] if len(best) == k else 0.0
-            some = some[(bound[some] > 0) & (bound[some] >= kth * (1 - 1e-9))]
+            some = some[(bound[some] > 0) & (bound[some] >= kth * (1 - 1e-9) - 1e-9)]
             if not len(some):
                 break
             wanted = np.zeros(n_blocks, bool)
@@ -116,15 +153,20 @@ class Index:
             take = np.flatnonzero(wanted[held])
             size = self.block_at[runs[take] + 1] - self.block_at[runs[take]]
             at = _ranges(self.block_at[runs[take]], size)
-            sums = np.bincount(self.example[at], np.repeat(part[take], size) * self.weight[at], len(self.ids))
-            ids = np.flatnonzero(sums)
+            sums = part + np.bincount(self.example[at], np.repeat(scale[take], size) * self.weight[at], n)
+            ids = np.flatnonzero(np.repeat(wanted, BLOCK)[:n] & (sums > 0))
             ids = ids[ids != without]
-            found.append((ids, sums[ids]))
-            best = np.sort(np.concatenate([best, sums[ids]]))[::-1][:k]
+            s = sums[ids]
+            if len(s) > k:  # equal ones to nine digits stay
+                near = s >= np.partition(s, len(s) - k)[len(s) - k] - 2e-9
+                ids, s = ids[near], s[near]
+            found.append((ids, s))
+            best = np.sort(np.concatenate([best, s]))[::-1][:k]
         if not found:
             return np.zeros(0, int), np.zeros(0)
         ids, s = (np.concatenate(x) for x in zip(*found, strict=True))
-        top = np.lexsort((ids, -np.round(s, 9)))[:k]
+        s = np.round(s, 9)
+        top = np.lexsort((ids, -s))[:k]
         return ids[top], s[top]
 
 
@@ -148,40 +190,55 @@ class Hits(dict):
         found = self[word] = tuple(i for k in keys if (i := self.number.get(k)) is not None)
         return found
 
-    def count(self, text: str | None) -> Counter:
-        """How often the text counts for each term that it has."""
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of the text, ascending, and how often it counts for each."""
         words = WORD.findall(text.lower()) if text else []
-        return Counter(i for t in filter(None, map(self.__getitem__, words)) for i in t)
+        return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), int), return_counts=True)
 
 
 @dataclass
 class Model:
+    """Postings of term t are entries ``starts[t]:starts[t+1]`` of
+    ``example`` and ``times``. Each process makes the index from them, which
+    is several times their size, so only they are sent."""
+
     number: dict[str, int]
     idf: np.ndarray
-    index: Index
+    ids: np.ndarray
+    toxic: np.ndarray
+    starts: np.ndarray
+    example: np.ndarray
+    times: np.ndarray  # how often the example counts for the term
     base: float
     votes: np.ndarray  # knots of the calibration curve
     scores: np.ndarray
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        held = sorted(counts.items())
-        if not held:
-            return np.zeros(0, int), np.zeros(0)
-        at = np.array([i for i, _ in held])
-        w = (1 + np.log([n for _, n in held])) * self.idf[at]
-        return at, w / np.sqrt((w * w).sum())
+    @cached_property
+    def index(self) -> Index:
+        term = np.repeat(np.arange(len(self.idf), dtype=np.int32), np.diff(self.starts))
+        w = (1 + np.log(self.times, dtype=float)) * self.idf[term]
+        w /= np.sqrt(np.bincount(self.example, w * w, len(self.ids)))[self.example]
+        return Index.build(self.ids, self.toxic, term, self.example, w, len(self.idf))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "index"}
+
+    def vector(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(counts)) * self.idf[at]
+        return at, w / np.sqrt((w * w).sum()) if len(at) else w
 
     def vote(self, near: np.ndarray, sims: np.ndarray) -> float:
         w = 1.0 / (np.maximum(1.0 - sims, 0.0) + SOFTEN)
         return float((w * self.index.toxic[near]).sum() / w.sum())
 
-    def score(self, counts: Counter):
-        """(score, neighbours, similarities) of a text's term counts."""
-        at, w = self.vector(counts)
-        near, sims = self.index.nearest(at, w, NEIGHBOURS) if len(at) else (np.zeros(0, int), np.zeros(0))
-        if not len(near):
-            return self.base, near, sims
-        return float(np.interp(self.vote(near, sims), self.votes, self.scores)), near, sims
+    def score(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator:
+        """(score, neighbours, similarities) for each text's term counts."""
+        vectors = [self.vector(*c) for c in counts]
+        for i in range(0, len(vectors), BATCH):
+            some = vectors[i : i + BATCH]
+            for (at, w), part in zip(some, self.index.dense_parts(some), strict=True):
+                near, sims = self.index.nearest(at, w, NEIGHBOURS, part=part)
+                yield float(np.interp(self.vote(near, sims), self.votes, self.scores)) if len(near) else self.base, near, sims
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,31 +262,21 @@ def _count_known(column: str, number: dict[str, int]):
         hits, n = Hits(number), np.zeros(len(number), np.int64)
         for b in batches:
             for t in b[column]:
-                n[list(hits.count(t.as_py()))] += 1
+                n[hits.count(t.as_py())[0]] += 1
         held = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"term": pa.array(held), "n": pa.array(n[held])})
 
     return run
 
 
-def _count(column: str, *sums: str):
-    """Per batch: how many texts hold each term, and the sums of the ``sums``
-    columns over those texts."""
+def _terms(column: str):
+    """Per batch: the terms of its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n: dict[str, list[int]] = {}
-            others = [b[c].to_pylist() for c in sums]
-            for i, t in enumerate(b[column]):
-                for term in terms(t.as_py()):
-                    at = n.setdefault(term, [0] * (1 + len(sums)))
-                    at[0] += 1
-                    for j, o in enumerate(others):
-                        at[1 + j] += o[i]
-            cols = {"term": list(n), "n": [v[0] for v in n.values()]}
-            cols |= {c: [v[1 + j] for v in n.values()] for j, c in enumerate(sums)}
-            schema = pa.schema([("term", pa.string()), ("n", pa.int64()), *[(c, pa.int64()) for c in sums]])
-            yield pa.RecordBatch.from_pydict(cols, schema=schema)
+            found: set[str] = set()
+            found.update(*(terms(t.as_py()) for t in b[column]))
+            yield pa.RecordBatch.from_pydict({"term": pa.array(sorted(found), pa.string())})
 
     return run
 
@@ -253,75 +300,73 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     of ``docs``; document frequencies are those of all ``docs``."""
     spark = docs.sparkSession
     picked = materialise(examples(docs, labels), "toxic-examples")
-    n, toxic = picked.agg(F.count("*"), F.sum("toxic")).first()
-    if not n:
+    if not picked.head(1):
         return None
-    clean = n - toxic
-    counts = picked.mapInArrow(_count("text", "toxic"), "term string, n long, toxic long")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= MIN_EXAMPLES)
-    a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
-    chi2 = n * F.pow(a * (clean - b) - b * (toxic - a), 2) / ((a + b) * (n - a - b) * float(toxic * clean) + 1e-9)
-    chosen = (
-        counts.where((a * clean > b * toxic) & (a * n >= MIN_LIFT * toxic * (a + b)))
-        .withColumn("chi2", chi2)
-        .where(F.col("chi2") >= MIN_CHI2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(MAX_TERMS)
-    )
-    vocabulary = sorted(r["term"] for r in chosen.select("term").collect())
+    vocabulary = sorted(picked.mapInArrow(_terms("text"), "term string").distinct().toArrow()["term"].to_pylist())  # the examples' own
     number = {t: i for i, t in enumerate(vocabulary)}
-    held = docs.select("text").mapInArrow(_count_known("text", number), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    frequency = {r["term"]: r["n"] for r in held.collect()}  # at most MAX_TERMS rows
+    held = docs.select("text").mapInArrow(_count_known("text", number), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    frequency = np.zeros(len(vocabulary))
+    frequency[held["term"].to_numpy(int)] = held["n"]
     n_docs = docs.count()
-    idf = np.array([1 + np.log((n_docs + 1) / (frequency.get(i, 0) + 1)) for i in range(len(vocabulary))])
-    empty = Index.build([], [], *(np.zeros(0, int),) * 2, np.zeros(0), len(vocabulary))
-    model = Model(number, idf, empty, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-
+    idf = 1 + np.log((n_docs + 1) / (frequency + 1))
+    none = np.zeros(0, np.int32)
+    model = Model(number, idf, none, none, np.zeros(len(idf) + 1, int), none, none, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     shared = spark.sparkContext.broadcast(model)
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits = Hits(shared.value.number)
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        hits = Hits(m.number)
         for batch in batches:
-            found = [shared.value.vector(hits.count(t.as_py())) for t in batch["text"]]
-            cols = [batch["doc_id"], batch["toxic"], batch["share"]]
-            cols += [pa.array([x[0].tolist() for x in found], pa.list_(pa.int64())), pa.array([x[1].tolist() for x in found], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "toxic", "share", "at", "w"])
-
-    kind = "doc_id long, toxic long, share double, at array<long>, w array<double>"
-    table = picked.mapInArrow(vectors, kind).toPandas()  # at most MAX_TOXIC + MAX_CLEAN rows, about
-    # examples with the same strongest term stand together, so that block maxima are tight
-    lead = [int(v[np.argmax(w)]) if len(v) else -1 for v, w in zip(table["at"], table["w"], strict=True)]
-    table = table.assign(lead=lead).sort_values(["lead", "doc_id"], kind="stable").reset_index(drop=True)
-    sizes = table["at"].map(len).to_numpy()
-    flat = lambda c, t: np.concatenate([np.asarray(x, t) for x in table[c]]) if len(table) else np.zeros(0, t)
-    who = np.repeat(np.arange(len(table)), sizes)
-    model.index = Index.build(table["doc_id"].to_numpy(), table["toxic"].to_numpy(), flat("at", int), who, flat("w", float), len(vocabulary))
-    return _calibrate(spark, model, table)
-
-
-def _calibrate(spark, model: Model, table) -> Model:
+            found = [hits.count(t.as_py()) for t in batch["text"]]
+            lead = pa.array([int(at[np.argmax(m.vector(at, n)[1])]) if len(at) else -1 for at, n in found], pa.int32())
+            held = [pa.array([c[j] for c in found], pa.list_(pa.int32())) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], batch["share"], lead, *held], names=["doc_id", "toxic", "share", "lead", "at", "n"])
+
+    kind = "doc_id long, toxic long, share double, lead int, at array<int>, n array<int>"
+    # at most MAX_TOXIC + MAX_CLEAN rows, about; those with the same strongest term stand together, so that block maxima are tight
+    table = picked.mapInArrow(counts, kind).orderBy("lead", "doc_id").toArrow()
+    shared.destroy()
+    at = table["at"].combine_chunks()
+    sizes = np.diff(at.offsets.to_numpy())
+    who = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    at, times = at.flatten().to_numpy(), table["n"].combine_chunks().flatten().to_numpy()
+    small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    order = np.argsort(at, kind="stable")
+    model.starts, model.example, model.times = np.r_[0, np.cumsum(np.bincount(at, minlength=len(idf)))], small(who[order]), small(times[order])
+    model.ids, model.toxic, share = (table[c].to_numpy() for c in ("doc_id", "toxic", "share"))
+    return _calibrate(spark, model, 1.0 / share, sizes == 0)
+
+
+def _calibrate(spark, model: Model, weight: np.ndarray, bare: np.ndarray) -> Model:
     """The curve from votes to scores, by the examples' votes without
-    themselves, each weighted by what it stands for in the corpus."""
-    y, weight = table["toxic"].to_numpy(float), 1.0 / table["share"].to_numpy(float)
-    bare = np.array([not len(v) for v in table["at"]], bool)
-    shared = spark.sparkContext.broadcast(model)
+    themselves, each with the ``weight`` of what it stands for in the corpus.
+    ``bare``: examples without terms."""
+    y = model.toxic.astype(float)
+    shared = spark.sparkContext.broadcast(replace(model, number={}))
 
     def vote(batches):
+        m = shared.value
+        starts, at, w = m.index.vectors
         for pdf in batches:
             out = []
-            for i, at, w in zip(pdf["i"], pdf["at"], pdf["w"], strict=True):
-                near, sims = shared.value.index.nearest(np.asarray(at, int), np.asarray(w, float), NEIGHBOURS, without=i)
-                out.append(shared.value.vote(near, sims) if len(near) else -1.0)
+            for first in range(0, len(pdf), BATCH):
+                some = pdf["i"].to_numpy()[first : first + BATCH]
+                vectors = [(at[starts[i] : starts[i + 1]], w[starts[i] : starts[i + 1]]) for i in some]
+                for i, v, part in zip(some, vectors, m.index.dense_parts(vectors), strict=True):
+                    near, sims = m.index.nearest(*v, NEIGHBOURS, without=i, part=part)
+                    out.append(m.vote(near, sims) if len(near) else -1.0)
             yield pdf[["i"]].assign(vote=out)
 
-    asked = table[["at", "w"]].assign(i=np.arange(len(table)))[~bare]
-    model.base = float((y * weight)[bare].sum() / weight[bare].sum()) if bare.any() else 0.0
-    if len(asked):
-        rows = spark.createDataFrame(asked.assign(at=asked["at"].map(list), w=asked["w"].map(list)), "at array<long>, w array<double>, i long")
-        got = rows.repartition(spark.sparkContext.defaultParallelism).mapInPandas(vote, "i long, vote double").toPandas()
+    like = bare if bare.any() else np.ones(len(y), bool)
+    model.base = float((y * weight)[like].sum() / weight[like].sum())
+    asked = [(int(i),) for i in np.flatnonzero(~bare)]
+    if asked:
+        rows = spark.createDataFrame(asked, "i long").repartition(spark.sparkContext.defaultParallelism)
+        got = rows.mapInPandas(vote, "i long, vote double").toPandas()
         got = got[got["vote"] >= 0].sort_values("i")
         if len(got):
             model.votes, model.scores = isotonic(got["vote"].to_numpy(), y[got["i"]], weight[got["i"]])
+    shared.destroy()
     return model
 
 
@@ -335,20 +380,18 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
         m = shared.value
         hits, known = Hits(m.number if m else {}), {}
 
-        def one(text: str | None) -> tuple[float, list[dict]]:
-            counts = hits.count(text)
-            key = frozenset(counts.items())
-            if key not in known:  # equal counts have equal neighbours
-                if len(known) >= CACHE_VECTORS:
-                    known.clear()
-                s, near, sims = m.score(counts) if m else (0.0, (), ())
+        def run(texts: pa.Array) -> list[pa.Array]:
+            counts = [hits.count(t.as_py()) for t in texts]
+            keys = [hashlib.blake2b(at.tobytes() + n.tobytes(), digest_size=16).digest() for at, n in counts]
+            if len(known) >= CACHE_VECTORS:
+                known.clear()
+            new = {k: c for k, c in zip(keys, counts, strict=True) if k not in known}  # equal counts have equal neighbours
+            results = m.score(list(new.values())) if m else ((0.0, (), ()) for _ in new)
+            for key, (s, near, sims) in zip(new, results, strict=True):
                 seen = zip(near, sims, strict=True)
                 evidence = [{"doc_id": int(m.index.ids[i]), "similarity": float(x), "toxic": int(m.index.toxic[i])} for i, x in seen]
                 known[key] = min(1.0, max(0.0, s)), evidence
-            return known[key]
-
-        def run(texts: pa.Array) -> list[pa.Array]:
-            found = [one(t.as_py()) for t in texts]
+            found = [known[k] for k in keys]
             return [pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], kind)]
 
         return run
