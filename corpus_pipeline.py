@@ -32,7 +32,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that sources, languages and topics meet their
-    target weights."""
+    target weights; those of raised categories may stay more than once."""
     return mixing.sample(docs)
 
 

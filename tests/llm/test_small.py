@@ -441,6 +441,25 @@ def test_raking_equals_numpy(spark):
     assert abs(sum(r.probability * r.tokens for r in got.values()) - 0.4 * t.sum()) < 1e-6 * t.sum()
 
 
+def test_drawn_tokens_meet_targets(spark):
+    rng = np.random.default_rng(21)
+    pick = lambda names, p: rng.choice(names, 6000, p=p).tolist()
+    kinds = {"prose": "plain words only", "markup": "### head words", "contact": "call +1 ( words"}
+    topic = pick(list(kinds), [0.94, 0.04, 0.02])
+    rows = [(i, f"{kinds[k]} " + "word " * int(rng.integers(5, 25)), a, b)
+            for i, (k, a, b) in enumerate(zip(topic, pick(["s0", "s1", "s2"], [0.9, 0.07, 0.03]), pick(["en", "de"], [0.8, 0.2])))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    targets = {"source": {"s0": 0.5, "s1": 0.3, "s2": 0.2}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"prose": 0.6, "markup": 0.25, "contact": 0.15}}
+    got = mixing.mix(df, targets=targets, budget=0.8).select("source", "lang", "mix.*").toPandas()
+    assert (got["expected"] > 1).any() and (got["sampled"] == (got["copies"] > 0)).all()
+    got["drawn"] = got["copies"] * got["n_tokens"]
+    assert abs(got["drawn"].sum() / got["n_tokens"].sum() - 0.8) < 0.02
+    for d, shares in targets.items():
+        have = got.groupby(d)["drawn"].sum() / got["drawn"].sum()
+        assert all(abs(have[k] - v) < 0.02 for k, v in shares.items()), (d, have.to_dict())
+    assert mixing.sample(df, targets=targets, budget=0.8).count() == got["copies"].sum()
+
+
 def test_pii(docs, empty):
     got = pii.pseudonymise(docs)
     assert sorted(map(str, (r.doc_id for r in got.collect()))) == sorted(map(str, (r.doc_id for r in docs.collect())))

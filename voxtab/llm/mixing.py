@@ -3,10 +3,11 @@
 Documents fall into cells (source, language, topic). Cell weights start at
 the cells' token counts and are raked: scaled in turn so that their sums by
 source, by language and by topic meet the targets, until all three agree.
-A cell's raked weight over its tokens is the rate at which its documents are
-wanted; the rates are scaled to a token budget, with probabilities above one
-set to one and their excess spread over the other cells. Each document is
-then drawn on its own, by a hash of its id, with its cell's probability.
+A cell's raked weight over its tokens, scaled to a token budget, is the
+expected number of copies of each of its documents. A document gets the whole
+part of it, and one more with the chance of the rest, drawn by a hash of its
+id; so documents of raised categories repeat, no rate is cut, and the drawn
+tokens meet the targets of every source, language and topic.
 
 Only sums per cell are shuffled, reduced in each task first, and the raking
 loop works on the table of cells, which is written to the shared checkpoint
@@ -19,8 +20,8 @@ Categories without a given share divide what is left in proportion to their
 tokens (nothing is left: they get no weight).
 
 Defined cases: a null source, language or topic is a category of its own; a
-null or empty text has no tokens, topic ``empty``, and probability zero unless
-nothing in the table has tokens. Documents without id are drawn by the hash
+null or empty text has no tokens, topic ``empty``, and no copies unless
+nothing in the table has tokens (then one each). Documents without id are drawn by the hash
 of their text; repeated rows share their draw. An empty table gives an empty
 result. Where the targets contradict each other (a share for a category whose
 cells are all ruled out), raking ends after ``max_rounds`` with the
@@ -111,22 +112,14 @@ def _scales(sums: DataFrame, shares: DataFrame, d: str) -> DataFrame:
 
 
 def probabilities(cells: DataFrame, budget: float) -> DataFrame:
-    """``cells`` plus ``probability``: min(1, c * weight / tokens), with c
-    such that the expected tokens are ``budget`` times all tokens (or all
-    that the weights can reach)."""
+    """``cells`` plus ``expected``, the copies of each document: c * weight /
+    tokens, with c such that the expected tokens are ``budget`` times all
+    tokens; and ``probability``, that a document is drawn at all."""
     tokens, weight = F.col("tokens"), F.col("weight")
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    wanted, scale, capped = budget * total, 0.0, -1.0
-    while total:
-        full = weight * scale >= tokens
-        taken, free = cells.agg(
-            F.sum(F.when((weight > 0) & full, tokens).otherwise(0)), F.sum(F.when((weight > 0) & ~full, weight).otherwise(0.0))
-        ).first()
-        if taken == capped or not free:
-            break  # no cell was capped anew
-        capped, scale = taken, max(scale, (wanted - taken) / free)
-    rate = F.when(tokens > 0, F.least(F.lit(1.0), F.lit(float(scale)) * weight / tokens)).otherwise(0.0 if total else 1.0)
-    return cells.withColumn("probability", rate)
+    total, raked = cells.agg(F.sum("tokens"), F.sum(F.when(tokens > 0, weight))).first()
+    scale = budget * total / raked if total and raked else 0.0
+    rate = F.when(tokens > 0, F.lit(float(scale)) * weight / tokens).otherwise(0.0 if total else 1.0)
+    return cells.withColumn("expected", rate).withColumn("probability", F.least(F.lit(1.0), "expected"))
 
 
 def uniform(seed: int) -> Column:
@@ -143,7 +136,8 @@ def mix(
     topics: Sequence[tuple[str, Sequence[str]]] = TOPICS,
 ) -> DataFrame:
     """``docs`` plus ``mix``: struct of topic, n_tokens, weight (its cell's
-    raked share), probability, draw and sampled."""
+    raked share), expected (copies), probability (of one at least), draw,
+    sampled, and copies drawn."""
     require(docs, ["doc_id", "text", "source", "lang"])
     out, t, n = (free_name(docs, x) for x in ("mix", "_topic", "_tokens"))
     text = text_of("text")
@@ -151,19 +145,24 @@ def mix(
     cells = marked.groupBy("source", "lang", F.col(t).alias("topic")).agg(F.sum(n).alias("tokens"))
     cells = probabilities(rake(materialise(cells, "mix-cells"), targets), budget)
     keys = {d: free_name(docs, f"_cell_{d}") for d in DIMENSIONS}
-    w, p = free_name(docs, "_weight"), free_name(docs, "_probability")
-    side = cells.select(*[F.col(d).alias(k) for d, k in keys.items()], F.col("weight").alias(w), F.col("probability").alias(p))
+    w, e, p = (free_name(docs, x) for x in ("_weight", "_expected", "_probability"))
+    cell = [F.col("weight").alias(w), F.col("expected").alias(e), F.col("probability").alias(p)]
+    side = cells.select(*[F.col(d).alias(k) for d, k in keys.items()], *cell)
     same = [F.col(c).eqNullSafe(F.col(keys[d])) for d, c in zip(DIMENSIONS, ("source", "lang", t), strict=True)]
     joined = marked.join(side, same)
     draw = uniform(seed)
+    whole = F.floor(e)
+    copies = whole + F.when(draw < F.col(e) - whole, 1).otherwise(0)
     struct = F.struct(
-        F.col(t).alias("topic"), F.col(n).alias("n_tokens"), F.col(w).alias("weight"), F.col(p).alias("probability"),
-        draw.alias("draw"), (draw < F.col(p)).alias("sampled"),
+        F.col(t).alias("topic"), F.col(n).alias("n_tokens"), F.col(w).alias("weight"), F.col(e).alias("expected"), F.col(p).alias("probability"),
+        draw.alias("draw"), (draw < F.col(p)).alias("sampled"), copies.cast("long").alias("copies"),
     )
-    return joined.withColumn(out, struct).drop(t, n, w, p, *keys.values())
+    return joined.withColumn(out, struct).drop(t, n, w, e, p, *keys.values())
 
 
 def sample(docs: DataFrame, **settings) -> DataFrame:
-    """The documents drawn, with their own columns."""
+    """The documents drawn, each as often as it has copies, with their own columns."""
     out = free_name(docs, "mix")
-    return mix(docs, **settings).where(F.col(out)["sampled"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    drawn = mix(docs, **settings).where(F.col(out)["copies"] > 0)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(out)["copies"]))
+    return drawn.select(*[F.col(f"`{c}`") for c in docs.columns], again.alias(free_name(docs, "_copy"))).drop(free_name(docs, "_copy"))
