@@ -255,6 +255,45 @@ def test_license_rules(text, labels):
     assert set(filter(None, got["labels"].split(","))) == labels
 
 
+def _example(parsed, rng):
+    """A text that a parsed expression fits, gaps and options by chance."""
+    out = []
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out.append(chr(arg))
+        elif op == "ANY":
+            out.append("z")
+        elif op == "IN":
+            some = [chr(v) if str(o) == "LITERAL" else {"CATEGORY_SPACE": "\n", "CATEGORY_DIGIT": "7"}.get(str(v), "z") if str(o) == "CATEGORY" else chr(v[0]) for o, v in arg]
+            out.append(some[int(rng.integers(len(some)))])
+        elif op == "BRANCH":
+            out.append(_example(arg[1][int(rng.integers(len(arg[1])))], rng))
+        elif op == "SUBPATTERN":
+            out.append(_example(arg[-1], rng))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += [_example(arg[2], rng) for _ in range(int(rng.integers(arg[0], min(int(arg[1]), arg[0] + 3) + 1)))]
+        else:
+            assert op in ("AT", "ASSERT_NOT"), op
+    return "".join(out)
+
+
+def test_keywords_never_lose_a_match():
+    rng = np.random.default_rng(10)
+    rules = license_scan.rules()
+    scanner = license_scan.Scanner(rules)
+    compiled = [(re.compile(r.expression, re.S), r) for r in rules]
+    for pattern, rule in compiled:
+        for _ in range(30 if rule.priority < 100 else 3):
+            text = f" {_example(re._parser.parse(rule.expression, re.S), rng)} "
+            if pattern.search(text):
+                assert scanner.keywords(text) >= set(rule.keyword.split()), (rule, text)
+    wrapped = ["apache\n * license, version 2.0", "released under the mit\nlicense", "gnu general\n * public  license\n# version 3", "dual-licenced under", "2-clause license"]
+    for text in [*wrapped, "permission is\n// hereby granted, free of charge, to any person obtaining a copy"]:
+        every = license_scan.resolve([(m.start(), m.end(), r) for p, r in compiled for m in p.finditer(text)])
+        assert scanner.detections(text) == every and every, text
+
+
 def test_containment_by_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(200):

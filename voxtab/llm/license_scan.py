@@ -1,8 +1,9 @@
 r"""License scans by ordered signature rules.
 
 Each rule is a regular expression over the lower-cased text with a label, a
-priority, a confidence and a keyword. A keyword automaton (Aho-Corasick)
-reads the text once; only rules whose keyword occurs are tried. Detections
+priority, a confidence and keywords: words without gaps that every match
+holds. A keyword automaton (Aho-Corasick) reads the text once; only rules
+whose keywords all occur are tried, wherever lines break. Detections
 are then resolved in order of priority, length and place: one that lies
 inside an accepted detection is suppressed ("gpl" inside "gpl version 3" is
 not a second license); partial overlaps both stay.
@@ -55,7 +56,7 @@ psf-2.0 python-2.0 qpl-1.0 rpl-1.1 rpl-1.5 rpsl-1.0 rscpl ruby simpl-2.0 sissl s
 unicode-dfs-2016 unlicense upl-1.0 vim w3c watcom-1.0 wtfpl x11 xnet zend-2.0 zlib zpl-2.0 zpl-2.1
 """
 
-#: label | priority | confidence | keyword | expression. A space stands for a gap of white space or punctuation.
+#: label | priority | confidence | keywords, all of which every match holds | expression, where a space stands for a gap of white space or punctuation.
 WRITTEN = r"""
 gpl-3.0      | 80 | 0.95 | general public licen | gnu general public licen[sc]e (?:as published by the free software foundation )?(?:either )?(?:version|v\.?) ?3(?:\.0)?
 gpl-2.0      | 80 | 0.95 | general public licen | gnu general public licen[sc]e (?:as published by the free software foundation )?(?:either )?(?:version|v\.?) ?2(?:\.0)?
@@ -82,10 +83,10 @@ x11          | 60 | 0.85 | x11 licen            | \bx11 licen[sc]e
 isc          | 90 | 0.97 | and/or distribute    | permission to use copy modify and/or distribute this software for any purpose with or without fee
 isc          | 50 | 0.85 | isc licen            | \bisc licen[sc]e
 bsd-3-clause | 90 | 0.97 | neither the name     | neither the name of .{1,120}? nor the names of its contributors may be used to endorse
-bsd-2-clause | 85 | 0.85 | redistribution and   | redistribution and use in source and binary forms with or without modification are permitted
+bsd-2-clause | 85 | 0.85 | redistribution binary | redistribution and use in source and binary forms with or without modification are permitted
 bsd-4-clause | 90 | 0.97 | advertising materials | all advertising materials mentioning features or use of this software
 bsd-3-clause | 75 | 0.92 | bsd                  | \b(?:3-clause|three-clause|new|modified|revised) bsd(?: licen[sc]e)?
-bsd-2-clause | 75 | 0.92 | bsd                  | \b(?:2-clause|two-clause|simplified|freebsd) (?:bsd )?licen[sc]e
+bsd-2-clause | 75 | 0.92 | licen                | \b(?:2-clause|two-clause|simplified|freebsd) (?:bsd )?licen[sc]e
 bsd          | 40 | 0.75 | bsd                  | \bbsd(?:-style)? licen[sc]e
 mpl-2.0      | 80 | 0.95 | mozilla public       | mozilla public licen[sc]e (?:version|v\.?) ?2(?:\.0)?
 mpl-1.1      | 80 | 0.95 | mozilla public       | mozilla public licen[sc]e (?:version|v\.?) ?1\.1
@@ -151,9 +152,9 @@ noncommercial | 50 | 0.75 | non-commercial      | for (?:personal and )?non-comm
 noncommercial | 50 | 0.75 | noncommercial       | for (?:personal and )?noncommercial use only
 editorial    | 50 | 0.75 | editorial            | for editorial use only
 warranty     | 15 | 0.40 | without warranty     | without warranty of any kind
-warranty     | 15 | 0.40 | as is                | provided "?as is"? without
-dual         | 30 | 0.60 | dual-licensed        | dual-licen[sc]ed under
-dual         | 30 | 0.60 | dual licensed        | dual licen[sc]ed under
+warranty     | 15 | 0.40 | provided without     | provided "?as is"? without
+dual         | 30 | 0.60 | dual-licen under     | dual-licen[sc]ed under
+dual         | 30 | 0.60 | dual licen under     | dual licen[sc]ed under
 see-license  | 10 | 0.40 | see the licen        | see the licen[sc]e (?:file )?for (?:details|more information)
 see-license  | 10 | 0.40 | see licen            | see licen[sc]e(?:\.txt|\.md)?
 """
@@ -185,7 +186,7 @@ def rules() -> list[Rule]:
         tag = re.escape(name) + r"(?![\w.+-]*\w)"
         out.append(Rule(name, 100, 0.99, "spdx-license-identifier", rf"spdx-license-identifier:\s{{0,4}}\(?{tag}"))
         out.append(Rule(name, 95, 0.97, "spdx.org/licenses", rf"spdx\.org/licenses/{tag}"))
-        out.append(Rule(name, 90, 0.95, "opensource.org/licenses", rf"opensource\.org/licenses?/{tag}"))
+        out.append(Rule(name, 90, 0.95, "opensource.org/license", rf"opensource\.org/licenses?/{tag}"))
         out.append(Rule(name, 65, 0.90, "licen", rf"\blicen[sc]ed?(?:\"?\s{{0,4}}[:=]\s{{0,4}}\"?|\s{{1,4}}under\s{{1,4}}(?:the\s{{1,4}})?){tag}"))
     for kind in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"):
         parts = r"[\s-]".join(kind.split("-"))
@@ -198,14 +199,14 @@ def rules() -> list[Rule]:
 
 
 class Scanner:
-    """Compiled rules by keyword, and the automaton of all keywords."""
+    """Compiled rules by their keywords, and the automaton of all keywords."""
 
     def __init__(self, found: list[Rule]):
-        self.by_keyword: dict[str, list[tuple[re.Pattern, Rule]]] = {}
+        self.by_keywords: dict[tuple[str, ...], list[tuple[re.Pattern, Rule]]] = {}
         for r in found:
-            self.by_keyword.setdefault(r.keyword, []).append((re.compile(r.expression, re.S), r))
+            self.by_keywords.setdefault(tuple(r.keyword.split()), []).append((re.compile(r.expression, re.S), r))
         self.automaton = ahocorasick.Automaton()
-        for k in self.by_keyword:
+        for k in {k for keywords in self.by_keywords for k in keywords}:
             self.automaton.add_word(k, k)
         self.automaton.make_automaton()
 
@@ -214,10 +215,12 @@ class Scanner:
 
     def detections(self, text: str) -> list[tuple[int, int, Rule]]:
         """(start, end, rule) of the detections that no better one holds."""
+        held = self.keywords(text)
         hits = [
             (m.start(), m.end(), rule)
-            for k in sorted(self.keywords(text))
-            for pattern, rule in self.by_keyword[k]
+            for keywords, tried in self.by_keywords.items()
+            if held.issuperset(keywords)
+            for pattern, rule in tried
             for m in pattern.finditer(text)
         ]
         return resolve(hits)
