@@ -452,6 +452,30 @@ def test_rules_equal_counting(spark):
     assert all(r.rarest in r["items"] for r in found)
 
 
+def test_rules_of_any_length_and_share(spark):
+    """Sure only by four tokens together; and nearly all labels block."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(13)
+    rows = [[f"t{j}" for j in np.flatnonzero(rng.random(5) < 0.75)] for _ in range(600)]
+    rows = [(t, "block" if {"t0", "t1", "t2", "t3"} <= set(t) or rng.random() < 0.45 else "allow") for t in rows]
+    found = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.02).collect()
+    exp = {}
+    for size in range(1, 6):
+        for items in combinations([f"t{j}" for j in range(5)], size):
+            hit = [v for t, v in rows if set(items) <= set(t)]
+            for v in ("allow", "block"):
+                if hit.count(v) >= 12 and hit.count(v) / len(hit) >= 0.6:
+                    exp[items, v] = hit.count(v) / len(hit)
+    covered = lambda i, v, c: any(exp.get((p, v), -1) >= c for n in range(1, len(i)) for p in combinations(i, n))
+    pruned = {(i, v): c for (i, v), c in exp.items() if not covered(i, v, c)}
+    assert {(tuple(r["items"]), r.verdict): pytest.approx(r.confidence) for r in found} == pruned
+    assert pruned[("t0", "t1", "t2", "t3"), "block"] == 1.0
+    train = spark.createDataFrame([(f"https://a{i}.net/x", "allow" if i < 4 else "block") for i in range(100)], "url string, verdict string")
+    got = url_filter.judge(spark.createDataFrame([("https://new.net/x",)], "url string"), train).first()
+    assert got["filter"].verdict == "block"
+
+
 def test_mixing(docs, empty):
     got = mixing.mix(docs, budget=0.5).select("doc_id", "_mix.*").collect()
     assert len(got) == docs.count() and all(0 <= r.probability <= 1 and r.sampled == (r.draw < r.probability) for r in got)

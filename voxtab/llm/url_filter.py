@@ -4,9 +4,9 @@ labelled URLs. DataFrame functions only.
 A URL becomes a set of tokens (scheme, host and its domain levels, path
 segments with digits generalised, file suffix, query keys, fragment). Spark's
 FP-growth mines frequent token sets of labelled URLs together with their
-label; sets that contain a label give rules "tokens -> verdict". Rules stay
-if confidence, support and lift are high enough and no shorter rule with the
-same verdict and at least the same confidence covers them. Matching uses an
+label; sets of any length that contain a label give rules "tokens -> verdict".
+Rules stay if confidence and support are high enough and no shorter rule with
+the same verdict and at least the same confidence covers them. Matching uses an
 inverted index: each rule is posted under its rarest token; a URL's tokens
 meet the postings in an equi-join and the rule's other tokens are checked on
 the spot. Of the matching rules the most confident decides, then the one with
@@ -15,8 +15,9 @@ more support, then the longer, then the first by its tokens.
 Verdicts depend on the URL alone, so each distinct URL is matched once, after
 a map-side reduction; pages meet the verdicts by URL in an equi-join that AQE
 may split, and by broadcast only if Spark finds the rules small. ``min_support``
-bounds the rules: a URL of n tokens holds at most C(n,1)+..+C(n,max_tokens)
-sets, each frequent one takes a ``min_support`` share of the labelled URLs.
+bounds the rules: a URL of n tokens holds at most 2^n sets, each frequent one
+takes a ``min_support`` share of the labelled URLs. ``min_lift`` and
+``max_tokens`` cut further where a caller asks for it; by default they do not.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path
 and no rule; its other tokens still count. URLs of any length are read whole.
@@ -28,6 +29,7 @@ columns pass through ``judge``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -43,7 +45,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MAX_TOKENS = 0.005, 0.6, 1.1, 3
+MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.6
 _LABEL = "label="
 
 
@@ -96,7 +98,7 @@ def parsed(urls: DataFrame, url: str = "url") -> DataFrame:
 
 
 def mine(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, max_tokens: int = MAX_TOKENS
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = 0.0, max_tokens: int | None = None
 ) -> DataFrame:
     """``labelled`` (tokens, verdict) -> rules (items, n_items, rarest,
     verdict, confidence, support)."""
@@ -107,12 +109,13 @@ def mine(
     if not n:
         return labelled.sparkSession.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    sets = materialise(model.freqItemsets.where(F.size("items") <= max_tokens + 1), "url-token-sets")
+    found = model.freqItemsets if max_tokens is None else model.freqItemsets.where(F.size("items") <= max_tokens + 1)
+    sets = materialise(found, "url-token-sets")
     is_label = lambda x: x.startswith(_LABEL)
     labels = F.filter("items", is_label)
     tokens = F.array_sort(F.filter("items", lambda x: ~is_label(x)))
     split = sets.select(tokens.alias("items"), labels.alias("labels"), "freq")
-    both = split.where("size(labels) = 1 AND size(items) BETWEEN 1 AND " + str(max_tokens))
+    both = split.where("size(labels) = 1 AND size(items) > 0")
     alone = split.where("size(labels) = 0").select("items", F.col("freq").alias("n_tokens"))
     base = split.where("size(labels) = 1 AND size(items) = 0").select("labels", F.col("freq").alias("n_label"))
     single = alone.where("size(items) = 1").select(F.col("items")[0].alias("rarest"), F.col("n_tokens").alias("n_rarest"))
@@ -131,26 +134,27 @@ def mine(
         )
     )
     rules = materialise(rules, "url-rules")
-    # a rule is superfluous if a part of its tokens says the same at least as surely
-    parts = rules.where("n_items > 1").select(
-        F.col("items").alias("whole"), "verdict", "confidence", F.explode(F.array_distinct(_subsets(F.col("items")))).alias("items")
-    )
-    shorter = rules.select("items", "verdict", F.col("confidence").alias("shorter"))
-    covered = parts.join(shorter, ["items", "verdict"]).where("shorter >= confidence").select(F.col("whole").alias("items"), "verdict").distinct()
+    # a rule is superfluous if a part of its tokens says the same at least as surely; the surest part of a set is
+    # handed on from sets of n tokens to those of n + 1, by way of sets that are too unsure to be rules
+    said = both.join(alone, "items").select("items", "labels", (F.col("freq") / F.col("n_tokens")).alias("confidence"))
+    said = materialise(said.withColumn("n", F.size("items")), "url-said")
+    longest = said.agg(F.max("n")).first()[0] or 0
+    best = said.where("n = 1").withColumn("shorter", F.lit(0.0))
+    levels = [best]
+    for n in range(2, longest + 1):
+        below = best.select(F.col("items").alias("part"), "labels", F.greatest("confidence", "shorter").alias("under"))
+        parts = said.where(F.col("n") == n).withColumn("part", F.explode(F.transform("items", lambda x: F.array_remove("items", x))))
+        best = parts.join(below, ["part", "labels"]).groupBy("items", "labels", "confidence", "n").agg(F.max("under").alias("shorter"))
+        best = materialise(best, "url-parts")
+        levels.append(best)
+    told = F.substring(F.col("labels")[0], len(_LABEL) + 1, 1 << 20).alias("verdict")
+    covered = reduce(DataFrame.unionByName, levels).where("shorter >= confidence").select("items", told)
     token = rules.join(covered, ["items", "verdict"], "left_anti").withColumn("rarest", F.explode("items"))
     place = F.struct("n_rarest", "rarest")
     first = token.join(single, "rarest").groupBy("items", "n_items", "verdict", "confidence", "support").agg(F.min(place).alias("at"))
     return materialise(first.select("items", "n_items", F.col("at.rarest").alias("rarest"), "verdict", "confidence", "support"), "url-index")
 
 
-def _subsets(items: Column) -> Column:
-    """Proper non-empty subsets of at most three sorted tokens: each token,
-    and each with one token left out."""
-    one = F.transform(items, lambda x: F.array(x))
-    less = F.transform(items, lambda x: F.array_remove(items, x))
-    return F.when(F.size(items) > 2, F.concat(one, less)).otherwise(one)
-
-
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct ``urls`` (url, tokens) -> (url, mined): the verdict, tokens,
     confidence and support of the deciding rule, for URLs that a rule fits."""
