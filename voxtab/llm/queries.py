@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from voxtab.llm import bpe, exact_dedup, lang_id, license_scan, mixing, pii, quality_rules, simhash_dedup, toxicity, url_filter
+from voxtab.llm import bpe, exact_dedup, lang_id, license_scan, minhash_dedup, mixing, pii, quality_rules, simhash_dedup, toxicity, url_filter
 from voxtab.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,30 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     return license_scan.scan(docs).select("doc_id", *[f"license.{n}" for n in names])
+
+
+@query(
+    "op11_minhash_dedup",
+    r"""
+    WITH RECURSIVE t AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda e: e <> '') AS w
+      FROM documents
+    ),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')) END) AS g FROM t
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    link AS (
+      SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+    ),
+    reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+    SELECT t.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(t.doc_id, coalesce(min(reach.b), t.doc_id)) AS component_id,
+           t.doc_id = least(t.doc_id, coalesce(min(reach.b), t.doc_id)) AS kept
+    FROM t LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = t.doc_id GROUP BY t.doc_id
+    """,
+)
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.components(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4)
