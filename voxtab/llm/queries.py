@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from voxtab.llm import bpe, exact_dedup, lang_id, license_scan, minhash_dedup, mixing, pii, quality_rules, simhash_dedup, toxicity, url_filter
+from voxtab.llm import bpe, exact_dedup, lang_id, license_scan, minhash_dedup, mixing, pii, quality_rules, ranked_search, simhash_dedup, spelling, toxicity, url_filter
 from voxtab.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,81 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.components(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4)
+
+
+_OP12_SQL = r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+    ),
+    q AS (
+      SELECT item_id, t, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark
+      ) GROUP BY ALL
+    ),
+    total AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS len FROM d WHERE len(w) > 0),
+    p AS (SELECT doc_id, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY ALL),
+    df AS (SELECT t, count(*)::BIGINT AS df FROM p GROUP BY t),
+    weight AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, total),
+    size AS (SELECT doc_id, 100 - 75 + (75 * len(w)::BIGINT * docs) // total.len AS m FROM d, total),
+    scored AS (
+      SELECT item_id, p.doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN p USING (t) JOIN weight USING (t) JOIN size ON size.doc_id = p.doc_id GROUP BY ALL
+    ),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op12_ranked_search", _OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+_OP13_SQL = r"""
+    WITH RECURSIVE bits AS (
+      SELECT i, i AS c, 0 AS k FROM range(256) r(i) UNION ALL
+      SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+    ),
+    crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+    runs AS (
+      SELECT doc_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS r FROM documents
+    ),
+    times AS (SELECT doc_id, r, count(*) AS n FROM runs WHERE length(r) >= 7 GROUP BY ALL),
+    bytes AS (
+      SELECT doc_id, r, n, list_transform(range(1, octet_length(encode(doc_id || ':' || r)) + 1),
+        lambda i: ('0x' || substr(hex(encode(doc_id || ':' || r)), 2 * i - 1, 2))::BIGINT) AS b FROM times
+    ),
+    hashed AS (
+      SELECT doc_id, r, n, xor(list_reduce(list_prepend(4294967295, b),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc
+    ),
+    spelt AS (
+      SELECT n, CASE WHEN h % 31 = 0 THEN substr(r, 1, (h % length(r))::BIGINT) || substr(r, (h % length(r))::BIGINT + 2) ELSE r END AS word FROM hashed
+    ),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS c FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (
+      SELECT DISTINCT a.word AS w, b.word AS v, b.n FROM cuts a JOIN cuts b ON a.c = b.c AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.c = b.word
+      UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.c = b.word
+    ),
+    told AS (
+      SELECT word, words.n, count(v) AS n_near, first(v ORDER BY near.n DESC, encode(v)) AS v, max(near.n) AS top
+      FROM words LEFT JOIN near ON w = word GROUP BY ALL
+    ),
+    judged AS (SELECT word, n, n_near, CASE WHEN top >= 10 * n THEN v END AS form, CASE WHEN top >= 10 * n THEN top END AS form_n FROM told),
+    paths AS (
+      SELECT word, word AS at FROM judged UNION ALL
+      SELECT paths.word, form FROM paths JOIN judged ON judged.word = paths.at WHERE form IS NOT NULL
+    )
+    SELECT judged.word, judged.form, paths.at AS root, judged.n, judged.n_near, judged.form_n
+    FROM judged JOIN paths USING (word) JOIN judged l ON l.word = paths.at WHERE l.form IS NULL
+"""
+
+
+@query("op13_spelling", _OP13_SQL)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))

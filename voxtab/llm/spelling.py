@@ -12,12 +12,14 @@ reaches are verified.
 
 In Spark the first levels of the trie are the shard: every word is at home in
 the shard of its own first counts and visits the shards that the budget
-allows, with what is left of it. Inside a shard the search walks the remaining
-levels with all its queries at once, each branch keeping those whose budget
-allows it. The number of shard levels follows the number of words. A dense
-shard is cut into blocks of home words and blocks of queries, and every pair
-of blocks meets in its own call. A shard returns one row per query: how many
-of its homes are near and the best of them, never pairs.
+allows, with what is left of it; of two shards only one visits the other (the
+one with the smaller count where they first differ), so each pair meets once.
+Inside a shard the search walks the remaining levels with all its queries at
+once, each branch keeping those whose budget allows it. The number of shard
+levels follows the number of words. A dense shard is cut into blocks of home
+words and blocks of queries, and every pair of blocks meets in its own call. A
+shard returns one row per word: how many near words it met and the best of
+them, never pairs.
 
 Defined cases: a null text or one without a run of letters has no words; a
 null doc_id counts as the empty text in the hash that deletes a code point.
@@ -37,10 +39,10 @@ from pyspark.sql import functions as F
 
 from voxtab.llm.common import LOWER, UPPER, materialise, require
 
-#: Letter groups, home words of a shard that are searched together, queries of a block.
-GROUPS, HOMES, QUERIES = 16, 2048, 8192
-#: Candidates under which a branch is verified without going deeper.
-LEAF = 24
+#: Letter groups, home words that a shard should have, home words and queries of a block.
+GROUPS, HOMES, HOME_BLOCK, QUERY_BLOCK = 16, 1 << 15, 1 << 16, 1 << 17
+#: Pairs of words under which a branch is a leaf, and pairs that are verified at a time.
+LEAF, CHUNK = 128, 1 << 16
 #: Letters of a word; a shorter word has no variants.
 LETTERS, LEAST = "a-zÀ-ÿ", 7
 
@@ -97,16 +99,17 @@ def _code(counts: np.ndarray) -> np.ndarray:
 
 
 def _visits(levels: int) -> list[tuple[int, int]]:
-    """Changes (raised level, lowered level) that the budget allows in the
-    first levels; -1 is none. A visit from a level to itself is none."""
-    spots = range(-1, levels)
-    return [(u, d) for u in spots for d in spots if u != d or u == -1]
+    """Changes (raised level, lowered level) that lead from a word to the
+    shards it visits; -1 is none, (-1, -1) its home. The first change is
+    upwards: the other way round, the other shard visits."""
+    return [(-1, -1)] + [(u, d) for u in range(levels) for d in [-1, *range(u + 1, levels)]]
 
 
 def routed(vocabulary: DataFrame, levels: int) -> DataFrame:
-    """word, n, shard, home, and for visitors the surplus and deficit that the
-    first levels have spent."""
+    """word, n, shard, home, and whether a visitor has spent its deficit (its
+    surplus is spent)."""
     changes = _visits(levels)
+    names = ["word", "n", "shard", "home", "deficit"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -120,108 +123,120 @@ def routed(vocabulary: DataFrame, levels: int) -> DataFrame:
                     if down >= 0:
                         to[:, down] -= 1
                         able = to[:, down] >= 0
-                    rows = pa.RecordBatch.from_arrays(
-                        [b.column(0), b.column(1), pa.array(_code(to).view(np.int64)),
-                         pa.array(np.full(len(to), up < 0 and down < 0)), pa.array(np.full(len(to), up >= 0)), pa.array(np.full(len(to), down >= 0))],
-                        names=["word", "n", "shard", "home", "surplus", "deficit"],
-                    )
+                    flags = [pa.array(np.full(len(to), x)) for x in (up < 0, down >= 0)]
+                    rows = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_code(to).view(np.int64)), *flags], names=names)
                     yield rows.filter(pa.array(able))
 
-    return vocabulary.select("word", "n").mapInArrow(
-        run, "word string, n long, shard long, home boolean, surplus boolean, deficit boolean"
-    )
+    return vocabulary.select("word", "n").mapInArrow(run, "word string, n long, shard long, home boolean, deficit boolean")
 
 
-def search(homes: list[str], queries: list[str], surplus: np.ndarray, deficit: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Depth-first search of the trie over ``homes`` below its first
-    ``levels``: pairs of arrays (queries, homes), every query with every home
-    at a leaf that its budget reaches. A home's count above the query's is a
-    surplus, below it a deficit, one of each at most."""
-    there, here = vectors(homes), vectors(queries)
+def search(homes: np.ndarray, queries: np.ndarray, surplus: np.ndarray, deficit: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Depth-first search of the trie over the count vectors ``homes`` below
+    its first ``levels``: arrays (places in queries, places in homes) of the
+    pairs whose counts differ by a surplus and a deficit of one at most. A
+    home's count above the query's is a surplus, below it a deficit; the flags
+    tell what is spent already."""
     stack = [(levels, np.arange(len(homes)), np.arange(len(queries)), surplus.astype(bool), deficit.astype(bool))]
+    asked, met, waiting = [], [], 0
+
+    def within(q: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        change = homes[h] - queries[q]
+        more, less = (change > 0).sum(axis=1), (change < 0).sum(axis=1)
+        good = (np.abs(change) <= 1).all(axis=1) & (more <= 1) & (less <= 1)
+        return q[good], h[good]
+
     while stack:
         level, h, q, up, down = stack.pop()
         if level == GROUPS or len(h) * len(q) <= LEAF:
-            if len(h) and len(q):
-                yield q, h
+            step = max(1, CHUNK // len(h))
+            for i in range(0, len(q), step):
+                some = q[i : i + step]
+                asked.append(np.repeat(some, len(h)))
+                met.append(np.tile(h, len(some)))
+                waiting += len(met[-1])
+                if waiting >= CHUNK:
+                    yield within(np.concatenate(asked), np.concatenate(met))
+                    asked, met, waiting = [], [], 0
             continue
-        asked, held = here[q, level], there[h, level]
+        want, held = queries[q, level], homes[h, level]
         order = np.argsort(held, kind="stable")
         starts = np.r_[0, np.flatnonzero(np.diff(held[order])) + 1]
         for s, e in zip(starts, np.r_[starts[1:], len(order)], strict=True):
             count = held[order[s]]
-            more, less = asked == count - 1, asked == count + 1
-            on = np.flatnonzero((asked == count) | (more & ~up) | (less & ~down))
+            more, less = want == count - 1, want == count + 1
+            on = np.flatnonzero((want == count) | (more & ~up) | (less & ~down))
             if len(on):
                 stack.append((level + 1, h[order[s:e]], q[on], up[on] | more[on], down[on] | less[on]))
+    if waiting:
+        yield within(np.concatenate(asked), np.concatenate(met))
 
 
 def _nearest(levels: int):
-    """One row per query of a block pair: near homes and the best of them."""
+    """One row per word of the shards of a call: near words met, the best."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        word, n = group["word"].to_pylist(), group["n"].to_numpy()
-        shard, role = group["shard"].to_numpy(), group["role"].to_pylist()
-        surplus, deficit = group["surplus"].to_numpy(), group["deficit"].to_numpy()
-        count: dict[str, int] = {}
+        word, n, shard = group["word"].to_pylist(), group["n"].to_numpy(), group["shard"].to_numpy()
+        held, asks, home, deficit = (np.array(group[c].to_pylist(), bool) for c in ("held", "asks", "home", "deficit"))
+        counts = vectors(word).astype(np.int32)
+        near_words: dict[str, int] = {}
         best: dict[str, tuple[int, str]] = {}
+
+        def offer(w: str, v: str, times: int):
+            near_words[w] = near_words.get(w, 0) + 1
+            if w not in best or (-times, v) < best[w]:
+                best[w] = (-times, v)
+
         order = np.argsort(shard, kind="stable")
         starts = np.r_[0, np.flatnonzero(np.diff(shard[order])) + 1]
         for s, e in zip(starts, np.r_[starts[1:], len(order)], strict=True):
             at = order[s:e]
-            is_home = np.array([role[i] == "home" for i in at], bool)
-            h, q = at[is_home], at[~is_home]
+            h, q = at[held[at]], at[asks[at]]
             if not len(h) or not len(q):
                 continue
-            homes, queries = [word[i] for i in h], [word[i] for i in q]
-            for qs, hs in search(homes, queries, surplus[q], deficit[q], levels):
-                for i in qs.tolist():
-                    w = queries[i]
-                    for j in hs.tolist():
-                        v = homes[j]
-                        if one_apart(w, v):
-                            count[w] = count.get(w, 0) + 1
-                            offer = (-int(n[h[j]]), v)
-                            if w not in best or offer < best[w]:
-                                best[w] = offer
-        found = list(count)
+            for qs, hs in search(counts[h], counts[q], ~home[q], deficit[q], levels):
+                for i, j in zip(q[qs].tolist(), h[hs].tolist(), strict=True):
+                    if one_apart(word[i], word[j]):
+                        offer(word[i], word[j], int(n[j]))
+                        if not home[i]:  # the pair meets nowhere else
+                            offer(word[j], word[i], int(n[i]))
+        found = list(near_words)
         return pa.table({
-            "word": pa.array(found, pa.string()), "n_near": pa.array([count[w] for w in found], pa.int64()),
-            "form_n": pa.array([-best[w][0] for w in found], pa.int64()), "form": pa.array([best[w][1] for w in found], pa.string()),
+            "word": pa.array(found, pa.string()), "n_near": pa.array([near_words[w] for w in found], pa.int64()),
+            "near_n": pa.array([-best[w][0] for w in found], pa.int64()), "near": pa.array([best[w][1] for w in found], pa.string()),
         })
 
     return run
 
 
-def near(vocabulary: DataFrame, homes: int = HOMES, queries: int = QUERIES) -> DataFrame:
+def near(vocabulary: DataFrame, homes: int = HOMES, home_block: int = HOME_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """word, n_near, and the near word of the largest n with that n, for all
     words of the ``vocabulary`` (word, n) that have a near one."""
     total = vocabulary.count()
-    levels = min(GROUPS, max(0, math.ceil(math.log(max(1, total) / homes, 2.5))))
-    rows = materialise(routed(vocabulary, levels), "spelling-visits")
+    levels = min(GROUPS, max(0, math.ceil(math.log(max(1, total) / homes, 3))))
+    rows = routed(vocabulary, levels)
     crowd = rows.groupBy("shard").agg(F.count(F.when(F.col("home"), 1)).alias("n_homes"), F.count("*").alias("n_queries"))
-    crowd = crowd.where("n_homes > 0")  # elsewhere nobody is at home
-    # small shards share a call; a large one is cut into blocks of homes and of queries
-    large = (F.col("n_homes") > homes) | (F.col("n_queries") > queries)
-    packs = max(1, math.ceil(total / homes))
-    h_parts = F.when(large, F.ceil(F.col("n_homes") / homes)).otherwise(1).cast("long")
-    q_parts = F.when(large, F.ceil(F.col("n_queries") / queries)).otherwise(1).cast("long")
-    placed = rows.join(crowd.select("shard", large.alias("large"), h_parts.alias("hp"), q_parts.alias("qp")), "shard")
+    h_parts, q_parts = F.ceil(F.col("n_homes") / home_block).cast("long"), F.ceil(F.col("n_queries") / query_block).cast("long")
+    crowd = materialise(  # without the shards where nobody is at home
+        crowd.where("n_homes > 0").select("shard", h_parts.alias("hp"), q_parts.alias("qp")), "spelling-shards"
+    )
+    packs, large = max(1, math.ceil(total / homes)), (F.col("hp") > 1) | (F.col("qp") > 1)
+    placed = rows.join(crowd, "shard").withColumn("large", large)
     placed = placed.withColumn("pack", F.when(F.col("large"), F.col("shard")).otherwise(F.pmod(F.xxhash64("shard"), F.lit(packs))))
+    cols = ("large", "pack", "shard", "word", "n", "home", "deficit")
+    zero, yes, no = F.lit(0).cast("long"), F.lit(True), F.lit(False)
     own_h, own_q = F.pmod(F.xxhash64("word"), "hp"), F.pmod(F.xxhash64("word"), "qp")
-    cols = ("large", "pack", "shard", "word", "n", "surplus", "deficit")
-    zero = F.lit(0).cast("long")
-    at_home = placed.where("home").select(
-        *cols, F.lit("home").alias("role"), own_h.alias("h"), F.explode(F.sequence(zero, F.col("qp") - 1)).alias("q")
-    )
-    asking = placed.select(*cols, F.lit("query").alias("role"), F.explode(F.sequence(zero, F.col("hp") - 1)).alias("h"), own_q.alias("q"))
-    met = at_home.unionByName(asking).groupBy("large", "pack", "h", "q").applyInArrow(
-        _nearest(levels), "word string, n_near long, form_n long, form string"
+    # a small shard's words ask and are held in one call; a large one's are held in their block and ask in every block
+    small = F.array(F.struct(F.col("home").alias("held"), yes.alias("asks"), zero.alias("h"), zero.alias("q")))
+    asking = F.transform(F.sequence(zero, F.col("hp") - 1), lambda h: F.struct(no.alias("held"), yes.alias("asks"), h.alias("h"), own_q.alias("q")))
+    holding = F.transform(F.sequence(zero, F.col("qp") - 1), lambda q: F.struct(yes.alias("held"), no.alias("asks"), own_h.alias("h"), q.alias("q")))
+    places = F.when(F.col("large"), F.when(F.col("home"), F.concat(asking, holding)).otherwise(asking)).otherwise(small)
+    met = placed.select(*cols, F.inline(places)).groupBy("large", "pack", "h", "q").applyInArrow(
+        _nearest(levels), "word string, n_near long, near_n long, near string"
     )
-    best = F.min(F.struct((-F.col("form_n")).alias("less"), F.col("form")))
+    best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near")))
     return met.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b")).select(
-        "word", "n_near", (-F.col("b.less")).alias("near_n"), F.col("b.form").alias("near")
+        "word", "n_near", (-F.col("b.less")).alias("near_n"), F.col("b.near").alias("near")
     )
 
 
