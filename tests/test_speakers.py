@@ -87,8 +87,8 @@ def test_ward_equals_greedy(spark):
     X = np.concatenate([c + rng.normal(size=(10, 3)) * 0.3 for c in centers])
     df = spark.createDataFrame(pd.DataFrame({"utt_id": np.arange(len(X)), "vec": list(X)}))
     exp = naive_ward(X, 1.5)
-    for finish in (20, SP.BLOCK):  # rounds in Spark first, or all in the last step
-        got = SP.ward_speakers(df, threshold=1.5, block=16, finish=finish).toPandas()
+    for block in (16, SP.BLOCK):  # shells cut into blocks, or not
+        got = SP.ward_speakers(df, threshold=1.5, block=block).toPandas()
         assert got.set_index("utt_id")["label"].sort_index().tolist() == exp
 
 
@@ -115,3 +115,20 @@ def test_two_points_kmeans_gives_one_cluster(spark):
     df = spark.createDataFrame(pd.DataFrame({"utt_id": [1, 2], "vec": [[0.0, 1.0], [1.0, 0.0]]}))
     got = SP.kmeans_speakers(df).toPandas()
     assert set(got["label"]) == {0}
+
+
+def test_ward_with_a_third_in_one_blob(spark, monkeypatch):
+    """Near lists that are too short to hold a blob, copies, and groups that
+    are cut: the same clusters as the greedy form."""
+    from voxtab.plans import ward as W
+
+    monkeypatch.setattr(W, "NEAR", 3)
+    monkeypatch.setattr(W, "GROUP", 6)
+    monkeypatch.setattr(W, "PIVOTS", 5)
+    rng = np.random.default_rng(4)
+    X = np.concatenate([rng.normal(size=(40, 4)) * 0.3, np.tile(rng.normal(size=4), (20, 1)), rng.normal(size=(60, 4)) * 3])
+    df = spark.createDataFrame(pd.DataFrame({"utt_id": np.arange(len(X)), "vec": list(X)})).repartition(3)
+    for threshold in (0.0, 0.4, 1.1):
+        got = SP.ward_speakers(df, threshold=threshold, block=16).toPandas()
+        assert got.set_index("utt_id")["label"].sort_index().tolist() == (naive_ward(X, threshold) if threshold else list(range(len(X))))
+    assert SP.ward_speakers(df.limit(0)).count() == 0

@@ -8,14 +8,17 @@ through the distributed scan."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxtab.plans.graph import connected_components
-from voxtab.plans.pairs import (block_pairs, cluster_distance_sums, nearest_neighbours, pack_blocks, pair_stats,
-                                threshold_forest)
+from voxtab.plans.metric import neighbour_components, unit_vectors
+from voxtab.plans.pairs import block_pairs, cluster_distance_sums, pack_blocks, pair_stats, threshold_forest
 from voxtab.plans.scan import global_rank
+from voxtab.plans.ward import ward
 from voxtab.session import cut_lineage
 
 BLOCK = 1024  # vectors per block: a block pair is ~2 x 1024 x 192 doubles
@@ -61,17 +64,36 @@ def _own_ids(out: DataFrame, ids: DataFrame | None, id_col: str) -> DataFrame:
     return back.select(*out.columns)
 
 
+def cosine_mean(vecs: DataFrame, id_col: str, vec: str = "vec") -> DataFrame:
+    """number of pairs and mean cosine distance of all pairs, in one
+    aggregation: the unit vectors of n points with sum S have
+    ``(|S|^2 - n) / 2`` as the sum of their products. A zero vector is at
+    distance 1 from every other."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    u = unit_vectors(vecs.select(F.lit(0).alias(id_col), vec), id_col, vec)
+    length = F.aggregate("u", F.lit(0.0), lambda s, v: s + v * v)
+    some = u.groupBy(F.lit(0).alias("_one")).agg(  # no group where there is no vector
+        F.count(F.lit(1)).alias("n"), F.sum(length).alias("own"), Summarizer.sum(array_to_vector("u")).alias("total")
+    )
+    some = some.select("_one", "n", "own", F.aggregate(vector_to_array("total"), F.lit(0.0), lambda a, v: a + v * v).alias("whole"))
+    s = vecs.sparkSession.range(1).select(F.lit(0).alias("_one")).join(some, "_one", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    n = F.col("n").cast("double")
+    return s.select(
+        F.expr("n * (n - 1) div 2").alias("n_pairs"),
+        F.when(F.col("n") > 1, 1 - (F.col("whole") - F.col("own")) / (n * (n - 1))).alias("mean_dist"),
+    )
+
+
 def cosine_stats(vecs: DataFrame, id_col: str, vec: str = "vec", block: int = BLOCK) -> DataFrame:
-    """mean, min and max cosine distance over all pairs ``i < j``."""
+    """mean, min and max cosine distance over all pairs ``i < j``. Only
+    the extremes need the pairs; ``cosine_mean`` gives the mean alone."""
     vecs, _ = _dense_ids(vecs, id_col)
     pairs = block_pairs(pack_blocks(vecs, [], id_col, vec, block), [])
-    s = pair_stats(pairs, [])
-    return s.agg(
-        F.sum("n").alias("n_pairs"),
-        (F.sum("total") / F.sum("n")).alias("mean_dist"),
-        F.min("dmin").alias("min_dist"),
-        F.max("dmax").alias("max_dist"),
-    )
+    s = pair_stats(pairs, []).agg(F.min("dmin").alias("min_dist"), F.max("dmax").alias("max_dist"))
+    one = F.lit(0).alias("_one")
+    return cosine_mean(vecs, id_col, vec).select(one, "*").join(s.select(one, "*"), "_one").drop("_one")
 
 
 def _components(vecs: DataFrame, keys, id_col: str, vec: str, eps: float, block: int) -> DataFrame:
@@ -99,15 +121,42 @@ def dbscan_speakers(vecs: DataFrame, eps: float = 0.25, id_col: str = "utt_id",
                     block: int = BLOCK) -> DataFrame:
     """DBSCAN (cosine, min_samples 2): clusters are the components of
     size >= 2 of ``dist <= eps``, numbered in order of their first member;
-    singletons are noise (-1)."""
+    singletons are noise (-1). Neighbours are found by exact metric
+    partitioning (``voxtab.plans.metric``); ``block`` bounds the vectors of a
+    kernel call. Vectors of length zero are noise below ``eps = 1``."""
     vecs, ids = _dense_ids(vecs, id_col)
-    labels = _components(vecs, [], id_col, vec, eps, block)
+    return _own_ids(_numbered_clusters(neighbour_components(vecs, id_col, vec, eps, block), id_col), ids, id_col)
+
+
+def _numbered_clusters(labels: DataFrame, id_col: str) -> DataFrame:
+    """Components of two or more, numbered in order of their label (their
+    smallest id); others are noise."""
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("_size"))
     roots = global_rank(sizes.where(F.col("_size") >= 2).select("label"), ["label"], "cluster")
-    out = labels.join(roots, "label", "left").select(
+    return labels.join(roots, "label", "left").select(
         F.col("node").alias(id_col), F.coalesce(F.col("cluster") - 1, F.lit(-1)).cast("bigint").alias("label")
     )
-    return _own_ids(out, ids, id_col)
+
+
+def approx_dbscan_speakers(vecs: DataFrame, eps: float = 0.25, id_col: str = "utt_id", vec: str = "vec", tables: int = 8,
+                           width: float | None = None, seed: int = 0) -> DataFrame:
+    """F5 by choice of the caller with an approximate neighbour search:
+    ``BucketedRandomProjectionLSH`` on unit vectors, where ``dist <= eps`` is
+    a Euclidean distance of at most ``sqrt(2 * eps)``. A pair that shares a
+    bucket in none of the ``tables`` is missed, so clusters may fall apart;
+    they never grow. The exact form is ``dbscan_speakers``."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    vecs, ids = _dense_ids(vecs, id_col)
+    units = unit_vectors(vecs, id_col, vec).where(F.exists("u", lambda v: v != 0))
+    data = cut_lineage(units.select("id", array_to_vector("u").alias("u")))
+    radius = math.sqrt(2 * eps)
+    model = BucketedRandomProjectionLSH(inputCol="u", outputCol="h", bucketLength=width or 2 * radius, numHashTables=tables, seed=seed).fit(data)
+    near = model.approxSimilarityJoin(data, data, radius, "d").where("datasetA.id < datasetB.id")
+    edges = near.select(F.col("datasetA.id").alias("src"), F.col("datasetB.id").alias("dst"))
+    labels = connected_components(vecs.select(F.col(id_col).cast("bigint").alias("node")), edges)
+    return _own_ids(_numbered_clusters(labels, id_col), ids, id_col)
 
 
 def silhouette(points: DataFrame, id_col: str, vec: str = "vec", label: str = "label", block: int = BLOCK) -> DataFrame:
@@ -167,102 +216,16 @@ def canonical_labels(df: DataFrame, id_col: str, label: str = "label") -> DataFr
     ).drop("_r")
 
 
-def _ward_rounds_local(threshold: float):
-    """Mutual-nearest-neighbour Ward rounds on a bounded cluster table in one
-    task (same merge rule, tie order and centroid arithmetic as the
-    distributed rounds). Returns ``cl -> final`` for every input cluster."""
-    import numpy as np
-    import pandas as pd
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("cl")
-        ids = pdf["cl"].to_numpy().astype(np.int64)
-        cen = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["c"]])
-        size = pdf["size"].to_numpy().astype(np.float64)
-        final = {int(i): int(i) for i in ids}
-        while len(ids) > 1:
-            sq = np.maximum((cen * cen).sum(1)[:, None] + (cen * cen).sum(1)[None, :] - 2 * cen @ cen.T, 0.0)
-            d = np.sqrt(2.0 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * sq)
-            np.fill_diagonal(d, np.inf)
-            nn = np.argmin(d, axis=1)
-            a = np.arange(len(ids))
-            pairs = a[(nn[nn] == a) & (a < nn) & (d[a, nn] < threshold)]
-            if len(pairs) == 0:
-                break
-            gone = nn[pairs]
-            na, nb = size[pairs][:, None], size[gone][:, None]
-            cen[pairs] = (cen[pairs] * na + cen[gone] * nb) / (na + nb)
-            size[pairs] = size[pairs] + size[gone]
-            for k, g in zip(ids[pairs], ids[gone]):
-                final[int(g)] = int(k)
-            keep = np.ones(len(ids), dtype=bool)
-            keep[gone] = False
-            ids, cen, size = ids[keep], cen[keep], size[keep]
-
-        def root(x):
-            while final[x] != x:
-                x = final[x]
-            return x
-
-        return pd.DataFrame({"cl": list(final), "final": [root(x) for x in final]})
-
-    return fn
-
-
 def ward_speakers(vecs: DataFrame, threshold: float = 0.75, id_col: str = "utt_id", vec: str = "vec",
-                  block: int = BLOCK, finish: int = BLOCK) -> DataFrame:
+                  block: int = BLOCK) -> DataFrame:
     """agglomerative clustering, Ward linkage, merging while the merge
-    cost is below ``threshold``. Rounds of reciprocal-nearest-neighbour
-    merges: every cluster finds its nearest cluster (blocked pairs, Ward
-    cost from centroid and size), mutual pairs under the threshold merge
-    (Ward is reducible, so parallel mutual merges give the greedy result).
-    Ties go to the smaller id. Every round with a mutual pair merges one at
-    least, so the rounds end. The last ``finish`` clusters at most, a bounded
-    table of centroids, go through the same rounds in one task: late rounds
-    merge a pair or two each, and a round in Spark costs seconds. Returns
-    canonical ``(id, label)``."""
+    cost is below ``threshold``: rounds of safe merges with cached neighbours
+    (``voxtab.plans.ward``), one path for every size. ``block`` bounds the
+    clusters of a kernel call. Returns canonical ``(id, label)``."""
     vecs, ids = _dense_ids(vecs, id_col)
-    pts = vecs.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("c"))
-    assign = cut_lineage(pts.select("id", F.col("id").alias("cl")))
-    clusters = cut_lineage(pts.select(F.col("id").alias("cl"), "c", F.lit(1).cast("bigint").alias("size")))
-    while True:
-        if clusters.count() <= finish:
-            mapping = (
-                clusters.withColumn("_g", F.lit(0))
-                .groupBy("_g")
-                .applyInPandas(_ward_rounds_local(threshold), "cl long, final long")
-            )
-            assign = assign.join(mapping, "cl").select("id", F.col("final").alias("cl"))
-            break
-        blocks = pack_blocks(clusters, [], "cl", "c", block, extra=["size"])
-        nn = nearest_neighbours(block_pairs(blocks, [], extra=["size"]), [])
-        best = nn.groupBy("id").agg(F.min(F.struct("d", "nn")).alias("b")).select("id", F.col("b.nn").alias("nn"), F.col("b.d").alias("d"))
-        x, y = best.alias("x"), best.alias("y")
-        mutual = x.join(y, (F.col("x.nn") == F.col("y.id")) & (F.col("y.nn") == F.col("x.id"))).where(
-            (F.col("x.id") < F.col("y.id")) & (F.col("x.d") < threshold)
-        ).select(F.col("x.id").alias("keep"), F.col("y.id").alias("gone"))
-        mutual = cut_lineage(mutual)
-        if mutual.count() == 0:
-            break
-        a = clusters.alias("a")
-        merged = (
-            mutual.join(a, F.col("keep") == F.col("a.cl"))
-            .join(clusters.alias("b"), F.col("gone") == F.col("b.cl"))
-            .select(
-                F.col("keep").alias("cl"),
-                F.zip_with(F.col("a.c"), F.col("b.c"),
-                           lambda u, v: (u * F.col("a.size") + v * F.col("b.size")) / (F.col("a.size") + F.col("b.size"))).alias("c"),
-                (F.col("a.size") + F.col("b.size")).alias("size"),
-            )
-        )
-        touched = mutual.select(F.col("keep").alias("cl")).unionByName(mutual.select(F.col("gone").alias("cl")))
-        clusters = cut_lineage(clusters.join(touched, "cl", "left_anti").unionByName(merged))
-        remap = mutual.select(F.col("gone").alias("cl"), F.col("keep").alias("_new"))
-        assign = cut_lineage(
-            assign.join(remap, "cl", "left").select("id", F.coalesce(F.col("_new"), F.col("cl")).alias("cl"))
-        )
-    out = canonical_labels(assign.withColumnRenamed("cl", "label"), "id", "label").withColumnRenamed("id", id_col)
-    return _own_ids(out, ids, id_col)
+    points = vecs.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("c"))
+    assign = ward(points, threshold, block).withColumnRenamed("cl", "label")
+    return _own_ids(canonical_labels(assign, "id", "label").withColumnRenamed("id", id_col), ids, id_col)
 
 
 def utt2spk(labels: DataFrame, key: str = "utt_id", label: str = "label") -> DataFrame:
@@ -288,8 +251,10 @@ def single_speaker(segs: DataFrame, verdicts: DataFrame, key: str = "utt_id", mi
 
 
 __all__ = [
+    "approx_dbscan_speakers",
     "canonical_labels",
     "cluster_report",
+    "cosine_mean",
     "cosine_stats",
     "dbscan_speakers",
     "kmeans_speakers",

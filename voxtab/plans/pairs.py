@@ -7,8 +7,8 @@ replicated once per partner block and the two roles are *equi-joined* on
 ``(key, block_lo, block_hi)``, so every unordered block pair meets exactly
 once, in its own task. A vectorised kernel (``mapInPandas``, numpy matrix
 product) then reduces the pair to a bounded output: threshold edges as a
-spanning forest (at most ``|A| + |B|`` rows), partial statistics, nearest
-neighbours or per-cluster distance sums. Work is ``O(n²)`` as all-pairs
+spanning forest (at most ``|A| + |B|`` rows), partial statistics or
+per-cluster distance sums. Work is ``O(n²)`` as all-pairs
 must be, but it is spread over ``nb²/2`` tasks and never materialised.
 """
 
@@ -171,54 +171,6 @@ def pair_stats(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return pairs.mapInPandas(fn, schema)
 
 
-def nearest_neighbours(pairs: DataFrame, keys: Sequence[str], dist: str = "ward") -> DataFrame:
-    """For every row of both blocks, its nearest other row in the partner
-    block: ``(keys, id, nn, d)``; the global nearest neighbour is the min
-    over partner blocks. ``dist='ward'`` uses the Ward merge cost between
-    clusters (centroid ``vecs``, size ``size``):
-    ``sqrt(2·na·nb/(na+nb))·‖ca − cb‖``."""
-    keys = list(keys)
-    schema = T.StructType(
-        [pairs.schema[k] for k in keys]
-        + [T.StructField("id", T.LongType()), T.StructField("nn", T.LongType()), T.StructField("d", T.DoubleType())]
-    )
-
-    def fn(batches):
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                r = row._asdict()
-                _same_block(r)
-                a = np.stack([np.asarray(v, dtype=np.float64) for v in r["a_vecs"]])
-                b = np.stack([np.asarray(v, dtype=np.float64) for v in r["b_vecs"]])
-                na = np.asarray(r["a_size"], dtype=np.float64)
-                nb_ = np.asarray(r["b_size"], dtype=np.float64)
-                sq = np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0.0)
-                w = 2.0 * na[:, None] * nb_[None, :] / (na[:, None] + nb_[None, :])
-                d = np.sqrt(w * sq)
-                a_ids, b_ids = np.asarray(r["a_ids"]), np.asarray(r["b_ids"])
-                if r["pa"] == r["pb"]:
-                    np.fill_diagonal(d, np.inf)
-                # ties: smallest partner id (ids are sorted inside a block only
-                # by accident, so break ties explicitly)
-                for ids_self, ids_other, dd in ((a_ids, b_ids, d), (b_ids, a_ids, d.T)):
-                    if dd.shape[1] == 0:
-                        continue
-                    order = np.argsort(ids_other, kind="stable")
-                    dd_sorted = dd[:, order]
-                    j = np.argmin(dd_sorted, axis=1)
-                    best = dd_sorted[np.arange(dd.shape[0]), j]
-                    ok = np.isfinite(best)
-                    out.append(pd.DataFrame({**{k: [r[k]] * int(ok.sum()) for k in keys}, "id": ids_self[ok],
-                                             "nn": ids_other[order][j][ok], "d": best[ok]}))
-                    if r["pa"] == r["pb"]:
-                        break
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    return pairs.mapInPandas(fn, schema)
-
-
 def cluster_distance_sums(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Silhouette inputs: for every point, the sum of Euclidean distances to
     the members of each cluster of the partner block (and the count):

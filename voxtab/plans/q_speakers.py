@@ -118,7 +118,31 @@ def f6_kmeans_speakers(spark, sf_dir):
     return SP.kmeans_speakers(pooled, "utt_id", "vec", max_k=10)
 
 
-@register("f7_ward_speakers")
+_POOLED = f"""p AS (
+  SELECT utt_id, list(x ORDER BY d) AS c FROM (
+    SELECT utt_id, d, avg(x) AS x FROM (SELECT utt_id, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS d FROM v_emb) GROUP BY utt_id, d)
+  GROUP BY utt_id)"""
+_COST = "sqrt(2.0 * a.n * b.n / (a.n + b.n)) * list_distance(a.c, b.c)"
+
+
+@register(
+    "f7_ward_speakers",
+    with_views("v_emb")
+    + f""", {_POOLED},
+greedy(step, cl, c, n, members) AS (
+  SELECT 0, utt_id, c, 1, [utt_id] FROM p
+  UNION ALL
+  SELECT step + 1, cl, CASE WHEN cl = x THEN both ELSE c END, CASE WHEN cl = x THEN total ELSE n END,
+         CASE WHEN cl = x THEN everyone ELSE members END
+  FROM greedy, (
+    SELECT a.cl AS x, b.cl AS y, a.n + b.n AS total, list_concat(a.members, b.members) AS everyone,
+           list_transform(list_zip(a.c, b.c), lambda v: (v[1] * a.n + v[2] * b.n) / (a.n + b.n)) AS both
+    FROM greedy a JOIN greedy b ON a.cl < b.cl WHERE {_COST} < 0.75
+    ORDER BY {_COST}, a.cl, b.cl LIMIT 1)
+  WHERE cl <> y),
+last AS (SELECT members, row_number() OVER (ORDER BY list_min(members)) - 1 AS label FROM greedy WHERE step = (SELECT max(step) FROM greedy))
+SELECT unnest(members) AS utt_id, CAST(label AS BIGINT) AS label FROM last""",
+)
 def f7_ward_speakers(spark, sf_dir):
     pooled = SP.mean_pool(v_emb(spark, sf_dir))
     return SP.ward_speakers(pooled, 0.75, "utt_id", "vec")
