@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxtab.operators.signal import power_by_bucket, with_halo
+from voxtab.operators.signal import loudness_gains, power_by_bucket, with_halo
 
 _ARRAY = T.ArrayType(T.DoubleType())
 
@@ -101,6 +101,13 @@ def apply_gain(blocks: DataFrame, gains: DataFrame, key="utt_id", gain: str = "g
     return blocks.join(gains.select(*keys, F.col(gain).alias("_gain")), keys).withColumn("samples", scaled).drop("_gain")
 
 
+def normalise_loudness(blocks: DataFrame, energies: DataFrame, target: float, peak_db: float, measure: str = "before", key="utt_id") -> DataFrame:
+    """D8 on blocks (definitions as in the long form)."""
+    keys = _keys(key)
+    gains = loudness_gains(peak_gain(blocks, peak_db, keys), energies, target, measure, keys)
+    return apply_gain(blocks, gains.select(*keys, (F.col("gain") * F.col("loud_gain")).alias("gain")), keys)
+
+
 def frame_rms(blocks: DataFrame, win: int, hop: int, key="utt_id") -> DataFrame:
     """C3 for windows of whole hops: partial sums of squares per hop, each
     added into the frames that cover it."""

@@ -15,6 +15,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxtab.plans.recursive import recursive_filter
+
 
 def to_blocks(samples: DataFrame, block: int, key="utt_id", idx: str = "idx", value: str = "sample") -> DataFrame:
     """Pack long samples into arrays of at most ``block`` samples
@@ -176,16 +178,22 @@ def normalise_loudness(samples: DataFrame, energies: DataFrame, target: float, p
     the target by the peak gain; ``'after'`` measures the peak-scaled signal.
     ``energies``: the block table ``(key, z)`` of the input."""
     keys = list(key) if not isinstance(key, str) else [key]
-    pg = peak_gain(samples, peak_db, keys).select(*keys, "gain")
+    gains = loudness_gains(peak_gain(samples, peak_db, keys), energies, target, measure, keys)
+    return samples.join(gains, keys).withColumn("out", F.col("sample") * F.col("gain") * F.col("loud_gain"))
+
+
+def loudness_gains(peaks: DataFrame, energies: DataFrame, target: float, measure: str, keys: list[str]) -> DataFrame:
+    """``(key, gain, loud_gain)`` of every recording, from its peak gain
+    and its gating energies."""
+    pg = peaks.select(*keys, "gain")
     if measure == "before":
         meas = integrated_loudness(energies, keys)
     elif measure == "after":
-        scaled = energies.join(pg, keys).withColumn("z", F.col("z") * F.col("gain") * F.col("gain"))
-        meas = integrated_loudness(scaled, keys)
+        meas = integrated_loudness(energies.join(pg, keys).withColumn("z", F.col("z") * F.col("gain") * F.col("gain")), keys)
     else:
         raise ValueError(measure)
     lg = meas.select(*keys, F.pow(F.lit(10.0), (F.lit(float(target)) - F.col("lufs")) / 20.0).alias("loud_gain"))
-    return samples.join(pg, keys).join(lg, keys).withColumn("out", F.col("sample") * F.col("gain") * F.col("loud_gain"))
+    return pg.join(lg, keys)
 
 
 def loudness_report(before: DataFrame, after: DataFrame, key=("utt_id",)) -> DataFrame:
@@ -302,22 +310,6 @@ def _biquad(b, a, x, zi=None):
     return y
 
 
-def _filtered(sections, x, responses: dict):
-    """``x`` through biquad sections from zero state, as an FFT convolution
-    with their impulse response (computed once per length)."""
-    import numpy as np
-
-    n = len(x)
-    size = 1 << max(1, 2 * n - 1).bit_length()
-    if n not in responses:
-        y = np.zeros(n)
-        y[:1] = 1.0
-        for b, a in sections:
-            y = _biquad(b, a, y)
-        responses[n] = np.fft.rfft(y, size)
-    return np.fft.irfft(np.fft.rfft(x, size) * responses[n], size)[:n]
-
-
 def k_weighting_coefficients(rate: float):
     """BS.1770 pre-filter as two RBJ biquads: high shelf (+4 dB, 1500 Hz,
     Q 1/√2) then high pass (38 Hz, Q 0.5)."""
@@ -340,40 +332,19 @@ def k_weighting_coefficients(rate: float):
     return (shelf_b, shelf_a), (hp_b, hp_a)
 
 
-def k_weight(blocks: DataFrame, rate: int, key=("utt_id",), warmup_s: float = 0.5) -> DataFrame:
-    """D7 pre-filter on blocked samples: each block is filtered from zero
-    state over a warm-up halo of ``warmup_s`` seconds taken from the
-    previous block (the recursive filter's memory decays far below float
-    precision within it), so blocks are independent tasks. Blocks must hold
-    at least the warm-up."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import types as T
-
+def k_weight(blocks: DataFrame, rate: int, key=("utt_id",)) -> DataFrame:
+    """D7 pre-filter on blocked samples, exact for blocks of any length: the
+    filter's states at the block starts are a prefix scan over the blocks
+    (``voxtab.plans.recursive``), so blocks are independent tasks."""
     keys = list(key) if not isinstance(key, str) else [key]
-    halo = int(warmup_s * rate)
-    sections = k_weighting_coefficients(rate)
-    schema = T.StructType(
-        [blocks.schema[k] for k in keys]
-        + [T.StructField("block_no", T.LongType()), T.StructField("start", T.LongType()),
-           T.StructField("samples", T.ArrayType(T.DoubleType()))]
-    )
-    src = with_halo(blocks, halo, keys)
+    return recursive_filter(blocks, k_weighting_coefficients(rate), keys)
 
-    def fn(batches):
-        responses: dict = {}
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                r = r._asdict()
-                x = np.asarray(r["samples"], dtype=np.float64)
-                pt = np.asarray(r["prev_tail"] if r["prev_tail"] is not None else [], dtype=np.float64)
-                y = _filtered(sections, np.concatenate([pt, x]), responses)[len(pt):]
-                out.append({**{k_: r[k_] for k_ in keys}, "block_no": r["block_no"], "start": r["start"], "samples": y.tolist()})
-            if out:
-                yield pd.DataFrame(out)
 
-    return src.mapInPandas(fn, schema)
+def loudness(blocks: DataFrame, rate: int, key=("utt_id",), block_s: float = 0.4, overlap: float = 0.75) -> DataFrame:
+    """D7 from samples: K-weighting, gating blocks, gated mean:
+    ``(key, n_blocks, n_gated, lufs)``."""
+    keys = list(key) if not isinstance(key, str) else [key]
+    return integrated_loudness(gating_blocks(k_weight(blocks, rate, keys), rate, keys, block_s, overlap))
 
 
 def power_by_bucket(blocks: DataFrame, step: int, key=("utt_id",)) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voxtab.operators import blocks as B
 from voxtab.operators import signal as D
-from voxtab.plans.registry import register, rounded, sqlq
+from voxtab.plans.registry import ORACLES, register, rounded, sqlq
 from voxtab.sources.views import v_frames, v_samples, v_stems, with_views
 
 PEAK_DB, TARGET_LUFS = -3.1, -16.0
@@ -118,6 +119,42 @@ def d7_integrated_loudness(spark, sf_dir):
     return rounded(D.integrated_loudness(blocks))
 
 
+K_RATE, K_WINDOW, K_OVERLAP = 8000, 0.004, 0.75  # windows of 32 samples every 8
+
+
+def _loudness_sql() -> str:
+    """K-weighting as a recursion over the samples, one step for each."""
+    (b, a), (d, c) = D.k_weighting_coefficients(K_RATE)
+    b0, b1, b2, a1, a2 = (_c(v / a[0]) for v in (*b, *a[1:]))
+    d0, d1, d2, c1, c2 = (_c(v / c[0]) for v in (*d, *c[1:]))
+    per, step = round(K_WINDOW * K_RATE), round(K_WINDOW * (1 - K_OVERLAP) * K_RATE)
+    return (
+        with_views("v_samples").replace("v_samples AS (", "v_samples AS MATERIALIZED (")
+        + f""", k(utt_id, idx, z1, z2, u1, u2, y) AS (
+  SELECT utt_id, CAST(-1 AS BIGINT), 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM (SELECT DISTINCT utt_id FROM v_samples)
+  UNION ALL
+  SELECT utt_id, idx, {b1} * x - {a1} * v + z2, {b2} * x - {a2} * v, {d1} * v - {c1} * w + u2, {d2} * v - {c2} * w, w FROM (
+    SELECT *, {d0} * v + u1 AS w FROM (
+      SELECT k.utt_id, s.idx, z1, z2, u1, u2, s.sample AS x, {b0} * s.sample + z1 AS v
+      FROM k JOIN v_samples s ON s.utt_id = k.utt_id AND s.idx = k.idx + 1))),
+size AS (SELECT utt_id, count(*) AS n FROM v_samples GROUP BY utt_id),
+win AS (SELECT utt_id, unnest(range(0, (n - {per}) // {step} + 1)) AS j FROM size WHERE n >= {per}),
+kz AS (SELECT win.utt_id, j, sum(y * y) / {per} AS z FROM win JOIN k ON k.utt_id = win.utt_id AND idx >= j * {step} AND idx < j * {step} + {per}
+       GROUP BY win.utt_id, j)
+"""
+        + _gating_sql("kz", "lu")
+        + f"SELECT utt_id, n_blocks, n_gated, {sqlq('lufs')} AS lufs FROM lu"
+    )
+
+
+@register("d7_loudness_from_samples", _loudness_sql())
+def d7_loudness_from_samples(spark, sf_dir):
+    """From blocks of seven samples, so that every recording is a chain of
+    filter states."""
+    blocks = D.to_blocks(v_samples(spark, sf_dir), 7)
+    return rounded(D.loudness(blocks, K_RATE, block_s=K_WINDOW, overlap=K_OVERLAP))
+
+
 def _energies(samples):
     return samples.select("utt_id", (F.col("sample") * F.col("sample")).alias("z"))
 
@@ -194,3 +231,74 @@ def d2_resample(spark, sf_dir):
     out = D.resample(blocks, D2_FROM, D2_TO, half_width=D2_HALF)
     return rounded(out.select("utt_id", "start", F.posexplode("samples").alias("o", "y")).select(
         "utt_id", (F.col("start") + F.col("o")).alias("k"), "y"))
+
+
+# ------------------------------------------------------ the same on blocks of samples
+BLOCK = 16
+
+
+def _flat(blocks, keys, column, name):
+    """Blocks as rows, for the comparison only."""
+    rows = blocks.select(*keys, "start", F.posexplode(column).alias("_o", name))
+    return rows.select(*keys, (F.col("start") + F.col("_o")).alias("idx"), name)
+
+
+def _stem_blocks(spark, sf_dir):
+    return D.to_blocks(v_stems(spark, sf_dir), BLOCK, ["utt_id", "track", "channel"])
+
+
+def _sample_blocks(spark, sf_dir):
+    return D.to_blocks(v_samples(spark, sf_dir), BLOCK)
+
+
+@register("d1_downmix_blocks", ORACLES["d1_downmix"])
+def d1_downmix_blocks(spark, sf_dir):
+    return rounded(_flat(B.downmix(_stem_blocks(spark, sf_dir), ["utt_id", "track"]), ["utt_id", "track"], "samples", "sample"))
+
+
+@register("d3_standardise_blocks", ORACLES["d3_standardise"])
+def d3_standardise_blocks(spark, sf_dir):
+    out = B.standardise(_stem_blocks(spark, sf_dir), ["utt_id", "track"])
+    both = F.arrays_zip("standardised", "restored")
+    rows = out.select("utt_id", "track", "channel", "start", F.posexplode(both).alias("o", "v"))
+    return rounded(rows.select("utt_id", "track", (F.col("start") + F.col("o")).alias("idx"), "channel", "v.standardised", "v.restored"))
+
+
+@register("d4_mix_tracks_blocks", ORACLES["d4_mix_tracks"])
+def d4_mix_tracks_blocks(spark, sf_dir):
+    out = B.mix_tracks(_stem_blocks(spark, sf_dir), ["view", "click"])
+    return rounded(_flat(out, ["utt_id", "channel"], "samples", "sample"))
+
+
+@register(
+    "d5_repair_spikes_blocks",
+    ORACLES["d5_repair_spikes"].replace(", spike AS was_spike FROM c", " FROM c"),
+)
+def d5_repair_spikes_blocks(spark, sf_dir):
+    return rounded(_flat(B.repair_spikes(_sample_blocks(spark, sf_dir), SPIKE_RATE, SPIKE_DB), ["utt_id"], "repaired", "repaired"))
+
+
+@register("d6_peak_normalise_blocks", ORACLES["d6_peak_normalise"])
+def d6_peak_normalise_blocks(spark, sf_dir):
+    blocks = _sample_blocks(spark, sf_dir)
+    return rounded(_flat(B.apply_gain(blocks, B.peak_gain(blocks, PEAK_DB)), ["utt_id"], "samples", "out"))
+
+
+def _block_energies(blocks):
+    return D.power_by_bucket(blocks, 1).select("utt_id", F.col("ss").alias("z"))
+
+
+def _d8_blocks(spark, sf_dir, measure):
+    blocks = _sample_blocks(spark, sf_dir)
+    out = B.normalise_loudness(blocks, _block_energies(blocks), TARGET_LUFS, PEAK_DB, measure)
+    return rounded(_flat(out, ["utt_id"], "samples", "out"))
+
+
+@register("d8_normalise_before_blocks", ORACLES["d8_normalise_before"])
+def d8_normalise_before_blocks(spark, sf_dir):
+    return _d8_blocks(spark, sf_dir, "before")
+
+
+@register("d8_normalise_after_blocks", ORACLES["d8_normalise_after"])
+def d8_normalise_after_blocks(spark, sf_dir):
+    return _d8_blocks(spark, sf_dir, "after")

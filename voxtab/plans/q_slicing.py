@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voxtab.operators import blocks as B
 from voxtab.operators import segments as C
+from voxtab.operators import signal as D
 from voxtab.operators import silence as S
 from voxtab.operators.signal import gather
-from voxtab.plans.registry import register, rounded, sqlq
+from voxtab.plans.registry import ORACLES, register, rounded, sqlq
 from voxtab.sources.views import v_frames, v_infos, v_samples, v_turns, with_views
 
 HOP = 160  # samples per frame of v_frames (10 ms at 16 kHz)
@@ -37,6 +39,11 @@ def c3_frame_rms(spark, sf_dir):
     return rounded(S.frame_rms(v_samples(spark, sf_dir), win=16, hop=4))
 
 
+@register("c3_frame_rms_blocks", ORACLES["c3_frame_rms"])
+def c3_frame_rms_blocks(spark, sf_dir):
+    return rounded(B.frame_rms(D.to_blocks(v_samples(spark, sf_dir), 16), win=16, hop=4))
+
+
 @register(
     "c3_frame_rms_unaligned",
     with_views("v_samples")

@@ -36,7 +36,7 @@ from voxtab.plans.metric import PIVOTS, SAMPLE, SHELLS, matrix
 from voxtab.session import cut_lineage
 
 #: Nearest clusters that are kept, clusters of a group at most, held clusters of a kernel call.
-NEAR, GROUP, HELD = 8, 1024, 1024
+NEAR, GROUP, HELD = 32, 1024, 1024
 _TOL = 1e-9
 _CAND = "array<struct<d:double,id:long>>"
 
@@ -253,7 +253,7 @@ def ward(points: DataFrame, threshold: float, held: int = HELD) -> DataFrame:
         )
         if step.where("root").isEmpty():
             break
-        for _ in range(2):  # one, then up to three steps to a reciprocal pair; others wait for a later round
+        for _ in range(3):  # up to seven steps to a reciprocal pair; others wait for a later round
             on = step.select(F.col("cl").alias("to"), F.col("root").alias("on_root"), F.col("to").alias("next"))
             step = step.join(on, "to", "left").select(
                 "cl", "d", F.when(F.col("root"), True).otherwise(F.coalesce("on_root", F.lit(False))).alias("root"),
@@ -274,9 +274,9 @@ def ward(points: DataFrame, threshold: float, held: int = HELD) -> DataFrame:
         kept = state.join(touched, F.col("cl") == F.col("t"), "left_anti")
         fresh = merged.where("cl = into").select("cl", "c", "size")
         lost = kept.where(F.size("cand") > 0).join(touched, F.col("cand")[0]["id"] == F.col("t"), "left_semi").select("cl")
-        dirty = cut_lineage(lost.unionByName(fresh.select("cl")))
-        clusters = cut_lineage(kept.select("cl", "c", "size").unionByName(fresh))
+        dirty = cut_lineage(lost.unionByName(fresh.select("cl")).repartition("cl"))  # unions would double the partitions each round
+        clusters = cut_lineage(kept.select("cl", "c", "size").unionByName(fresh).repartition("cl"))
         found = search(clusters, dirty, space, threshold, held)
         still = kept.join(dirty, "cl", "left_anti").select("cl", "c", "size", "cand", "horizon")
-        state = cut_lineage(still.unionByName(clusters.join(found, "cl").select("cl", "c", "size", "cand", "horizon")))
+        state = cut_lineage(still.unionByName(clusters.join(found, "cl").select("cl", "c", "size", "cand", "horizon")).repartition("cl"))
     return assign
