@@ -18,12 +18,13 @@ first, so copies cost one entry. No bucket emits all its pairs:
 1. In every bucket the member that shares most with others leads, and each
    member is verified against its leaders. Links form components (union-find
    by label propagation in Spark).
-2. Buckets whose members ended in one component are settled. In the others,
-   and only between different components, signatures are compared in blocks
-   of bounded size (a crowded bucket is a set of block pairs, spread over
-   tasks). Pairs that could reach the threshold are verified too. The cut on
-   the number of equal slots loses a pair at the threshold with a probability
-   under 1e-8.
+   The cut on the number of equal slots before that loses a pair at the
+   threshold with a probability under 1e-8.
+2. Buckets whose members ended in one component are settled. In the others
+   the whole sets of all members meet, in blocks of bounded size (a crowded
+   bucket is a set of block pairs, spread over tasks): the product of the
+   member-by-shingle matrix with itself holds all intersections, and a call
+   returns a spanning forest of the components that it links, never pairs.
 
 Verification is exact: shingle sets of whole texts, as 64-bit hashes, are
 intersected, and ``100 * intersection >= NEAR * union`` decides. Sets are
@@ -56,8 +57,10 @@ SHINGLE, NEAR = 5, 80
 #: Slots of a signature, cut into bands.
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
-#: Members of a bucket that are compared in one block; rows of small buckets that share a task's call.
-BLOCK, PACK = 512, 8192
+#: Members of a bucket that are compared in one block; shingles of small buckets that share a call.
+BLOCK, PACK = 512, 1 << 20
+#: Cells of a member-by-shingle matrix that are filled at a time.
+CELLS = 1 << 23
 #: Elements that take their steps together.
 ELEMENTS = 1 << 17
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -188,11 +191,6 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return add_columns(docs.select("doc_id", "text"), "text", fields, lambda: compute).drop("text")
 
 
-def _could_link(n_a: np.ndarray, n_b: np.ndarray, near: int) -> np.ndarray:
-    """Sets whose sizes allow the similarity."""
-    return 100 * np.minimum(n_a, n_b) >= near * np.maximum(n_a, n_b)
-
-
 def _bytes(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
 
@@ -222,10 +220,31 @@ def verified(pairs: DataFrame, sets: DataFrame, near: int = NEAR) -> DataFrame:
     return pairs.join(two, "b").join(one, "a").where(100 * both >= near * union).select("a", "b")
 
 
+def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``x`` with the sets ``y``
+    (places in ``sets``)."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    value, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = times[at] > 1  # what one set alone holds is in no intersection
+    column = np.cumsum(times > 1) - 1
+    at, owner = column[at[shared]], owner[shared]
+    width = int((times > 1).sum())
+    step = max(1, CELLS // len(sets))
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    for lo in range(0, width, step):
+        s, e = np.searchsorted(at, [lo, lo + step])
+        m = np.zeros((len(sets), min(step, width - lo)), np.float32)
+        m[owner[s:e], at[s:e] - lo] = 1
+        out += m[x] @ m[y].T
+    return out.astype(np.int64)
+
+
 def _across(near: int):
-    """Compares the members of buckets that lie in different components; a
-    row's ``own`` tells its block where a bucket is cut into several."""
-    cut = least_equal(near=near)
+    """Links between the members of buckets that lie in different components,
+    as a spanning forest of the components of the call; a row's ``own`` tells
+    its block where a bucket is cut into several."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -233,36 +252,49 @@ def _across(near: int):
         order = np.argsort(key, kind="stable")
         starts = np.r_[0, np.flatnonzero(np.diff(key[order])) + 1, len(order)]
         digest, label = group["digest"].to_pylist(), group["label"].to_pylist()
-        label = np.unique(np.array([x.hex() for x in label]), return_inverse=True)[1]
-        size, own = group["n_shingles"].to_numpy(), group["own"].to_numpy()
-        lo, hi = group["lo"].to_numpy(), group["hi"].to_numpy()
-        marks = _bytes(group["marks"].combine_chunks(), SLOTS)
-        found: set[tuple[bytes, bytes]] = set()
+        own, lo, hi = (group[c].to_numpy() for c in ("own", "lo", "hi"))
+        hashes = group["hashes"].combine_chunks()
+        root: dict[bytes, bytes] = {}
+        pairs = []
+
+        def find(a: bytes) -> bytes:
+            while (up := root.get(a, a)) != a:
+                root[a] = a = root.get(up, up)
+            return a
+
         for s, e in zip(starts, starts[1:], strict=False):
             at = order[s:e]
-            x, y = at[own[at] == lo[at]], at[own[at] == hi[at]]
-            step = max(1, (1 << 22) // (SLOTS * max(1, len(y))))
-            for i in range(0, len(x), step):
-                rows = x[i : i + step]
-                able = _could_link(size[rows][:, None], size[y][None, :], near) & (label[rows][:, None] != label[y][None, :])
-                p, q = np.nonzero(able)
-                for j in range(0, len(p), 1 << 15):
-                    u, v = rows[p[j : j + (1 << 15)]], y[q[j : j + (1 << 15)]]
-                    good = (marks[u] == marks[v]).sum(axis=1) >= cut
-                    found.update((min(digest[c], digest[d]), max(digest[c], digest[d])) for c, d in zip(u[good], v[good], strict=True))
-        pairs = list(found)
+            some = [find(label[i]) for i in at]
+            if len(set(some)) < 2:
+                continue
+            sets = [hashes[int(i)].values.to_numpy() for i in at]
+            size = np.array([len(h) for h in sets])
+            place = {name: i for i, name in enumerate(dict.fromkeys(some))}
+            part = np.array([place[name] for name in some])
+            x, y = np.flatnonzero(own[at] == lo[at]), np.flatnonzero(own[at] == hi[at])
+            both = intersections(sets, x, y)
+            linked = 100 * both >= near * (size[x][:, None] + size[y][None, :] - both)
+            for i, j in zip(*np.nonzero(linked & (part[x][:, None] != part[y][None, :])), strict=True):
+                a, b = at[x[i]], at[y[j]]
+                one, two = find(label[a]), find(label[b])
+                if one != two:
+                    root[max(one, two)] = min(one, two)
+                    pairs.append((digest[a], digest[b]))
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
 
     return run
 
 
-def across(members: DataFrame, nodes: DataFrame, near: int = NEAR) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and could
-    reach the threshold. ``members``: key, digest, size, label."""
+def across(members: DataFrame, sets: DataFrame, near: int = NEAR) -> DataFrame:
+    """Links (a, b) that connect the components whose members share a bucket
+    and reach the threshold. ``members``: key, digest, size, label."""
     split = members.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo != _hi").select("key")
     rest = members.where("size > 2").join(split, "key")  # a bucket of two was settled by its leader
-    packs = max(1, math.ceil(rest.where(F.col("size") <= BLOCK).count() / PACK))
+    rest = rest.join(sets.select("digest", F.size("hashes").cast("long").alias("n")), "digest")
+    rest = materialise(rest, "minhash-open-buckets")
     large, parts = F.col("size") > BLOCK, F.ceil(F.col("size") / BLOCK).cast("long")
+    small = rest.where(~large).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    packs = max(1, math.ceil(small / PACK))
     own = F.when(large, F.pmod(F.xxhash64("digest"), parts)).otherwise(F.lit(0).cast("long"))
     partner = F.when(large, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.lit(0).cast("long")))
     dealt = (
@@ -272,8 +304,8 @@ def across(members: DataFrame, nodes: DataFrame, near: int = NEAR) -> DataFrame:
         .withColumn("hi", F.greatest("own", "partner"))
         .withColumn("pack", F.when(large, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(packs))))
         .withColumn("large", large)
-        .join(nodes.select("digest", "n_shingles", "marks"), "digest")
-        .select("large", "pack", "key", "own", "lo", "hi", "digest", "label", "n_shingles", "marks")
+        .join(sets, "digest")
+        .select("large", "pack", "key", "own", "lo", "hi", "digest", "label", "hashes")
     )
     return dealt.groupBy("large", "pack", "lo", "hi").applyInArrow(_across(near), "a binary, b binary").distinct()
 
@@ -308,9 +340,7 @@ def labels(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE, near: int
     first = materialise(_labels(verified(tried, sets, near)), "minhash-labels")
     everyone = nodes.select("digest").join(first, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     placed = members.join(first, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    ordered = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = across(materialise(placed, "minhash-placed"), nodes, near).join(ordered, ["a", "b"], "left_anti")
-    second = materialise(verified(materialise(more, "minhash-rest"), sets, near), "minhash-more-links")
+    second = materialise(across(materialise(placed, "minhash-placed"), sets, near), "minhash-more-links")
     if second.isEmpty():
         return everyone
     # later links join the components of the first
