@@ -1,8 +1,8 @@
 """Personal data replaced by surrogates. DataFrame functions only.
 
-Entities (e-mail addresses, phone and card numbers, IP addresses, bank and
-social numbers, secrets, names after a title) are found by one regular
-expression. Each gets a replacement of its own kind, derived from a key and
+Entities (e-mail addresses, phone and card numbers, IP addresses of both
+versions, bank and social numbers, secrets, names after a title; names without
+a title are not looked for) are found by one regular expression. Each gets a replacement of its own kind, derived from a key and
 the entity's normal form:
 
 * the same entity gets the same surrogate everywhere, in whatever format it
@@ -10,10 +10,14 @@ the entity's normal form:
   surname, are replaced alike wherever they stand;
 * format stays: digits stand where digits stood, letters keep case and
   script, a valid card number stays valid, an address stays an address; a
-  first name keeps the gender its title tells;
-* surrogates are distinct: a table of all distinct entities of the corpus is
-  checked for two entities with one surrogate, and for a surrogate that is
-  itself an entity of the corpus; the losers draw again until none is left.
+  first name keeps the gender that its titles tell over the whole corpus (the
+  male list where they tell both or none), so it is one name after any title;
+* surrogates are distinct: a table of all distinct parts of entities (an
+  address is a local part and a domain) is checked for two parts with one
+  surrogate, and for a surrogate that is itself a part in the corpus; the
+  losers draw again until none is left. Names, local parts, domains and
+  secrets drawn again grow, so that a shape whose every form is taken ends
+  too; numbers keep their length, of eight digits or more.
 
 Only distinct entities are shuffled, reduced in each task first, and never
 texts without an entity: these are passed on as they are. Texts with entities
@@ -59,10 +63,11 @@ KINDS = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}][\p{L}\p{N}-]{0,62}\.)+\p{L}{2,24}"),
     ("secret", r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36})(?![0-9A-Za-z])"),
     ("ip", rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"),
+    ("ipv6", r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![0-9A-Za-z:])"),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"),
     ("social", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("card", r"(?<![0-9+])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])"),
-    ("phone", r"(?<![0-9+])(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])"),
+    ("card", r"(?<![0-9+])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"),
+    ("phone", r"(?<![0-9+])(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|\+(?=[0-9](?:[ .-]?[0-9]){7,14}(?![0-9]))[0-9]{1,3}(?:[ .-]?[0-9]{1,4}){2,7}(?![0-9])|(?<![0-9.+-])0[0-9](?:[ .][0-9]{2}){4}(?![0-9])|(?<![0-9.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])"),
     ("name", rf"(?<![\p{{L}}])(?:{_TITLE})\.? {_NAME}(?: {_NAME})?"),
 )
 ANY = "|".join(f"(?:{e})" for _, e in KINDS)
@@ -98,12 +103,13 @@ def parts(entity: Column, kind: Column) -> Column:
     names = _words(entity)
     named = F.transform(
         names,
-        lambda w, i: F.when(i == F.size(names) - 1, key("last", w)).otherwise(F.concat(F.lit("first-"), _gender(entity), F.lit(_SEP), w)),
+        lambda w, i: F.when(i == F.size(names) - 1, key("last", w)).otherwise(key("first", w)),
     )
     return (
-        F.when(kind == "email", F.array(key("email", F.lower(entity))))
+        F.when(kind == "email", F.array(key("email", F.lower(entity)), key("domain", F.substring_index(F.lower(entity), "@", -1))))
         .when(kind == "secret", F.array(key("secret", F.lower(entity))))
         .when(kind == "ip", F.array(key("ip", entity)))
+        .when(kind == "ipv6", F.array(key("ipv6", F.lower(entity))))
         .when(kind == "name", named)
         .otherwise(F.array(F.concat(kind, F.lit(_SEP), number)))
     )
@@ -164,22 +170,27 @@ def _name(word: Column, at: Column, gender: str | None) -> Column:
     )
 
 
-def surrogate(part: Column, secret: str, attempt: Column) -> Column:
-    """The surrogate of a part key at the given attempt."""
+def _grown(seed: Column, attempt: Column) -> Column:
+    """One more letter for every second attempt after the first two."""
+    n = F.floor(F.greatest(attempt - 1, F.lit(0)) / 2).cast("int")
+    letter = lambda i: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), F.pmod(_h(seed, i, F.lit(9)), F.lit(26)).cast("int") + 1, F.lit(1))
+    return F.array_join(F.transform(F.slice(F.sequence(F.lit(0), n), F.lit(1), n), letter), "")
+
+
+def surrogate(part: Column, gender: Column, secret: str, attempt: Column) -> Column:
+    """The surrogate of a part key at the given attempt; of an address, its
+    new local part."""
     kind, form = F.split(part, _SEP)[0], F.split(part, _SEP)[1]
     seed = _h(F.lit(secret), part, attempt)
-    at = F.instr(form, "@")
-    domain = form.substr(at + 1, F.length(form))
-    host = F.regexp_replace(domain, r"\.[^.]*$", "")
-    mail = F.concat(
-        _reshaped(form.substr(F.lit(1), at - 1), seed),
-        F.lit("@"),
-        _reshaped(host, _h(F.lit(secret), domain)),
-        F.regexp_extract(domain, r"(\.[^.]*)$", 1),
-    )
+    more = _grown(seed, attempt)
+    local = F.concat(_reshaped(F.substring_index(form, "@", 1), seed), more)
+    host = F.regexp_replace(form, r"\.[^.]*$", "")
+    domain = F.concat(_reshaped(host, seed), more, F.regexp_extract(form, r"(\.[^.]*)$", 1))
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.pmod(_h(seed, i), F.lit(256)).cast("string")), ".")
     hexed = F.substring(F.sha2(F.concat(F.lit(secret), F.lit(_SEP), part, F.lit(_SEP), attempt.cast("string")), 256), 1, 64)
     hidden = F.when(form.rlike("^[0-9a-f]+$"), hexed.substr(F.lit(1), F.length(form))).otherwise(_reshaped(form, seed))
+    hexadecimal = lambda c, i: F.when(c == ":", c).otherwise(F.substring(F.lit("0123456789abcdef"), F.pmod(_h(seed, i), F.lit(16)).cast("int") + 1, F.lit(1)))
+    ipv6 = F.array_join(F.transform(F.split(form, ""), hexadecimal), "")
     # a name drawn again grows by a syllable, so that names never run out
     tail = F.array_join(
         F.transform(
@@ -196,25 +207,27 @@ def surrogate(part: Column, secret: str, attempt: Column) -> Column:
         _reshaped(F.when(kind == "phone", form.substr(F.lit(2), F.length(form))).otherwise(form), seed),
     )
     return (
-        F.when(kind == "email", mail)
+        F.when(kind == "email", local)
+        .when(kind == "domain", domain)
         .when(kind == "ip", octets)
+        .when(kind == "ipv6", ipv6)
         .when(kind == "secret", hidden)
         .when(kind == "card", bind(drawn, lambda d: _card(form, d)))
         .when(kind == "last", F.concat(_name(form, seed, None), tail))
-        .when(kind == "first-f", F.concat(_name(form, seed, "f"), tail))
-        .when(kind.startswith("first"), F.concat(_name(form, seed, "m"), tail))
+        .when((kind == "first") & (gender == "f"), F.concat(_name(form, seed, "f"), tail))
+        .when(kind == "first", F.concat(_name(form, seed, "m"), tail))
         .otherwise(drawn)
     )
 
 
 def assign(found: DataFrame, secret: str) -> DataFrame:
-    """(part, surrogate) for distinct ``part`` keys: distinct surrogates of a
-    kind, none of them a part itself."""
+    """(part, surrogate) for distinct ``part`` keys with their ``gender``:
+    distinct surrogates of a kind, none of them a part itself."""
     kind = F.split("part", _SEP)[0]
-    left = found.select("part", F.lit(0).alias("attempt"))
+    left = found.select("part", "gender", F.lit(0).alias("attempt"))
     done: DataFrame | None = None
     while True:
-        drawn = left.withColumn("surrogate", surrogate(F.col("part"), secret, F.col("attempt")))
+        drawn = left.withColumn("surrogate", surrogate(F.col("part"), F.col("gender"), secret, F.col("attempt")))
         named = drawn.withColumn("as_part", F.concat(kind, F.lit(_SEP), F.lower("surrogate")))
         firsts = named.groupBy("as_part").agg(F.min("part").alias("first"))
         taken = found.select(F.lower("part").alias("as_part"))
@@ -257,7 +270,8 @@ def render(entity: Column, known: Column) -> Column:
             title = F.split(entity, " ")[0]
             return (
                 F.when(kind == "name", F.concat_ws(" ", title, F.array_join(got, " ")))
-                .when(kind.isin("email", "ip"), one)
+                .when(kind == "email", F.concat(one, F.lit("@"), got[1]))
+                .when(kind.isin("ip", "ipv6"), one)
                 .when(kind == "secret", F.when(entity.rlike("^[0-9A-F]+$"), F.upper(one)).otherwise(one))
                 .otherwise(_poured(entity, one))
             )
@@ -279,14 +293,17 @@ def pseudonymise(docs: DataFrame, secret: str = "voxtab", text: str = "text") ->
     marked = columns_of(docs, **{e: entities_of(text_of(docs[text]))})
     plain = marked.where(F.size(e) == 0)
     held = marked.where(F.size(e) > 0).withColumn(h, F.xxhash64(text))
+    told = lambda x, keys: F.transform(keys, lambda k: F.struct(k.alias("part"), _gender(x).alias("gender")))
     uses = held.select(
         F.col(h).alias("text_hash"),
-        F.explode(F.array_distinct(F.flatten(F.transform(e, lambda x: bind(kind_of(x), lambda k: parts(x, k)))))).alias("part"),
-    )
+        F.explode(F.array_distinct(F.flatten(F.transform(e, lambda x: bind(kind_of(x), lambda k: told(x, parts(x, k))))))).alias("use"),
+    ).select("text_hash", "use.*")
     uses = materialise(uses.distinct(), "pii-uses")
-    names = assign(materialise(uses.select("part").distinct(), "pii-parts"), secret)
+    female, male = (F.count(F.when(F.col("gender") == g, 1)) for g in ("f", "m"))
+    both = uses.groupBy("part").agg(F.when((female > 0) & (male == 0), "f").otherwise("m").alias("gender"))
+    names = assign(materialise(both, "pii-parts"), secret)
     maps = (
-        uses.join(names, "part")
+        uses.select("text_hash", "part").distinct().join(names, "part")
         .groupBy("text_hash")
         .agg(F.map_from_entries(F.collect_list(F.struct("part", "surrogate"))).alias(m))
         .withColumnRenamed("text_hash", h)
