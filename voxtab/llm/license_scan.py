@@ -24,6 +24,7 @@ result is replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right, insort
 from dataclasses import dataclass
 
 import ahocorasick
@@ -36,7 +37,10 @@ from voxtab.llm.common import LOWER, UPPER, add_columns
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 BASE_CONFIDENCE = 0.5
 
+#: A gap between words; longer ones are shortened before rules are tried.
 _GAP = r"[\s,;:()\"'/*#>-]{1,12}"
+_LONG_GAP = re.compile(r"[\s,;:()\"'/*#>-]{5,}")
+_LONG_SPACE = re.compile(r"\s{5,}")
 _VERSION = rf"(?:{_GAP}(?:version|ver\.?|v\.?))?\s?"
 
 #: Identifiers as in the public SPDX list, matched in tags, license fields and URLs.
@@ -72,6 +76,12 @@ lgpl         | 45 | 0.80 | library general      | (?:gnu )?library general publi
 agpl-3.0     | 85 | 0.95 | affero               | gnu affero general public licen[sc]e (?:version|v\.?) ?3(?:\.0)?
 agpl         | 45 | 0.80 | affero               | affero general public licen[sc]e
 gfdl         | 50 | 0.85 | free documentation   | gnu free documentation licen[sc]e
+gpl-3.0      | 74 | 0.85 | gpl                  | \bgpl ?-?(?:version|ver\.?|v\.?)? ?3(?:\.0)?\b
+gpl-2.0      | 74 | 0.85 | gpl                  | \bgpl ?-?(?:version|ver\.?|v\.?)? ?2(?:\.0)?\b
+lgpl-3.0     | 74 | 0.85 | lgpl                 | \blgpl ?-?(?:version|ver\.?|v\.?)? ?3(?:\.0)?\b
+lgpl-2.1     | 74 | 0.85 | lgpl                 | \blgpl ?-?(?:version|ver\.?|v\.?)? ?2\.1\b
+agpl-3.0     | 74 | 0.85 | agpl                 | \bagpl ?-?(?:version|ver\.?|v\.?)? ?3(?:\.0)?\b
+gpl          | 39 | 0.70 | gpl under            | under (?:the )?(?:terms of the )?(?:gnu )?gpl\b
 apache-2.0   | 80 | 0.95 | apache licen         | apache licen[sc]e (?:version|v\.?) ?2(?:\.0)?
 apache-1.1   | 80 | 0.95 | apache               | apache software licen[sc]e (?:version|v\.?) ?1\.1
 apache-2.0   | 70 | 0.95 | apache.org/licenses  | https?://(?:www\.)?apache\.org/licenses/license-2\.0
@@ -169,6 +179,27 @@ class Rule:
     expression: str
 
 
+#: What may stand before a tag of an SPDX expression.
+_TERMS = r"\(?(?:[\w.+-]+\)?\s{1,4}(?:or|and|with)\s{1,4}\(?)*"
+
+
+def shorten(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The text with gaps of at most twelve characters and white space of at
+    most four, their ends kept; and (place, characters left out before it) for
+    every place where some were."""
+    parts, cuts, at, lost = [], [], 0, 0
+    for m in _LONG_GAP.finditer(text):
+        run = _LONG_SPACE.sub(lambda w: w[0][:2] + w[0][-2:], m[0])
+        run = run if len(run) <= 12 else run[:6] + run[-6:]
+        if len(run) < len(m[0]):
+            keep = len(run) // 2
+            parts += [text[at : m.start()], run]
+            at = m.end()
+            lost += len(m[0]) - len(run)
+            cuts.append((m.end() - lost - len(run) + keep, lost))
+    return "".join([*parts, text[at:]]), cuts
+
+
 def _spaced(expression: str) -> str:
     """Spaces of a written expression as gaps; an optional part's own space
     stays inside it."""
@@ -184,7 +215,7 @@ def rules() -> list[Rule]:
         out.append(Rule(label, int(priority), float(confidence), keyword, _spaced(expression)))
     for name in SPDX.split():
         tag = re.escape(name) + r"(?![\w.+-]*\w)"
-        out.append(Rule(name, 100, 0.99, "spdx-license-identifier", rf"spdx-license-identifier:\s{{0,4}}\(?{tag}"))
+        out.append(Rule(name, 100, 0.99, "spdx-license-identifier", rf"spdx-license-identifier:\s{{0,4}}{_TERMS}(?P<at>{tag})"))
         out.append(Rule(name, 95, 0.97, "spdx.org/licenses", rf"spdx\.org/licenses/{tag}"))
         out.append(Rule(name, 90, 0.95, "opensource.org/license", rf"opensource\.org/licenses?/{tag}"))
         out.append(Rule(name, 65, 0.90, "licen", rf"\blicen[sc]ed?(?:\"?\s{{0,4}}[:=]\s{{0,4}}\"?|\s{{1,4}}under\s{{1,4}}(?:the\s{{1,4}})?){tag}"))
@@ -216,12 +247,23 @@ class Scanner:
     def detections(self, text: str) -> list[tuple[int, int, Rule]]:
         """(start, end, rule) of the detections that no better one holds."""
         held = self.keywords(text)
+        able = [rules_ for keywords, rules_ in self.by_keywords.items() if held.issuperset(keywords)]
+        if not able:
+            return []
+        text, cuts = shorten(text)
+        places = [p for p, _ in cuts]
+
+        def back(at: int) -> int:
+            """The place in the whole text."""
+            i = bisect_right(places, at)
+            return at + (cuts[i - 1][1] if i else 0)
+
         hits = [
-            (m.start(), m.end(), rule)
-            for keywords, tried in self.by_keywords.items()
-            if held.issuperset(keywords)
+            (back(s), back(e - 1) + 1, rule)
+            for tried in able
             for pattern, rule in tried
-            for m in pattern.finditer(text)
+            for s, e in (m.span("at" if "at" in pattern.groupindex else 0) for m in pattern.finditer(text))
+            if e > s
         ]
         return resolve(hits)
 
@@ -230,8 +272,6 @@ def resolve(hits: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """Takes detections by priority, then length, then place and label, and
     suppresses those inside an accepted one. Places are kept sorted by start
     with their furthest end, so a containment test is one search."""
-    from bisect import bisect_right, insort
-
     ranked = sorted(hits, key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].label))
     taken: list[tuple[int, int]] = []  # maximal intervals: starts and ends both ascend
     kept = []
