@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from voxtab.llm import minhash_dedup, ranked_search, spelling
+from voxtab.llm import license_scan, minhash_dedup, mixing, pii, ranked_search, spelling
 
 from .test_small import EXTRA, SCHEMA, _rows
 
@@ -293,3 +293,54 @@ def test_one_apart(a, b, near):
 def test_extra_columns_do_not_matter(docs):
     assert EXTRA and len(docs.columns) > 2
     assert spelling.variants(docs.select("text", "doc_id", "n_chars")).count() == spelling.variants(docs).count()
+
+
+# --- earlier operators, mended ---
+
+
+def test_surrogates_end_and_stay_distinct_where_every_shape_is_taken(spark):
+    mails = [f"{d}@{c}.com" for d in "0123456789" for c in "abcdefghijklmnopqrstuvwxyz"]
+    firsts = ["".join(c) for c in zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "aeiouaeiouaeiouaeiouaeioua", "lmnrlmnrlmnrlmnrlmnrlmnrlm", strict=True)][:24]
+    texts = [f"write to {m}" for m in mails] + [f"{'Mr' if i % 2 else 'Dr'} {f} Reed" for i, f in enumerate(firsts)]
+    texts += ["Mr Alex Reed", "Dr Alex Reed", "Ms Kim Reed", "Dr Kim Reed"]
+    texts += ["+33 6 12 34 56 78", "06 12 34 56 78", "555 123 4567", "3782 822463 10005", "2001:db8:0:1:1:1:1:1", "fe80:0::1a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in sorted(pii.pseudonymise(df).collect())]
+    new = [g.split()[-1] for g in got[:260]]
+    assert len(set(new)) == 260 and not set(new) & set(mails)
+    domains = {(m.split("@")[1], n.split("@")[1]) for m, n in zip(mails, new, strict=True)}
+    assert len(domains) == len({a for a, _ in domains}) == len({b for _, b in domains}) == 26
+    assert not {a for a, _ in domains} & {b for _, b in domains}
+    assert len({g.split()[1] for g in got[260:284]}) == 24
+    assert got[284].split()[1:] == got[285].split()[1:] and got[286].split()[1:] == got[287].split()[1:]
+    assert got[286].split()[1].startswith(tuple(pii.FIRST["latin"]["f"].split()))
+    shape = lambda t: re.sub("[0-9a-f]", "x", t)
+    assert all(a != b and shape(a) == shape(b) for a, b in zip(got[288:], texts[288:], strict=True))
+
+
+def test_license_gaps_expressions_and_short_forms():
+    scanner = license_scan.Scanner(license_scan.rules())
+    found = lambda t: [(t[a:b], r.label) for a, b, r in scanner.detections(t)]
+    wide = "see apache\n" + " " * 400 + "* license, version 2.0 here"
+    assert found(wide) == [(wide[4:-5], "apache-2.0")]
+    assert found("spdx-license-identifier: mit or (apache-2.0 and isc)") == [("mit", "mit"), ("apache-2.0", "apache-2.0"), ("isc", "isc")]
+    for text in ("licensed under gpl v3", "gpl3 license", "the gpl, see gpl version    3"):
+        assert "gpl-3.0" in dict(map(reversed, found(text)))
+    assert [x for x, _ in found("mit license" + " " * 60 + "-" * 60 + "bsd license")] == ["mit license", "bsd license"]
+
+
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    n = 6
+    rows = [(f"s{i}", f"l{j}", "t", 1000 if i == j else 1) for i in range(n) for j in range(n)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    goal = np.arange(1, n + 1) / np.arange(1, n + 1).sum()
+    targets = {"source": {f"s{i}": float(goal[i]) for i in range(n)}, "lang": {f"l{j}": float(goal[(j + 1) % n]) for j in range(n)}, "topic": 1.0}
+    out = mixing.rake(cells, targets, tolerance=1e-3).collect()
+    for dim, shift in (("source", 0), ("lang", 1)):
+        for i in range(n):
+            have = sum(r.weight for r in out if r[dim] == f"{dim[0]}{i}")
+            assert abs(have - goal[(i + shift) % n]) <= 2e-3
+    # contradicting targets end, and say how far they are
+    one = spark.createDataFrame([("a", "x", "t", 5), ("b", "y", "t", 5)], "source string, lang string, topic string, tokens long")
+    miss = mixing.rake(one, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}).first()["miss"]
+    assert miss > 0.5

@@ -80,29 +80,33 @@ def _target(cells: DataFrame, dim: str, wanted: float | Mapping[str, float]) ->
     return open_.select(dim, F.coalesce("given", rest * F.col("t") / total if total else F.lit(0.0)).alias("target"))
 
 
-def rake(
-    cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], tolerance: float = 1e-4, max_rounds: int = 30
-) -> DataFrame:
+def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], tolerance: float = 1e-4, stall: int = 10) -> DataFrame:
     """``cells`` (dimensions, tokens) plus ``weight`` (shares that sum to one)
-    and ``miss`` (largest gap of a marginal before the last round)."""
+    and ``miss`` (largest gap of a marginal before the last round). Rounds go
+    on until the gap is within the ``tolerance``, or has not fallen by a
+    thousandth over ``stall`` rounds: then the targets contradict each other,
+    and ``miss`` says by how much."""
     dims = list(targets)
     shares = {d: materialise(_target(cells, d, targets[d]), f"mix-{d}") for d in dims}
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for k in range(max_rounds):
+    tokens = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    gaps: list[float] = []
+    while not gaps or (gaps[-1] > tolerance and (len(gaps) <= stall or min(gaps[-stall:]) < 0.999 * min(gaps[:-stall]))):
         now = now.withColumn("miss", F.lit(0.0))
         for d in dims:
+            # weights are tokens before the first marginal is met, shares after it
+            total = tokens if not gaps and d == dims[0] else 1.0
             sums = now.groupBy(d).agg(F.sum("weight").alias("have"))
             scale = _scales(sums, shares[d], d).withColumnRenamed(d, "_k")
             joined = now.join(scale, F.col(d).eqNullSafe(F.col("_k")))
-            gap = F.abs(F.col("have") - F.col("target"))
+            gap = F.abs(F.col("have") - F.col("target") * total)
             now = joined.select(
                 *[c for c in now.columns if c not in ("weight", "miss")],
                 (F.col("weight") * F.coalesce(F.try_divide("target", "have"), F.lit(0.0))).alias("weight"),
-                F.greatest("miss", F.lit(0.0) if k == 0 else gap).alias("miss"),
+                F.greatest("miss", gap / total if total else F.lit(0.0)).alias("miss"),
             )
         now = materialise(now, "mix-cells")
-        if k and (now.agg(F.max("miss")).first()[0] or 0.0) <= tolerance:
-            break
+        gaps.append(now.agg(F.max("miss")).first()[0] or 0.0)
     return now
 
 
@@ -136,7 +140,7 @@ def mix(
     topics: Sequence[tuple[str, Sequence[str]]] = TOPICS,
 ) -> DataFrame:
     """``docs`` plus ``mix``: struct of topic, n_tokens, weight (its cell's
-    raked share), expected (copies), probability (of one at least), draw,
+    raked share), miss (largest gap of a marginal that raking left), expected (copies), probability (of one at least), draw,
     sampled, and copies drawn."""
     require(docs, ["doc_id", "text", "source", "lang"])
     out, t, n = (free_name(docs, x) for x in ("mix", "_topic", "_tokens"))
@@ -145,8 +149,8 @@ def mix(
     cells = marked.groupBy("source", "lang", F.col(t).alias("topic")).agg(F.sum(n).alias("tokens"))
     cells = probabilities(rake(materialise(cells, "mix-cells"), targets), budget)
     keys = {d: free_name(docs, f"_cell_{d}") for d in DIMENSIONS}
-    w, e, p = (free_name(docs, x) for x in ("_weight", "_expected", "_probability"))
-    cell = [F.col("weight").alias(w), F.col("expected").alias(e), F.col("probability").alias(p)]
+    w, g, e, p = (free_name(docs, x) for x in ("_weight", "_miss", "_expected", "_probability"))
+    cell = [F.col("weight").alias(w), F.col("miss").alias(g), F.col("expected").alias(e), F.col("probability").alias(p)]
     side = cells.select(*[F.col(d).alias(k) for d, k in keys.items()], *cell)
     same = [F.col(c).eqNullSafe(F.col(keys[d])) for d, c in zip(DIMENSIONS, ("source", "lang", t), strict=True)]
     joined = marked.join(side, same)
@@ -154,10 +158,10 @@ def mix(
     whole = F.floor(e)
     copies = whole + F.when(draw < F.col(e) - whole, 1).otherwise(0)
     struct = F.struct(
-        F.col(t).alias("topic"), F.col(n).alias("n_tokens"), F.col(w).alias("weight"), F.col(e).alias("expected"), F.col(p).alias("probability"),
+        F.col(t).alias("topic"), F.col(n).alias("n_tokens"), F.col(w).alias("weight"), F.col(g).alias("miss"), F.col(e).alias("expected"), F.col(p).alias("probability"),
         draw.alias("draw"), (draw < F.col(p)).alias("sampled"), copies.cast("long").alias("copies"),
     )
-    return joined.withColumn(out, struct).drop(t, n, w, e, p, *keys.values())
+    return joined.withColumn(out, struct).drop(t, n, w, g, e, p, *keys.values())
 
 
 def sample(docs: DataFrame, **settings) -> DataFrame:

@@ -77,7 +77,7 @@ def encoded(docs: DataFrame, path: str, keep: tuple[str, ...] | list[str] = ("do
 @query("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    names = ("topic", "n_tokens", "weight", "expected", "probability", "draw", "sampled", "copies")
+    names = ("topic", "n_tokens", "weight", "miss", "expected", "probability", "draw", "sampled", "copies")
     return mixing.mix(docs).select("doc_id", "source", "lang", *[f"mix.{n}" for n in names])
 
 
