@@ -90,6 +90,40 @@ def one_apart(a: str, b: str) -> bool:
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
+class Spelled:
+    """Letters of many words, from the left and from the right."""
+
+    def __init__(self, words_: list[str], width: int = 64):
+        self.words, self.size = words_, np.array([len(w) for w in words_], np.int64)
+        self.width = int(min(width, self.size.max(initial=1)))
+        flat = np.frombuffer("".join(words_).encode("utf-32-le", "surrogatepass"), np.uint32)
+        owner = np.repeat(np.arange(len(words_)), self.size)
+        at = np.arange(len(flat)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        self.left, self.right = (np.zeros((len(words_), self.width), np.uint32) for _ in range(2))
+        for side, place in ((self.left, at), (self.right, self.size[owner] - 1 - at)):
+            some = place < self.width
+            side[owner[some], place[some]] = flat[some]
+        # one change leaves this many letters as they are at one end of both words
+        self.k = int(self.size.min(initial=0)) // 2
+        self.head, self.tail = (_code(m[:, : min(self.k, self.width)]) for m in (self.left, self.right))
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs of places that are exactly one change apart:
+        what they share at both ends is all but one letter."""
+        some = (self.head[i] == self.head[j]) | (self.tail[i] == self.tail[j])
+        i, j = i[some], j[some]
+        least, most = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
+        shared = np.zeros(len(i), np.int64)
+        for side in (self.left, self.right):
+            differ = side[i] != side[j]
+            first = np.where(differ.any(axis=1), differ.argmax(axis=1), self.width)
+            shared += np.minimum(first, least)
+        good = (most - least <= 1) & (shared >= most - 1) & ((most > least) | (shared < 2 * most))
+        for x in np.flatnonzero(most > self.width):  # longer than the table
+            good[x] = one_apart(self.words[i[x]], self.words[j[x]])
+        return i[good], j[good]
+
+
 def _code(counts: np.ndarray) -> np.ndarray:
     """One number per row of counts (a polynomial modulo 2**64)."""
     code = np.zeros(len(counts), np.uint64)
@@ -133,18 +167,11 @@ def routed(vocabulary: DataFrame, levels: int) -> DataFrame:
 def search(homes: np.ndarray, queries: np.ndarray, surplus: np.ndarray, deficit: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Depth-first search of the trie over the count vectors ``homes`` below
     its first ``levels``: arrays (places in queries, places in homes) of the
-    pairs whose counts differ by a surplus and a deficit of one at most. A
-    home's count above the query's is a surplus, below it a deficit; the flags
+    pairs that the budget of a surplus and a deficit of one each brings to a
+    leaf together. A home's count above the query's is a surplus, below it a deficit; the flags
     tell what is spent already."""
     stack = [(levels, np.arange(len(homes)), np.arange(len(queries)), surplus.astype(bool), deficit.astype(bool))]
     asked, met, waiting = [], [], 0
-
-    def within(q: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        change = homes[h] - queries[q]
-        more, less = (change > 0).sum(axis=1), (change < 0).sum(axis=1)
-        good = (np.abs(change) <= 1).all(axis=1) & (more <= 1) & (less <= 1)
-        return q[good], h[good]
-
     while stack:
         level, h, q, up, down = stack.pop()
         if level == GROUPS or len(h) * len(q) <= LEAF:
@@ -155,7 +182,7 @@ def search(homes: np.ndarray, queries: np.ndarray, surplus: np.ndarray, deficit:
                 met.append(np.tile(h, len(some)))
                 waiting += len(met[-1])
                 if waiting >= CHUNK:
-                    yield within(np.concatenate(asked), np.concatenate(met))
+                    yield np.concatenate(asked), np.concatenate(met)
                     asked, met, waiting = [], [], 0
             continue
         want, held = queries[q, level], homes[h, level]
@@ -168,7 +195,7 @@ def search(homes: np.ndarray, queries: np.ndarray, surplus: np.ndarray, deficit:
             if len(on):
                 stack.append((level + 1, h[order[s:e]], q[on], up[on] | more[on], down[on] | less[on]))
     if waiting:
-        yield within(np.concatenate(asked), np.concatenate(met))
+        yield np.concatenate(asked), np.concatenate(met)
 
 
 def _nearest(levels: int):
@@ -178,7 +205,7 @@ def _nearest(levels: int):
         group = group.combine_chunks()
         word, n, shard = group["word"].to_pylist(), group["n"].to_numpy(), group["shard"].to_numpy()
         held, asks, home, deficit = (np.array(group[c].to_pylist(), bool) for c in ("held", "asks", "home", "deficit"))
-        counts = vectors(word).astype(np.int32)
+        counts, spelled = vectors(word).astype(np.int32), Spelled(word)
         near_words: dict[str, int] = {}
         best: dict[str, tuple[int, str]] = {}
 
@@ -195,11 +222,10 @@ def _nearest(levels: int):
             if not len(h) or not len(q):
                 continue
             for qs, hs in search(counts[h], counts[q], ~home[q], deficit[q], levels):
-                for i, j in zip(q[qs].tolist(), h[hs].tolist(), strict=True):
-                    if one_apart(word[i], word[j]):
-                        offer(word[i], word[j], int(n[j]))
-                        if not home[i]:  # the pair meets nowhere else
-                            offer(word[j], word[i], int(n[i]))
+                for i, j in zip(*(x.tolist() for x in spelled.near(q[qs], h[hs])), strict=True):
+                    offer(word[i], word[j], int(n[j]))
+                    if not home[i]:  # the pair meets nowhere else
+                        offer(word[j], word[i], int(n[i]))
         found = list(near_words)
         return pa.table({
             "word": pa.array(found, pa.string()), "n_near": pa.array([near_words[w] for w in found], pa.int64()),
