@@ -10,13 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def batch_infer(df: DataFrame, load: Callable[[], object], predict: Callable[[object, pd.DataFrame], pd.DataFrame],
                 out_schema: T.StructType | str, keys: list[str], per_item_retry: bool = True) -> DataFrame:
-    """Apply ``predict`` to batches of ``df`` (``mapInPandas``).
+    """Apply ``predict`` to batches of ``df`` (Arrow batches, handed to
+    the model as pandas; keys stay Arrow columns, so any value of them returns as it
+    came).
 
     ``predict`` returns one output row per input row (same order) with the
     columns of ``out_schema``. The result holds ``keys``, the outputs,
@@ -31,33 +35,39 @@ def batch_infer(df: DataFrame, load: Callable[[], object], predict: Callable[[ob
     )
     out_cols = [f.name for f in out_schema.fields]
 
+    kinds = [to_arrow_type(f.dataType) for f in out_schema.fields]
+    names = [f.name for f in schema.fields]
+
+    def outputs(res: pd.DataFrame) -> list[pa.Array]:
+        return [pa.Array.from_pandas(res[c], type=t) for c, t in zip(out_cols, kinds, strict=True)]
+
     def run(batches):
         model = load()
-        for pdf in batches:
-            if len(pdf) == 0:
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
                 continue
+            own = [b.column(b.schema.get_field_index(k)) for k in keys]  # never converted
+            pdf = b.to_pandas(integer_object_nulls=True)
             try:
                 res = predict(model, pdf).reset_index(drop=True)
-                if len(res) != len(pdf):
-                    raise ValueError(f"predict returned {len(res)} rows for {len(pdf)}")
-                out = pd.concat([pdf[keys].reset_index(drop=True), res[out_cols]], axis=1)
-                out["status"], out["reason"] = "success", None
-                yield out
+                if len(res) != n:
+                    raise ValueError(f"predict returned {len(res)} rows for {n}")
+                told, status, reason = outputs(res), ["success"] * n, [None] * n
             except Exception as batch_err:  # noqa: BLE001
-                rows = []
-                for i in range(len(pdf)):
-                    one = pdf.iloc[i : i + 1]
-                    rec = {k: one[k].iloc[0] for k in keys}
+                parts, status, reason = [], [], []
+                for i in range(n):
                     try:
                         if not per_item_retry:
                             raise batch_err
-                        r = predict(model, one).reset_index(drop=True)
-                        rec.update({c: r[c].iloc[0] for c in out_cols})
-                        rec["status"], rec["reason"] = "success", None
+                        parts.append(outputs(predict(model, pdf.iloc[i : i + 1]).iloc[:1]))
+                        status.append("success")
+                        reason.append(None)
                     except Exception as e:  # noqa: BLE001
-                        rec.update({c: None for c in out_cols})
-                        rec["status"], rec["reason"] = "failed", f"{type(e).__name__}: {e}"
-                    rows.append(rec)
-                yield pd.DataFrame(rows, columns=keys + out_cols + ["status", "reason"])
+                        parts.append([pa.nulls(1, t) for t in kinds])
+                        status.append("failed")
+                        reason.append(f"{type(e).__name__}: {e}")
+                told = [pa.concat_arrays(column) for column in zip(*parts, strict=True)]
+            yield pa.RecordBatch.from_arrays([*own, *told, pa.array(status, pa.string()), pa.array(reason, pa.string())], names=names)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)

@@ -274,6 +274,49 @@ def accumulate_min(intervals: DataFrame, min_len, pad_len: int, key="utt_id", or
     return grouped.select(*keys, "start", "end", (F.col("cum__head") - 1).alias("grp"), pad_after.cast("bigint").alias("pad_after"))
 
 
+def slice_accumulated(intervals: DataFrame, totals: DataFrame, min_len: int, pad_len: int, max_len: int, key="utt_id") -> DataFrame:
+    """The first slicer as a whole. A recording of fewer than ``min_len``
+    samples goes to the even split (C2) as it is; of others the non-silent
+    ``intervals`` are accumulated (C5), each group is one line of sound and
+    inserted silence, and lines longer than ``max_len`` are split evenly.
+
+    ``totals (key, n)``. Returns the pieces that make up each segment:
+    ``(key, seg_idx, at, length, src_start)``, at place ``at`` of the segment
+    ``length`` samples from ``src_start`` on, or that many zeros where it is
+    null. A line is a piecewise map from its own coordinates to the source,
+    so the split needs no samples; a group's offsets come from the distributed
+    scan."""
+    keys = [key] if isinstance(key, str) else list(key)
+    short = totals.where((F.col("n") < min_len) & (F.col("n") > 0))
+    long = intervals.join(totals.where(F.col("n") >= min_len).select(*keys), keys, "left_semi")
+    zero = F.lit(0).cast("bigint")
+    members = accumulate_min(long, min_len, pad_len, key).withColumn("span", F.col("end") - F.col("start") + F.col("pad_after"))
+    placed = ordered_scan(members, [*keys, "grp"], ["start"], sums=["span"])
+    placed = placed.select(*keys, "grp", "start", "end", "pad_after", (F.col("cum_span") - F.col("span")).alias("off"))
+    whole = short.select(*keys, zero.alias("grp"), zero.alias("start"), F.col("n").cast("bigint").alias("end"), zero.alias("pad_after"), zero.alias("off"))
+    placed = cut_lineage(placed.unionByName(whole))
+    size = F.max(F.col("off") + F.col("end") - F.col("start") + F.col("pad_after"))
+    lines = placed.groupBy(*keys, "grp").agg(size.alias("_size"))
+    cuts = F.when(F.col("_size") > max_len, F.ceil(F.col("_size") / max_len)).otherwise(1)
+    lines = lines.withColumn("_chunk", F.ceil(F.col("_size") / cuts).cast("bigint"))
+    lines = lines.withColumn("_segs", F.ceil(F.col("_size") / F.col("_chunk")).cast("bigint"))
+    numbered = ordered_scan(lines, keys, ["grp"], sums=["_segs"])
+    numbered = numbered.select(*keys, "grp", "_chunk", (F.col("cum__segs") - F.col("_segs")).alias("_base"))
+    sound = placed.select(*keys, "grp", F.col("off").alias("_lo"), (F.col("off") + F.col("end") - F.col("start")).alias("_hi"), F.col("start").alias("_src"))
+    silence = placed.where("pad_after > 0").select(
+        *keys, "grp", (F.col("off") + F.col("end") - F.col("start")).alias("_lo"),
+        (F.col("off") + F.col("end") - F.col("start") + F.col("pad_after")).alias("_hi"), F.lit(None).cast("bigint").alias("_src"),
+    )
+    spans = sound.unionByName(silence).where("_hi > _lo").join(numbered, [*keys, "grp"])
+    first, last = F.floor(F.col("_lo") / F.col("_chunk")), F.floor((F.col("_hi") - 1) / F.col("_chunk"))
+    parts = spans.withColumn("_j", F.explode(F.sequence(first, last)))
+    lo, hi = F.greatest("_lo", F.col("_j") * F.col("_chunk")), F.least("_hi", (F.col("_j") + 1) * F.col("_chunk"))
+    return parts.select(
+        *keys, (F.col("_base") + F.col("_j")).alias("seg_idx"), (lo - F.col("_j") * F.col("_chunk")).alias("at"), (hi - lo).alias("length"),
+        (F.col("_src") + lo - F.col("_lo")).alias("src_start"),
+    )
+
+
 def accumulated_groups(members: DataFrame, key="utt_id") -> DataFrame:
     """C5 groups: ``(key, grp, n_intervals, length)`` with pads counted."""
     keys = [key] if isinstance(key, str) else list(key)

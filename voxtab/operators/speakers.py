@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from voxtab.plans.graph import connected_components
 from voxtab.plans.metric import neighbour_components, unit_vectors
-from voxtab.plans.pairs import block_pairs, cluster_distance_sums, pack_blocks, pair_stats, threshold_forest
+from voxtab.plans.pairs import block_pairs, cluster_distance_sums, component_counts, pack_blocks, pair_stats, threshold_forest
 from voxtab.plans.scan import global_rank
 from voxtab.plans.ward import ward
 from voxtab.session import cut_lineage
@@ -96,21 +96,20 @@ def cosine_stats(vecs: DataFrame, id_col: str, vec: str = "vec", block: int = BL
     return cosine_mean(vecs, id_col, vec).select(one, "*").join(s.select(one, "*"), "_one").drop("_one")
 
 
-def _components(vecs: DataFrame, keys, id_col: str, vec: str, eps: float, block: int) -> DataFrame:
-    keys = list(keys)
-    pairs = block_pairs(pack_blocks(vecs, keys, id_col, vec, block), keys)
-    forest = threshold_forest(pairs, keys, eps)
-    vertices = vecs.select(*keys, F.col(id_col).cast("bigint").alias("node"))
-    return connected_components(vertices, forest, keys)
-
-
 def speaker_count(emb: DataFrame, eps: float = 0.75, key: str = "utt_id", id_col: str = "chunk_idx", vec: str = "vec",
                   utts: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """speakers per utterance = DBSCAN (cosine, min_samples 1) cluster
     count = connected components of ``dist <= eps`` among its chunks;
-    an utterance without chunks counts 0; ``multi_speaker = count > 1``."""
-    labels = _components(emb, [key], id_col, vec, eps, block)
-    counts = labels.groupBy(key).agg(F.countDistinct("label").alias("spk_count"))
+    an utterance without chunks counts 0; ``multi_speaker = count > 1``. The
+    vectors of an utterance meet in one row of at most ``block``; only
+    utterances with more go through block pairs and rounds of components."""
+    packed = cut_lineage(pack_blocks(emb, [key], id_col, vec, block))
+    counts = component_counts(packed.where("nb = 1"), [key], eps)
+    large = packed.where("nb > 1")
+    if not large.isEmpty():
+        forest = threshold_forest(block_pairs(large, [key]), [key], eps)
+        labels = connected_components(large.select(key, F.explode("ids").alias("node")), forest, [key])
+        counts = counts.unionByName(labels.groupBy(key).agg(F.countDistinct("label").alias("spk_count")))
     if utts is not None:
         counts = utts.select(key).distinct().join(counts, key, "left")
     c = F.coalesce(F.col("spk_count"), F.lit(0)).cast("int")

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,6 +140,23 @@ def threshold_forest(pairs: DataFrame, keys: Sequence[str], eps: float) -> DataF
     return pairs.mapInPandas(fn, schema)
 
 
+def component_counts(blocks: DataFrame, keys: Sequence[str], eps: float) -> DataFrame:
+    """``(keys, spk_count)``: components of ``dist <= eps`` among the vectors
+    of each row of ``blocks``."""
+    keys = list(keys)
+    schema = T.StructType([*[blocks.schema[k] for k in keys], T.StructField("spk_count", T.LongType())])
+
+    def fn(batches):
+        for b in batches:
+            counts = []
+            for vecs in b.column(len(keys)).to_pylist():
+                i, j = np.nonzero(np.triu(_cos_dist(vecs, vecs) <= eps, k=1))
+                counts.append(len(np.unique(_components_small(len(vecs), i, j))))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(counts, pa.int64())], names=schema.names)
+
+    return blocks.select(*keys, "vecs").mapInArrow(fn, schema)
+
+
 def pair_stats(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Partial statistics of the cosine distances of all pairs ``i < j``:
     ``(keys, n, total, dmin, dmax)`` per block pair."""

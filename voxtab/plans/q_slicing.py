@@ -103,6 +103,33 @@ def c5_accumulate_min(spark, sf_dir):
     return C.accumulate_min(_c4(spark, sf_dir), C5_MIN, C5_PAD)
 
 
+_MAX = int(C5_MAX * RATE)
+
+
+@register(
+    "c5_first_slicer",
+    ORACLES["c5_accumulate_min"].split("SELECT k.utt_id, k.start, k.")[0]
+    + f""", total AS (SELECT utt_id, (max(frame_idx) + 1) * {HOP} AS n FROM v_frames GROUP BY utt_id),
+mem AS (SELECT k.utt_id, rec.grp, k.start, k.len, CASE WHEN rec.closed THEN 0 ELSE {C5_PAD} END AS pad
+        FROM rec JOIN k ON k.utt_id = rec.utt_id AND k.k = rec.k JOIN total ON total.utt_id = k.utt_id WHERE total.n >= {C5_MIN}),
+line AS (SELECT utt_id, grp, start, len, pad, sum(len + pad) OVER (PARTITION BY utt_id, grp ORDER BY start) - len - pad AS off FROM mem
+         UNION ALL SELECT utt_id, 0, 0, n, 0, 0 FROM total WHERE n < {C5_MIN}),
+cut AS (SELECT utt_id, grp, CAST(ceil(size / CASE WHEN size > {_MAX} THEN ceil(size / {_MAX}.0) ELSE 1 END) AS BIGINT) AS chunk, size
+        FROM (SELECT utt_id, grp, CAST(sum(len + pad) AS BIGINT) AS size FROM line GROUP BY utt_id, grp)),
+num AS (SELECT *, sum((size + chunk - 1) // chunk) OVER (PARTITION BY utt_id ORDER BY grp) - (size + chunk - 1) // chunk AS base FROM cut),
+span AS (SELECT utt_id, grp, off AS lo, off + len AS hi, start AS src FROM line
+         UNION ALL SELECT utt_id, grp, off + len, off + len + pad, NULL FROM line WHERE pad > 0),
+part AS (SELECT s.*, chunk, base, CAST(unnest(range(CAST(lo AS BIGINT) // chunk, (CAST(hi AS BIGINT) - 1) // chunk + 1)) AS BIGINT) AS j
+         FROM span s JOIN num USING (utt_id, grp))
+SELECT utt_id, CAST(base + j AS BIGINT) AS seg_idx, CAST(greatest(lo, j * chunk) - j * chunk AS BIGINT) AS at,
+       CAST(least(hi, (j + 1) * chunk) - greatest(lo, j * chunk) AS BIGINT) AS length,
+       CAST(src + greatest(lo, j * chunk) - lo AS BIGINT) AS src_start FROM part""",
+)
+def c5_first_slicer(spark, sf_dir):
+    totals = _totals(v_frames(spark, sf_dir)).select("utt_id", "n")
+    return C.slice_accumulated(_c4(spark, sf_dir), totals, C5_MIN, C5_PAD, _MAX)
+
+
 # ------------------------------------------------------------------ C6
 @register(
     "c6_slicer_params",

@@ -9,10 +9,25 @@ from pyspark.sql import functions as F
 SCORE_COLUMNS = ["audio_filepath", "duration", "SIG", "BAK", "OVRL", "P808_MOS", "valid_hops"]
 
 
-def write_by_speaker(clips: DataFrame, assignment: DataFrame, path: str, key: str = "utt_id", mode: str = "overwrite") -> None:
-    """A10: one directory per speaker: clips of assigned utterances only
-    (semi join), partitioned by ``spk``."""
-    j = clips.join(assignment.select(key, "spk"), key, "inner")
+def assigned_clips(clips: DataFrame, assignment: DataFrame, key: str = "utt_id") -> DataFrame:
+    """A10: the clips of assigned utterances with their speaker, each as often
+    as it is in ``clips``: repeated assignments count once, and an utterance
+    with two speakers fails the job."""
+    one = assignment.groupBy(key).agg(F.min("spk").alias("spk"), F.max("spk").alias("_other"))
+    clash = F.raise_error(F.concat(F.lit("two speakers for "), F.col(key).cast("string")))
+    one = one.select(key, F.when(F.col("spk") != F.col("_other"), clash).otherwise(F.col("spk")).alias("spk"))
+    return clips.join(one, key)
+
+
+def write_by_speaker(clips: DataFrame, assignment: DataFrame, path: str, key: str = "utt_id", mode: str = "overwrite",
+                     files: int | None = None) -> None:
+    """A10: one directory per speaker with the clips of assigned utterances
+    only. With ``files`` every speaker gets at most that many files, its clips
+    dealt by hash, so that a speaker with a third of all clips is written by
+    as many tasks."""
+    j = assigned_clips(clips, assignment, key)
+    if files:
+        j = j.withColumn("_file", F.pmod(F.xxhash64(key), F.lit(files))).repartition("spk", "_file").drop("_file")
     j.write.mode(mode).partitionBy("spk").parquet(path)
 
 
@@ -29,9 +44,12 @@ def manifest_lines(verdicts: DataFrame) -> DataFrame:
 def write_manifests(verdicts: DataFrame, path: str, mode: str = "overwrite") -> None:
     """``filter_pass.manifest`` and ``filter_fail.manifest`` as JSON
     lines; both are always written (empty without a threshold)."""
-    lines = manifest_lines(verdicts)
-    for verdict in ("pass", "fail"):
-        lines.where(F.col("verdict") == verdict).select("value").write.mode(mode).text(f"{path}/filter_{verdict}.manifest")
+    lines = manifest_lines(verdicts).persist()  # the plan runs once for both files
+    try:
+        for verdict in ("pass", "fail"):
+            lines.where(F.col("verdict") == verdict).select("value").write.mode(mode).text(f"{path}/filter_{verdict}.manifest")
+    finally:
+        lines.unpersist()
 
 
 def write_json_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
