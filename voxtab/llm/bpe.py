@@ -32,6 +32,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -190,7 +191,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids:
 
         def run(texts: pa.Array) -> list[pa.Array]:
             tokens = _lists([one(t.as_py() or "") for t in texts])
-            return [tokens, pa.array([back(r) for r in tokens], pa.string())]
+            return [tokens, back(tokens)]
 
         return run
 
@@ -198,9 +199,17 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids:
     return add_columns(docs, text, fields, start)
 
 
-def decoder(strings: list[str], between: str) -> Callable[[pa.ListScalar], str]:
-    string = strings.__getitem__
-    return lambda r: between.join(map(string, r.values.to_numpy(zero_copy_only=False).tolist())) if r.is_valid else ""
+def decoder(strings: list[str], between: str) -> Callable[[pa.ListArray], pa.Array]:
+    """A function from lists of ids to their vocabulary strings joined by
+    ``between``; a null list gives an empty text."""
+    table = pa.array(strings, pa.string())
+
+    def run(rows: pa.ListArray) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        ends = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(ends, table.take(rows.flatten())), between)
+
+    return run
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded", between: str = " ") -> DataFrame:
@@ -210,6 +219,6 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str
 
     def start():
         one = decoder(shared.value, between)
-        return lambda rows: [pa.array([one(r) for r in rows], pa.string())]
+        return lambda rows: [one(rows)]
 
     return add_columns(tokens, ids, [T.StructField(out, T.StringType())], start)
