@@ -68,7 +68,7 @@ def read_transcripts(spark: SparkSession, root: str, glob: str = "*.lab") -> Dat
     out = df.select(
         "path",
         F.regexp_extract("path", _root_pattern(root), 1).alias("rel"),
-        F.when(utf8, as_str).otherwise(_decode_gbk(F.col("content"))).alias("text"),
+        F.when(utf8, as_str).otherwise(_decode_gbk(F.when(~utf8, F.col("content")))).alias("text"),  # Python gets the other files only
         F.when(utf8, F.lit("utf-8")).otherwise(F.lit("gbk")).alias("encoding"),
     )
     return out.where(F.col("text").isNotNull())

@@ -56,3 +56,45 @@ def ingest_stream(spark: SparkSession, src: str, schema: T.StructType, checkpoin
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def ingest_once(spark: SparkSession, src: str, schema: T.StructType, checkpoint: str, out: str, key: str = "path", fmt: str = "parquet",
+                time: str | None = None, expire: str | None = None):
+    """S1 with the ledger as streaming state: one incremental pass
+    (``availableNow``) over the new files of ``src``, in which the state store
+    drops keys that an earlier row, batch or run has had. The state is dealt
+    by key and lives in ``checkpoint`` (a shared folder), so a batch looks up
+    its own keys and reads no ledger, whatever that holds.
+
+    With ``expire`` keys are forgotten that much after the event time
+    ``time``, which bounds the state; without it they are kept for good.
+    Output rows are written by batch (``batch_id=<n>``), so that a batch
+    replayed after a failure replaces what it had written. Rows without a key
+    count as one. Returns the finished query."""
+    stream = spark.readStream.format(fmt).schema(schema).load(src)
+    if expire:
+        if not time:
+            raise ValueError("expiry needs an event-time column")
+        fresh = stream.withWatermark(time, expire).dropDuplicatesWithinWatermark([key])
+    else:
+        fresh = stream.dropDuplicates([key])
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("batch_id", F.lit(number).cast("bigint"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
+
+    # local to this query: the state store that keeps its keys on disk, not in the heap
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        query = stream_writer(fresh, write_batch, checkpoint)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    query.awaitTermination()
+    return query
+
+
+def stream_writer(rows: DataFrame, write_batch, checkpoint: str):
+    return (rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start())
