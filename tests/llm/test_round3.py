@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from voxtab.llm import license_scan, minhash_dedup, mixing, pii, ranked_search, spelling
+from voxtab.llm import lang_id, license_scan, minhash_dedup, mixing, pii, ranked_search, spelling
 
 from .test_small import EXTRA, SCHEMA, _rows
 
@@ -344,3 +344,53 @@ def test_raking_goes_on_until_the_targets_are_met(spark):
     one = spark.createDataFrame([("a", "x", "t", 5), ("b", "y", "t", 5)], "source string, lang string, topic string, tokens long")
     miss = mixing.rake(one, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}).first()["miss"]
     assert miss > 0.5
+
+
+def _plain_language(train, asked):
+    """Word-first backoff over plain counters."""
+    letters, langs = re.compile(r"[^\W\d_]+"), collections.Counter(c for _, c in train)
+    order = sorted(langs, key=lambda c: (-langs[c], c))
+    words = {c: collections.Counter(w for t, k in set(train) if k == c for w in letters.findall(t.lower())) for c in order}
+    grams = {c: {k: collections.Counter() for k in lang_id.GRAMS} for c in order}
+    for c in order:
+        for w, n in words[c].items():
+            for k in lang_id.GRAMS:
+                line = f"<{w}>" if k > 1 else w
+                for i in range(len(line) - k + 1):
+                    grams[c][k][line[i : i + k]] += n
+    log = lambda table, x: np.array([math.log(table[c][x] + 0.5) - math.log(sum(table[c].values()) + 0.5) for c in order])
+    out = []
+    for text in asked:
+        total, found = np.zeros(len(order)), letters.findall((text or "").lower())
+        for w in found:
+            if any(words[c][w] for c in order):
+                total += log(words, w)
+                continue
+            for k in lang_id.GRAMS:
+                line, by = (f"<{w}>" if k > 1 else w), {c: grams[c][k] for c in order}
+                hits = [g for i in range(len(line) - k + 1) if any(by[c][g := line[i : i + k]] for c in order)]
+                if hits:
+                    total += np.mean([log(by, g) for g in hits], axis=0)
+                    break
+        best = int(np.argmax(total))
+        out.append(("und", 0.0) if not found else (order[best], 1 / np.exp(total - total[best]).sum()) if total.any() else (order[0], langs[order[0]] / len(train)))
+    return out
+
+
+def test_language_equals_plain_backoff(spark):
+    rng = np.random.default_rng(6)
+    lists = {c: ["".join(rng.choice(list(a), int(rng.integers(2, 8)))) for _ in range(40)] for c, a in {"aa": "abcdeo", "bb": "cdefgu", "cc": "éfghia"}.items()}
+    train = [(" ".join(rng.choice(lists[c], 12)), c) for c in ("aa", "bb", "cc") for _ in range(40)]
+    asked = [" ".join("".join(rng.choice(list("abcdefghiéou"), int(rng.integers(1, 9)))) if rng.random() < 0.6 else str(rng.choice(lists["bb"])) for _ in range(6)) for _ in range(150)]
+    asked += [None, "", "12", "ж漢"]
+    model = lang_id.fit(spark.createDataFrame(train, "text string, lang string").repartition(3))
+    rows = lang_id.predict(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    for r, (lang, score) in zip(rows, _plain_language(train, asked), strict=True):
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-9
+
+
+def test_language_sample_is_bounded_whatever_repeats(spark):
+    rows = [(("same text" if i % 2 else f"text {i}"), "en") for i in range(6000)] + [(f"autre {i}", "fr") for i in range(50)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    picked = lang_id.sample(df, "lang", "text", {"en": 6000, "fr": 50}, 300).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in picked} == {"en": 300, "fr": 50}

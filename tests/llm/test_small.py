@@ -314,7 +314,7 @@ def test_language(spark, docs, empty):
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(rng.choice(en if i % 2 else de, 20)), "en" if i % 2 else "de") for i in range(200)]
     train = spark.createDataFrame(rows + [(None, None, "en"), (1000, "x", None)], "doc_id long, text string, lang string")
-    model = lang_id.fit(train, max_words=15)
+    model = lang_id.fit(train)
     asked = ["the fox", "der hund und einfacher", "nothings", None, "", "12 !?", "٣٣", "漢字", "dorthin schlichte"]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(asked)], "doc_id long, text string, score string")
     got = [r.lang_pred for r in lang_id.predict(df, model).orderBy("doc_id").collect()]

@@ -5,10 +5,9 @@ falls back to its longest character n-grams that the model knows (word ends
 marked), then to shorter ones; a word without any known n-gram does not vote.
 The language with the largest sum wins.
 
-``fit`` learns from a bounded sample: ``fit_rows`` rows per language, chosen
-by a hash of the text, and keeps the most frequent ``max_words`` words and
-``max_grams`` n-grams, so the broadcast model is bounded whatever the corpus
-holds. Prediction reads every row where it lies: no shuffle, and a worker
+``fit`` learns from a bounded sample: at most ``fit_rows`` different texts per
+language, those with the smallest hashes of the text; copies count once. Its
+whole vocabulary makes the broadcast model. Prediction reads every row where it lies: no shuffle, and a worker
 keeps at most ``CACHE_WORDS`` looked-up words.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0.
@@ -29,15 +28,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxtab.llm.common import add_columns, materialise
 
-FIT_ROWS = 3_000
-MAX_WORDS = 150_000
-MAX_GRAMS = 150_000
+FIT_ROWS = 500
 #: Lengths of n-grams, longest first.
 GRAMS = (5, 4, 3, 2, 1)
 CACHE_WORDS = 300_000
@@ -61,11 +58,14 @@ class Model:
 
 
 def sample(docs: DataFrame, lang: str, text: str, counts: dict[str, int], fit_rows: int) -> DataFrame:
-    """About ``fit_rows`` rows of each language, picked by the text's hash;
-    all rows of a language that has no more (``counts``: its rows)."""
-    share = F.create_map(*[F.lit(x) for code, n in counts.items() for x in (code, fit_rows / n)])
+    """``fit_rows`` different texts of each language at most, by the smallest
+    hash; ``counts``, the rows of each language, tells how small a hash must
+    be to come into question, so that few rows are shuffled."""
+    share = F.create_map(*[F.lit(x) for code, n in counts.items() for x in (code, 4 * fit_rows / n)])
     place = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / float(1 << 30)
-    return docs.where(F.col(text).isNotNull() & (place < share[F.col(lang)])).select(lang, text)
+    some = docs.where(F.col(text).isNotNull() & (place < share[F.col(lang)])).select(lang, text).dropDuplicates([lang, text])
+    least = Window.partitionBy(lang).orderBy(place, text)
+    return some.withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= fit_rows).select(lang, text)
 
 
 def _count_words(lang: str, text: str):
@@ -97,9 +97,9 @@ def _grams(words: DataFrame) -> DataFrame:
     return words.select("lang", "n", F.explode(cut).alias("token")).groupBy("lang", "token").agg(F.sum("n").alias("n"))
 
 
-def _table(counts: DataFrame, limit: int, langs: list[str], by_length: bool) -> Table:
-    """The ``limit`` most frequent tokens (ties: smaller token) with their
-    log frequency in each language, add-half smoothed."""
+def _table(counts: DataFrame, langs: list[str], by_length: bool) -> Table:
+    """The tokens with their log frequency in each language, add-half
+    smoothed."""
     names = [f"n{i}" for i in range(len(langs))]
     wide = counts.groupBy("token").agg(
         *[F.sum(F.when(F.col("lang") == code, F.col("n")).otherwise(0)).alias(c) for code, c in zip(langs, names, strict=True)]
@@ -107,8 +107,7 @@ def _table(counts: DataFrame, limit: int, langs: list[str], by_length: bool) ->
     group = F.length("token") if by_length else F.lit(0)
     sums = wide.groupBy(group.alias("size")).agg(F.array(*[F.sum(c) for c in names]).alias("all")).collect()
     totals = {r["size"]: np.array(r["all"], float) for r in sums}
-    total = sum((F.col(c) for c in names), F.lit(0))
-    top = wide.orderBy(total.desc(), "token").limit(limit).toPandas()
+    top = wide.orderBy("token").toPandas()
     seen = top[names].to_numpy(float)
     tokens = top["token"].tolist()
     base = np.array([totals[len(t) if by_length else 0] for t in tokens]).reshape(len(tokens), len(langs))
@@ -116,7 +115,7 @@ def _table(counts: DataFrame, limit: int, langs: list[str], by_length: bool) ->
 
 
 def fit(
-    docs: DataFrame, lang: str = "lang", text: str = "text", fit_rows: int = FIT_ROWS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS
+    docs: DataFrame, lang: str = "lang", text: str = "text", fit_rows: int = FIT_ROWS
 ) -> Model:
     """Learns from the rows given; leave held-out rows out of ``docs``."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).groupBy(lang).count().collect()
@@ -131,7 +130,7 @@ def fit(
         .agg(F.sum("n").alias("n")),
         "lang-words",
     )
-    return Model(langs, [n for n, _ in prior], _table(words, max_words, langs, False), _table(_grams(words), max_grams, langs, True))
+    return Model(langs, [n for n, _ in prior], _table(words, langs, False), _table(_grams(words), langs, True))
 
 
 def scorer(model: Model):
