@@ -26,7 +26,7 @@ def _blobs(rng, centres, size, spread, dim):
     return np.concatenate([x + rng.normal(size=(size, dim)) * spread for x in c])
 
 
-@pytest.mark.parametrize("eps", [0.0, 0.02, 0.3, 0.9, 1.2, 2.0])
+@pytest.mark.parametrize("eps", [0.02, 0.3, 1.2])
 @pytest.mark.parametrize("shape", ["noise", "blobs", "arc", "crowd"])
 def test_components_equal_brute_force(spark, monkeypatch, shape, eps):
     monkeypatch.setattr(metric, "PIVOTS", 12)

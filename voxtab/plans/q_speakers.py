@@ -132,11 +132,11 @@ _COST = "sqrt(2.0 * a.n * b.n / (a.n + b.n)) * list_distance(a.c, b.c)"
 greedy(step, cl, c, n, members) AS (
   SELECT 0, utt_id, c, 1, [utt_id] FROM p
   UNION ALL
-  SELECT step + 1, cl, CASE WHEN cl = x THEN both ELSE c END, CASE WHEN cl = x THEN total ELSE n END,
+  SELECT step + 1, cl, CASE WHEN cl = x THEN mixed ELSE c END, CASE WHEN cl = x THEN total ELSE n END,
          CASE WHEN cl = x THEN everyone ELSE members END
   FROM greedy, (
     SELECT a.cl AS x, b.cl AS y, a.n + b.n AS total, list_concat(a.members, b.members) AS everyone,
-           list_transform(list_zip(a.c, b.c), lambda v: (v[1] * a.n + v[2] * b.n) / (a.n + b.n)) AS both
+           list_transform(list_zip(a.c, b.c), lambda v: (v[1] * a.n + v[2] * b.n) / (a.n + b.n)) AS mixed
     FROM greedy a JOIN greedy b ON a.cl < b.cl WHERE {_COST} < 0.75
     ORDER BY {_COST}, a.cl, b.cl LIMIT 1)
   WHERE cl <> y),

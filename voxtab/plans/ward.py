@@ -24,6 +24,7 @@ or above the threshold are never searched. Ties go to smaller ids."""
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -167,22 +168,24 @@ def _merged(found: DataFrame) -> DataFrame:
     return found.groupBy("cl").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, NEAR).alias("cand"))
 
 
-def search(clusters: DataFrame, dirty: DataFrame, space: Space, threshold: float, held: int = HELD) -> DataFrame:
-    """``(cl, cand, horizon)`` of the clusters listed in ``dirty``."""
-    rows = clusters.select("cl", "c", "size").join(dirty.select("cl", F.lit(True).alias("asks")), "cl", "left")
-    rows = cut_lineage(rows.withColumn("asks", F.coalesce("asks", F.lit(False))))
-    start = rows.withColumn("bound", F.lit(float(threshold)))
+def search(clusters: DataFrame, space: Space, threshold: float, held: int = HELD) -> DataFrame:
+    """``clusters (cl, c, size, cand, horizon, dirty)`` with new neighbours
+    for the dirty ones: ``(cl, c, size, cand, horizon)``."""
+    start = clusters.select("cl", "c", "size", F.col("dirty").alias("asks"), F.lit(float(threshold)).alias("bound"))
     parts = {r["shell_no"]: (math.ceil(r["n"] / held), 0) for r in _send(start, space, threshold, None, True).collect()}  # a row per shell
     near = "cl long, near " + _CAND
     own = cut_lineage(_send(start, space, threshold, parts, True).groupBy("shell_no", "h").applyInArrow(_kernel(threshold), near))
-    best = _merged(own).select("cl", F.when(F.size("cand") == NEAR, F.element_at("cand", NEAR)["d"]).alias("bound"))
-    bounded = rows.join(best, "cl", "left").withColumn("bound", F.coalesce("bound", F.lit(float(threshold))))
+    best = _merged(own).select("cl", F.when(F.size("cand") == NEAR, F.element_at("cand", NEAR)["d"]).alias("own_bound"))
+    bounded = start.join(best, "cl", "left").select("cl", "c", "size", "asks", F.coalesce("own_bound", "bound").alias("bound"))
     others = _send(bounded, space, threshold, parts, False).groupBy("shell_no", "h").applyInArrow(_kernel(threshold), near)
-    every = _merged(own.unionByName(others))
-    none = F.array().cast(_CAND)
-    out = dirty.select("cl").join(every, "cl", "left").withColumn("cand", F.coalesce("cand", none))
+    found = _merged(own.unionByName(others)).withColumnRenamed("cand", "new")
+    out = clusters.join(found, "cl", "left").withColumn("new", F.coalesce("new", F.array().cast(_CAND)))
     # a full list ends where others may begin; a shorter one holds all below the threshold
-    return out.withColumn("horizon", F.when(F.size("cand") == NEAR, F.element_at("cand", NEAR)["d"]).otherwise(F.lit(float(threshold))))
+    ends = F.when(F.size("new") == NEAR, F.element_at("new", NEAR)["d"]).otherwise(F.lit(float(threshold)))
+    return out.select(
+        "cl", "c", "size", F.when(F.col("dirty"), F.col("new")).otherwise(F.col("cand")).alias("cand"),
+        F.when(F.col("dirty"), ends).otherwise(F.col("horizon")).alias("horizon"),
+    )
 
 
 def _merge(threshold: float):
@@ -243,8 +246,9 @@ def ward(points: DataFrame, threshold: float, held: int = HELD) -> DataFrame:
     if not n:
         return assign
     space = _space(clusters, n, threshold)
-    state = cut_lineage(clusters.join(search(clusters, clusters.select("cl"), space, threshold, held), "cl"))
-    while True:
+    none, unknown, dirty = F.array().cast(_CAND).alias("cand"), F.lit(0.0).alias("horizon"), F.lit(True).alias("dirty")
+    state = cut_lineage(search(clusters.select("cl", "c", "size", none, unknown, dirty), space, threshold, held))
+    for round_ in itertools.count(1):
         lead = state.where(F.size("cand") > 0).select("cl", F.col("cand")[0]["id"].alias("nn"), F.col("cand")[0]["d"].alias("d"))
         back = lead.select(F.col("cl").alias("nn"), F.col("nn").alias("back"))
         mutual = F.col("back").eqNullSafe(F.col("cl"))
@@ -267,16 +271,14 @@ def ward(points: DataFrame, threshold: float, held: int = HELD) -> DataFrame:
             )
         )
         gone = merged.where("cl != into").select(F.col("cl").alias("gone"), "into")
-        assign = cut_lineage(
-            assign.join(gone.withColumnRenamed("gone", "cl"), "cl", "left").select("id", F.coalesce("into", "cl").alias("cl"))
-        )
+        assign = assign.join(gone.withColumnRenamed("gone", "cl"), "cl", "left").select("id", F.coalesce("into", "cl").alias("cl"))
+        if round_ % 4 == 0:  # its lineage is small tables of joins
+            assign = cut_lineage(assign)
         touched = merged.select(F.col("cl").alias("t"))
         kept = state.join(touched, F.col("cl") == F.col("t"), "left_anti")
-        fresh = merged.where("cl = into").select("cl", "c", "size")
-        lost = kept.where(F.size("cand") > 0).join(touched, F.col("cand")[0]["id"] == F.col("t"), "left_semi").select("cl")
-        dirty = cut_lineage(lost.unionByName(fresh.select("cl")).repartition("cl"))  # unions would double the partitions each round
-        clusters = cut_lineage(kept.select("cl", "c", "size").unionByName(fresh).repartition("cl"))
-        found = search(clusters, dirty, space, threshold, held)
-        still = kept.join(dirty, "cl", "left_anti").select("cl", "c", "size", "cand", "horizon")
-        state = cut_lineage(still.unionByName(clusters.join(found, "cl").select("cl", "c", "size", "cand", "horizon")).repartition("cl"))
+        lost = F.col("t").isNotNull().alias("dirty")  # its nearest cluster has merged
+        kept = kept.join(touched, F.get("cand", F.lit(0))["id"] == F.col("t"), "left").select("cl", "c", "size", "cand", "horizon", lost)
+        fresh = merged.where("cl = into").select("cl", "c", "size", none, unknown, dirty)
+        now = cut_lineage(kept.unionByName(fresh).repartition("cl"))  # unions would double the partitions each round
+        state = cut_lineage(search(now, space, threshold, held).repartition("cl"))
     return assign
