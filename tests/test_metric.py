@@ -86,3 +86,18 @@ def test_approximate_form_reaches_its_recall(spark):
     kept = same & (near[:, None] == near[None, :]) & (near >= 0)[:, None]
     assert kept.sum() / same.sum() >= 0.9
     assert not (~same & (near[:, None] == near[None, :]) & (near >= 0)[:, None]).any()
+
+
+def test_only_checked_tables_reach_the_driver(spark):
+    """Rows come to the driver through ``bounded_table`` alone, which fails
+    beyond its bound."""
+    import pathlib
+
+    from voxtab.session import bounded_table
+
+    root = pathlib.Path(metric.__file__).parents[1]
+    held = {str(p.relative_to(root)) for p in root.rglob("*.py") if "llm" not in p.parts and ".toArrow()" in p.read_text(encoding="utf-8")}
+    assert held == {"session.py"}
+    assert bounded_table(spark.range(5), 5).num_rows == 5
+    with pytest.raises(RuntimeError, match="more than 4 rows"):
+        bounded_table(spark.range(5), 4)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from voxtab.plans.graph import connected_components
 from voxtab.plans.pairs import _components_small
-from voxtab.session import cut_lineage
+from voxtab.session import bounded_table, cut_lineage
 
 #: Sampled vectors, pivots at most, shells of a cell at most.
 SAMPLE, PIVOTS, SHELLS = 4096, 1024, 16
@@ -127,7 +127,7 @@ class Partition:
 
 def partition(units: DataFrame, n: int, eps: float) -> Partition:
     """Pivots from a bounded sample of ``(id, u)``."""
-    table = units.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
+    table = bounded_table(units.orderBy(F.xxhash64("id"), "id").limit(SAMPLE), SAMPLE)
     sample = matrix(table["u"].combine_chunks())
     at = net(sample, math.sqrt(2 * eps) / 2, max(1, min(PIVOTS, math.ceil(math.sqrt(n)))))
     return Partition(table["id"].to_numpy()[at], sample[at], eps)
@@ -205,7 +205,7 @@ def routes(points: DataFrame, part: Partition, held: int = HELD) -> DataFrame:
     """Vectors of ``points`` for every kernel call: ``(shell_no, h, q, held,
     label, u)``. The row count is the number of shuffled vectors."""
     parts = np.zeros((len(part.cell), 2), np.int64)
-    for row in _routes(points, part).collect():  # a row per shell
+    for row in bounded_table(_routes(points, part), len(part.cell)).to_pylist():  # a row per shell
         parts[row["shell_no"]] = math.ceil(row["holding"] / held), math.ceil(row["asking"] / (2 * held))
     return _routes(points, part, parts)
 
@@ -234,11 +234,10 @@ def prepare(units: DataFrame, n: int, eps: float) -> tuple[DataFrame, Partition]
     """Placed vectors and their partition, labels of the pivots included."""
     part = partition(units, n, eps)
     points = cut_lineage(placed(units, part))
-    shared = points.select("cell", F.explode("others").alias("other")).distinct().toArrow()  # pairs of pivots at most
+    shared = bounded_table(points.select("cell", F.explode("others").alias("other")).distinct(), len(part.ids) ** 2)  # pairs of pivots
     part.join(np.stack([shared["cell"].to_numpy(), shared["other"].to_numpy()], axis=1).astype(np.int64))
-    t = points.groupBy("cell", "shell").agg(
-        F.min("d").alias("least"), F.max("d").alias("most"), F.every("linked").alias("linked")
-    ).toArrow()  # a row per shell
+    shells = points.groupBy("cell", "shell").agg(F.min("d").alias("least"), F.max("d").alias("most"), F.every("linked").alias("linked"))
+    t = bounded_table(shells, len(part.ids) * (SHELLS + 1))  # a distance of two ends the last shell
     part.shells(*(t[c].to_numpy() for c in ("cell", "shell", "least", "most")), np.array(t["linked"].to_pylist(), bool))
     return points, part
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxtab.plans.metric import PIVOTS, SAMPLE, SHELLS, matrix
-from voxtab.session import cut_lineage
+from voxtab.session import bounded_table, cut_lineage
 
 #: Nearest clusters that are kept, clusters of a group at most, held clusters of a kernel call.
 NEAR, GROUP, HELD = 32, 1024, 1024
@@ -84,7 +84,7 @@ class Space:
 
 
 def _space(clusters: DataFrame, n: int, threshold: float) -> Space:
-    table = clusters.orderBy(F.xxhash64("cl"), "cl").limit(SAMPLE).select("c").toArrow()
+    table = bounded_table(clusters.orderBy(F.xxhash64("cl"), "cl").limit(SAMPLE).select("c"), SAMPLE)
     sample = matrix(table["c"].combine_chunks())
     pivots = sample[: max(1, min(PIVOTS, math.ceil(math.sqrt(n))))]
     d = np.sqrt(np.maximum(((sample - pivots[0]) ** 2).sum(axis=1), 0.0))
@@ -172,7 +172,8 @@ def search(clusters: DataFrame, space: Space, threshold: float, held: int = HELD
     """``clusters (cl, c, size, cand, horizon, dirty)`` with new neighbours
     for the dirty ones: ``(cl, c, size, cand, horizon)``."""
     start = clusters.select("cl", "c", "size", F.col("dirty").alias("asks"), F.lit(float(threshold)).alias("bound"))
-    parts = {r["shell_no"]: (math.ceil(r["n"] / held), 0) for r in _send(start, space, threshold, None, True).collect()}  # a row per shell
+    sizes = bounded_table(_send(start, space, threshold, None, True), len(space.pivots) * SHELLS)  # a row per shell
+    parts = {r["shell_no"]: (math.ceil(r["n"] / held), 0) for r in sizes.to_pylist()}
     near = "cl long, near " + _CAND
     own = cut_lineage(_send(start, space, threshold, parts, True).groupBy("shell_no", "h").applyInArrow(_kernel(threshold), near))
     best = _merged(own).select("cl", F.when(F.size("cand") == NEAR, F.element_at("cand", NEAR)["d"]).alias("own_bound"))

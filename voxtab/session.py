@@ -66,3 +66,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def bounded_table(df: DataFrame, most: int):
+    """``df`` as an Arrow table on the driver, for models whose size is
+    bounded by their parameters (pivots, shells): more than ``most`` rows fail
+    the job, so what grows with the data cannot come here."""
+    table = df.limit(most + 1).toArrow()
+    if table.num_rows > most:
+        raise RuntimeError(f"more than {most} rows in a table that should be bounded")
+    return table
