@@ -29,6 +29,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,15 @@ class Vocabulary:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = split["pattern"]["Regex"]
 
+    @cached_property
+    def encode(self) -> Callable[[str], bytes]:
+        """The encoder of this process, so that the pieces it knows serve all
+        tasks of a worker."""
+        return encoder(self)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "encode"}
+
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         with open(path, encoding="utf-8") as f:
@@ -176,7 +186,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def start():
-        one = encoder(shared.value)
+        one = shared.value.encode
         return lambda texts: [_lists([one(t.as_py() or "") for t in texts])]
 
     return add_columns(docs, text, [T.StructField(out, T.ArrayType(T.IntegerType()))], start)
@@ -187,7 +197,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def start():
-        one, back = encoder(shared.value), decoder(shared.value.strings, " ")
+        one, back = shared.value.encode, decoder(shared.value.strings, " ")
 
         def run(texts: pa.Array) -> list[pa.Array]:
             tokens = _lists([one(t.as_py() or "") for t in texts])
