@@ -16,8 +16,9 @@ fingerprints are compared with each other and with the visitors by the full
 Vantage points and radii come from a bounded sample (``SAMPLE`` fingerprints);
 they steer only how even the shards are. The number of levels follows the
 number of distinct fingerprints, so a shard's homes stay near ``SHARD``. A
-dense shard is split further by a hash, its members then visiting the other
-parts: more work, spread over tasks, never a dropped pair.
+dense shard is cut further, its homes and its visitors both by a hash, and
+each pair of parts is a group of its own (``deal``): more work, spread over
+tasks of bounded size, never a dropped pair.
 
 Work: a point makes about ``bands * (1 + p) ** levels`` visits, where p is the
 share of distances near a boundary (about 0.35 with three bands). Copies share
@@ -51,7 +52,10 @@ from voxtab.plans.graph import connected_components
 
 SHINGLE, MAX_BITS, BANDS = 4, 4, 3
 SHARD, SAMPLE, SEED = 2048, 4096, 42
+#: Visitors of a cell, as a multiple of a shard's homes.
+VISITORS = 8
 _CHUNK = 1 << 16
+_CELLS = "array<struct<first:int,second:int,visit:boolean>>"
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -149,10 +153,11 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare(max_bits: int):
-    def run(group: pa.Table) -> pa.Table:
-        fps = group["fp"].to_numpy().view(np.uint64)
-        home = fps[~group["visit"].to_numpy()]
-        everyone = np.concatenate([home, fps[group["visit"].to_numpy()]])
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        _, first, second = (k.as_py() for k in key)
+        fps, visit = group["fp"].to_numpy().view(np.uint64), group["visit"].to_numpy()
+        home = fps[~visit]
+        everyone = np.concatenate([home, fps[visit]]) if first == second else fps[visit]  # homes meet in their own cell
         a = b = np.zeros(0, np.uint64)
         step = max(1, (1 << 21) // max(1, len(home)))
         for i in range(0, len(everyone), step):
@@ -167,6 +172,31 @@ def _compare(max_bits: int):
     return run
 
 
+def deal(routed: DataFrame, shard: int = SHARD) -> DataFrame:
+    """``routed`` (fp, shard, visit) by cells (shard, first, second) of
+    bounded size in which all homes and visitors of a shard meet once. Homes
+    of a dense shard fall into ``p`` parts, its visitors into ``q``. Home part
+    ``i`` is held in the cells (i, i) to (i, p - 1), where the later home
+    parts visit it, and in one more for each part of the visitors but the
+    first, which visits it in (i, i). Usual shards are the one cell (0, 0)."""
+    count = lambda c: F.sum(c.cast("long"))
+    sizes = routed.groupBy("shard").agg(count(~F.col("visit")).alias("homes"), count(F.col("visit")).alias("visitors"))
+    dense = sizes.where((F.col("homes") > 2 * shard) | (F.col("visitors") > VISITORS * shard)).select(
+        "shard",
+        F.when(F.col("homes") > 2 * shard, F.ceil(F.col("homes") / shard)).otherwise(1).cast("int").alias("p"),
+        F.greatest(F.lit(1), F.ceil(F.col("visitors") / (VISITORS * shard))).cast("int").alias("q"),
+    )
+    p, q, own = F.coalesce("p", F.lit(1)), F.coalesce("q", F.lit(1)), F.col("own")
+    parted = routed.join(dense, "shard", "left").select("fp", "shard", "visit", p.alias("p"), q.alias("q"))
+    parted = parted.withColumn("own", F.pmod(F.xxhash64("fp"), F.when(F.col("visit"), F.col("q")).otherwise(F.col("p"))).cast("int"))
+    cell = lambda first, second, visit: F.struct(first.alias("first"), second.alias("second"), F.lit(visit).alias("visit"))
+    held = F.transform(F.sequence(own, F.col("p") + F.col("q") - 2), lambda x: cell(own, x, False))
+    earlier = F.when(own > 0, F.transform(F.sequence(F.lit(0), own - 1), lambda x: cell(x, own, True))).otherwise(F.array().cast(_CELLS))
+    asking = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda x: cell(x, F.when(own == 0, x).otherwise(F.col("p") - 1 + own), True))
+    cells = F.when(F.col("visit"), asking).otherwise(F.concat(held, earlier))
+    return parted.select("fp", "shard", F.inline(cells))
+
+
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS, shard: int = SHARD) -> DataFrame:
     """Edges (src, dst) that connect exactly the distinct fingerprints ``fp``
     connected by differences of at most ``max_bits`` bits."""
@@ -185,18 +215,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS, sha
                     yield pa.RecordBatch.from_arrays([pa.array(some[at]), pa.array(to), pa.array(visit)], schema=batch_schema)
 
     routed = distinct.select("fp").mapInArrow(route, "fp long, shard long, visit boolean")
-    homes = routed.where("NOT visit").groupBy("shard").agg(F.count("*").alias("homes"))
-    dense = homes.where(F.col("homes") > 2 * shard).select("shard", F.ceil(F.col("homes") / shard).cast("long").alias("parts"))
-    parted = routed.join(dense, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
-    own = F.pmod(F.xxhash64("fp"), "parts")
-    # a visitor sees every part; a home is at home in its own and visits the later ones
-    parts = F.when(F.col("parts") == 1, F.array(F.lit(0).cast("long"))).otherwise(
-        F.sequence(F.when(F.col("visit"), F.lit(0).cast("long")).otherwise(own), F.col("parts") - 1)
-    )
-    dealt = parted.withColumn("part", F.explode(parts)).select(
-        "fp", "shard", "part", (F.col("visit") | (F.col("part") != own)).alias("visit")
-    )
-    return dealt.groupBy("shard", "part").applyInArrow(_compare(max_bits), "src long, dst long")
+    return deal(routed, shard).groupBy("shard", "first", "second").applyInArrow(_compare(max_bits), "src long, dst long")
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, bands: int = BANDS, shard: int = SHARD) -> DataFrame:
