@@ -5,6 +5,10 @@ A URL becomes a set of tokens (scheme, host and its domain levels, path
 segments with digits generalised, file suffix, query keys, fragment). Spark's
 FP-growth mines frequent token sets of labelled URLs together with their
 label; sets of any length that contain a label give rules "tokens -> verdict".
+Tokens that occur in exactly the same labelled URLs (the parts of a template)
+are mined as one: a set with two of them says no more than with one of them,
+and the redundancy rule would drop it. A rule then holds for any of the tokens
+that its items stand for.
 Rules stay if confidence and support are high enough and no shorter rule with
 the same verdict and at least the same confidence covers them. Matching uses an
 inverted index: each rule is posted under its rarest token; a URL's tokens
@@ -15,8 +19,9 @@ more support, then the longer, then the first by its tokens.
 Verdicts depend on the URL alone, so each distinct URL is matched once, after
 a map-side reduction; pages meet the verdicts by URL in an equi-join that AQE
 may split, and by broadcast only if Spark finds the rules small. ``min_support``
-bounds the rules: a URL of n tokens holds at most 2^n sets, each frequent one
-takes a ``min_support`` share of the labelled URLs. ``min_lift`` and
+bounds the rules: a URL whose tokens stand for n different sets of labelled
+URLs holds at most 2^n sets, each frequent one takes a ``min_support`` share
+of the labelled URLs. ``min_lift`` and
 ``max_tokens`` cut further where a caller asks for it; by default they do not.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path
@@ -155,13 +160,45 @@ def mine(
     return materialise(first.select("items", "n_items", F.col("at.rarest").alias("rarest"), "verdict", "confidence", "support"), "url-index")
 
 
+def twins(urls: DataFrame) -> DataFrame:
+    """Distinct ``urls`` (url, tokens) -> (token, members) for classes of two
+    or more tokens that occur in the same URLs; ``token`` is the
+    first of them and stands for all. Sets of URLs are compared by their size
+    and two independent 64-bit hash sums. A class is no larger than any URL
+    that holds it."""
+    each = urls.select(F.explode("tokens").alias("token"), F.xxhash64("url").alias("a"), F.xxhash64(F.lit("second"), "url").alias("b"))
+    sums = [F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in ("a", "b")]
+    seen = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *sums)
+    alike = seen.groupBy("n", "a", "b").agg(F.array_sort(F.collect_set("token")).alias("members"))
+    return alike.where(F.size("members") > 1).select(F.col("members")[0].alias("token"), "members")
+
+
+def merged(urls: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct ``urls`` (url, tokens) with the tokens of a class as one."""
+    stands = classes.select(F.explode("members").alias("member"), F.col("token").alias("_stands"))
+    each = urls.select("url", F.explode_outer("tokens").alias("member")).join(stands, "member", "left")
+    return each.groupBy("url").agg(F.array_sort(F.collect_set(F.coalesce("_stands", "member"))).alias("tokens"))
+
+
+def spelled(rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rules`` with ``choices``: for each item the tokens it stands for, and
+    a row for each of those of the rarest item."""
+    key = ["items", "verdict"]
+    alone = F.array(F.col("item"))
+    item = rules.select(*key, F.explode("items").alias("item")).join(classes.withColumnRenamed("token", "item"), "item", "left")
+    choices = item.groupBy(*key).agg(F.array_sort(F.collect_set(F.coalesce("members", alone))).alias("choices"))
+    posted = rules.join(choices, key).join(classes.withColumnRenamed("token", "rarest"), "rarest", "left")
+    return posted.withColumn("rarest", F.explode(F.coalesce("members", F.array("rarest")))).drop("members")
+
+
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct ``urls`` (url, tokens) -> (url, mined): the verdict, tokens,
     confidence and support of the deciding rule, for URLs that a rule fits."""
     asked = urls.withColumn("rarest", F.explode("tokens"))
-    hits = asked.join(rules, "rarest").where(F.size(F.array_except("items", "tokens")) == 0)
+    hits = asked.join(rules, "rarest").where(F.forall("choices", lambda c: F.arrays_overlap(c, "tokens")))
+    own = F.array_sort(F.transform("choices", lambda c: F.array_min(F.array_intersect(c, F.col("tokens")))))
     order = F.struct(
-        (-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), (-F.col("n_items")).alias("n"), "items", "verdict"
+        (-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), (-F.col("n_items")).alias("n"), own.alias("items"), "verdict"
     )
     best = hits.groupBy("url").agg(F.min(order).alias("best"))
     mined = F.struct("best.verdict", "best.items", (-F.col("best.c")).alias("confidence"), (-F.col("best.s")).alias("support"))
@@ -175,8 +212,10 @@ def judge(
     and the mined rule. ``labelled``: (url, verdict) examples."""
     require(pages, [url])
     examples = parsed(labelled.select("url", "verdict").where("url IS NOT NULL").select("url").distinct())
-    known = labelled.select("url", "verdict").join(examples.select("url", "tokens"), "url")
-    index = mine(known, **limits)
+    examples = materialise(examples.select("url", "tokens"), "url-examples")
+    classes = materialise(twins(examples), "url-twins")
+    known = labelled.select("url", "verdict").join(merged(examples, classes), "url")
+    index = materialise(spelled(mine(known, **limits), classes), "url-postings")
     found = match(parsed(pages.select(url).distinct(), url).where("url IS NOT NULL"), index)
     u, m, out = free_name(pages, "_url"), free_name(pages, "_mined"), free_name(pages, "filter")
     joined = pages.join(found.select(F.col("url").alias(u), F.col("mined").alias(m)), pages[url] == F.col(u), "left")
