@@ -335,7 +335,7 @@ def test_nearest_equals_brute_force():
     index = toxicity.Index.build(np.arange(n), np.zeros(n), term, who, dense[who, term], terms)
     for q in range(0, n, 7):
         at = np.flatnonzero(dense[q])
-        near, sims = index.nearest(at, dense[q, at], k, without=q)
+        near, sims = index.nearest(at, dense[q, at], k, without=[q])
         s = dense @ dense[q]
         s[q] = 0
         order = np.lexsort((np.arange(n), -np.round(s, 9)))
@@ -355,13 +355,37 @@ def test_nearest_with_rare_and_frequent_terms():
     assert 0 < len(index.dense[1]) < terms - 100
     for q in range(0, n, 9):
         at = np.flatnonzero(dense[q])
-        near, sims = index.nearest(at, dense[q, at], k, without=q)
+        near, sims = index.nearest(at, dense[q, at], k, without=[q])
         s = np.round(dense @ dense[q], 9)
         s[q] = 0
         exp = [i for i in np.lexsort((np.arange(n), -s))[:k] if s[i] > 0]
         assert near.tolist() == exp and np.allclose(sims, s[exp])
 
 
+def test_dense_shards_are_cut_on_both_sides(spark):
+    """All fingerprints alike in one band: no cell far above a usual one, and every pair meets once."""
+    rng = np.random.default_rng(34)
+    fps = np.unique(rng.integers(0, 1 << 42, 700, dtype=np.int64) << 21)
+    rows = [(int(f), 5, i % 3 > 0) for i, f in enumerate(fps.tolist())] + [(int(f), 6, True) for f in fps[:40].tolist()] + [(1, 6, False)]
+    routed = spark.createDataFrame(rows, "fp long, shard long, visit boolean")
+    dealt = simhash_dedup.deal(routed, 16).collect()
+    cells = collections.defaultdict(lambda: ([], []))
+    for r in dealt:
+        cells[r.shard, r.first, r.second][r.visit].append(r.fp)
+    assert max(len(h) for h, _ in cells.values()) <= 2 * 16 and max(len(v) for _, v in cells.values()) <= 2 * 8 * 16
+    met = collections.Counter()
+    for (shard, first, second), (home, visit) in cells.items():
+        met.update((shard, *sorted((a, b))) for a in home for b in visit)
+        if first == second:
+            met.update((shard, *sorted((a, b))) for i, a in enumerate(home) for b in home[:i])
+    exp = collections.Counter()
+    for shard in (5, 6):
+        home, visit = ([f for f, s, v in rows if s == shard and v == w] for w in (False, True))
+        exp.update((shard, *sorted((a, b))) for a in home for b in visit)
+        exp.update((shard, *sorted((a, b))) for i, a in enumerate(home) for b in home[:i])
+    assert met == exp and set(met.values()) == {1}
+
+
 def test_isotonic():
     x, y = np.array([0.1, 0.1, 0.4, 0.5, 0.9]), np.array([0.0, 1.0, 0.0, 1.0, 1.0])
     knots, values = toxicity.isotonic(x, y, np.ones(5))
@@ -384,7 +408,7 @@ def test_toxicity(spark, docs, empty):
 
 
 def test_toxicity_uses_all_words(spark):
-    """Cosines over every word of the examples, also where most labels are toxic and a word tells nothing of them."""
+    """Cosines over every word of the other examples, also where most labels are toxic and a word tells nothing of them."""
     rng = np.random.default_rng(18)
     words = [f"{a}{b}x" for a in "abcdef" for b in "ghijklmn"]
     rows = [(i, " ".join(rng.choice(words, 12))) for i in range(120)]
@@ -394,13 +418,30 @@ def test_toxicity_uses_all_words(spark):
     assert set(model.number) == {w for _, t in rows[:80] for w in t.split()}
     tf = np.array([[t.split().count(w) for w in words] for _, t in rows], float)
     df_ = (tf > 0).sum(0)
-    v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * (1 + np.log((len(rows) + 1) / (df_ + 1)))
+    v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * np.log(1.01 * (len(rows) + 1) / (df_ + 1 + 0.01 * len(rows)))
     v /= np.sqrt((v**2).sum(1, keepdims=True))
     for r in toxicity.score(df, model).collect():
-        best = np.sort(v[:80] @ v[r.doc_id])[::-1][: toxicity.NEIGHBOURS]
+        best = np.sort(v[[i for i in range(80) if i != r.doc_id]] @ v[r.doc_id])[::-1][: toxicity.NEIGHBOURS]
         assert np.allclose([e.similarity for e in r.evidence], best)
 
 
+def test_toxicity_never_by_the_own_label(spark):
+    """Turning a text's label, in every copy of it, leaves its neighbours as they are, and never among them itself."""
+    rng = np.random.default_rng(28)
+    words = [f"{a}{b}y" for a in "abcdef" for b in "ghijklmn"]
+    rows = [(i, " ".join(rng.choice(words, 12))) for i in range(60)]
+    rows += [(100, rows[7][1]), (101, " ".join(reversed(rows[7][1].split()))), (102, rows[8][1] + " " + words[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for flag in (0, 1):
+        labels = spark.createDataFrame([(i, flag if i in (7, 100, 101) else i % 2) for i, _ in rows], "doc_id long, toxic int")
+        got = {r.doc_id: r.evidence for r in toxicity.score(df, toxicity.fit(df, labels)).collect()}
+        found.append([got[i] for i in (7, 100, 101)])
+        assert {e.doc_id for e in got[8]} >= {102} and all(d not in {e.doc_id for e in got[d]} for d, _ in rows)
+    assert found[0] == found[1] and len({tuple(e) for e in map(tuple, found[0])}) == 1
+    assert not {7, 100, 101} & {e.doc_id for e in found[0][0]}
+
+
 def _listed(url):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host, path = (m[1], m[2]) if m else ("", "")
@@ -476,6 +517,45 @@ def test_rules_of_any_length_and_share(spark):
     assert got["filter"].verdict == "block"
 
 
+def test_template_tokens_are_one(spark):
+    """Thirty tokens of one template would make 2^30 sets; verdicts equal those of single tokens."""
+    keys = [f"k{a}{b}=v" for a in "abcdef" for b in "ghijk"]
+    urls = [(f"https://shop{i}.net/list/{'x' if i % 3 else 'y'}?{'&'.join(keys)}", "block" if i % 3 else "allow") for i in range(30)]
+    train = spark.createDataFrame(urls + [(f"https://blog{i}.net/p", "allow") for i in range(20)], "url string, verdict string")
+    asked = ["https://new.net/list/x", "https://new.net/z/x?kbh=v", "https://new.net/z?kfk=v&kah=v", "https://new.net/p"]
+    got = {r.url: r["filter"] for r in url_filter.judge(spark.createDataFrame([(u,) for u in asked], "url string"), train).collect()}
+    assert [got[u].verdict for u in asked] == ["block", "block", "block", "allow"]
+    assert got[asked[2]].mined["items"] == ["query=kah=v"]
+    assert all(set(got[u].mined["items"]) <= set(t) for u, t in _tokens(spark, asked))
+
+
+def _tokens(spark, urls):
+    found = url_filter.parsed(spark.createDataFrame([(u,) for u in urls], "url string")).collect()
+    return [(r.url, r.tokens) for r in found]
+
+
+def test_merged_rules_equal_all_rules(spark):
+    """Matching by classes finds what matching every token set does."""
+    rng = np.random.default_rng(24)
+    rows = []
+    for i in range(150):
+        parts = [f"a{j}&b{j}&c{j}" if j < 2 else f"a{j}" for j in np.flatnonzero(rng.random(5) < 0.5)]
+        rows.append((f"http://h{i}.net/?" + "&".join(parts), "block" if rng.random() < 0.45 else "allow"))
+    train = spark.createDataFrame(rows, "url string, verdict string")
+    asked = [f"http://z{i}.net/?" + "&".join(x for x in [f"{c}{j}" for j in range(5) for c in "abc"] if rng.random() < 0.3) for i in range(60)]
+    pages = spark.createDataFrame([(u,) for u in asked], "url string")
+    got = {r.url: r["filter"].mined for r in url_filter.judge(pages, train, min_support=0.05).collect()}
+    known = train.join(url_filter.parsed(train.select("url")).select("url", "tokens"), "url")
+    rules = [(set(r["items"]), r) for r in url_filter.mine(known, 0.05).collect()]
+    for url, tokens in _tokens(spark, asked):
+        fits = [(-r.confidence, -r.support, r.n_items, r["items"], r.verdict) for items, r in rules if items <= set(tokens)]
+        assert (got[url] is None) == (not fits)
+        if fits:
+            best = min(fits)
+            m = got[url]
+            assert (-m.confidence, -m.support, len(m["items"]), m["items"], m.verdict) == best
+
+
 def test_mixing(docs, empty):
     got = mixing.mix(docs, budget=0.5).select("doc_id", "_mix.*").collect()
     assert len(got) == docs.count() and all(0 <= r.probability <= 1 and r.sampled == (r.draw < r.probability) for r in got)

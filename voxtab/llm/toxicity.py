@@ -9,8 +9,14 @@ block is its largest dense part there plus the sum of its other terms' block
 maxima; blocks are scored from the highest bound down until the bound falls
 below the k-th best similarity, so no neighbour is missed. Neighbours vote
 with weight 1 / (distance + ``SOFTEN``); an isotonic curve, fitted on the
-examples' own votes without themselves, turns the vote into a probability.
-The evidence is the neighbours, with their similarity and label.
+examples' own votes, turns the vote into a probability. Examples with the very
+words of a text, each as often, never vote on it, in the fit as in ``score``:
+so no text is judged by its own label, and trained rows have no advantage over
+others. The evidence is the neighbours, with their similarity and label.
+
+The inverse document frequency is smoothed by a share of all documents
+(``SMOOTH``): words below that share weigh much the same. Without it the
+rarest words, which say the least of other texts, rule every cosine.
 
 What is bounded: the examples (``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean
 rows, picked by a hash of the id). The vocabulary is theirs, no term is left
@@ -31,7 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 from itertools import chain
@@ -48,10 +54,11 @@ MAX_TOXIC, MAX_CLEAN = 4_000, 8_000
 NEIGHBOURS = 15
 BLOCK = 64
 SOFTEN = 0.05
+SMOOTH = 0.01
 STEMS = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 #: Terms with dense rows: so many at most, each held by one in so many examples; and queries multiplied at once.
-DENSE, DENSE_SHARE, BATCH = 1024, 16, 64
+DENSE, DENSE_SHARE, BATCH = 1024, 16, 256
 #: What a worker keeps: looked-up words, and neighbours of equal term counts.
 CACHE_WORDS, CACHE_VECTORS = 300_000, 5_000
 
@@ -123,18 +130,18 @@ class Index:
         return asked @ rows
 
     def nearest(
-        self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1, part: np.ndarray | None = None
+        self, term: np.ndarray, weight: np.ndarray, k: int, without: Sequence[int] = (), part: np.ndarray | None = None
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples with a positive cosine, nearest first (ties
-        by number), and their similarity to nine digits. ``without``: an
-        example left out; ``part``: the vector's row of ``dense_parts``."""
+        by number), and their similarity to nine digits. ``without``:
+        examples left out; ``part``: the vector's row of ``dense_parts``."""
         n = len(self.ids)
         n_blocks = (n + BLOCK - 1) // BLOCK
         if not n:
             return np.zeros(0, int), np.zeros(0)
         part = self.dense_parts([(term, weight)])[0] if part is None else part
         sparse = self.dense[0][term] < 0
-        term, weight = term[sparse], weight[sparse]
+        term, weight, without = term[sparse], weight[sparse], np.asarray(without, int)
         lens = self.block_starts[term + 1] - self.block_starts[term]
         runs = _ranges(self.block_starts[term], lens)  # the terms' posting blocks
         held, scale = self.block[runs], np.repeat(weight, lens)
@@ -154,8 +161,8 @@ class Index:
             size = self.block_at[runs[take] + 1] - self.block_at[runs[take]]
             at = _ranges(self.block_at[runs[take]], size)
             sums = part + np.bincount(self.example[at], np.repeat(scale[take], size) * self.weight[at], n)
+            sums[without] = 0
             ids = np.flatnonzero(np.repeat(wanted, BLOCK)[:n] & (sums > 0))
-            ids = ids[ids != without]
             s = sums[ids]
             if len(s) > k:  # equal ones to nine digits stay
                 near = s >= np.partition(s, len(s) - k)[len(s) - k] - 2e-9
@@ -212,6 +219,7 @@ class Model:
     base: float
     votes: np.ndarray  # knots of the calibration curve
     scores: np.ndarray
+    alike: dict[bytes, list[int]]  # the examples with the same term counts, by their digest
 
     @cached_property
     def index(self) -> Index:
@@ -231,16 +239,21 @@ class Model:
         w = 1.0 / (np.maximum(1.0 - sims, 0.0) + SOFTEN)
         return float((w * self.index.toxic[near]).sum() / w.sum())
 
-    def score(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator:
-        """(score, neighbours, similarities) for each text's term counts."""
-        vectors = [self.vector(*c) for c in counts]
+    def score(self, counts: dict[bytes, tuple[np.ndarray, np.ndarray]]) -> Iterator:
+        """(score, neighbours, similarities) for each text's term counts, given by their digest."""
+        vectors = [(self.vector(*c), self.alike.get(key, ())) for key, c in counts.items()]
         for i in range(0, len(vectors), BATCH):
             some = vectors[i : i + BATCH]
-            for (at, w), part in zip(some, self.index.dense_parts(some), strict=True):
-                near, sims = self.index.nearest(at, w, NEIGHBOURS, part=part)
+            for ((at, w), own), part in zip(some, self.index.dense_parts([v for v, _ in some]), strict=True):
+                near, sims = self.index.nearest(at, w, NEIGHBOURS, own, part)
                 yield float(np.interp(self.vote(near, sims), self.votes, self.scores)) if len(near) else self.base, near, sims
 
 
+def digest(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Names term counts."""
+    return hashlib.blake2b(at.astype("<i8").tobytes() + n.astype("<i8").tobytes(), digest_size=16).digest()
+
+
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots of the non-decreasing curve nearest to y over x (pool adjacent
     violators)."""
@@ -308,9 +321,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     frequency = np.zeros(len(vocabulary))
     frequency[held["term"].to_numpy(int)] = held["n"]
     n_docs = docs.count()
-    idf = 1 + np.log((n_docs + 1) / (frequency + 1))
+    idf = np.log((1 + SMOOTH) * (n_docs + 1) / (frequency + 1 + SMOOTH * n_docs))
     none = np.zeros(0, np.int32)
-    model = Model(number, idf, none, none, np.zeros(len(idf) + 1, int), none, none, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    model = Model(number, idf, none, none, np.zeros(len(idf) + 1, int), none, none, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]), {})
     shared = spark.sparkContext.broadcast(model)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,6 +343,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     sizes = np.diff(at.offsets.to_numpy())
     who = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     at, times = at.flatten().to_numpy(), table["n"].combine_chunks().flatten().to_numpy()
+    ends = np.cumsum(sizes)
+    for i, (a, b) in enumerate(zip(ends - sizes, ends, strict=True)):  # of a bounded number of examples
+        model.alike.setdefault(digest(at[a:b], times[a:b]), []).append(i)
     small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
     order = np.argsort(at, kind="stable")
     model.starts, model.example, model.times = np.r_[0, np.cumsum(np.bincount(at, minlength=len(idf)))], small(who[order]), small(times[order])
@@ -338,14 +354,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def _calibrate(spark, model: Model, weight: np.ndarray, bare: np.ndarray) -> Model:
-    """The curve from votes to scores, by the examples' votes without
-    themselves, each with the ``weight`` of what it stands for in the corpus.
+    """The curve from votes to scores, by votes on the examples, each with the ``weight`` of what it stands for in the corpus.
     ``bare``: examples without terms."""
     y = model.toxic.astype(float)
     shared = spark.sparkContext.broadcast(replace(model, number={}))
 
     def vote(batches):
         m = shared.value
+        own = {i: same for same in m.alike.values() for i in same}
         starts, at, w = m.index.vectors
         for pdf in batches:
             out = []
@@ -353,7 +369,7 @@ def _calibrate(spark, model: Model, weight: np.ndarray, bare: np.ndarray) -> Mod
                 some = pdf["i"].to_numpy()[first : first + BATCH]
                 vectors = [(at[starts[i] : starts[i + 1]], w[starts[i] : starts[i + 1]]) for i in some]
                 for i, v, part in zip(some, vectors, m.index.dense_parts(vectors), strict=True):
-                    near, sims = m.index.nearest(*v, NEIGHBOURS, without=i, part=part)
+                    near, sims = m.index.nearest(*v, NEIGHBOURS, own[i], part)
                     out.append(m.vote(near, sims) if len(near) else -1.0)
             yield pdf[["i"]].assign(vote=out)
 
@@ -382,11 +398,11 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
         def run(texts: pa.Array) -> list[pa.Array]:
             counts = [hits.count(t.as_py()) for t in texts]
-            keys = [hashlib.blake2b(at.tobytes() + n.tobytes(), digest_size=16).digest() for at, n in counts]
+            keys = [digest(*c) for c in counts]
             if len(known) >= CACHE_VECTORS:
                 known.clear()
             new = {k: c for k, c in zip(keys, counts, strict=True) if k not in known}  # equal counts have equal neighbours
-            results = m.score(list(new.values())) if m else ((0.0, (), ()) for _ in new)
+            results = m.score(new) if m else ((0.0, (), ()) for _ in new)
             for key, (s, near, sims) in zip(new, results, strict=True):
                 seen = zip(near, sims, strict=True)
                 evidence = [{"doc_id": int(m.index.ids[i]), "similarity": float(x), "toxic": int(m.index.toxic[i])} for i, x in seen]
