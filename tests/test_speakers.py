@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 
 from voxtab.operators import speakers as SP
+from voxtab.plans import separation
 
 
 def brute_components(X, eps):
@@ -111,6 +112,46 @@ def test_kmeans_finds_blobs_and_silhouette(spark):
     assert abs(s["silhouette"] - np.mean(sil)) < 1e-9
 
 
+def _silhouettes(X, labels):
+    d = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    out = []
+    for i, own in enumerate(labels):
+        n = (labels == own).sum()
+        a, b = d[i, labels == own].sum() / max(n - 1, 1), min(d[i, labels == c].mean() for c in set(labels) - {own})
+        out.append(0.0 if n == 1 or max(a, b) == 0 else (b - a) / max(a, b))
+    return np.mean(out)
+
+
+def test_silhouette_bounds_hold_and_choose(spark):
+    """Bounds hold the exact value and tighten with more pivots; the choice is
+    the exact one, without any exact distances where the bounds tell."""
+    rng = np.random.default_rng(9)
+    X = np.concatenate([c + rng.normal(size=(20, 4)) for c in rng.normal(size=(3, 4)) * 9])
+    X[10:15] = X[9]  # copies
+    own = np.repeat([0, 1, 2], 20)
+    lonely = own.copy()
+    lonely[0] = 7
+    sets = {2: np.minimum(own, 1), 3: own, 4: rng.integers(0, 4, 60), 5: np.where(np.arange(60) % 2, own, own + 3), 6: lonely}
+    frames = {
+        k: spark.createDataFrame(pd.DataFrame({"_id": np.arange(60), "_v": list(X), "label": v})).cache() for k, v in sets.items()
+    }
+    exact = {k: _silhouettes(X, v) for k, v in sets.items()}
+    for k, df in frames.items():
+        gaps = []
+        for n in (1, 12, 60):
+            low, high = separation.silhouette_bounds(separation.with_pivot(df, separation.pivots_of(df, n)))
+            assert low - 1e-9 <= exact[k] <= high + 1e-9
+            gaps.append(high - low)
+        assert gaps[0] > gaps[1] > gaps[2]
+    asked = []
+    few = {k: frames[k] for k in (2, 3, 4)}
+    assert separation.best_clustering(few, asked.append) == max(few, key=exact.get) and asked == []
+    twins = {8: frames[3], 9: frames[3], 10: frames[4]}  # equal ones go to the exact form, the first wins
+    assert separation.best_clustering(twins, lambda k: asked.append(k) or 0.5) == 8 and asked == [8, 9]
+    for df in frames.values():
+        df.unpersist()
+
+
 def test_two_points_kmeans_gives_one_cluster(spark):
     df = spark.createDataFrame(pd.DataFrame({"utt_id": [1, 2], "vec": [[0.0, 1.0], [1.0, 0.0]]}))
     got = SP.kmeans_speakers(df).toPandas()

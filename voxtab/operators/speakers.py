@@ -18,6 +18,7 @@ from voxtab.plans.graph import connected_components
 from voxtab.plans.metric import neighbour_components, unit_vectors
 from voxtab.plans.pairs import block_pairs, cluster_distance_sums, component_counts, pack_blocks, pair_stats, threshold_forest
 from voxtab.plans.scan import global_rank
+from voxtab.plans.separation import best_clustering
 from voxtab.plans.ward import ward
 from voxtab.session import cut_lineage
 
@@ -179,8 +180,10 @@ def silhouette(points: DataFrame, id_col: str, vec: str = "vec", label: str = "l
 
 
 def kmeans_speakers(vecs: DataFrame, id_col: str = "utt_id", vec: str = "vec", max_k: int = 10, seed: int = 0) -> DataFrame:
-    """KMeans for k = 2 .. min(max_k, n) − 1, the best exact silhouette
-    wins (first k on ties). With n <= 2 (no k to try) every point gets label
+    """KMeans for k = 2 .. min(max_k, n) − 1, the best silhouette wins
+    (first k on ties). Bounds from cell centres and variances decide
+    (``voxtab.plans.separation``, work linear in the points); only ks that they
+    cannot tell apart are compared by ``silhouette`` over all pairs. With n <= 2 (no k to try) every point gets label
     0 (the reference crashes there). Labels are canonical: numbered by
     smallest member id. Returns ``(id, label, k)``."""
     from pyspark.ml.clustering import KMeans
@@ -191,17 +194,16 @@ def kmeans_speakers(vecs: DataFrame, id_col: str = "utt_id", vec: str = "vec", m
     data = vecs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(vec).alias("_v"),
                        array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
     data = cut_lineage(data)
-    best = None
+    labelled = {}
     for k in range(2, min(max_k, n)):
         model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="label").fit(data)
-        labelled = model.transform(data).select("_id", "_v", F.col("label").cast("bigint"))
-        score = silhouette(labelled, "_id", "_v", "label").first()["silhouette"]
-        if best is None or score > best[0]:
-            best = (score, k, cut_lineage(labelled))
-    if best is None:
+        labelled[k] = model.transform(data).select("_id", "_v", F.col("label").cast("bigint"))
+    if not labelled:
         out = data.select(F.col("_id").alias(id_col), F.lit(0).cast("bigint").alias("label"), F.lit(1).alias("k"))
     else:
-        out = canonical_labels(best[2], "_id", "label").select(F.col("_id").alias(id_col), "label", F.lit(best[1]).alias("k"))
+        k = best_clustering(labelled, lambda k: silhouette(labelled[k], "_id", "_v", "label").first()["silhouette"])
+        best = cut_lineage(labelled[k].select("_id", "label"))
+        out = canonical_labels(best, "_id", "label").select(F.col("_id").alias(id_col), "label", F.lit(k).alias("k"))
     return _own_ids(out, ids, id_col)
 
 
