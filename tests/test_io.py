@@ -66,6 +66,72 @@ def test_sinks_round_trip(spark, tmpdir_fresh):
     assert dirs == ["spk=spk-1", "spk=spk0"]
 
 
+def _lines(folder):
+    """The lines of an output folder, and the names in its parent."""
+    parts = [open(f"{folder}/{f}", encoding="utf-8").read().splitlines() for f in sorted(os.listdir(folder))]
+    return sorted(line for part in parts for line in part), sorted(os.listdir(os.path.dirname(folder)))
+
+
+def test_manifests_at_once(spark, tmpdir_fresh):
+    """One job for both files, replaced together; empty ones are there too."""
+    from voxtab.operators.quality import split_by_quality
+
+    scores = spark.range(0, 200, 1, 5).selectExpr(
+        "concat('a', id, '.wav') AS audio_filepath", "1.0D AS duration", "3.0D AS SIG", "3.0D AS BAK", "id / 50 AS OVRL", "3.0D AS P808_MOS", "2L AS valid_hops"
+    )
+    both = ["filter_fail.manifest", "filter_pass.manifest"]
+    sinks.write_manifests(split_by_quality(scores, 3.0), f"{tmpdir_fresh}/two")
+    spark.sparkContext.setJobGroup("at-once", "manifests")
+    try:
+        sinks.write_manifests_at_once(split_by_quality(scores, 3.0), f"{tmpdir_fresh}/one")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("at-once")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for name in both:
+        exp = sorted(r.value for r in spark.read.text(f"{tmpdir_fresh}/two/{name}").collect())
+        assert _lines(f"{tmpdir_fresh}/one/{name}") == (exp, both) and exp
+    sinks.write_manifests_at_once(split_by_quality(scores, 9.0), f"{tmpdir_fresh}/one")
+    assert _lines(f"{tmpdir_fresh}/one/filter_pass.manifest") == ([], both)
+    assert len(_lines(f"{tmpdir_fresh}/one/filter_fail.manifest")[0]) == 200
+
+
+def test_lines_all_or_nothing(spark, tmpdir_fresh):
+    """A failing task or commit leaves what was there, and no staged files."""
+    from voxtab.sources.lines import LinesWriter, Staged, write_lines
+
+    path = f"{tmpdir_fresh}/out"
+    rows = spark.range(40).selectExpr("if(id % 4 = 0, 'b', 'a') AS output", "if(id = 3, NULL, concat('é', id)) AS value", "1 AS extra").repartition(4)
+    write_lines(rows, path, ["a", "b", "none"])
+    exp = {"a": sorted("" if i == 3 else f"é{i}" for i in range(40) if i % 4), "b": sorted(f"é{i}" for i in range(0, 40, 4)), "none": []}
+    names = ["a", "b", "none"]
+    assert all(_lines(f"{path}/{o}") == (exp[o], names) for o in names)
+    bad = spark.range(40).repartition(4).selectExpr("'a' AS output", "if(id = 17, raise_error('broken'), 'x') AS value")
+    for broken in (bad, rows.withColumn("output", F.lit("other"))):
+        with pytest.raises(Exception, match="broken|no output"):
+            write_lines(broken, path, names)
+        assert all(_lines(f"{path}/{o}") == (exp[o], names) for o in names)
+    write_lines(rows.where("output = 'b'"), path, ["b"], mode="append")
+    assert _lines(f"{path}/b") == (sorted(2 * exp["b"]), names)
+    writer = LinesWriter({"path": path, "outputs": "a,b"}, overwrite=True)
+    moves = []
+
+    def move(store, source, target, done):
+        moves.append(source)
+        if len(moves) == 3:
+            raise OSError("store is gone")
+        LinesWriter._move(store, source, target, done)
+
+    writer._move = move
+    with pytest.raises(OSError):
+        writer.commit([None, Staged([])])
+    writer.abort([])
+    assert _lines(f"{path}/a") == (exp["a"], names) and _lines(f"{path}/b")[0] == sorted(2 * exp["b"])
+    write_lines(spark.createDataFrame([], "output string, value string"), f"{tmpdir_fresh}/none", ["a"])
+    assert _lines(f"{tmpdir_fresh}/none/a") == ([], ["a"])
+    with pytest.raises(ValueError):
+        write_lines(rows, path, [])
+
+
 def test_batch_infer_counts_failures(spark):
     df = spark.createDataFrame(pd.DataFrame({"id": range(20), "x": [1.0] * 19 + [-1.0]})).repartition(3)
 

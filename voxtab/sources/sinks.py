@@ -1,11 +1,14 @@
 """Sinks A10-A14 and the stage log writer. All writes are Spark writers
-(partitioned, distributed); nothing is gathered to the driver."""
+(partitioned, distributed) or the line sink of ``voxtab.sources.lines``;
+nothing is gathered to the driver."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxtab.sources.lines import write_lines
+
 SCORE_COLUMNS = ["audio_filepath", "duration", "SIG", "BAK", "OVRL", "P808_MOS", "valid_hops"]
 
 
@@ -52,6 +55,16 @@ def write_manifests(verdicts: DataFrame, path: str, mode: str = "overwrite") ->
         lines.unpersist()
 
 
+def write_manifests_at_once(verdicts: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A12 by one job, all or nothing (``voxtab.sources.lines``): both
+    manifests appear together, and a failing task leaves earlier ones as they
+    were. For paths that Arrow opens; ``write_manifests`` takes any that
+    Spark does."""
+    lines = manifest_lines(verdicts).where(F.col("verdict").isin("pass", "fail"))
+    named = lines.select(F.format_string("filter_%s.manifest", "verdict").alias("output"), "value")
+    write_lines(named, path, ["filter_pass.manifest", "filter_fail.manifest"], mode)
+
+
 def write_json_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Verdicts / speaker map as JSON lines (one row per utterance, not
     one document)."""
