@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxtab.plans.graph import connected_components
+from voxtab.plans.grid import block_count, distance_sums
 from voxtab.plans.metric import neighbour_components, unit_vectors
-from voxtab.plans.pairs import block_pairs, cluster_distance_sums, component_counts, pack_blocks, pair_stats, threshold_forest
+from voxtab.plans.pairs import block_pairs, component_counts, pack_blocks, pair_stats, threshold_forest
 from voxtab.plans.scan import global_rank
 from voxtab.plans.separation import best_clustering
 from voxtab.plans.ward import ward
@@ -159,20 +160,18 @@ def approx_dbscan_speakers(vecs: DataFrame, eps: float = 0.25, id_col: str = "ut
     return _own_ids(_numbered_clusters(labels, id_col), ids, id_col)
 
 
-def silhouette(points: DataFrame, id_col: str, vec: str = "vec", label: str = "label", block: int = BLOCK) -> DataFrame:
+def silhouette(points: DataFrame, id_col: str, vec: str = "vec", label: str = "label") -> DataFrame:
     """Exact Euclidean silhouette (mean over points; a point alone in its
     cluster scores 0): per point the sum of distances to every cluster from
-    blocked pairs, then ``a``, ``b`` and ``s``. One row ``(n, silhouette)``."""
+    the pairs of large blocks (``voxtab.plans.grid``), then ``a``, ``b`` and
+    ``s``. One row ``(n, silhouette)``."""
     points, _ = _dense_ids(points, id_col)
-    p = points.select(F.col(id_col).cast("bigint").alias("_id"), F.col(vec).alias("_v"), F.col(label).cast("bigint").alias("label"))
-    pairs = block_pairs(pack_blocks(p, [], "_id", "_v", block, extra=["label"]), [], extra=["label"])
-    sums = cluster_distance_sums(pairs, []).groupBy("id", "cluster").agg(F.sum("total").alias("t"), F.sum("n").alias("n"))
-    own = p.select(F.col("_id").alias("id"), F.col("label").alias("own"))
-    j = sums.join(own, "id")
-    per = j.groupBy("id").agg(
-        F.max(F.when(F.col("cluster") == F.col("own"), F.col("n") - 1)).alias("n_own"),
-        F.max(F.when(F.col("cluster") == F.col("own"), F.col("t"))).alias("t_own"),
-        F.min(F.when(F.col("cluster") != F.col("own"), F.col("t") / F.col("n"))).alias("b"),
+    p = points.select(F.col(id_col).cast("bigint").alias("id"), F.col(label).cast("bigint").alias("label"), F.col(vec).alias("vec"))
+    sums = distance_sums(p, block_count(p.count())).withColumn("is_own", F.col("cluster") == F.col("own"))
+    per = sums.groupBy("id").agg(
+        F.max(F.when(F.col("is_own"), F.col("n") - 1)).alias("n_own"),
+        F.max(F.when(F.col("is_own"), F.col("total"))).alias("t_own"),
+        F.min(F.when(~F.col("is_own"), F.col("total") / F.col("n"))).alias("b"),
     )
     a = F.col("t_own") / F.col("n_own")
     s = F.when(F.col("n_own") == 0, F.lit(0.0)).otherwise((F.col("b") - a) / F.greatest(a, F.col("b")))
