@@ -7,8 +7,7 @@ replicated once per partner block and the two roles are *equi-joined* on
 ``(key, block_lo, block_hi)``, so every unordered block pair meets exactly
 once, in its own task. A vectorised kernel (``mapInPandas``, numpy matrix
 product) then reduces the pair to a bounded output: threshold edges as a
-spanning forest (at most ``|A| + |B|`` rows), partial statistics or
-per-cluster distance sums. Work is ``O(n²)`` as all-pairs
+spanning forest (at most ``|A| + |B|`` rows). Work is ``O(n²)`` as all-pairs
 must be, but it is spread over ``nb²/2`` tasks and never materialised.
 """
 
@@ -155,73 +154,3 @@ def component_counts(blocks: DataFrame, keys: Sequence[str], eps: float) -> Data
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(counts, pa.int64())], names=schema.names)
 
     return blocks.select(*keys, "vecs").mapInArrow(fn, schema)
-
-
-def pair_stats(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Partial statistics of the cosine distances of all pairs ``i < j``:
-    ``(keys, n, total, dmin, dmax)`` per block pair."""
-    keys = list(keys)
-    schema = T.StructType(
-        [pairs.schema[k] for k in keys]
-        + [T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType()),
-           T.StructField("dmin", T.DoubleType()), T.StructField("dmax", T.DoubleType())]
-    )
-
-    def fn(batches):
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                r = row._asdict()
-                _same_block(r)
-                d = _cos_dist(r["a_vecs"], r["b_vecs"])
-                if r["pa"] == r["pb"]:
-                    iu = np.triu_indices(d.shape[0], k=1)
-                    d = d[iu]
-                else:
-                    d = d.ravel()
-                if d.size == 0:
-                    continue
-                rows.append({**{k: r[k] for k in keys}, "n": int(d.size), "total": float(d.sum()),
-                             "dmin": float(d.min()), "dmax": float(d.max())})
-            if rows:
-                yield pd.DataFrame(rows)
-
-    return pairs.mapInPandas(fn, schema)
-
-
-def cluster_distance_sums(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Silhouette inputs: for every point, the sum of Euclidean distances to
-    the members of each cluster of the partner block (and the count):
-    ``(keys, id, cluster, total, n)``; bounded by points × clusters."""
-    keys = list(keys)
-    schema = T.StructType(
-        [pairs.schema[k] for k in keys]
-        + [T.StructField("id", T.LongType()), T.StructField("cluster", T.LongType()),
-           T.StructField("total", T.DoubleType()), T.StructField("n", T.LongType())]
-    )
-
-    def fn(batches):
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                r = row._asdict()
-                _same_block(r)
-                a = np.stack([np.asarray(v, dtype=np.float64) for v in r["a_vecs"]])
-                b = np.stack([np.asarray(v, dtype=np.float64) for v in r["b_vecs"]])
-                d = np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0.0))
-                a_ids, b_ids = np.asarray(r["a_ids"]), np.asarray(r["b_ids"])
-                a_lab, b_lab = np.asarray(r["a_label"]), np.asarray(r["b_label"])
-                sides = [(a_ids, b_lab, d)] if r["pa"] == r["pb"] else [(a_ids, b_lab, d), (b_ids, a_lab, d.T)]
-                for ids_self, lab_other, dd in sides:
-                    if r["pa"] == r["pb"]:
-                        dd = dd.copy()
-                    for c in np.unique(lab_other):
-                        m = lab_other == c
-                        tot = dd[:, m].sum(1)
-                        cnt = np.full(len(ids_self), int(m.sum()))
-                        out.append(pd.DataFrame({**{k: [r[k]] * len(ids_self) for k in keys}, "id": ids_self,
-                                                 "cluster": np.full(len(ids_self), int(c)), "total": tot, "n": cnt}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    return pairs.mapInPandas(fn, schema)
