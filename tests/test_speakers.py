@@ -173,3 +173,28 @@ def test_ward_with_a_third_in_one_blob(spark, monkeypatch):
         got = SP.ward_speakers(df, threshold=threshold, block=16).toPandas()
         assert got.set_index("utt_id")["label"].sort_index().tolist() == (naive_ward(X, threshold) if threshold else list(range(len(X))))
     assert SP.ward_speakers(df.limit(0)).count() == 0
+
+
+def test_ward_search_sends_a_cluster_once_to_a_bucket(spark):
+    """Without structure every cluster visits every bucket, but not every
+    shell: what is sent grows with the clusters."""
+    from pyspark.sql import functions as F
+
+    from voxtab.plans import ward as W
+
+    sent, exact = {}, {}
+    for n in (150, 600):
+        X = np.random.default_rng(n).normal(size=(n, 12))
+        df = spark.createDataFrame(pd.DataFrame({"cl": np.arange(n), "c": list(X)})).repartition(3)
+        df = df.select("cl", "c", F.lit(1).cast("long").alias("size"), F.lit(True).alias("asks"), F.lit(99.0).alias("bound"))
+        space = W._space(df, n, 99.0)
+        counted = W._shell_counts(df, space).collect()
+        assert sum(r["n"] for r in counted) == sum(r["asking"] for r in counted) == n and len(counted) > 12
+        buckets = W.Buckets({r["shell_no"]: r["n"] for r in counted}, -(-n // 6), 1)
+        sent[n] = sum(W._send(df, space, 99.0, buckets, own).count() for own in (True, False))
+        state = df.select("cl", "c", "size", F.array().cast(W._CAND).alias("cand"), F.lit(0.0).alias("horizon"), F.lit(True).alias("dirty"))
+        for row in W.search(state, space, 99.0, held=16, asked=40).collect():
+            cost = np.sqrt(((X - X[row["cl"]]) ** 2).sum(1))
+            order = [i for i in np.lexsort((np.arange(n), cost)) if i != row["cl"]][: W.NEAR]
+            assert [e["id"] for e in row["cand"]] == order and abs(row["horizon"] - cost[order[-1]]) < 1e-9
+    assert sent[600] <= 600 * 14 and sent[150] <= 150 * 14

@@ -17,7 +17,11 @@ costs, so what was a lower bound before a merge is one after it. Hence:
 - A search is pruned by the metric: a cost below ``x`` needs centroids nearer
   than ``x / sqrt(2 * na / (na + 1))``. First a cluster looks into its own
   shell of a fixed partition of the space, which bounds its ``NEAR``-th cost;
-  then it visits only the shells within that distance.
+  then it visits only the shells within that distance. Neighbouring shells
+  share a bucket, and a cluster is sent once to each bucket it visits: without
+  structure it visits all of them, but they stay ``GRID`` or a few more until
+  a bucket would hold more than ``MOST`` clusters, so the shuffled volume of a
+  search grows with the clusters.
 
 Equal vectors are one cluster from the start (they join at no cost). Costs at
 or above the threshold are never searched. Ties go to smaller ids."""
@@ -33,12 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxtab.plans.grid import GRID, MOST, TILE
 from voxtab.plans.metric import PIVOTS, SAMPLE, SHELLS, matrix
 from voxtab.session import bounded_table, cut_lineage
 
-#: Nearest clusters that are kept, clusters of a group at most, held clusters of a kernel call.
-NEAR, GROUP, HELD = 32, 1024, 1024
+#: Nearest clusters that are kept, clusters of a group at most, and the least clusters of a bucket.
+NEAR, GROUP, LEAST = 32, 1024, 64
 _TOL = 1e-9
+#: Rounding of squared distances by products, relative to the squared lengths.
+_ROUNDING = 1e-12
 _CAND = "array<struct<d:double,id:long>>"
 
 
@@ -91,50 +98,118 @@ def _space(clusters: DataFrame, n: int, threshold: float) -> Space:
     return Space(pivots, max(threshold / 4, float(d.max()) / SHELLS, 1e-12))
 
 
-def _send(rows: DataFrame, space: Space, threshold: float, parts: dict[int, tuple[int, int]] | None, own_shell: bool) -> DataFrame:
-    """Clusters ``(cl, c, size, asks, bound)`` for the kernel calls; without
-    ``parts``, the counts of held and asking clusters per shell. Either into
-    the own shell, or into the others within reach."""
-    known = None if parts is None else np.array(sorted(parts), np.int64)
-    table = None if parts is None else np.array([parts[k] for k in known.tolist()], np.int64).reshape(-1, 2)
+class Buckets:
+    """Where the clusters of each shell are held: runs of neighbouring shells
+    share a bucket of at most ``most`` clusters, a larger shell has several.
+    Asking clusters are dealt into ``parts``, which meet every bucket apart."""
+
+    def __init__(self, sizes: dict[int, int], most: int, parts: int):
+        self.known, self.parts = np.array(sorted(sizes), np.int64), max(1, parts)
+        starts, first, count, number, room = [], [], [], 0, 0
+        for i, s in enumerate(self.known.tolist()):
+            if sizes[s] > room or sizes[s] > most:
+                need = max(1, math.ceil(sizes[s] / most))
+                starts.append(i)
+                first.append(number)
+                count.append(need)
+                number += need
+                room = most if need == 1 else 0
+            room = max(0, room - sizes[s])
+        self.starts, self.first, self.count = (np.array(x, np.int64) for x in (starts, first, count))
+        self.run = np.searchsorted(self.starts, np.arange(len(self.known)), side="right") - 1
+
+
+def _shell_counts(rows: DataFrame, space: Space) -> DataFrame:
+    """``(shell_no, n, asking)``: held and asking clusters per shell."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, int] = {}
+        held: dict[int, np.ndarray] = {}
         for b in batches:
-            for s, k in zip(*np.unique(space.home(matrix(b.column(1))), return_counts=True), strict=True):
-                held[int(s)] = held.get(int(s), 0) + int(k)
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())], names=["shell_no", "n"])
+            shells, asks = space.home(matrix(b.column(1))), np.array(b.column(3).to_pylist(), np.int64)
+            some, at = np.unique(shells, return_inverse=True)
+            for s, n, k in zip(some.tolist(), np.bincount(at), np.bincount(at, asks), strict=True):
+                held[s] = held.get(s, 0) + np.array([n, k], np.int64)
+        counts = np.array(list(held.values()), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(counts[:, 0]), pa.array(counts[:, 1])], names=["shell_no", "n", "asking"])
+
+    counted = rows.mapInArrow(count, "shell_no long, n long, asking long")
+    return counted.groupBy("shell_no").agg(F.sum("n").alias("n"), F.sum("asking").alias("asking"))
+
+
+def _send(rows: DataFrame, space: Space, threshold: float, buckets: Buckets, own_shell: bool) -> DataFrame:
+    """Clusters ``(cl, c, size, asks, bound)`` for the kernel calls: either
+    into the buckets of their own shell, or into the others that hold a shell
+    within reach."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 256):
                 b = whole.slice(i, 256)
-                c, size = matrix(b.column(1)), b.column(2).to_numpy().astype(float)
+                cl, c, size = b.column(0).to_numpy(), matrix(b.column(1)), b.column(2).to_numpy().astype(float)
                 asks, bound = np.array(b.column(3).to_pylist(), bool), b.column(4).to_numpy()
-                home = np.searchsorted(known, space.home(c))
+                home = buckets.run[np.searchsorted(buckets.known, space.home(c))]
                 if own_shell:
                     ask, at = np.flatnonzero(asks), home[asks]
                 else:
                     radius = np.minimum(bound, threshold) / np.sqrt(2 * size / (size + 1))
-                    ask, at = np.nonzero(space.reach(c, radius, known) & asks[:, None])
-                # every block of the shell is asked; every block is held once
-                blocks = table[at, 0]
-                again = np.repeat(np.arange(len(ask)), blocks)
-                h = np.arange(len(again)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                mine = b.column(0).to_numpy() % table[home, 0]
-                out = [(ask[again], at[again], h, np.ones(len(again), bool)), (np.arange(len(c)), home, mine, np.zeros(len(c), bool))]
-                rows_, shell, block, asking = (np.concatenate(x) for x in zip(*out, strict=True))
+                    able = np.logical_or.reduceat(space.reach(c, radius, buckets.known), buckets.starts, axis=1)
+                    able[np.arange(len(c)), home] = False  # asked before
+                    ask, at = np.nonzero(able & asks[:, None])
+                # every bucket of a run is asked; every cluster is held in one, for all parts
+                n, some = buckets.count[at], np.arange(len(c))
+                again = np.repeat(np.arange(len(ask)), n)
+                asked = buckets.first[at[again]] + np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
+                part = (cl // 7) % buckets.parts
+                each = np.repeat(some, buckets.parts)
+                out = [
+                    (ask[again], asked, part[ask[again]], np.ones(len(again), bool)),
+                    (each, (buckets.first[home] + cl % buckets.count[home])[each], np.tile(np.arange(buckets.parts), len(c)), np.zeros(len(each), bool)),
+                ]
+                rows_, bucket, part, asking = (np.concatenate(x) for x in zip(*out, strict=True))
                 for j in range(0, len(rows_), 4096):
                     s = slice(j, j + 4096)
                     take = pa.array(rows_[s])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(known[shell[s]]), pa.array(block[s]), pa.array(asking[s]), *(b.column(k).take(take) for k in range(3))],
-                        names=["shell_no", "h", "asking", "cl", "c", "size"],
+                        [pa.array(bucket[s]), pa.array(part[s]), pa.array(asking[s]), *(b.column(k).take(take) for k in range(3))],
+                        names=["bucket", "part", "asking", "cl", "c", "size"],
                     )
 
-    if parts is None:
-        return rows.mapInArrow(count, "shell_no long, n long").groupBy("shell_no").agg(F.sum("n").alias("n"))
-    return rows.mapInArrow(send, "shell_no long, h long, asking boolean, cl long, c array<double>, size long")
+    return rows.mapInArrow(send, "bucket long, part long, asking boolean, cl long, c array<double>, size long")
+
+
+def nearest(cl: np.ndarray, c: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float, k: int) -> Iterator[tuple]:
+    """(place in ``a``, costs, ids) of the ``k`` nearest of the clusters ``b``
+    below the threshold, ties by id. Products tell which can be among them;
+    those are compared exactly."""
+    bb, cb, nb = (c[b] * c[b]).sum(1), c[b], size[b]
+    step = max(1, TILE // max(1, len(b)))
+    for i in range(0, len(a), step):
+        rows = a[i : i + step]
+        aa, na = (c[rows] * c[rows]).sum(1)[:, None], size[rows][:, None]
+        factor = 2.0 * na * nb[None, :] / (na + nb[None, :])
+        off = _ROUNDING * (aa + bb[None, :])
+        squared = aa + bb[None, :] - 2.0 * (c[rows] @ cb.T)
+        high = (squared + off) * factor
+        high[cl[rows][:, None] == cl[b][None, :]] = np.inf
+        last = np.full((len(rows), 1), threshold**2 * (1 + 1e-9))
+        if len(b) > k:
+            last = np.minimum(last, np.partition(high, k - 1, axis=1)[:, k - 1 : k])
+        low = (squared - off) * factor
+        low[np.isinf(high)] = np.inf
+        r, j = np.nonzero(low <= last)
+        cost = np.empty(len(r))
+        for x in range(0, len(r), 1 << 15):
+            y = slice(x, x + (1 << 15))
+            diff = c[rows[r[y]]] - cb[j[y]]
+            n1, n2 = size[rows[r[y]]], nb[j[y]]
+            cost[y] = np.sqrt(2.0 * n1 * n2 / (n1 + n2) * np.einsum("ij,ij->i", diff, diff))
+        order = np.lexsort((cl[b[j]], cost, r))
+        order = order[cost[order] < threshold]
+        r, cost, ids = r[order], cost[order], cl[b[j[order]]]
+        starts = np.r_[0, np.flatnonzero(np.diff(r)) + 1, len(r)] if len(r) else np.zeros(1, int)
+        for s, e in zip(starts, starts[1:], strict=False):
+            e = min(e, s + k)
+            yield int(rows[r[s]]), cost[s:e], ids[s:e]
 
 
 def _kernel(threshold: float):
@@ -144,21 +219,11 @@ def _kernel(threshold: float):
         group = group.combine_chunks()
         asking = np.array(group["asking"].to_pylist(), bool)
         cl, size, c = group["cl"].to_numpy(), group["size"].to_numpy().astype(float), matrix(group["c"].combine_chunks())
-        a, b = np.flatnonzero(asking), np.flatnonzero(~asking)
-        b = b[np.argsort(cl[b], kind="stable")]
-        ids, near = [], []
-        for i in range(0, len(a), 512):
-            rows = a[i : i + 512]
-            cost = ward_cost(c[rows], size[rows], c[b], size[b])
-            cost[cl[rows][:, None] == cl[b][None, :]] = np.inf
-            order = np.argsort(cost, axis=1, kind="stable")[:, :NEAR]
-            for r, row in enumerate(order):
-                some = [{"d": float(cost[r, j]), "id": int(cl[b[j]])} for j in row if cost[r, j] < threshold]
-                if some:
-                    ids.append(int(cl[rows[r]]))
-                    near.append(some)
-        pairs = pa.list_(pa.struct([("d", pa.float64()), ("id", pa.int64())]))
-        return pa.table({"cl": pa.array(ids, pa.int64()), "near": pa.array(near, pairs)})
+        found = list(nearest(cl, c, size, np.flatnonzero(asking), np.flatnonzero(~asking), threshold, NEAR))
+        ends = np.r_[0, np.cumsum([len(d) for _, d, _ in found])].astype(np.int32)
+        flat = [np.concatenate([*(f[i] for f in found), np.zeros(0, kind)]) for i, kind in ((1, float), (2, np.int64))]
+        near = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(flat[0], pa.float64()), pa.array(flat[1], pa.int64())], names=["d", "id"]))
+        return pa.table({"cl": pa.array([int(cl[f[0]]) for f in found], pa.int64()), "near": near})
 
     return run
 
@@ -168,17 +233,21 @@ def _merged(found: DataFrame) -> DataFrame:
     return found.groupBy("cl").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, NEAR).alias("cand"))
 
 
-def search(clusters: DataFrame, space: Space, threshold: float, held: int = HELD) -> DataFrame:
+def search(clusters: DataFrame, space: Space, threshold: float, held: int = LEAST, asked: int = MOST) -> DataFrame:
     """``clusters (cl, c, size, cand, horizon, dirty)`` with new neighbours
-    for the dirty ones: ``(cl, c, size, cand, horizon)``."""
+    for the dirty ones: ``(cl, c, size, cand, horizon)``. A bucket holds
+    ``LEAST`` clusters (``held``, if fewer) or a share of ``GRID``, a kernel
+    call has about ``asked`` asking clusters at most."""
     start = clusters.select("cl", "c", "size", F.col("dirty").alias("asks"), F.lit(float(threshold)).alias("bound"))
-    sizes = bounded_table(_send(start, space, threshold, None, True), len(space.pivots) * SHELLS)  # a row per shell
-    parts = {r["shell_no"]: (math.ceil(r["n"] / held), 0) for r in sizes.to_pylist()}
+    counted = bounded_table(_shell_counts(start, space), len(space.pivots) * SHELLS).to_pylist()  # a row per shell
+    sizes, asking = {r["shell_no"]: r["n"] for r in counted}, sum(r["asking"] for r in counted)
+    most = max(min(held, LEAST), min(MOST, math.ceil(sum(sizes.values()) / GRID)))
+    buckets = Buckets(sizes, most, math.ceil(asking / asked))
     near = "cl long, near " + _CAND
-    own = cut_lineage(_send(start, space, threshold, parts, True).groupBy("shell_no", "h").applyInArrow(_kernel(threshold), near))
+    own = cut_lineage(_send(start, space, threshold, buckets, True).groupBy("bucket", "part").applyInArrow(_kernel(threshold), near))
     best = _merged(own).select("cl", F.when(F.size("cand") == NEAR, F.element_at("cand", NEAR)["d"]).alias("own_bound"))
     bounded = start.join(best, "cl", "left").select("cl", "c", "size", "asks", F.coalesce("own_bound", "bound").alias("bound"))
-    others = _send(bounded, space, threshold, parts, False).groupBy("shell_no", "h").applyInArrow(_kernel(threshold), near)
+    others = _send(bounded, space, threshold, buckets, False).groupBy("bucket", "part").applyInArrow(_kernel(threshold), near)
     found = _merged(own.unionByName(others)).withColumnRenamed("cand", "new")
     out = clusters.join(found, "cl", "left").withColumn("new", F.coalesce("new", F.array().cast(_CAND)))
     # a full list ends where others may begin; a shorter one holds all below the threshold
@@ -235,7 +304,7 @@ def _merge(threshold: float):
     return run
 
 
-def ward(points: DataFrame, threshold: float, held: int = HELD) -> DataFrame:
+def ward(points: DataFrame, threshold: float, held: int = LEAST) -> DataFrame:
     """``points (id long, c array<double>)`` -> ``(id, cl)``: the clusters of
     all merges cheaper than ``threshold``, named by a member's id."""
     if threshold <= 0:
