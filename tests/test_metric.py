@@ -101,3 +101,37 @@ def test_only_checked_tables_reach_the_driver(spark):
     assert bounded_table(spark.range(5), 5).num_rows == 5
     with pytest.raises(RuntimeError, match="more than 4 rows"):
         bounded_table(spark.range(5), 4)
+
+
+@pytest.mark.parametrize("eps", [0.02, 0.3, 0.8])
+@pytest.mark.parametrize("shape", ["noise", "crowd", "two crowds"])
+def test_rest_components_equal_brute_force(spark, monkeypatch, shape, eps):
+    """The way through seeds and the grid, which structureless vectors take."""
+    monkeypatch.setattr(metric, "PIVOTS", 6)
+    monkeypatch.setattr(metric, "SEEDS", 9)
+    monkeypatch.setattr(metric, "FEW", -1)
+    monkeypatch.setattr(metric, "block_count", lambda n, least=0: -(-n // 40))
+    taken, rest = [], metric.rest_links
+    monkeypatch.setattr(metric, "rest_links", lambda *a: taken.append(1) or rest(*a[:-1], 10**9))
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(220, 6))
+    X[5] = X[200] = 0.0
+    if shape != "noise":
+        X[:80] = X[0] + rng.normal(size=(80, 6)) * 0.1
+    if shape == "two crowds":
+        X[80:150] = X[100] + rng.normal(size=(70, 6)) * 0.1
+    got = metric.neighbour_components(_frame(spark, X), "utt_id", "vec", eps).toPandas().set_index("node")["label"].sort_index()
+    assert got.tolist() == _least(X, eps) and taken
+
+
+def test_shuffled_vectors_grow_with_structureless_ones(spark, monkeypatch):
+    """Vectors in all directions: no shell can be left out, yet a vector is
+    sent to few calls, and to no more of them where there are more vectors."""
+    sent, calls = {}, metric.calls
+    monkeypatch.setattr(metric, "calls", lambda met, *a: sent.update({n: met.agg(F.sum(F.length("ids") / 8)).first()[0]}) or calls(met, *a))
+    for n in (1500, 6000):
+        X = np.random.default_rng(n).normal(size=(n, 16))
+        metric.neighbour_components(_frame(spark, X), "utt_id", "vec", 0.35).count()
+        assert sent[n] <= n * 8
+    units = metric.unit_vectors(_frame(spark, X), "utt_id", "vec").cache()
+    assert metric._parts(*metric.prepare(units, n, 0.35), metric.HELD)[1] > n * 8

@@ -21,8 +21,16 @@ prunes:
    and each pair of blocks is one call of the kernel (a matrix product) that
    returns a spanning forest of the labels it links.
 
+5. **Seeds.** Where visits would send a vector to more than ``FEW`` calls,
+   those outside the largest crowd first meet a bounded sample of that crowd,
+   so that one without clear centres is linked too.
+6. **Rest.** Where visits prune too little, the vectors outside the largest
+   crowd meet all vectors in a grid of few large blocks
+   (``voxtab.plans.grid``); only the pairs inside that crowd are left out. The
+   way that shuffles fewer vectors is taken, from their exact counts.
+
 On separated blobs the number of shuffled vectors grows with n; on vectors
-without any structure no exact method prunes and the blocks remain."""
+without any structure each is sent once for each large block."""
 
 from __future__ import annotations
 
@@ -35,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtab.plans.graph import connected_components
+from voxtab.plans.grid import Block, _tiles, block_count, calls, dealt
 from voxtab.plans.pairs import _components_small
 from voxtab.session import bounded_table, cut_lineage
 
@@ -42,6 +51,8 @@ from voxtab.session import bounded_table, cut_lineage
 SAMPLE, PIVOTS, SHELLS = 4096, 1024, 16
 #: Held vectors of a kernel call; twice as many ask.
 HELD = 1024
+#: Vectors of the largest crowd that all others meet, and the copies of a vector that are few.
+SEEDS, FEW = 1 << 14, 3
 _TOL = 1e-6
 
 
@@ -201,13 +212,114 @@ def _routes(points: DataFrame, part: Partition, parts: np.ndarray | None = None)
     return points.mapInArrow(send, "shell_no long, h long, q long, held boolean, label long, u array<double>")
 
 
+def _parts(points: DataFrame, part: Partition, held: int) -> tuple[np.ndarray, int]:
+    """Blocks (held, asking) of every shell, and the vectors that ``routes``
+    would send."""
+    parts, sent = np.zeros((len(part.cell), 2), np.int64), 0
+    for row in bounded_table(_routes(points, part), len(part.cell)).to_pylist():  # a row per shell
+        h, q = math.ceil(row["holding"] / held), math.ceil(row["asking"] / (2 * held))
+        parts[row["shell_no"]] = h, q
+        sent += row["holding"] * q + row["asking"] * h
+    return parts, sent
+
+
 def routes(points: DataFrame, part: Partition, held: int = HELD) -> DataFrame:
     """Vectors of ``points`` for every kernel call: ``(shell_no, h, q, held,
     label, u)``. The row count is the number of shuffled vectors."""
-    parts = np.zeros((len(part.cell), 2), np.int64)
-    for row in bounded_table(_routes(points, part), len(part.cell)).to_pylist():  # a row per shell
-        parts[row["shell_no"]] = math.ceil(row["holding"] / held), math.ceil(row["asking"] / (2 * held))
-    return _routes(points, part, parts)
+    return _routes(points, part, _parts(points, part, held)[0])
+
+
+def crowd(points: DataFrame, part: Partition) -> int:
+    """The label that most linked vectors carry (-1: none is linked)."""
+    linked = points.where("linked").groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    t = bounded_table(linked, len(part.ids))  # a row per pivot
+    if not t.num_rows:
+        return -1
+    sizes = np.bincount(part.root[t["cell"].to_numpy()], t["n"].to_numpy(), len(part.ids))
+    return int(part.ids[sizes.argmax()])
+
+
+def seeded(points: DataFrame, part: Partition, eps: float, most: int) -> DataFrame:
+    """``(id, label, vec, was)``: vectors near a seed, one of a bounded sample
+    of the label ``most``, carry that label; ``was``: what they carried, if
+    others may carry it too."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            linked = np.array(b.column(3).to_pylist(), bool)
+            label = part.label(b.column(0).to_numpy(), b.column(2).to_numpy().astype(np.int64), linked)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(label), b.column(1), b.column(3)], names=["id", "label", "vec", "linked"])
+
+    table = points.select("id", "u", "cell", "linked").mapInArrow(named, "id long, label long, vec array<double>, linked boolean")
+    inside = F.col("label") == most
+    size = table.where(inside).count()
+    share = 0.9 * SEEDS / max(1, size)
+    place = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(1 << 30)) / float(1 << 30)
+    seeds = matrix(bounded_table(table.where(inside & (place < share)).select("vec").limit(SEEDS), SEEDS)["vec"].combine_chunks())
+    shared = points.sparkSession.sparkContext.broadcast(seeds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = shared.value
+        for whole in batches:
+            for first in range(0, whole.num_rows, 1024):
+                b = whole.slice(first, 1024)
+                label, linked, u = b.column(1).to_numpy().copy(), np.array(b.column(3).to_pylist(), bool), matrix(b.column(2))
+                left, was = np.flatnonzero(label != most), np.full(len(label), -1)
+                for i in range(0, len(seeds), 1024):
+                    if not len(left):
+                        break
+                    near = (1.0 - u[left] @ seeds[i : i + 1024].T <= eps).any(axis=1)
+                    hit = left[near]
+                    was[hit], label[hit] = np.where(linked[hit], label[hit], -1), most
+                    left = left[~near]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(label), b.column(2), pa.array(was, mask=was == -1)], names=["id", "label", "vec", "was"]
+                )
+
+    try:
+        return cut_lineage(table.mapInArrow(run, "id long, label long, vec array<double>, was long"))
+    finally:
+        shared.destroy()
+
+
+def _links(eps: float):
+    """Links between the labels of two blocks, as a spanning forest."""
+
+    def run(a: Block, b: Block | None) -> Iterator[pa.RecordBatch]:
+        b = a if b is None else b
+        nodes = np.unique(np.concatenate([a.labels, b.labels]))
+        la, lb = np.searchsorted(nodes, a.labels), np.searchsorted(nodes, b.labels)
+        root = np.arange(len(nodes))
+        for s in _tiles(len(la), len(lb)):
+            of_a, of_b = root[la[s]], root[lb]
+            most = np.bincount(of_b).argmax()  # pairs inside the largest component are left out
+            for rows, cols in ((np.flatnonzero(of_a != most), slice(None)), (np.flatnonzero(of_a == most), np.flatnonzero(of_b != most))):
+                x, y = of_a[rows], of_b[cols]
+                if not len(x) or not len(y):
+                    continue
+                i, j = np.nonzero((1.0 - a.vecs[s][rows] @ b.vecs[cols].T <= eps) & (x[:, None] != y[None, :]))
+                if len(i):
+                    pair = np.unique(x[i] * len(nodes) + y[j])
+                    joined = _components_small(len(nodes), root[pair // len(nodes)], root[pair % len(nodes)])
+                    root = joined[root]
+        far = np.flatnonzero(root != np.arange(len(nodes)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(nodes[root[far]])], names=["src", "dst"])
+
+    return run
+
+
+def rest_links(marked: DataFrame, most: int, n: int, eps: float, sent: int) -> DataFrame | None:
+    """Links ``(src, dst)`` between the labels of ``marked``: the vectors
+    outside the label ``most`` meet all. None if that would shuffle more than
+    ``sent`` vectors."""
+    inside = F.col("label") == most
+    outside = marked.where(~inside).count()
+    asking, done = block_count(outside, least=4096), block_count(n - outside)
+    if outside * (asking + done) + (n - outside) * asking > sent:
+        return None
+    links = calls(dealt(marked, asking, done, inside), False, _links(eps), "src long, dst long")
+    was = marked.where("was IS NOT NULL").select(F.col("was").alias("src"), F.lit(most).cast("long").alias("dst"))
+    return links.unionByName(was)
 
 
 def _kernel(eps: float):
@@ -257,7 +369,15 @@ def neighbour_components(vecs: DataFrame, id_col: str, vec: str, eps: float, hel
     if n == zeros:
         return alone
     points, part = prepare(units.where(~empty), n - zeros, eps)
-    edges = cut_lineage(routes(points, part, held).groupBy("shell_no", "h", "q").applyInArrow(_kernel(eps), "src long, dst long").distinct())
+    parts, sent = _parts(points, part, held)
+    marked = links = None
+    if sent > FEW * n:
+        most = crowd(points, part)
+        marked = seeded(points, part, eps, most)
+        links = rest_links(marked, most, n - zeros, eps, sent)
+    if links is None:
+        marked, links = None, _routes(points, part, parts).groupBy("shell_no", "h", "q").applyInArrow(_kernel(eps), "src long, dst long")
+    edges = cut_lineage(links.distinct())
     touched = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
     joined = connected_components(touched, edges).select(F.col("node").alias("first"), "label")
 
@@ -267,7 +387,10 @@ def neighbour_components(vecs: DataFrame, id_col: str, vec: str, eps: float, hel
             label = part.label(ids, b.column(1).to_numpy().astype(np.int64), np.array(b.column(2).to_pylist(), bool))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(label)], names=["node", "first"])
 
-    labels = points.select("id", "cell", "linked").mapInArrow(first, "node long, first long")
+    if marked is None:
+        labels = points.select("id", "cell", "linked").mapInArrow(first, "node long, first long")
+    else:
+        labels = marked.select(F.col("id").alias("node"), F.col("label").alias("first"))
     labels = cut_lineage(labels.join(joined, "first", "left").select("node", F.coalesce("label", "first").alias("label")))
     least = labels.groupBy("label").agg(F.min("node").alias("least"))
     return labels.join(least, "label").select("node", F.col("least").alias("label")).unionByName(
