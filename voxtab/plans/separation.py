@@ -21,9 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxtab.session import bounded_table
+
 #: Rounding of squared distances, relative to the squared lengths.
 ROUNDING = 1e-12
-_ROWS = 2048
+#: Cells at most: clusters times pivots.
+CELLS = 1 << 15
+_ROWS = 512
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -40,7 +44,7 @@ def _squared(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def pivots_of(points: DataFrame, n: int, id_col: str = "_id", vec: str = "_v") -> np.ndarray:
     """At most ``n`` points, chosen by a hash of their ids."""
     some = points.select(id_col, F.col(vec).cast("array<double>").alias("v")).orderBy(F.xxhash64(id_col), id_col).limit(n)
-    return _matrix(some.select("v").toArrow()["v"].combine_chunks())
+    return _matrix(bounded_table(some.select("v"), n)["v"].combine_chunks())
 
 
 def with_pivot(points: DataFrame, pivots: np.ndarray, vec: str = "_v") -> DataFrame:
@@ -64,7 +68,8 @@ def cells_of(points: DataFrame, label: str = "label", vec: str = "_v") -> dict[s
     v = F.col(vec).cast("array<double>")
     square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
     mean = vector_to_array(Summarizer.mean(array_to_vector(v)))
-    got = points.groupBy(label, "pivot").agg(F.count(F.lit(1)).alias("n"), mean.alias("centre"), F.avg(square).alias("square")).toArrow()
+    cells = points.groupBy(label, "pivot").agg(F.count(F.lit(1)).alias("n"), mean.alias("centre"), F.avg(square).alias("square"))
+    got = bounded_table(cells, CELLS)
     centre = _matrix(got["centre"].combine_chunks())
     length = (centre * centre).sum(1)
     square = got["square"].to_numpy()
