@@ -87,8 +87,12 @@ def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], t
     thousandth over ``stall`` rounds: then the targets contradict each other,
     and ``miss`` says by how much."""
     dims = list(targets)
-    shares = {d: materialise(_target(cells, d, targets[d]), f"mix-{d}") for d in dims}
-    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+    names = {d: free_name(cells, f"_target_{d}") for d in dims}
+    now = cells
+    for d in dims:  # the targets stand with the cells, so that a round joins each marginal once
+        share = _target(cells, d, targets[d]).select(F.col(d).alias("_k"), F.col("target").alias(names[d]))
+        now = now.join(share, F.col(d).eqNullSafe(F.col("_k"))).drop("_k")
+    now = materialise(now.withColumn("weight", F.col("tokens").cast("double")), "mix-targets")
     tokens = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     gaps: list[float] = []
     while not gaps or (gaps[-1] > tolerance and (len(gaps) <= stall or min(gaps[-stall:]) < 0.999 * min(gaps[:-stall]))):
@@ -96,23 +100,17 @@ def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], t
         for d in dims:
             # weights are tokens before the first marginal is met, shares after it
             total = tokens if not gaps and d == dims[0] else 1.0
-            sums = now.groupBy(d).agg(F.sum("weight").alias("have"))
-            scale = _scales(sums, shares[d], d).withColumnRenamed(d, "_k")
-            joined = now.join(scale, F.col(d).eqNullSafe(F.col("_k")))
-            gap = F.abs(F.col("have") - F.col("target") * total)
+            have = now.groupBy(F.col(d).alias("_k")).agg(F.sum("weight").alias("have"))
+            joined = now.join(have, F.col(d).eqNullSafe(F.col("_k")))
+            gap = F.abs(F.col("have") - F.col(names[d]) * total)
             now = joined.select(
                 *[c for c in now.columns if c not in ("weight", "miss")],
-                (F.col("weight") * F.coalesce(F.try_divide("target", "have"), F.lit(0.0))).alias("weight"),
+                (F.col("weight") * F.coalesce(F.try_divide(names[d], "have"), F.lit(0.0))).alias("weight"),
                 F.greatest("miss", gap / total if total else F.lit(0.0)).alias("miss"),
             )
         now = materialise(now, "mix-cells")
         gaps.append(now.agg(F.max("miss")).first()[0] or 0.0)
-    return now
-
-
-def _scales(sums: DataFrame, shares: DataFrame, d: str) -> DataFrame:
-    other = shares.select(F.col(d).alias("_k"), "target")
-    return sums.join(other, F.col(d).eqNullSafe(F.col("_k"))).select(d, "have", "target")
+    return now.drop(*names.values())
 
 
 def probabilities(cells: DataFrame, budget: float) -> DataFrame:
