@@ -339,7 +339,10 @@ def labels(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE, near: int
 
     first = materialise(_labels(verified(tried, sets, near)), "minhash-labels")
     everyone = nodes.select("digest").join(first, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    placed = members.join(first, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    # a row per set, with its at most BANDS buckets, meets its label
+    buckets = members.groupBy("digest").agg(F.collect_list(F.struct("key", "size")).alias("in"))
+    labelled = buckets.join(first, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    placed = labelled.select("digest", "label", F.inline("in")).select("key", "digest", "size", "label")
     second = materialise(across(materialise(placed, "minhash-placed"), sets, near), "minhash-more-links")
     if second.isEmpty():
         return everyone
