@@ -8,6 +8,7 @@ import tempfile
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -362,6 +363,66 @@ def test_nearest_with_rare_and_frequent_terms():
         assert near.tolist() == exp and np.allclose(sims, s[exp])
 
 
+def test_nearest_of_unlike_groups():
+    """Groups with words of their own: each is multiplied with little more than its own rows, and no neighbour is missed."""
+    rng = np.random.default_rng(23)
+    n, terms, k = 2400, 900, 15
+    own = np.arange(n) % 4  # 200 words of its own for each group, 100 for all, of any frequency
+    share = np.where(np.arange(terms)[None, :] // 200 == own[:, None], 0.9, 0.0) * rng.random(terms)[None, :]
+    share[:, 800:] = 0.3 * rng.random(100) ** 3
+    dense = np.where(rng.random((n, terms)) < share * rng.choice([0.5, 1.0], (n, 1)), rng.random((n, terms)), 0.0)
+    dense[40:80] = dense[36]  # a crowd of equal examples
+    dense[90] = 0
+    dense /= np.maximum(np.sqrt((dense**2).sum(1, keepdims=True)), 1e-12)
+    who, term = np.nonzero(dense)
+    index = toxicity.Index.build(np.arange(n), np.zeros(n), term, who, dense[who, term], terms)
+    tiles = index.tiles
+    assert sorted(tiles.order) == list(range(n)) and tiles.slot[tiles.order].tolist() == list(range(n))
+    assert 0 < sum(rows.size for *_, rows in tiles.blocks) < 0.6 * index.dense[1].size
+    assert sum((rows > 0).sum() for *_, rows in tiles.blocks) + len(tiles.at) == len(who)  # every posting, once
+    asked = rng.choice(n, 300, replace=False)
+    starts = np.r_[0, np.cumsum((dense[asked] > 0).sum(1))]
+    at = np.concatenate([np.flatnonzero(dense[q]) for q in asked])
+    got = index.nearest_all(starts, at, np.concatenate([dense[q][dense[q] > 0] for q in asked]), k, [[q] for q in asked])
+    for q, (near, sims) in zip(asked, got, strict=True):
+        s = np.round(dense @ dense[q], 9)
+        s[q] = 0
+        exp = [i for i in np.lexsort((np.arange(n), -s))[:k] if s[i] > 0]
+        assert near.tolist() == exp and np.allclose(sims, s[exp])
+
+
+def test_scores_do_not_depend_on_the_cell(monkeypatch):
+    rng = np.random.default_rng(29)
+    times = np.where(rng.random((700, 80)) < 0.2, rng.integers(1, 4, (700, 80)), 0)
+    times[9] = 0
+    term, example = np.nonzero(times.T)
+    starts = np.searchsorted(term, np.arange(81))
+    model = toxicity.Model(None, np.linspace(0.5, 3, 80), np.arange(700), np.arange(700) % 2, starts, example, times[example, term], 0.25, np.array([0.0, 1.0]), np.array([0.0, 1.0]), {b"5": [5]})
+    who, at = np.nonzero(times)
+    ends = np.searchsorted(who, np.arange(701))
+    found = []
+    for cell in (256, 40):
+        monkeypatch.setattr(toxicity, "CELL", cell)
+        found.append([(s, ids.tolist(), sims.tolist()) for s, ids, sims in model.score(ends, at, times[who, at], [str(i).encode() for i in range(700)])])
+    assert found[0] == found[1] and len(found[0]) == 700
+    assert found[0][9] == (0.25, [], []) and 5 not in found[0][5][1] and found[0][6][1][0] == 6
+
+
+def test_terms_are_counted_as_a_plain_loop_does(monkeypatch):
+    texts = [None, "", " 12_3 ", "Straße STRASSE straßen²_x ½tasse", "ΟΔΟΣ ὀδός ΟΔΟΣ.", "İstanbul ıslak “quoted” words’ ends", "a\u2028b\xa0c\x85d\x1ce", "𝐀𝐁𝐂𝐃𝐄𝐅 名前名前名前 mañana-mañana", "one two one " * 40, "ÀÉÎ àéîõü ÀÉÎÕÜß"]
+    words = [[w for w in toxicity.WORD.findall(t.lower())] if t else [] for t in texts]
+    found = [collections.Counter(x for w in ws for x in [w, *(w[:k] + "*" for k in toxicity.STEMS if len(w) > k)]) for ws in words]
+    known = sorted(set().union(*found))[::2]
+    assert [toxicity.terms(t) for t in texts] == [set(f) for f in found]
+    for piece in (toxicity.PIECE, 20):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        for names in (known, []):
+            starts, at, n = toxicity.count(pa.array(texts), pa.array(names, pa.large_string()))
+            got = [list(zip(at[s:e].tolist(), n[s:e].tolist(), strict=True)) for s, e in zip(starts, starts[1:], strict=False)]
+            assert got == [[(i, f[x]) for i, x in enumerate(names) if x in f] for f in found]
+    assert len(toxicity.count(pa.array([], pa.string()), pa.array(known, pa.large_string()))[0]) == 1
+
+
 def test_dense_shards_are_cut_on_both_sides(spark):
     """All fingerprints alike in one band: no cell far above a usual one, and every pair meets once."""
     rng = np.random.default_rng(34)

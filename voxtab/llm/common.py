@@ -70,10 +70,10 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in names])
 
 
-def add_columns(df: DataFrame, source: str, fields: Sequence[T.StructField], start: Callable) -> DataFrame:
+def add_columns(df: DataFrame, source: str, fields: Sequence[T.StructField], start: Callable, rows: int = SLICE_ROWS) -> DataFrame:
     """``df`` plus ``fields``, computed from the column ``source`` in Arrow
-    batches where the rows lie. ``start()`` runs once per task and returns a
-    function from an array to the new arrays."""
+    batches of at most ``rows`` where the rows lie. ``start()`` runs once per
+    task and returns a function from an array to the new arrays."""
     require(df, [source])
     df = without(df, *[f.name.lower() for f in fields if f.name != source])
     at, schema = df.columns.index(source), T.StructType([*df.schema.fields, *fields])
@@ -82,8 +82,8 @@ def add_columns(df: DataFrame, source: str, fields: Sequence[T.StructField], sta
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
         for whole in batches:
-            for i in range(0, whole.num_rows, SLICE_ROWS):  # small results at a time
-                b = whole.slice(i, SLICE_ROWS)
+            for i in range(0, whole.num_rows, rows):  # small results at a time
+                b = whole.slice(i, rows)
                 yield pa.RecordBatch.from_arrays([*b.columns, *compute(b.column(at))], names=names)
 
     plain = df.toDF(*names[: len(df.columns)])  # names with dots can't pass

@@ -2,12 +2,11 @@
 
 Texts become TF-IDF vectors over all words of the examples and the first
 letters of longer ones; the nearest examples by exact cosine come from an
-inverted index whose posting lists are cut into blocks of examples with their
-largest weight. The most frequent terms are held as dense rows as well, and a
-batch of queries is multiplied with them at once. A query's upper bound for a
-block is its largest dense part there plus the sum of its other terms' block
-maxima; blocks are scored from the highest bound down until the bound falls
-below the k-th best similarity, so no neighbour is missed. Neighbours vote
+inverted index whose postings are cut into tiles of like examples. What many
+of a tile hold is kept as dense rows of that tile; texts near to the same
+centre are multiplied with a tile at once, by the rows that any of them holds,
+and all other postings are added one by one. All cosines are computed, so no
+neighbour is missed. Neighbours vote
 with weight 1 / (distance + ``SOFTEN``); an isotonic curve, fitted on the
 examples' own votes, turns the vote into a probability. Examples with the very
 words of a text, each as often, never vote on it, in the fit as in ``score``:
@@ -40,10 +39,10 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,129 +51,234 @@ from voxtab.llm.common import add_columns, materialise
 
 MAX_TOXIC, MAX_CLEAN = 4_000, 8_000
 NEIGHBOURS = 15
-BLOCK = 64
 SOFTEN = 0.05
 SMOOTH = 0.01
 STEMS = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
-#: Terms with dense rows: so many at most, each held by one in so many examples; and queries multiplied at once.
-DENSE, DENSE_SHARE, BATCH = 1024, 16, 256
-#: What a worker keeps: looked-up words, and neighbours of equal term counts.
-CACHE_WORDS, CACHE_VECTORS = 300_000, 5_000
+#: Terms with dense rows: so many at most, each held by one in so many examples; and texts that are scored at once.
+DENSE, DENSE_SHARE, BATCH = 1024, 16, 1024
+#: Groups of like examples, dense rows of a tile, and vectors multiplied with it at once.
+GROUPS, TILE_ROWS, CELL = 6, 2048, 256
+#: Bytes of texts whose words are looked up at once, about.
+PIECE = 1 << 23
+#: What a task keeps: neighbours of equal term counts.
+CACHE_VECTORS = 5_000
+
+
+#: Latin-1 with spaces for what is in no word.
+PLAIN = bytes(i if WORD.fullmatch(chr(i)) else 32 for i in range(256))
+
+
+def spaced(text: str | None) -> str:
+    """The lower-cased words of a text, the matches of ``WORD``, with spaces
+    between them."""
+    if not text:
+        return ""
+    text = text.lower()
+    try:
+        return text.encode("latin-1").translate(PLAIN).decode("latin-1")
+    except UnicodeEncodeError:
+        return " ".join(WORD.findall(text))
 
 
 def terms(text: str | None) -> set[str]:
     """Lower-cased words, and the first letters of longer ones."""
-    words = set(WORD.findall(text.lower())) if text else set()
+    words = set(spaced(text).split())
     return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
 
 
+def count(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, terms, counts): the terms of text i, ascending, and how often
+    it counts for each are entries ``starts[i]:starts[i+1]``."""
+    piece = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // PIECE
+    cuts = np.r_[0, np.flatnonzero(np.diff(piece)) + 1, len(texts)].tolist()
+    parts = [_count(texts.slice(s, e - s), vocabulary) for s, e in zip(cuts, cuts[1:], strict=False)]
+    ends = np.cumsum(np.concatenate([np.diff(p[0]) for p in parts]))
+    return np.r_[0, ends].astype(np.int64), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+
+
+def _count(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``count``; each different word of the texts is looked up once."""
+    lists = pc.ascii_split_whitespace(pa.array([spaced(t.as_py()) for t in texts], pa.large_string()))
+    words = lists.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(texts), dtype=np.int64) * len(vocabulary), np.diff(lists.offsets.to_numpy()))
+    del lists
+    known, found = words.dictionary, []
+    forms = [known]
+    for k in STEMS:
+        stem = pc.binary_join_element_wise(pc.utf8_slice_codeunits(known, 0, k), *(pa.scalar(x, known.type) for x in ("*", "")))
+        forms.append(pc.if_else(pc.greater(pc.utf8_length(known), k), stem, pa.scalar(None, known.type)))
+    at = pc.index_in(pa.concat_arrays(forms), value_set=vocabulary, skip_nulls=True).fill_null(-1).to_numpy(zero_copy_only=False)
+    code = words.indices.to_numpy(zero_copy_only=False)
+    for form in at.reshape(len(forms), len(known)):
+        held = form[code]
+        found.append((owner + held)[held >= 0])
+    key, n = np.unique(np.concatenate(found), return_counts=True)
+    ends = np.searchsorted(key, np.arange(len(texts) + 1) * len(vocabulary))
+    return ends, key - np.repeat(np.arange(len(texts)) * len(vocabulary), np.diff(ends)), n
+
+
 @dataclass
 class Index:
-    """Examples in blocks. Postings of term t are entries
-    ``starts[t]:starts[t+1]`` of ``example`` and ``weight``; block maxima are
-    ``block_starts[t]:block_starts[t+1]`` of ``block`` and ``block_max``."""
+    """Examples in tiles of like ones. Postings of term t are entries
+    ``starts[t]:starts[t+1]`` of ``example`` and ``weight``; no weight is
+    negative."""
 
     ids: np.ndarray
     toxic: np.ndarray
     starts: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    block_starts: np.ndarray
-    block: np.ndarray
-    block_max: np.ndarray
-    block_at: np.ndarray
 
     @classmethod
     def build(cls, ids, toxic, term: np.ndarray, example: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
-        order = np.lexsort((example, term))
-        term, example, weight = term[order].astype(np.int32), example[order].astype(np.int32), weight[order]
-        del order
-        starts = np.searchsorted(term, np.arange(n_terms + 1))
-        blocks = example // BLOCK
-        new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1])]) if len(term) else np.zeros(0, int)
-        maxima = np.maximum.reduceat(weight, new) if len(new) else np.zeros(0)
-        return cls(
-            np.asarray(ids), np.asarray(toxic, float), starts, example, weight,
-            np.searchsorted(term[new], np.arange(n_terms + 1)), blocks[new], maxima, np.r_[new, len(term)].astype(np.int32),
-        )
+        if (np.diff(term) < 0).any():
+            order = np.lexsort((example, term))
+            term, example, weight = term[order], example[order], weight[order]
+        return cls(np.asarray(ids), np.asarray(toxic, float), np.searchsorted(term, np.arange(n_terms + 1)), example.astype(np.int32), weight)
 
-    @cached_property
-    def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, terms and weights of the examples' own vectors."""
-        order = np.argsort(self.example, kind="stable")
-        term = np.repeat(np.arange(len(self.starts) - 1, dtype=np.int32), np.diff(self.starts))
-        return np.r_[0, np.cumsum(np.bincount(self.example, minlength=len(self.ids)))], term[order], self.weight[order]
-
-    @cached_property
+    @property
     def dense(self) -> tuple[np.ndarray, np.ndarray]:
         """The row of each term (-1: none), and the rows of the most frequent terms."""
         held = np.diff(self.starts)
-        some = np.argsort(-held, kind="stable")[:DENSE]
-        some = some[held[some] * DENSE_SHARE >= max(1, len(self.ids))]
+        some = _frequent(held, len(self.ids), DENSE)
         row = np.full(len(held), -1)
         row[some] = np.arange(len(some))
-        rows = np.zeros((len(some), len(self.ids)))
+        rows = np.zeros((len(some), len(self.ids)), np.float32)
         for i, t in enumerate(some):
             at = slice(self.starts[t], self.starts[t + 1])
             rows[i, self.example[at]] = self.weight[at]
         return row, rows
 
-    def dense_parts(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Each vector's cosine with every example, by the dense rows alone."""
-        row, rows = self.dense
-        asked = np.zeros((len(vectors), len(rows)))
-        for q, (term, weight) in zip(asked, vectors, strict=True):
-            at = row[term]
-            q[at[at >= 0]] = weight[at >= 0]
-        return asked @ rows
-
-    def nearest(
-        self, term: np.ndarray, weight: np.ndarray, k: int, without: Sequence[int] = (), part: np.ndarray | None = None
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples with a positive cosine, nearest first (ties
-        by number), and their similarity to nine digits. ``without``:
-        examples left out; ``part``: the vector's row of ``dense_parts``."""
-        n = len(self.ids)
-        n_blocks = (n + BLOCK - 1) // BLOCK
-        if not n:
-            return np.zeros(0, int), np.zeros(0)
-        part = self.dense_parts([(term, weight)])[0] if part is None else part
-        sparse = self.dense[0][term] < 0
-        term, weight, without = term[sparse], weight[sparse], np.asarray(without, int)
-        lens = self.block_starts[term + 1] - self.block_starts[term]
-        runs = _ranges(self.block_starts[term], lens)  # the terms' posting blocks
-        held, scale = self.block[runs], np.repeat(weight, lens)
-        bound = np.maximum.reduceat(part, np.arange(0, n, BLOCK)) + np.bincount(held, scale * self.block_max[runs], n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        best = np.zeros(0)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for first, last in ((0, 8), (8, n_blocks)):  # the best blocks, then all that can still hold a neighbour
-            some = order[first:last]
-            kth = best[-1] if len(best) == k else 0.0
-            some = some[(bound[some] > 0) & (bound[some] >= kth * (1 - 1e-9) - 1e-9)]
-            if not len(some):
-                break
-            wanted = np.zeros(n_blocks, bool)
-            wanted[some] = True
-            take = np.flatnonzero(wanted[held])
-            size = self.block_at[runs[take] + 1] - self.block_at[runs[take]]
-            at = _ranges(self.block_at[runs[take]], size)
-            sums = part + np.bincount(self.example[at], np.repeat(scale[take], size) * self.weight[at], n)
-            sums[without] = 0
-            ids = np.flatnonzero(np.repeat(wanted, BLOCK)[:n] & (sums > 0))
-            s = sums[ids]
-            if len(s) > k:  # equal ones to nine digits stay
-                near = s >= np.partition(s, len(s) - k)[len(s) - k] - 2e-9
-                ids, s = ids[near], s[near]
-            found.append((ids, s))
-            best = np.sort(np.concatenate([best, s]))[::-1][:k]
-        if not found:
-            return np.zeros(0, int), np.zeros(0)
-        ids, s = (np.concatenate(x) for x in zip(*found, strict=True))
-        s = np.round(s, 9)
-        top = np.lexsort((ids, -s))[:k]
-        return ids[top], s[top]
+    @cached_property
+    def tiles(self) -> Tiles:
+        """The examples by likeness, found by some rounds of k-means over the
+        most frequent terms, and by length: the longest that hold half of the
+        postings of like ones are apart. This decides what a search costs,
+        never what it finds."""
+        n, n_terms = len(self.ids), len(self.starts) - 1
+        frequent, x = self.dense
+        x = np.ascontiguousarray(x.T)
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
+        centre = x[np.linspace(0, n - 1, max(1, min(GROUPS, n // 256))).astype(int)]
+        for _ in range(6):
+            group = (x @ centre.T).argmax(1)
+            for g in np.unique(group):
+                total = x[group == g].sum(0)
+                centre[g] = total / max(np.sqrt((total * total).sum()), 1e-9)
+        del x
+        size = np.bincount(self.example, minlength=n)
+        group = (2 * group).astype(np.int16)
+        for g in np.unique(group):
+            like = np.flatnonzero(group == g)
+            like = like[np.argsort(-size[like], kind="stable")]
+            group[like] += np.cumsum(size[like]) * 2 > size[like].sum()
+        order = np.argsort(group, kind="stable")
+        slot = np.empty(n, np.int32)
+        slot[order] = np.arange(n, dtype=np.int32)
+        term = np.repeat(np.arange(n_terms, dtype=np.int32), np.diff(self.starts))
+        sparse, blocks, lo, of_entry = np.ones(len(term), bool), [], 0, group[self.example]
+        for g in np.unique(group):
+            hi = lo + int((group == g).sum())
+            inside = np.flatnonzero(of_entry == g)
+            some = _frequent(np.bincount(term[inside], minlength=n_terms), hi - lo, TILE_ROWS)
+            row = np.full(n_terms, -1, np.int16)
+            row[some] = np.arange(len(some))
+            inside = inside[row[term[inside]] >= 0]
+            rows = np.zeros((len(some), hi - lo))
+            rows[row[term[inside]], slot[self.example[inside]] - lo] = self.weight[inside]
+            sparse[inside] = False
+            blocks.append((lo, hi, row, rows))
+            lo = hi
+        starts = np.r_[0, np.cumsum(np.bincount(term[sparse], minlength=n_terms))]
+        return Tiles(order, slot, frequent, centre, blocks, starts, slot[self.example[sparse]], self.weight[sparse])
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """``nearest_all`` of one vector."""
+        return self.nearest_all(np.array([0, len(term)]), term, weight, k, [without])[0]
+
+    def nearest_all(
+        self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, without: Sequence[Sequence[int]]
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector i, entries ``starts[i]:starts[i+1]``, the k nearest
+        examples with a positive cosine, nearest first (ties by number), and
+        their similarity to nine digits. ``without``: examples it leaves out."""
+        found = [(np.zeros(0, int), np.zeros(0))] * len(without)
+        if not len(self.ids):
+            return found
+        order, slot = self.tiles.order, self.tiles.slot
+        for i, sums in self.tiles.cosines(starts, term, weight):
+            sums[slot[np.asarray(without[i], int)]] = 0
+            least = np.partition(sums, len(sums) - k)[len(sums) - k] - 2e-9 if len(sums) > k else 0.0  # equal ones to nine digits stay
+            some = np.flatnonzero((sums >= least) & (sums > 0))
+            ids, s = order[some], np.round(sums[some], 9)
+            top = np.lexsort((ids, -s))[:k]
+            found[i] = ids[top], s[top]
+        return found
+
+
+@dataclass
+class Tiles:
+    """Like examples hold neighbouring slots. What many of a tile (``lo`` to
+    ``hi``) hold lies in its dense rows (``row`` of a term, -1: none); all
+    other postings of term t are entries ``starts[t]:starts[t+1]`` of ``at``
+    (slots) and ``weight``."""
+
+    order: np.ndarray  # the example of a slot
+    slot: np.ndarray  # the slot of an example
+    frequent: np.ndarray  # the place of a term among the most frequent (-1: none)
+    centre: np.ndarray  # of each group of like examples, over these
+    blocks: list[tuple[int, int, np.ndarray, np.ndarray]]  # lo, hi, row, rows
+    starts: np.ndarray
+    at: np.ndarray
+    weight: np.ndarray
+
+    def cosines(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The number of each vector and its cosines with all slots. Vectors
+        near to the same centre, ``CELL`` at most, are multiplied with a tile
+        at once, by the rows that any of them holds."""
+        n, lens = len(starts) - 1, np.diff(starts)
+        owner = np.repeat(np.arange(n), lens)
+        asked = np.zeros((n, self.centre.shape[1]))
+        hit = np.flatnonzero(self.frequent[term] >= 0)
+        asked[owner[hit], self.frequent[term[hit]]] = weight[hit]
+        home = (asked @ self.centre.T).argmax(1)
+        order = np.argsort(home, kind="stable")
+        at = _ranges(starts[order], lens[order])
+        term, weight, lens = term[at], weight[at], lens[order]
+        owner, starts = np.repeat(np.arange(n), lens), np.r_[0, np.cumsum(lens)]
+        cuts = np.r_[0, np.flatnonzero(np.diff(home[order])) + 1, n]
+        cuts = np.concatenate([np.arange(s, e, CELL) for s, e in zip(cuts, cuts[1:], strict=False)] + [[n]]).astype(int).tolist()
+        for first, last in zip(cuts, cuts[1:], strict=False):
+            some = slice(starts[first], starts[last])
+            sums = np.zeros((last - first, len(self.order)))
+            for lo, hi, row, rows in self.blocks:
+                at = row[term[some]]
+                hit = np.flatnonzero(at >= 0)
+                if not len(hit):
+                    continue
+                at, who, w = at[hit], owner[some][hit] - first, weight[some][hit]
+                used = np.zeros(len(rows), bool)
+                used[at] = True
+                few = used.mean() < 0.6
+                at = (np.cumsum(used) - 1)[at] if few else at
+                asked = np.zeros((last - first, int(used.sum()) if few else len(rows)))
+                asked[who, at] = w
+                sums[:, lo:hi] = asked @ (rows[used] if few else rows)
+            for i, part in enumerate(sums, first):
+                s, e = starts[i], starts[i + 1]
+                begin = self.starts[term[s:e]]
+                size = self.starts[term[s:e] + 1] - begin
+                rest = _ranges(begin, size)
+                part += np.bincount(self.at[rest], self.weight[rest] * np.repeat(weight[s:e], size), len(self.order))
+                yield int(order[i]), part
+
+
+def _frequent(held: np.ndarray, n: int, most: int) -> np.ndarray:
+    """At most so many terms, each held by one in ``DENSE_SHARE`` of ``n``
+    examples, the most frequent first."""
+    some = np.flatnonzero(held * DENSE_SHARE >= max(1, n))
+    return some[np.argsort(-held[some], kind="stable")][:most]
 
 
 def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -183,33 +287,13 @@ def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lens), lens)
 
 
-class Hits(dict):
-    """Word -> numbers of the vocabulary's terms it counts for; looked up
-    once per word, at most ``CACHE_WORDS`` kept."""
-
-    def __init__(self, number: dict[str, int]):
-        self.number = number
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        keys = [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
-        found = self[word] = tuple(i for k in keys if (i := self.number.get(k)) is not None)
-        return found
-
-    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The terms of the text, ascending, and how often it counts for each."""
-        words = WORD.findall(text.lower()) if text else []
-        return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), int), return_counts=True)
-
-
 @dataclass
 class Model:
     """Postings of term t are entries ``starts[t]:starts[t+1]`` of
     ``example`` and ``times``. Each process makes the index from them, which
     is several times their size, so only they are sent."""
 
-    number: dict[str, int]
+    vocabulary: pa.Array | None  # sorted
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
@@ -224,29 +308,38 @@ class Model:
     @cached_property
     def index(self) -> Index:
         term = np.repeat(np.arange(len(self.idf), dtype=np.int32), np.diff(self.starts))
-        w = (1 + np.log(self.times, dtype=float)) * self.idf[term]
+        w = np.log(self.times, dtype=float)
+        w += 1
+        w *= self.idf[term]
         w /= np.sqrt(np.bincount(self.example, w * w, len(self.ids)))[self.example]
-        return Index.build(self.ids, self.toxic, term, self.example, w, len(self.idf))
+        index = Index.build(self.ids, self.toxic, term, self.example, w, len(self.idf))
+        index.tiles  # noqa: B018  what they hold is not kept twice
+        index.example, index.weight = index.example[:0], index.weight[:0]
+        return index
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "index"}
 
-    def vector(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(counts)) * self.idf[at]
-        return at, w / np.sqrt((w * w).sum()) if len(at) else w
+    @property
+    def number(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self.vocabulary.to_pylist())}
+
+    def weights(self, starts: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The weights of texts' terms, given as ``count`` does."""
+        w = (1 + np.log(n, dtype=float)) * self.idf[at]
+        owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        return w / np.sqrt(np.bincount(owner, w * w, len(starts) - 1))[owner]
 
     def vote(self, near: np.ndarray, sims: np.ndarray) -> float:
         w = 1.0 / (np.maximum(1.0 - sims, 0.0) + SOFTEN)
         return float((w * self.index.toxic[near]).sum() / w.sum())
 
-    def score(self, counts: dict[bytes, tuple[np.ndarray, np.ndarray]]) -> Iterator:
-        """(score, neighbours, similarities) for each text's term counts, given by their digest."""
-        vectors = [(self.vector(*c), self.alike.get(key, ())) for key, c in counts.items()]
-        for i in range(0, len(vectors), BATCH):
-            some = vectors[i : i + BATCH]
-            for ((at, w), own), part in zip(some, self.index.dense_parts([v for v, _ in some]), strict=True):
-                near, sims = self.index.nearest(at, w, NEIGHBOURS, own, part)
-                yield float(np.interp(self.vote(near, sims), self.votes, self.scores)) if len(near) else self.base, near, sims
+    def score(self, starts: np.ndarray, at: np.ndarray, n: np.ndarray, keys: list[bytes]) -> Iterator:
+        """(score, neighbours, similarities) for each text's term counts, which ``keys`` name."""
+        weight = self.weights(starts, at, n)
+        near = self.index.nearest_all(starts, at, weight, NEIGHBOURS, [self.alike.get(k, ()) for k in keys])
+        for ids, sims in near:
+            yield float(np.interp(self.vote(ids, sims), self.votes, self.scores)) if len(ids) else self.base, ids, sims
 
 
 def digest(at: np.ndarray, n: np.ndarray) -> bytes:
@@ -268,14 +361,14 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return knots, np.repeat([p[2] / p[3] for p in pools], 2)
 
 
-def _count_known(column: str, number: dict[str, int]):
+def _count_known(column: str, vocabulary: pa.Array):
     """Per task: how many texts hold each term of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits, n = Hits(number), np.zeros(len(number), np.int64)
+        n = np.zeros(len(vocabulary), np.int64)
         for b in batches:
-            for t in b[column]:
-                n[hits.count(t.as_py())[0]] += 1
+            for i in range(0, b.num_rows, BATCH):
+                n += np.bincount(count(b[column].slice(i, BATCH), vocabulary)[1], minlength=len(n))
         held = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"term": pa.array(held), "n": pa.array(n[held])})
 
@@ -315,24 +408,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     picked = materialise(examples(docs, labels), "toxic-examples")
     if not picked.head(1):
         return None
-    vocabulary = sorted(picked.mapInArrow(_terms("text"), "term string").distinct().toArrow()["term"].to_pylist())  # the examples' own
-    number = {t: i for i, t in enumerate(vocabulary)}
-    held = docs.select("text").mapInArrow(_count_known("text", number), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    found = sorted(picked.mapInArrow(_terms("text"), "term string").distinct().toArrow()["term"].to_pylist())  # the examples' own
+    vocabulary = pa.array(found, pa.large_string())
+    held = docs.select("text").mapInArrow(_count_known("text", vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
     frequency = np.zeros(len(vocabulary))
     frequency[held["term"].to_numpy(int)] = held["n"]
     n_docs = docs.count()
     idf = np.log((1 + SMOOTH) * (n_docs + 1) / (frequency + 1 + SMOOTH * n_docs))
     none = np.zeros(0, np.int32)
-    model = Model(number, idf, none, none, np.zeros(len(idf) + 1, int), none, none, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]), {})
+    model = Model(vocabulary, idf, none, none, np.zeros(len(idf) + 1, int), none, none, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]), {})
     shared = spark.sparkContext.broadcast(model)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        hits = Hits(m.number)
         for batch in batches:
-            found = [hits.count(t.as_py()) for t in batch["text"]]
-            lead = pa.array([int(at[np.argmax(m.vector(at, n)[1])]) if len(at) else -1 for at, n in found], pa.int32())
-            held = [pa.array([c[j] for c in found], pa.list_(pa.int32())) for j in (0, 1)]
+            starts, at, n = count(batch["text"], m.vocabulary)
+            w = m.weights(starts, at, n)
+            lead = pa.array([int(at[s + np.argmax(w[s:e])]) if e > s else -1 for s, e in zip(starts[:-1], starts[1:], strict=True)], pa.int32())
+            held = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x, pa.int32())) for x in (at, n)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], batch["share"], lead, *held], names=["doc_id", "toxic", "share", "lead", "at", "n"])
 
     kind = "doc_id long, toxic long, share double, lead int, at array<int>, n array<int>"
@@ -350,26 +443,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     order = np.argsort(at, kind="stable")
     model.starts, model.example, model.times = np.r_[0, np.cumsum(np.bincount(at, minlength=len(idf)))], small(who[order]), small(times[order])
     model.ids, model.toxic, share = (table[c].to_numpy() for c in ("doc_id", "toxic", "share"))
-    return _calibrate(spark, model, 1.0 / share, sizes == 0)
+    return _calibrate(spark, model, (np.r_[0, ends], at, small(times)), 1.0 / share, sizes == 0)
 
 
-def _calibrate(spark, model: Model, weight: np.ndarray, bare: np.ndarray) -> Model:
+def _calibrate(spark, model: Model, counts: tuple[np.ndarray, ...], weight: np.ndarray, bare: np.ndarray) -> Model:
     """The curve from votes to scores, by votes on the examples, each with the ``weight`` of what it stands for in the corpus.
-    ``bare``: examples without terms."""
+    ``counts``: the examples' terms, as ``count`` gives them; ``bare``: examples without terms."""
     y = model.toxic.astype(float)
-    shared = spark.sparkContext.broadcast(replace(model, number={}))
+    shared = spark.sparkContext.broadcast((replace(model, vocabulary=None), *counts))
 
     def vote(batches):
-        m = shared.value
+        m, starts, at, n = shared.value
         own = {i: same for same in m.alike.values() for i in same}
-        starts, at, w = m.index.vectors
         for pdf in batches:
             out = []
             for first in range(0, len(pdf), BATCH):
                 some = pdf["i"].to_numpy()[first : first + BATCH]
-                vectors = [(at[starts[i] : starts[i + 1]], w[starts[i] : starts[i + 1]]) for i in some]
-                for i, v, part in zip(some, vectors, m.index.dense_parts(vectors), strict=True):
-                    near, sims = m.index.nearest(*v, NEIGHBOURS, own[i], part)
+                lens = starts[some + 1] - starts[some]
+                flat, ends = _ranges(starts[some], lens), np.r_[0, np.cumsum(lens)]
+                for near, sims in m.index.nearest_all(ends, at[flat], m.weights(ends, at[flat], n[flat]), NEIGHBOURS, [own[i] for i in some]):
                     out.append(m.vote(near, sims) if len(near) else -1.0)
             yield pdf[["i"]].assign(vote=out)
 
@@ -394,22 +486,27 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
     def start():
         m = shared.value
-        hits, known = Hits(m.number if m else {}), {}
+        known: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
 
         def run(texts: pa.Array) -> list[pa.Array]:
-            counts = [hits.count(t.as_py()) for t in texts]
-            keys = [digest(*c) for c in counts]
+            if not m:
+                return [pa.array(np.zeros(len(texts))), pa.array([[]] * len(texts), kind)]
+            starts, at, n = count(texts, m.vocabulary)
+            keys = [digest(at[s:e], n[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)]
             if len(known) >= CACHE_VECTORS:
                 known.clear()
-            new = {k: c for k, c in zip(keys, counts, strict=True) if k not in known}  # equal counts have equal neighbours
-            results = m.score(new) if m else ((0.0, (), ()) for _ in new)
-            for key, (s, near, sims) in zip(new, results, strict=True):
-                seen = zip(near, sims, strict=True)
-                evidence = [{"doc_id": int(m.index.ids[i]), "similarity": float(x), "toxic": int(m.index.toxic[i])} for i, x in seen]
-                known[key] = min(1.0, max(0.0, s)), evidence
+            new = {k: i for i, k in enumerate(keys) if k not in known}  # equal counts have equal neighbours
+            some = np.fromiter(new.values(), int)
+            lens = starts[some + 1] - starts[some]
+            flat = _ranges(starts[some], lens)
+            results = m.score(np.r_[0, np.cumsum(lens)], at[flat], n[flat], list(new))
+            known.update((key, (min(1.0, max(0.0, s)), near, sims)) for key, (s, near, sims) in zip(new, results, strict=True))
             found = [known[k] for k in keys]
-            return [pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], kind)]
+            near = np.concatenate([f[1] for f in found])
+            evidence = [pa.array(m.index.ids[near], pa.int64()), pa.array(np.concatenate([f[2] for f in found])), pa.array(m.index.toxic[near].astype(np.int32))]
+            ends = pa.array(np.r_[0, np.cumsum([len(f[1]) for f in found])], pa.int32())
+            return [pa.array([f[0] for f in found], pa.float64()), pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(evidence, fields=list(kind.value_type)))]
 
         return run
 
-    return add_columns(docs, text, fields, start)
+    return add_columns(docs, text, fields, start, BATCH)
