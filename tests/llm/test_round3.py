@@ -394,3 +394,18 @@ def test_language_sample_is_bounded_whatever_repeats(spark):
     df = spark.createDataFrame(rows, "text string, lang string")
     picked = lang_id.sample(df, "lang", "text", {"en": 6000, "fr": 50}, 300).groupBy("lang").count().collect()
     assert {r["lang"]: r["count"] for r in picked} == {"en": 300, "fr": 50}
+
+
+def test_minhash_later_links_look_up_labels_once(spark, monkeypatch):
+    """Later links join components; what names their ends is worked out once, from their own rows, not again for each use."""
+    texts = [" ".join(f"w{c}{i}" for i in range(30)) for c in "abcd"] + ["none at all of these words", ""]
+    table = spark.createDataFrame(list(enumerate(texts * 2)), "doc_id long, text string")
+    digests = {r.doc_id: bytes(r.digest) for r in minhash_dedup.sketch(table, 4).collect() if r.digest}
+    seen, plain = [], minhash_dedup._labels
+    links = [(digests[0], digests[1]), (digests[3], digests[1])]
+    monkeypatch.setattr(minhash_dedup, "across", lambda members, sets, near: spark.createDataFrame(links, "a binary, b binary"))
+    monkeypatch.setattr(minhash_dedup, "_labels", lambda pairs: seen.append(pairs) or plain(pairs))
+    got = {r.doc_id: r.component_id for r in minhash_dedup.components(table, shingle=4).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 0, 4: 4, 5: 5, 6: 0, 7: 0, 8: 2, 9: 0, 10: 4, 11: 11}
+    assert len(seen) == 2 and seen[1].count() == 2
+    assert "Join" not in seen[1]._jdf.queryExecution().optimizedPlan().toString()

@@ -344,13 +344,14 @@ def labels(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE, near: int
     labelled = buckets.join(first, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     placed = labelled.select("digest", "label", F.inline("in")).select("key", "digest", "size", "label")
     second = materialise(across(materialise(placed, "minhash-placed"), sets, near), "minhash-more-links")
-    if second.isEmpty():
-        return everyone
-    # later links join the components of the first
-    ends = [everyone.select(F.col("digest").alias(n), F.col("label").alias(f"l_{n}")) for n in ("a", "b")]
-    joined = second.join(ends[0], "a").join(ends[1], "b").select(F.col("l_a").alias("a"), F.col("l_b").alias("b"))
-    moved = _labels(joined).select(F.col("digest").alias("label"), F.col("label").alias("to"))
-    return everyone.join(moved, "label", "left").select("digest", F.coalesce("to", "label").alias("label"))
+    if not second.isEmpty():
+        # later links join the components of the first; only the ends of a link look up their labels, once
+        ends = [first.select(F.col("digest").alias(n), F.col("label").alias(f"l_{n}")) for n in ("a", "b")]
+        named = second.join(ends[0], "a", "left").join(ends[1], "b", "left")
+        joined = materialise(named.select(F.coalesce("l_a", "a").alias("a"), F.coalesce("l_b", "b").alias("b")), "minhash-later-links")
+        moved = _labels(joined).select(F.col("digest").alias("label"), F.col("label").alias("to"))
+        everyone = everyone.join(moved, "label", "left").select("digest", F.coalesce("to", "label").alias("label"))
+    return materialise(everyone, "minhash-all-labels")
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, near: int = NEAR) -> DataFrame:
