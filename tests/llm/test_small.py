@@ -5,6 +5,7 @@ empty one."""
 import collections
 import re
 import tempfile
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -408,6 +409,45 @@ def test_scores_do_not_depend_on_the_cell(monkeypatch):
     assert found[0][9] == (0.25, [], []) and 5 not in found[0][5][1] and found[0][6][1][0] == 6
 
 
+def _posted_model(n: int, terms: int, held: float) -> toxicity.Model:
+    rng = np.random.default_rng(31)
+    lists = [np.sort(rng.choice(n, 1 + rng.binomial(n - 1, held * (8 if t % 50 == 0 else 1)), replace=False)) for t in range(terms)]
+    example = np.concatenate(lists).astype(np.uint16)
+    starts = np.r_[0, np.cumsum([len(x) for x in lists])]
+    times = rng.integers(1, 9, len(example)).astype(np.uint16)
+    return toxicity.Model(None, np.linspace(0.5, 3, terms), np.arange(n), np.arange(n) % 2, starts, example, times, 0.25, np.array([0.0, 1.0]), np.array([0.0, 1.0]), {})
+
+
+def test_an_index_keeps_its_tiles_only():
+    """Beside the tiles no array of all postings is kept, not even by a view, and making them takes no more than a few bytes a posting."""
+    model = _posted_model(2000, 30_000, 0.05)
+    n = len(model.example)
+    tracemalloc.start()
+    try:
+        tiles = model.index.tiles
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    arrays = [tiles.order, tiles.slot, tiles.frequent, tiles.centre, tiles.starts, tiles.at, tiles.weight]
+    held = sum(x.nbytes for x in arrays) + sum(row.nbytes + rows.nbytes for _, _, row, rows in tiles.blocks)
+    assert n > 3_000_000 and kept - held < n and peak - held < 16 * n
+
+
+def test_tiles_do_not_depend_on_the_run(monkeypatch):
+    model = _posted_model(800, 300, 0.05)
+    made = []
+    for run in (1 << 18, 700, 1):
+        monkeypatch.setattr(toxicity, "RUN", run)
+        model.__dict__.pop("index", None)
+        made.append(model.index.tiles)
+    for tiles in made[1:]:
+        for name in ("order", "slot", "frequent", "starts", "at"):
+            assert np.array_equal(getattr(tiles, name), getattr(made[0], name)), name
+        assert np.allclose(tiles.weight, made[0].weight, rtol=1e-12)
+        for (*a, rows), (*b, others) in zip(tiles.blocks, made[0].blocks, strict=True):
+            assert a[:2] == b[:2] and np.array_equal(a[2], b[2]) and np.allclose(rows, others, rtol=1e-12)
+
+
 def test_terms_are_counted_as_a_plain_loop_does(monkeypatch):
     texts = [None, "", " 12_3 ", "Straße STRASSE straßen²_x ½tasse", "ΟΔΟΣ ὀδός ΟΔΟΣ.", "İstanbul ıslak “quoted” words’ ends", "a\u2028b\xa0c\x85d\x1ce", "𝐀𝐁𝐂𝐃𝐄𝐅 名前名前名前 mañana-mañana", "one two one " * 40, "ÀÉÎ àéîõü ÀÉÎÕÜß"]
     words = [[w for w in toxicity.WORD.findall(t.lower())] if t else [] for t in texts]

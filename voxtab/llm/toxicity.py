@@ -59,6 +59,8 @@ WORD = re.compile(r"[^\W\d_]+")
 DENSE, DENSE_SHARE, BATCH = 1024, 16, 1024
 #: Groups of like examples, dense rows of a tile, and vectors multiplied with it at once.
 GROUPS, TILE_ROWS, CELL = 6, 2048, 256
+#: Postings that are worked on at once when an index is made.
+RUN = 1 << 18
 #: Bytes of texts whose words are looked up at once, about.
 PIECE = 1 << 23
 #: What a task keeps: neighbours of equal term counts.
@@ -121,33 +123,46 @@ def _count(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarra
 @dataclass
 class Index:
     """Examples in tiles of like ones. Postings of term t are entries
-    ``starts[t]:starts[t+1]`` of ``example`` and ``weight``; no weight is
-    negative."""
+    ``starts[t]:starts[t+1]`` of ``example`` and ``code``; their weight is
+    ``value[code] * by_term[t] / norm[example]``, never negative."""
 
     ids: np.ndarray
     toxic: np.ndarray
     starts: np.ndarray
     example: np.ndarray
-    weight: np.ndarray
+    code: np.ndarray
+    value: np.ndarray
+    by_term: np.ndarray
+    norm: np.ndarray
 
     @classmethod
     def build(cls, ids, toxic, term: np.ndarray, example: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
         if (np.diff(term) < 0).any():
             order = np.lexsort((example, term))
             term, example, weight = term[order], example[order], weight[order]
-        return cls(np.asarray(ids), np.asarray(toxic, float), np.searchsorted(term, np.arange(n_terms + 1)), example.astype(np.int32), weight)
+        starts = np.searchsorted(term, np.arange(n_terms + 1))
+        return cls(np.asarray(ids), np.asarray(toxic, float), starts, example, np.arange(len(weight)), weight, np.ones(n_terms), np.ones(len(ids)))
+
+    def runs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(term, example, weight) of the postings in order, some ``RUN`` of
+        them at a time."""
+        for a, b in _cuts(self.starts):
+            s = slice(self.starts[a], self.starts[b])
+            term = np.repeat(np.arange(a, b), np.diff(self.starts[a : b + 1]))
+            example = self.example[s].astype(np.int64)
+            yield term, example, self.value[self.code[s]] * self.by_term[term] / self.norm[example]
 
     @property
     def dense(self) -> tuple[np.ndarray, np.ndarray]:
         """The row of each term (-1: none), and the rows of the most frequent terms."""
         held = np.diff(self.starts)
         some = _frequent(held, len(self.ids), DENSE)
-        row = np.full(len(held), -1)
+        row = np.full(len(held), -1, np.int16)
         row[some] = np.arange(len(some))
         rows = np.zeros((len(some), len(self.ids)), np.float32)
         for i, t in enumerate(some):
             at = slice(self.starts[t], self.starts[t + 1])
-            rows[i, self.example[at]] = self.weight[at]
+            rows[i, self.example[at]] = self.value[self.code[at]] * self.by_term[t] / self.norm[self.example[at]]
         return row, rows
 
     @cached_property
@@ -155,20 +170,20 @@ class Index:
         """The examples by likeness, found by some rounds of k-means over the
         most frequent terms, and by length: the longest that hold half of the
         postings of like ones are apart. This decides what a search costs,
-        never what it finds."""
+        never what it finds. Beside the tiles, no array of all postings is
+        made: many workers build them at once."""
         n, n_terms = len(self.ids), len(self.starts) - 1
         frequent, x = self.dense
-        x = np.ascontiguousarray(x.T)
-        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
-        centre = x[np.linspace(0, n - 1, max(1, min(GROUPS, n // 256))).astype(int)]
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->j", x, x)), 1e-9)
+        centre = x[:, np.linspace(0, n - 1, max(1, min(GROUPS, n // 256))).astype(int)].T.copy()
         for _ in range(6):
-            group = (x @ centre.T).argmax(1)
+            group = (centre @ x).argmax(0)
+            totals = (x @ (group[:, None] == np.arange(len(centre))).astype(np.float32)).T
             for g in np.unique(group):
-                total = x[group == g].sum(0)
-                centre[g] = total / max(np.sqrt((total * total).sum()), 1e-9)
+                centre[g] = totals[g] / max(np.sqrt((totals[g] * totals[g]).sum()), 1e-9)
         del x
-        size = np.bincount(self.example, minlength=n)
-        group = (2 * group).astype(np.int16)
+        size = sum((np.bincount(example, minlength=n) for _, example, _ in self.runs()), np.zeros(n, np.int64))
+        group = 2 * group
         for g in np.unique(group):
             like = np.flatnonzero(group == g)
             like = like[np.argsort(-size[like], kind="stable")]
@@ -176,22 +191,34 @@ class Index:
         order = np.argsort(group, kind="stable")
         slot = np.empty(n, np.int32)
         slot[order] = np.arange(n, dtype=np.int32)
-        term = np.repeat(np.arange(n_terms, dtype=np.int32), np.diff(self.starts))
-        sparse, blocks, lo, of_entry = np.ones(len(term), bool), [], 0, group[self.example]
-        for g in np.unique(group):
-            hi = lo + int((group == g).sum())
-            inside = np.flatnonzero(of_entry == g)
-            some = _frequent(np.bincount(term[inside], minlength=n_terms), hi - lo, TILE_ROWS)
-            row = np.full(n_terms, -1, np.int16)
-            row[some] = np.arange(len(some))
-            inside = inside[row[term[inside]] >= 0]
-            rows = np.zeros((len(some), hi - lo))
-            rows[row[term[inside]], slot[self.example[inside]] - lo] = self.weight[inside]
-            sparse[inside] = False
-            blocks.append((lo, hi, row, rows))
-            lo = hi
-        starts = np.r_[0, np.cumsum(np.bincount(term[sparse], minlength=n_terms))]
-        return Tiles(order, slot, frequent, centre, blocks, starts, slot[self.example[sparse]], self.weight[sparse])
+        tile, width = np.unique(group, return_inverse=True)[1], np.unique(group, return_counts=True)[1]
+        lo = np.cumsum(width) - width
+        held = np.zeros((len(width), n_terms), np.min_scalar_type(n))
+        for term, example, _ in self.runs():
+            first, last = term[0], term[-1] + 1
+            held[:, first:last] = np.bincount(tile[example] * (last - first) + term - first, minlength=len(width) * (last - first)).reshape(len(width), -1)
+        row = np.full(held.shape, -1, np.int16)
+        for g, in_tile in enumerate(held):
+            some = _frequent(in_tile.astype(np.int64), width[g], TILE_ROWS)
+            row[g, some] = np.arange(len(some))
+        n_sparse = (held * (row < 0)).sum(0, dtype=np.int64)
+        del held
+        ends = np.cumsum((row.max(1, initial=-1) + 1) * width)
+        begin = ends - (row.max(1, initial=-1) + 1) * width
+        flat = np.zeros(ends[-1])
+        starts = np.r_[0, np.cumsum(n_sparse)]
+        at, weights, done = np.empty(starts[-1], np.int32), np.empty(starts[-1]), 0
+        for term, example, weight in self.runs():
+            g = tile[example]
+            of = row[g, term].astype(np.int64)
+            hit = np.flatnonzero(of >= 0)
+            g, of = g[hit], of[hit]
+            flat[begin[g] + of * width[g] + slot[example[hit]] - lo[g]] = weight[hit]
+            rest = np.flatnonzero(row[tile[example], term] < 0)
+            at[done : done + len(rest)], weights[done : done + len(rest)] = slot[example[rest]], weight[rest]
+            done += len(rest)
+        blocks = [(int(a), int(a + w), row[g], flat[s:e].reshape(-1, w)) for g, (a, w, s, e) in enumerate(zip(lo, width, begin, ends, strict=True))]
+        return Tiles(order, slot, frequent, centre, blocks, starts, at, weights)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
         """``nearest_all`` of one vector."""
@@ -281,6 +308,13 @@ def _frequent(held: np.ndarray, n: int, most: int) -> np.ndarray:
     return some[np.argsort(-held[some], kind="stable")][:most]
 
 
+def _cuts(starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of terms that hold some ``RUN`` postings; terms without any
+    belong to no run of their own."""
+    cuts = np.unique(np.searchsorted(starts, np.r_[np.arange(0, starts[-1], RUN), starts[-1]])).tolist()
+    return ((a, b) for a, b in zip(cuts, cuts[1:], strict=False) if starts[b] > starts[a])
+
+
 def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The numbers of all ranges ``starts[i] .. starts[i] + lens[i]``."""
     ends = np.cumsum(lens)
@@ -307,14 +341,12 @@ class Model:
 
     @cached_property
     def index(self) -> Index:
-        term = np.repeat(np.arange(len(self.idf), dtype=np.int32), np.diff(self.starts))
-        w = np.log(self.times, dtype=float)
-        w += 1
-        w *= self.idf[term]
-        w /= np.sqrt(np.bincount(self.example, w * w, len(self.ids)))[self.example]
-        index = Index.build(self.ids, self.toxic, term, self.example, w, len(self.idf))
-        index.tiles  # noqa: B018  what they hold is not kept twice
-        index.example, index.weight = index.example[:0], index.weight[:0]
+        value = np.r_[0.0, 1 + np.log(np.arange(1, int(self.times.max(initial=0)) + 1))]  # by how often
+        index = Index(np.asarray(self.ids), np.asarray(self.toxic, float), self.starts, self.example, self.times, value, self.idf, np.ones(len(self.ids)))
+        squares = sum((np.bincount(example, w * w, len(self.ids)) for _, example, w in index.runs()), np.zeros(len(self.ids)))
+        index.norm = np.sqrt(squares)
+        index.tiles  # noqa: B018  what they hold is not kept twice; a view would keep it
+        index.example = index.code = np.zeros(0, np.int32)
         return index
 
     def __getstate__(self) -> dict:
