@@ -209,6 +209,37 @@ def test_bpe(spark, docs, empty):
     assert bpe.encode(empty, mine).collect() == []
 
 
+def test_a_piece_is_merged_once(monkeypatch):
+    """Also where it stands in different words; and the tables hold short keys only, at most twice their bound."""
+    mine = bpe.Vocabulary.load(public_tokenizers.path("word_bpe_49k.json"))
+    made = []
+    monkeypatch.setattr(mine, "piece", lambda p: made.append(p) or bpe.Vocabulary.piece(mine, p))
+    encode = bpe.encoder(mine)
+    encode("Zorblax zorblax, zorblax. (zorblax) zorblax*** 'zorblax ***")
+    assert collections.Counter(made)["zorblax"] == 1 and len(made) == len(set(made))
+    table = bpe.Recent(str.encode, 5)
+    for i in range(40):
+        for key in (f"a{i}", "b", "c" * 5000):
+            assert table(key) == key.encode()
+    assert len(table.known) <= 5 and len(table.older) <= 5 and max(map(len, [*table.known, *table.older])) < 100 and "b" in table.known
+
+
+def test_ids_do_not_depend_on_the_tables(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, mine = Tokenizer.from_file(path), bpe.Vocabulary.load(path)
+    library.no_truncation()
+    library.no_padding()
+    rng = np.random.default_rng(35)
+    marks = ["", ",", ".", "***", "'s", "2024", "<|endoftext|>", "é", "x" * 90]
+    texts = [" ".join("".join(rng.choice(list("aeinrst"), 6)) + marks[i] for i in rng.integers(0, len(marks), 60)) for _ in range(30)]
+    exp = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for words, pieces, kept in ((75_000, 200_000, 64), (3, 2, 64), (50, 1, 3), (1, 50, 0)):
+        for name, value in (("CACHE_WORDS", words), ("CACHE_PIECES", pieces), ("KEPT_CHARS", kept)):
+            monkeypatch.setattr(bpe, name, value)
+        encode = bpe.encoder(mine)
+        assert [np.frombuffer(encode(t), np.int32).tolist() for t in texts * 2] == exp * 2
+
+
 def test_merge_equals_greedy_loop():
     mine = bpe.Vocabulary.load(public_tokenizers.path("word_bpe_49k.json"))
     rng = np.random.default_rng(9)

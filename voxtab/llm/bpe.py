@@ -8,9 +8,12 @@ vocabulary's library puts between tokens.
 
 Rows are encoded where they are read: no shuffle, and the vocabulary (a
 fixed-size file, tens of thousands of entries) is broadcast. Each Python
-worker keeps the ids of pieces it has seen in two tables of at most
-``CACHE_PIECES`` entries, the older of which goes when the newer is full; this
-bounds memory and never changes a result. Ids of whole texts go into one Arrow column.
+worker keeps the ids of words it has seen (runs without white space), and
+below them those of the words' pieces, so that a word with another mark at its
+end is not merged again. Both are two tables of at most ``CACHE_WORDS`` or
+``CACHE_PIECES`` entries of at most ``KEPT_CHARS`` characters, the older of
+which goes when the newer is full; this bounds memory and never changes a
+result. Ids of whole texts go into one Arrow column.
 
 Character classes are those of Python's Unicode tables; the result equals the
 vocabulary's own library for every character that both tables know.
@@ -40,7 +43,7 @@ from pyspark.sql import types as T
 
 from voxtab.llm.common import add_columns
 
-CACHE_PIECES = 75_000
+CACHE_WORDS, CACHE_PIECES, KEPT_CHARS = 75_000, 200_000, 64
 #: What the split pattern's \\s matches.
 WHITE_SPACE = " \\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _POS_BITS = 40
@@ -128,29 +131,34 @@ class Vocabulary:
         return self.merge([s for s in symbols if s is not None])
 
 
+class Recent:
+    """``make(key)`` of the short keys asked for last, at most twice ``most``."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most = make, most
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the keys before; those seen again move up
+
+    def __call__(self, key: str) -> bytes:
+        found = self.known.get(key)
+        if found is None:
+            found = self.older.get(key)
+            if found is None:
+                found = self.make(key)
+            if len(key) <= KEPT_CHARS:
+                if len(self.known) >= self.most:
+                    self.known, self.older = {}, self.known
+                self.known[key] = found
+        return found
+
+
 def encoder(vocabulary: Vocabulary) -> Callable[[str], bytes]:
     """A function from a text to its ids as packed 32-bit integers."""
     pieces = regex.compile(vocabulary.pattern).findall
     special = vocabulary.special
     marks = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
-    known: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}  # the pieces before; those seen again move up
-
-    def chunk(word: str) -> bytes:
-        """Ids of a run of characters without white space."""
-        nonlocal known, older
-        found = known.get(word)
-        if found is None:
-            found = older.get(word)
-            if found is None:
-                ids = array("i")
-                for p in pieces(word):
-                    ids.extend(vocabulary.piece(p))
-                found = ids.tobytes()
-            if len(known) >= CACHE_PIECES:
-                known, older = {}, known
-            known[word] = found
-        return found
+    piece = Recent(lambda p: array("i", vocabulary.piece(p)).tobytes(), CACHE_PIECES)
+    chunk = Recent(lambda word: b"".join(map(piece, pieces(word))), CACHE_WORDS)  # a run of characters without white space
 
     def plain(text: str) -> bytes:
         if not text.isascii():
@@ -161,7 +169,7 @@ def encoder(vocabulary: Vocabulary) -> Callable[[str], bytes]:
             words = re.split("[" + WHITE_SPACE + "]+", text)
         else:
             words = text.split()
-        return b"".join(map(chunk, words))
+        return b"".join([chunk.known.get(w) or chunk(w) for w in words])
 
     def encode(text: str) -> bytes:
         if marks is None or not any(s in text for s in special):
