@@ -440,11 +440,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     picked = materialise(examples(docs, labels), "toxic-examples")
     if not picked.head(1):
         return None
-    found = sorted(picked.mapInArrow(_terms("text"), "term string").distinct().toArrow()["term"].to_pylist())  # the examples' own
-    vocabulary = pa.array(found, pa.large_string())
+    found = picked.mapInArrow(_terms("text"), "term string").distinct().toArrow()["term"].cast(pa.large_string()).combine_chunks()  # the examples' own
+    vocabulary = found.take(pc.array_sort_indices(found))
+    del found
     held = docs.select("text").mapInArrow(_count_known("text", vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
     frequency = np.zeros(len(vocabulary))
     frequency[held["term"].to_numpy(int)] = held["n"]
+    del held
     n_docs = docs.count()
     idf = np.log((1 + SMOOTH) * (n_docs + 1) / (frequency + 1 + SMOOTH * n_docs))
     none = np.zeros(0, np.int32)
@@ -464,18 +466,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     # at most MAX_TOXIC + MAX_CLEAN rows, about; those with the same strongest term stand together, so that block maxima are tight
     table = picked.mapInArrow(counts, kind).orderBy("lead", "doc_id").toArrow()
     shared.destroy()
-    at = table["at"].combine_chunks()
-    sizes = np.diff(at.offsets.to_numpy())
-    who = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    at, times = at.flatten().to_numpy(), table["n"].combine_chunks().flatten().to_numpy()
-    ends = np.cumsum(sizes)
+    small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    model.ids, model.toxic, share = (table[c].to_numpy() for c in ("doc_id", "toxic", "share"))
+    sizes = np.concatenate([np.diff(c.offsets.to_numpy()) for c in table["at"].chunks])
+    at, times = (np.concatenate([c.flatten().to_numpy() for c in table[x].chunks]) for x in ("at", "n"))
+    del table  # the driver holds each posting as few times as it can
+    times, ends = small(times), np.cumsum(sizes)
     for i, (a, b) in enumerate(zip(ends - sizes, ends, strict=True)):  # of a bounded number of examples
         model.alike.setdefault(digest(at[a:b], times[a:b]), []).append(i)
-    small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    held = sum((np.bincount(at[i : i + RUN], minlength=len(idf)) for i in range(0, len(at), RUN)), np.zeros(len(idf), int))
     order = np.argsort(at, kind="stable")
-    model.starts, model.example, model.times = np.r_[0, np.cumsum(np.bincount(at, minlength=len(idf)))], small(who[order]), small(times[order])
-    model.ids, model.toxic, share = (table[c].to_numpy() for c in ("doc_id", "toxic", "share"))
-    return _calibrate(spark, model, (np.r_[0, ends], at, small(times)), 1.0 / share, sizes == 0)
+    model.starts, model.times = np.r_[0, np.cumsum(held)], times[order]
+    model.example = np.repeat(small(np.arange(len(sizes))), sizes)[order]
+    del order
+    return _calibrate(spark, model, (np.r_[0, ends], at, times), 1.0 / share, sizes == 0)
 
 
 def _calibrate(spark, model: Model, counts: tuple[np.ndarray, ...], weight: np.ndarray, bare: np.ndarray) -> Model:
