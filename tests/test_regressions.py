@@ -7,6 +7,7 @@ import struct
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from voxtab.operators import segments as C
 from voxtab.operators import signal as D
@@ -133,3 +134,29 @@ def test_unreadable_ledger_fails_and_new_checkpoint_keeps_output(spark, tmpdir_f
             os.remove(f"{bad}/.{name}.crc")
     with pytest.raises(Exception):
         ingest_stream(spark, src, df.schema, f"{tmpdir_fresh}/c3", f"{tmpdir_fresh}/out3", bad)
+
+
+def test_label_rounds_write_files_by_their_rows(spark, monkeypatch):
+    """A round of label propagation on some rows is one file and one task, not
+    one for each shuffle partition; many rows still make several."""
+    from voxtab.plans import graph
+
+    parts, plain = [], graph.cut_lineage
+
+    def cut(*args):
+        out = plain(*args)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(graph, "cut_lineage", cut)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60, 2)] + [(1, 2), (2, 59)], "src long, dst long")
+    nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
+    expected = {i: 0 if i in (0, 1, 2, 3, 58, 59) else i - i % 2 for i in range(60)}
+    for rows, most in ((1 << 18, 1), (10, 8)):
+        monkeypatch.setattr(graph, "PART_ROWS", rows, raising=False)
+        parts.clear()
+        found = {r.node: r.label for r in graph.connected_components(nodes, edges).collect()}
+        assert found == expected
+        assert len(parts) > 2 and max(parts) <= most and (rows > 10 or max(parts) > 1)
+    empty = graph.connected_components(nodes.limit(0), edges.limit(0))
+    assert empty.count() == 0

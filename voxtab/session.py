@@ -53,17 +53,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, part_rows: int | None = None) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives
     executor loss), never a local one. The input is persisted only while the
     checkpoint is written, so it is computed once instead of twice (once for
-    the action, once for the file write)."""
+    the action, once for the file write). A cached plan keeps all shuffle
+    partitions, however few rows it has; with ``part_rows`` the checkpoint has
+    one file for so many rows, and later stages as many tasks."""
     from pyspark import StorageLevel
 
     ensure_checkpoint_dir(df.sparkSession)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return df.checkpoint(eager=True)
+        held = df if part_rows is None else df.coalesce(max(1, -(-df.count() // part_rows)))
+        return held.checkpoint(eager=True)
     finally:
         df.unpersist()
 
