@@ -787,3 +787,15 @@ def test_pipeline(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == kept[4]
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{folder}/none").collect() == []
+
+
+def test_texts_share_the_table_of_the_vocabulary(monkeypatch):
+    """A table of all terms is made once for many texts, wherever they are counted, and the counts are those of single texts."""
+    calls, plain = [], toxicity.pc.index_in
+    monkeypatch.setattr(toxicity.pc, "index_in", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    texts = pa.array([f"word{'abc'[i % 3]} other{'xy'[i % 2]}" for i in range(2000)])
+    vocabulary = pa.array(["othe*", "otherx", "worda", "wordb"], pa.large_string())
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    found = list(toxicity._count_known("text", vocabulary)(iter([batch])))
+    assert {r["term"]: r["n"] for b in found for r in b.to_pylist()} == {0: 2000, 1: 1000, 2: 667, 3: 667}
+    assert len(calls) == 1

@@ -61,6 +61,8 @@ DENSE, DENSE_SHARE, BATCH = 1024, 16, 1024
 GROUPS, TILE_ROWS, CELL = 6, 2048, 256
 #: Postings that are worked on at once when an index is made.
 RUN = 1 << 18
+#: Texts that are counted at once for the frequencies: each time, a table of the whole vocabulary is made.
+LOOKED_UP = 2048
 #: Bytes of texts whose words are looked up at once, about.
 PIECE = 1 << 23
 #: What a task keeps: neighbours of equal term counts.
@@ -399,8 +401,8 @@ def _count_known(column: str, vocabulary: pa.Array):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(vocabulary), np.int64)
         for b in batches:
-            for i in range(0, b.num_rows, BATCH):
-                n += np.bincount(count(b[column].slice(i, BATCH), vocabulary)[1], minlength=len(n))
+            for i in range(0, b.num_rows, LOOKED_UP):
+                n += np.bincount(count(b[column].slice(i, LOOKED_UP), vocabulary)[1], minlength=len(n))
         held = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"term": pa.array(held), "n": pa.array(n[held])})
 
